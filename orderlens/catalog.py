@@ -153,3 +153,384 @@ def q_price_bin_profile(spark, sf_dir):
     df = with_prior(spark, sf_dir).filter(is_new_column())
     feats, _ = build_features(df, spec, {})
     return category_profile(feats, "price_bin", known_order=DEFAULT_CATEGORY_ORDERS["price_bin"])
+
+
+# ---------------------------------------------------------------------------
+# feature ops (F1-F19) and the feature frame (B1, B2)
+# ---------------------------------------------------------------------------
+
+SPEC = load_feature_config()["features"]
+
+
+def _spec(**entries) -> dict:
+    return {"features": entries}
+
+
+def _q(name: str) -> str:
+    return '"' + name + '"'
+
+
+def _sql_groups(expr: str, groups: dict) -> str:
+    from orderlens.functions.post import group_mapping
+    m = group_mapping(groups)
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in m.items())
+    return f"(CASE {expr} {whens} ELSE {expr} END)"
+
+
+def _sql_bin(x: str, edges: list, labels: list, include_lowest: bool = False) -> str:
+    parts = []
+    for i, lab in enumerate(labels):
+        lo, hi = edges[i], edges[i + 1]
+        lo_s = "'-inf'::DOUBLE" if lo == float("-inf") else repr(float(lo))
+        hi_s = "'inf'::DOUBLE" if hi == float("inf") else repr(float(hi))
+        op = ">=" if include_lowest and i == 0 else ">"
+        parts.append(f"WHEN {x} {op} {lo_s} AND {x} <= {hi_s} THEN '{lab}'")
+    return "(CASE " + " ".join(parts) + " ELSE 'nan' END)"
+
+
+def _edges(name: str) -> list:
+    from orderlens.functions.ops import bin_edges
+    op = SPEC[name]["op"]
+    if op["name"] == "pipeline":
+        op = op["steps"][-1]
+    return bin_edges(op["bins"])
+
+
+def _labels(name: str) -> list:
+    op = SPEC[name]["op"]
+    if op["name"] == "pipeline":
+        op = op["steps"][-1]
+    return op["bin_labels"]
+
+
+CITY_SQL = """,
+citydict AS (
+  SELECT CAST(ord AS BIGINT) AS ord, name, region FROM cities WHERE name IS NOT NULL AND name <> ''
+  UNION ALL SELECT (CAST(1 AS BIGINT) << 62) + 0, 'Ялта', 'Республика Крым'
+  UNION ALL SELECT (CAST(1 AS BIGINT) << 62) + 1, 'Симферополь', 'Республика Крым'
+  UNION ALL SELECT (CAST(1 AS BIGINT) << 62) + 2, 'Севастополь', 'Город федерального значения Севастополь'
+),
+hay AS (SELECT DISTINCT "contact_Город" AS h FROM cohort WHERE "contact_Город" IS NOT NULL),
+cand AS (
+  SELECT h, c.name, c.region,
+         row_number() OVER (PARTITION BY h ORDER BY length(c.name) DESC, c.ord) AS rn
+  FROM hay JOIN citydict c
+    ON contains(replace(lower(h), 'ё', 'е'), replace(lower(c.name), 'ё', 'е'))
+),
+best AS (SELECT h, name AS city_name__, region AS city_region__ FROM cand WHERE rn = 1)"""
+
+MGR_SQL = """,
+mgr AS (
+  SELECT coalesce(CAST(lead_responsible_user_id AS VARCHAR), 'nan') AS manager,
+         count(*) AS n, avg(buyout_flag) AS rate
+  FROM cohort WHERE is_new__ GROUP BY 1
+)"""
+
+CART_SQL = ("len(list_filter(list_transform(string_split(replace(\"lead_Состав заказа\", chr(10), ';'), ';'), "
+            "lambda t: trim(t)), lambda t: t <> '' AND NOT contains(lower(t), 'доставк')))")
+CART_N_SQL = (f"(CASE WHEN \"lead_Состав заказа\" IS NULL THEN 0 WHEN {CART_SQL} = 0 THEN 0 "
+              f"ELSE greatest({CART_SQL}, 1) END)")
+MGR_TEXT_SQL = "coalesce(CAST(lead_responsible_user_id AS VARCHAR), '__NaN__')"
+DELTA_SQL = ("coalesce(CASE WHEN (sale_ts - lead_created_at) / 86400 < 0 THEN 0 "
+             "ELSE (sale_ts - lead_created_at) / 86400 END, 0.0)")
+WEEKDAY_SQL = "coalesce(CAST(isodow(sale_date) - 1 AS VARCHAR), 'nan')"
+
+
+def _feature_sql() -> dict[str, str]:
+    """SQL of each default-spec feature over a row of ``newc`` joined to
+    ``best`` (city match) and ``mgr`` (manager stats)."""
+    g = {n: SPEC[n].get("groups") for n in SPEC}
+    cat = lambda c: f"coalesce({_q(c)}, '__NaN__')"
+    return {
+        "lead_Вид оплаты": _sql_groups(cat("lead_Вид оплаты"), g["lead_Вид оплаты"]),
+        "lead_Тариф Доставки": _sql_groups(cat("lead_Тариф Доставки"), g["lead_Тариф Доставки"]),
+        "lead_Квалификация лида": _sql_groups(_q("lead_Квалификация лида"),
+                                              g["lead_Квалификация лида"]),
+        "lead_Категория и варианты выбора": _q("lead_Категория и варианты выбора"),
+        "lead_responsible_user_id": MGR_TEXT_SQL,
+        "lead_group_id": "CAST(CASE WHEN lead_group_id = 0 THEN NULL ELSE lead_group_id END AS VARCHAR)",
+        "lead_Служба доставки": _sql_groups(cat("lead_Служба доставки"), g["lead_Служба доставки"]),
+        "price_bin": PRICE_BIN_SQL,
+        "sale_weekday": WEEKDAY_SQL,
+        "cart_n_items": CART_N_SQL,
+        "cart_bin": _sql_bin(CART_N_SQL, _edges("cart_bin"), _labels("cart_bin")),
+        "manager_deal_count": "coalesce(mgr_n.n, 1)",
+        "manager_bin": _sql_bin("coalesce(mgr_n.n, 1)", _edges("manager_bin"), _labels("manager_bin")),
+        "mgr_group": ("coalesce(CASE WHEN mgr_n.rate >= 0.4 THEN 'mgr_high' WHEN mgr_n.rate >= 0.2 "
+                      "THEN 'mgr_mid' WHEN mgr_n.rate IS NOT NULL THEN 'mgr_low' END, 'mgr_low')"),
+        "delta_bin": _sql_bin(DELTA_SQL, _edges("delta_bin"), _labels("delta_bin"), True),
+        "utm_product": "coalesce(string_split(lead_utm_source, '_')[4], '__NaN__')",
+        "utm_brand": "coalesce(string_split(lead_utm_source, '_')[5], '__NaN__')",
+        "has_future_purchase": "CAST(\"lead_будущие покупки\" IS NOT NULL AS INTEGER)",
+        "is_paid_traffic": ("CAST(coalesce(lead_utm_medium IN ('cpc', 'cpc__rt_view-yes_lead-no_all', "
+                            "'Bloger', 'article_direct', 'cpm'), false) AS INTEGER)"),
+        "city_clean": "coalesce(best.city_name__, '__unknown__')",
+        "contact_region": "coalesce(best.city_region__, '__unknown__')",
+    }
+
+
+FEATURE_SQL = _feature_sql()
+BUILT = list(FEATURE_SQL)  # default spec minus the two features without a source column
+FEAT_CTE = CITY_SQL + MGR_SQL + """,
+newc AS (SELECT * FROM cohort WHERE is_new__),
+feat AS (
+  SELECT newc.row_id, newc.buyout_flag, newc.sale_date, newc.""" + DC[1:-1].join('""') + """ AS deals__,
+         """ + ",\n         ".join(f"{e} AS {_q(n)}" for n, e in FEATURE_SQL.items()) + """
+  FROM newc
+  LEFT JOIN best ON newc."contact_Город" = best.h
+  LEFT JOIN mgr AS mgr_n ON """ + MGR_TEXT_SQL.replace("lead_responsible_user_id", "newc.lead_responsible_user_id") + """ = mgr_n.manager
+)"""
+
+
+def _feature_cols(names: list[str]):
+    return [F.col(f"`{n}`") for n in names]
+
+
+@query("feature_frame", sql(FEAT_CTE + "\nSELECT row_id, buyout_flag, " +
+                            ", ".join(_q(n) for n in BUILT) + " FROM feat"))
+def q_feature_frame(spark, sf_dir):
+    """B1 + B2: the default spec on new contacts (two features skip: no source)."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    return feats.select("row_id", TARGET, *_feature_cols(BUILT))
+
+
+def _ops_frame(spark, sf_dir, entries: dict, new_only: bool = False):
+    df = with_prior(spark, sf_dir)
+    if new_only:
+        df = df.filter(is_new_column())
+    ctx = {}
+    if any(e.get("op", {}).get("name") in ("map", "substring_lookup") for e in entries.values()):
+        ctx = build_contexts(df, city_table(spark, sf_dir), cache=False)
+    return build_features(df, {"features": entries}, ctx)[0]
+
+
+@query("op_identity_cast", sql("""
+SELECT row_id, lead_price AS price_identity,
+       coalesce(CAST(lead_price AS VARCHAR), 'nan') AS price_text,
+       CAST(""" + DC + """ AS BIGINT) AS prior_int,
+       CAST(lead_group_id AS DOUBLE) AS group_float
+FROM cohort"""))
+def q_op_identity_cast(spark, sf_dir):
+    """F1, F2."""
+    f = _ops_frame(spark, sf_dir, {
+        "price_identity": {"type": "numeric", "op": {"name": "identity", "source": "lead_price"}},
+        "price_text": {"type": "numeric", "op": {"name": "cast", "source": "lead_price", "to": "str"}},
+        "prior_int": {"type": "numeric", "op": {"name": "cast", "source": DEAL_COUNT_COL, "to": "int"}},
+        "group_float": {"type": "numeric", "op": {"name": "cast", "source": "lead_group_id", "to": "float"}},
+    })
+    return f.select("row_id", "price_identity", "price_text", "prior_int", "group_float")
+
+
+@query("op_fillna_clip", sql("""
+SELECT row_id, coalesce(lead_price, 0.0) AS price_filled,
+       CASE WHEN lead_price < 1000 THEN 1000.0 WHEN lead_price > 15000 THEN 15000.0
+            ELSE lead_price END AS price_clipped,
+       coalesce(CASE WHEN lead_price > 15000 THEN 15000.0 ELSE lead_price END, -1.0) AS price_pipeline
+FROM cohort"""))
+def q_op_fillna_clip(spark, sf_dir):
+    """F3, F4 (and a clip->fillna chain)."""
+    f = _ops_frame(spark, sf_dir, {
+        "price_filled": {"type": "numeric", "op": {"name": "fillna", "source": "lead_price", "value": 0.0}},
+        "price_clipped": {"type": "numeric", "op": {"name": "clip", "source": "lead_price",
+                                                    "lower": 1000.0, "upper": 15000.0}},
+        "price_pipeline": {"type": "numeric", "op": {"name": "pipeline", "steps": [
+            {"name": "clip", "source": "lead_price", "upper": 15000.0},
+            {"name": "fillna", "value": -1.0}]}},
+    })
+    return f.select("row_id", "price_filled", "price_clipped", "price_pipeline")
+
+
+@query("op_not_null_is_in", sql("""
+SELECT row_id, CAST("lead_будущие покупки" IS NOT NULL AS INTEGER) AS has_future_purchase,
+       CAST(coalesce(lead_utm_medium IN ('cpc', 'cpc__rt_view-yes_lead-no_all', 'Bloger',
+            'article_direct', 'cpm'), false) AS INTEGER) AS is_paid_traffic,
+       CAST(coalesce(lead_group_id IN (1, 3), false) AS INTEGER) AS group_in
+FROM cohort"""))
+def q_op_not_null_is_in(spark, sf_dir):
+    """F5, F6 (type-strict: the text '1' does not match the number 1)."""
+    f = _ops_frame(spark, sf_dir, {
+        "has_future_purchase": SPEC["has_future_purchase"],
+        "is_paid_traffic": SPEC["is_paid_traffic"],
+        "group_in": {"type": "binary", "op": {"name": "is_in", "source": "lead_group_id",
+                                              "values": [1, 3, "1"]}},
+    })
+    return f.select("row_id", "has_future_purchase", "is_paid_traffic", "group_in")
+
+
+@query("op_string_length", sql("""
+SELECT row_id, CAST(length(coalesce("lead_Состав заказа", '')) AS BIGINT) AS order_text_len,
+       CAST(length(coalesce(CAST(lead_price AS VARCHAR), '')) AS BIGINT) AS price_text_len
+FROM cohort"""))
+def q_op_string_length(spark, sf_dir):
+    """F14."""
+    f = _ops_frame(spark, sf_dir, {
+        "order_text_len": {"type": "numeric", "op": {"name": "string_length", "source": "lead_Состав заказа"}},
+        "price_text_len": {"type": "numeric", "op": {"name": "string_length", "source": "lead_price"}},
+    })
+    return f.select("row_id", "order_text_len", "price_text_len")
+
+
+@query("op_map_manager", sql(MGR_SQL + """
+SELECT c.row_id, coalesce(m.n, 1) AS manager_deal_count,
+       coalesce(CASE WHEN m.rate >= 0.4 THEN 'mgr_high' WHEN m.rate >= 0.2 THEN 'mgr_mid'
+                     WHEN m.rate IS NOT NULL THEN 'mgr_low' END, 'mgr_low') AS mgr_group,
+       m2.n AS manager_raw_count
+FROM cohort c
+LEFT JOIN mgr m ON coalesce(CAST(c.lead_responsible_user_id AS VARCHAR), '__NaN__') = m.manager
+LEFT JOIN mgr m2 ON coalesce(CAST(c.lead_responsible_user_id AS VARCHAR), 'nan') = m2.manager
+WHERE c.is_new__"""))
+def q_op_map_manager(spark, sf_dir):
+    """F7, J1 (with and without default; text key: a NULL id is looked up as 'nan')."""
+    f = _ops_frame(spark, sf_dir, {
+        "lead_responsible_user_id": SPEC["lead_responsible_user_id"],
+        "manager_deal_count": SPEC["manager_deal_count"],
+        "mgr_group": SPEC["mgr_group"],
+    }, new_only=True)
+    raw = _ops_frame(spark, sf_dir, {
+        "manager_raw_count": {"type": "numeric", "nan": "ignore",
+                              "op": {"name": "map", "source": "lead_responsible_user_id",
+                                     "table": "manager_map", "key_cast": "str"}},
+    }, new_only=True)
+    return (f.select("row_id", "manager_deal_count", "mgr_group")
+             .join(raw.select("row_id", "manager_raw_count"), "row_id"))
+
+
+@query("manager_tiers", sql(MGR_SQL + """
+SELECT manager, n,
+       CASE WHEN rate >= 0.4 THEN 'mgr_high' WHEN rate >= 0.2 THEN 'mgr_mid' ELSE 'mgr_low' END AS tier
+FROM mgr"""))
+def q_manager_tiers(spark, sf_dir):
+    """A1, A2 over new contacts."""
+    from orderlens.operators.contexts import manager_counts, manager_tiers
+    new = with_prior(spark, sf_dir).filter(is_new_column())
+    return manager_counts(new).join(manager_tiers(new), "manager")
+
+
+@query("op_weekday", sql(f"""
+SELECT row_id, {WEEKDAY_SQL} AS sale_weekday, CAST(month(sale_date) AS BIGINT) AS sale_month,
+       CAST(year(sale_date) AS BIGINT) AS sale_year, CAST(quarter(sale_date) AS BIGINT) AS sale_quarter,
+       CAST(dayofyear(sale_date) AS BIGINT) AS sale_dayofyear
+FROM cohort"""))
+def q_op_weekday(spark, sf_dir):
+    """F8 (Monday = 0; missing -> 'nan' as text)."""
+    attr = lambda a, **kw: {"type": "numeric", "op": {"name": "datetime_attr",
+                                                      "source": "sale_date", "attr": a, **kw}}
+    f = _ops_frame(spark, sf_dir, {
+        "sale_weekday": SPEC["sale_weekday"], "sale_month": attr("month"),
+        "sale_year": attr("year"), "sale_quarter": attr("quarter"),
+        "sale_dayofyear": attr("dayofyear"),
+    })
+    return f.select("row_id", "sale_weekday", "sale_month", "sale_year", "sale_quarter", "sale_dayofyear")
+
+
+@query("op_delta_pipeline", sql(f"""
+SELECT row_id, {DELTA_SQL} AS delta_days,
+       {_sql_bin(DELTA_SQL, _edges("delta_bin"), _labels("delta_bin"), True)} AS delta_bin
+FROM cohort"""))
+def q_op_delta_pipeline(spark, sf_dir):
+    """arithmetic -> clip -> fill, then a right-closed bin."""
+    steps = SPEC["delta_bin"]["op"]["steps"]
+    f = _ops_frame(spark, sf_dir, {
+        "delta_days": {"type": "numeric", "op": steps[0]},
+        "delta_bin": SPEC["delta_bin"],
+    })
+    return f.select("row_id", "delta_days", "delta_bin")
+
+
+@query("op_count_tokens", sql(f"""
+SELECT row_id, {CART_N_SQL} AS cart_n_items,
+       CASE WHEN "lead_Состав заказа" IS NULL THEN -1
+            ELSE len(list_filter(list_transform(string_split(replace("lead_Состав заказа", chr(10), ';'), ';'),
+                 lambda t: trim(t)), lambda t: t <> '')) END AS cart_tokens_all
+FROM cohort"""))
+def q_op_count_tokens(spark, sf_dir):
+    """F10 (with exclusion + minimum, and plain)."""
+    f = _ops_frame(spark, sf_dir, {
+        "cart_n_items": SPEC["cart_n_items"],
+        "cart_tokens_all": {"type": "numeric", "op": {"name": "count_tokens",
+                                                      "source": "lead_Состав заказа",
+                                                      "separators": [";", "\n"], "default": -1}},
+    })
+    return f.select("row_id", "cart_n_items", "cart_tokens_all")
+
+
+@query("op_split_take", sql("""
+SELECT row_id, coalesce(string_split(lead_utm_source, '_')[4], '__NaN__') AS utm_product,
+       coalesce(string_split(lead_utm_source, '_')[5], '__NaN__') AS utm_brand,
+       coalesce(string_split(lead_utm_source, '_')[-1], '__NaN__') AS utm_last,
+       coalesce(string_split("lead_Вид оплаты", '-')[2], 'none') AS priority_name
+FROM cohort"""))
+def q_op_split_take(spark, sf_dir):
+    """F15 (positive and negative index, default)."""
+    st = lambda src, sep, i, d="__NaN__": {"type": "categorical", "nan": "ignore",
+                                           "op": {"name": "split_take", "source": src,
+                                                  "separator": sep, "index": i, "default": d}}
+    f = _ops_frame(spark, sf_dir, {
+        "utm_product": SPEC["utm_product"], "utm_brand": SPEC["utm_brand"],
+        "utm_last": st("lead_utm_source", "_", -1),
+        "priority_name": st("lead_Вид оплаты", "-", 1, "none"),
+    })
+    return f.select("row_id", "utm_product", "utm_brand", "utm_last", "priority_name")
+
+
+@query("op_city_lookup", sql(CITY_SQL + """,
+big AS (SELECT DISTINCT name FROM cities WHERE coalesce(population, 0) >= 500000 AND name IS NOT NULL)
+SELECT c.row_id, coalesce(b.city_name__, '__unknown__') AS city_clean,
+       coalesce(b.city_region__, '__unknown__') AS contact_region,
+       CASE WHEN g.name IS NOT NULL THEN 1 ELSE 0 END AS is_big_city
+FROM cohort c LEFT JOIN best b ON c."contact_Город" = b.h
+LEFT JOIN big g ON coalesce(b.city_name__, '__unknown__') = g.name"""))
+def q_op_city_lookup(spark, sf_dir):
+    """One shared substring match feeds both
+    features; the big-city flag maps the matched name."""
+    f = _ops_frame(spark, sf_dir, {
+        "city_clean": SPEC["city_clean"], "contact_region": SPEC["contact_region"],
+        "is_big_city": {"type": "binary", "op": {"name": "map", "source": "city_clean",
+                                                 "table": "big_city_map", "default": 0}},
+    })
+    return f.select("row_id", "city_clean", "contact_region",
+                    F.col("is_big_city").cast("int").alias("is_big_city"))
+
+
+@query("op_bins", sql(f"""
+SELECT row_id, {PRICE_BIN_SQL} AS price_bin,
+       {_sql_bin("lead_price", [0.0, 5000.0, 8000.0, 15000.0, float("inf")], ["a", "b", "c", "d"])} AS price_bin_raw,
+       {_sql_bin("coalesce(lead_price, 0.0)", [0.0, 5000.0, 8000.0, 15000.0, float("inf")], ["a", "b", "c", "d"], True)} AS price_bin_low,
+       {_sql_bin(CART_N_SQL, _edges("cart_bin"), _labels("cart_bin"))} AS cart_bin
+FROM cohort"""))
+def q_op_bins(spark, sf_dir):
+    """right-closed, include_lowest, fillna inside the op, nan_label."""
+    b = lambda **kw: {"type": "categorical", "nan": "ignore",
+                      "op": {"name": "bin", "source": "lead_price",
+                             "bins": [0, 5000, 8000, 15000, float("inf")],
+                             "bin_labels": ["a", "b", "c", "d"], **kw}}
+    f = _ops_frame(spark, sf_dir, {
+        "price_bin": SPEC["price_bin"], "price_bin_raw": b(),
+        "price_bin_low": b(include_lowest=True, fillna=0.0),
+        "cart_n_items": SPEC["cart_n_items"], "cart_bin": SPEC["cart_bin"],
+    })
+    return f.select("row_id", "price_bin", "price_bin_raw", "price_bin_low", "cart_bin")
+
+
+@query("post_nan_drop_cast_groups", sql(f"""
+SELECT row_id, {FEATURE_SQL['lead_responsible_user_id']} AS manager_text,
+       {FEATURE_SQL['lead_group_id']} AS group_text,
+       {FEATURE_SQL['lead_Квалификация лида']} AS qualification,
+       {FEATURE_SQL['lead_Служба доставки']} AS delivery,
+       CASE WHEN coalesce(lead_price, -1.0) = -1.0 THEN NULL ELSE coalesce(lead_price, -1.0) END AS price_dropped,
+       {_sql_groups("coalesce(lead_utm_medium, '__NaN__')", {"cpm": ["cpc"], "cpc": ["cpm"]})} AS medium_swapped
+FROM cohort"""))
+def q_post_nan_drop_cast_groups(spark, sf_dir):
+    """Nan policy -> drop_values -> cast -> groups (simultaneous swap)."""
+    f = _ops_frame(spark, sf_dir, {
+        "manager_text": {**SPEC["lead_responsible_user_id"], "source": "lead_responsible_user_id"},
+        "group_text": {**SPEC["lead_group_id"], "source": "lead_group_id"},
+        "qualification": {**SPEC["lead_Квалификация лида"], "source": "lead_Квалификация лида"},
+        "delivery": {**SPEC["lead_Служба доставки"], "source": "lead_Служба доставки"},
+        "price_dropped": {"type": "numeric", "nan": "fill", "nan_value": -1.0, "drop_values": [-1.0],
+                          "source": "lead_price"},
+        "medium_swapped": {"type": "categorical", "source": "lead_utm_medium",
+                           "groups": {"cpm": ["cpc"], "cpc": ["cpm"]}},
+    })
+    return f.select("row_id", "manager_text", "group_text", "qualification", "delivery",
+                    "price_dropped", "medium_swapped")
