@@ -534,3 +534,221 @@ def q_post_nan_drop_cast_groups(spark, sf_dir):
     })
     return f.select("row_id", "manager_text", "group_text", "qualification", "delivery",
                     "price_dropped", "medium_swapped")
+
+
+# ---------------------------------------------------------------------------
+# cohort union, canonical columns, tree prep
+# ---------------------------------------------------------------------------
+
+from orderlens.operators.clean import (capped_prior_count, drop_missing_dates,  # noqa: E402
+                                       normalize_string_categoricals, tree_prep, union_cohorts)
+from orderlens.plans.features import derive_feature_columns  # noqa: E402
+
+FC = derive_feature_columns(load_feature_config(), BUILT)
+VISIBLE = FC.all_feature_cols
+
+
+@query("clean_union", sql(FEAT_CTE + """
+SELECT f.buyout_flag, f.sale_date, f.deals__ AS """ + DC + """, c.contact_id, c.row_id, 1 AS is_new, """ +
+    ", ".join("f." + _q(n) for n in VISIBLE) + """
+FROM feat f JOIN cohort c ON f.row_id = c.row_id
+UNION ALL
+SELECT buyout_flag, sale_date, """ + DC + """, contact_id, row_id, 0 AS is_new, """ +
+    ", ".join(f"NULL AS {_q(n)}" for n in VISIBLE) + """
+FROM cohort WHERE NOT is_new__"""))
+def q_clean_union(spark, sf_dir):
+    """New contacts with features + returning ones with NULL features."""
+    df = with_prior(spark, sf_dir)
+    new = df.filter(is_new_column())
+    ctx = build_contexts(new, city_table(spark, sf_dir), cache=False)
+    feats, fc = build_features(new, load_feature_config(), ctx)
+    return union_cohorts(feats, df.filter(~is_new_column()), fc.all_feature_cols,
+                         extra=["contact_id", "row_id"])
+
+
+STRING_CATS = ["lead_responsible_user_id", "lead_group_id", "lead_Вид оплаты", "contact_id"]
+
+
+@query("string_categoricals", sql("""
+SELECT row_id, CAST(lead_responsible_user_id AS VARCHAR) AS lead_responsible_user_id,
+       CAST(lead_group_id AS VARCHAR) AS lead_group_id, "lead_Вид оплаты",
+       CAST(contact_id AS VARCHAR) AS contact_id
+FROM cohort"""))
+def q_string_categoricals(spark, sf_dir):
+    """Numeric codes -> integer text, NULL kept."""
+    df = normalize_string_categoricals(with_prior(spark, sf_dir), STRING_CATS)
+    return df.select("row_id", *[F.col(f"`{c}`") for c in STRING_CATS])
+
+
+TREE_CAT = FC.cat_cols + FC.geo_cols + FC.te_cat_cols
+TREE_NUM = FC.num_cols + FC.bin_cols
+
+
+@query("tree_prep", sql(FEAT_CTE + "\nSELECT row_id, " +
+                        ", ".join(f"coalesce({_q(c)}, '__NaN__') AS {_q(c)}" for c in TREE_CAT) + ", " +
+                        ", ".join(f"coalesce(CAST({_q(c)} AS DOUBLE), 0.0) AS {_q(c)}" for c in TREE_NUM) +
+                        "\nFROM feat WHERE sale_date IS NOT NULL"))
+def q_tree_prep(spark, sf_dir):
+    """Text categoricals with '__NaN__', numbers with 0."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    out = tree_prep(drop_missing_dates(feats), TREE_CAT, TREE_NUM)
+    return out.select("row_id", *_feature_cols(TREE_CAT + TREE_NUM))
+
+
+# ---------------------------------------------------------------------------
+# profiles (A6-A14, O3)
+# ---------------------------------------------------------------------------
+
+from orderlens.operators.profile import (drift_summary, feature_drift, month_timeline,  # noqa: E402
+                                         numeric_histogram, rate_by_capped_count, value_counts_top)
+
+PROFILED = ["price_bin", "delta_bin", "sale_weekday", "lead_Квалификация лида", "city_clean"]
+
+
+def _feat_profile_sql(feature: str) -> str:
+    known = DEFAULT_CATEGORY_ORDERS.get(feature, [])
+    order = (f"coalesce(nullif(list_position([{', '.join(repr(k) for k in known)}], category), 0), {1 << 30})"
+             if known else str(1 << 30))
+    return f"""
+  SELECT '{feature}' AS feature, category, n_pos, n_total - n_pos AS n_neg, n_total,
+         CASE WHEN n_total > 0 THEN CAST(n_pos AS DOUBLE) / n_total ELSE 0.0 END AS rate,
+         CAST(row_number() OVER (ORDER BY {order}, n_total DESC, category) - 1 AS INTEGER) AS position
+  FROM (SELECT {_q(feature)} AS category, CAST(sum(buyout_flag) AS BIGINT) AS n_pos,
+               count(buyout_flag) AS n_total
+        FROM feat WHERE {_q(feature)} IS NOT NULL GROUP BY 1)"""
+
+
+@query("category_profile", sql(FEAT_CTE + "\n" + "\nUNION ALL".join(_feat_profile_sql(f) for f in PROFILED)))
+def q_category_profile(spark, sf_dir):
+    """A6, O3 for several built features of new contacts (long form)."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    feats = feats.cache()
+    parts = [category_profile(feats, f, known_order=DEFAULT_CATEGORY_ORDERS.get(f))
+             .select(F.lit(f).alias("feature"), "*") for f in PROFILED]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("top_categories", sql("""
+, counts AS (SELECT "contact_Город" AS category, count(*) AS n FROM cohort GROUP BY 1),
+top AS (SELECT category, n FROM counts WHERE category IS NOT NULL ORDER BY n DESC, category LIMIT 10)
+SELECT category, n, CAST(row_number() OVER (ORDER BY n DESC, category) AS INTEGER) AS rank,
+       (SELECT count(*) FROM counts) AS n_distinct,
+       (SELECT count(*) FROM cohort WHERE "contact_Город" IN (SELECT category FROM top)) AS rows_in_top
+FROM top"""))
+def q_top_categories(spark, sf_dir):
+    """Top-10 cities, distinct count, rows kept by the semi join."""
+    return value_counts_top(with_prior(spark, sf_dir), "contact_Город", 10)
+
+
+HIST_SQL = """
+, v AS (SELECT lead_price AS v, buyout_flag AS y FROM cohort WHERE lead_price IS NOT NULL),
+r AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS lo,
+             CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS hi,
+             round(avg(v), 6) AS mean_value FROM v),
+s AS (SELECT lo, hi, (hi - lo) / 30 AS step, mean_value FROM r),
+b0 AS (SELECT v.v, v.y, s.*, CAST(least(greatest(floor((v.v - s.lo) / s.step), 0), 29) AS BIGINT) AS b0
+       FROM v, s),
+b1 AS (SELECT *, CASE WHEN b0 > 0 AND v < b0 * step + lo THEN b0 - 1 ELSE b0 END AS b1 FROM b0),
+b2 AS (SELECT *, CASE WHEN b1 < 29 AND v >= (CASE WHEN b1 + 1 >= 30 THEN hi ELSE (b1 + 1) * step + lo END)
+                      THEN b1 + 1 ELSE b1 END AS bin FROM b1),
+c AS (SELECT bin, count(*) AS n_total, CAST(sum(y) AS BIGINT) AS n_pos FROM b2 GROUP BY bin),
+g AS (SELECT CAST(i AS INTEGER) AS bin FROM range(30) t(i))
+SELECT g.bin, g.bin * s.step + s.lo AS lo,
+       CASE WHEN g.bin + 1 >= 30 THEN s.hi ELSE (g.bin + 1) * s.step + s.lo END AS hi,
+       coalesce(c.n_total, 0) AS n_total, coalesce(c.n_pos, 0) AS n_pos,
+       coalesce(c.n_total, 0) - coalesce(c.n_pos, 0) AS n_neg,
+       CASE WHEN coalesce(c.n_total, 0) > 0 THEN CAST(c.n_pos AS DOUBLE) / c.n_total END AS rate,
+       s.mean_value
+FROM g CROSS JOIN s LEFT JOIN c ON g.bin = c.bin"""
+
+
+@query("numeric_histogram", sql(HIST_SQL))
+def q_numeric_histogram(spark, sf_dir):
+    """30 equal-width price bins over all cleaned orders."""
+    return numeric_histogram(with_prior(spark, sf_dir), "lead_price", bins=30)
+
+
+@query("month_timeline", sql("""
+SELECT strftime(sale_date, '%Y-%m') AS month, is_new__ AS is_new, count(*) AS orders,
+       CAST(sum(buyout_flag) AS DOUBLE) / count(*) AS buyout_rate
+FROM cohort WHERE sale_date IS NOT NULL GROUP BY 1, 2"""))
+def q_month_timeline(spark, sf_dir):
+    """Orders and buyout rate by month and cohort."""
+    return month_timeline(with_prior(spark, sf_dir), is_new_column())
+
+
+DRIFT_CUTOFF = "1999-01-01"
+DRIFT_FEATURE = "lead_Служба доставки"
+
+
+@query("feature_drift", sql(FEAT_CTE + f"""
+, d AS (SELECT coalesce({_q(DRIFT_FEATURE)}, '__NaN__') AS category, buyout_flag AS y,
+               sale_date < TIMESTAMP '{DRIFT_CUTOFF}' AS pre, sale_date >= TIMESTAMP '{DRIFT_CUTOFF}' AS post
+        FROM feat),
+g AS (SELECT category, count(*) AS total, sum(CASE WHEN pre THEN 1 ELSE 0 END) AS n_pre,
+             sum(CASE WHEN post THEN 1 ELSE 0 END) AS n_post,
+             sum(CASE WHEN pre THEN y END) AS pos_pre, sum(CASE WHEN post THEN y END) AS pos_post
+      FROM d GROUP BY category),
+t AS (SELECT sum(n_pre) AS tp, sum(n_post) AS tq FROM g),
+top AS (SELECT * FROM g ORDER BY total DESC, category LIMIT 8)
+SELECT category, CAST(n_pre AS DOUBLE) / t.tp AS pre_share, CAST(n_post AS DOUBLE) / t.tq AS post_share,
+       CASE WHEN n_pre > 0 THEN CAST(pos_pre AS DOUBLE) / n_pre END AS pre_rate,
+       CASE WHEN n_post > 0 THEN CAST(pos_post AS DOUBLE) / n_post END AS post_rate,
+       CAST(row_number() OVER (ORDER BY total DESC, category) - 1 AS INTEGER) AS position
+FROM top, t"""))
+def q_feature_drift(spark, sf_dir):
+    """Delivery-service mix and rate before/after the cutoff (new contacts)."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    return feature_drift(feats, DRIFT_FEATURE, DRIFT_CUTOFF)
+
+
+DRIFT_SPEC = [
+    {"label": "avg_check", "column": "lead_price", "agg": "mean"},
+    {"label": "cart_size", "column": "cart_n_items", "agg": "mean"},
+    {"label": "share_cdek", "column": "lead_Служба доставки", "agg": "share", "value": "СДЭК"},
+    {"label": "share_post", "column": "lead_Служба доставки", "agg": "share", "value": "Почта"},
+    {"label": "buyout_rate", "column": "buyout_flag", "agg": "rate"},
+    {"label": "rate_cdek", "column": "lead_Служба доставки", "agg": "rate", "value": "СДЭК"},
+]
+
+
+def _drift_summary_sql() -> str:
+    pre = f"sale_date < TIMESTAMP '{DRIFT_CUTOFF}'"
+    post = f"sale_date >= TIMESTAMP '{DRIFT_CUTOFF}'"
+    rows = []
+    for r in DRIFT_SPEC:
+        col = _q(r["column"]) if r["column"] != "buyout_flag" else "f.buyout_flag"
+        vals = []
+        for p in (pre, post):
+            if r["agg"] == "mean":
+                e = f"avg(CASE WHEN {p} THEN CAST({col} AS DOUBLE) END)"
+            elif r["agg"] == "share":
+                e = (f"avg(CASE WHEN {p} AND {col} IS NOT NULL THEN CAST({col} = '{r['value']}' AS INTEGER) END)")
+            elif "value" in r:
+                e = f"avg(CASE WHEN {p} AND coalesce({col} = '{r['value']}', false) THEN f.buyout_flag END)"
+            else:
+                e = f"avg(CASE WHEN {p} THEN {col} END)"
+            vals.append(f"round({e}, 6)")
+        rows.append(f"SELECT '{r['label']}' AS label, {vals[0]} AS pre, {vals[1]} AS post FROM feat f")
+    return "\n" + "\nUNION ALL ".join(rows)
+
+
+@query("drift_summary", sql(FEAT_CTE.replace("SELECT newc.row_id,", "SELECT newc.row_id, newc.lead_price,")
+                            + _drift_summary_sql()))
+def q_drift_summary(spark, sf_dir):
+    """A10: one aggregate pass, unpivoted (label, pre, post)."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    return drift_summary(feats, DRIFT_SPEC, DRIFT_CUTOFF)
+
+
+@query("rate_by_prior_count", sql(f"""
+SELECT CAST(least(coalesce({DC}, 0), 7) AS INTEGER) AS deals,
+       CAST(sum(buyout_flag) AS DOUBLE) / count(*) AS buyout_rate,
+       CAST(sum(buyout_flag) AS BIGINT) AS n_buyout, count(*) AS n_total
+FROM cohort GROUP BY 1"""))
+def q_rate_by_prior_count(spark, sf_dir):
+    """A11, P13."""
+    return rate_by_capped_count(with_prior(spark, sf_dir), capped_prior_count(7))
