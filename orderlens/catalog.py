@@ -752,3 +752,219 @@ FROM cohort GROUP BY 1"""))
 def q_rate_by_prior_count(spark, sf_dir):
     """A11, P13."""
     return rate_by_capped_count(with_prior(spark, sf_dir), capped_prior_count(7))
+
+
+# ---------------------------------------------------------------------------
+# encoding (A4, A5, E1-E5, J3, W5)
+# ---------------------------------------------------------------------------
+
+from orderlens.operators import encode as enc  # noqa: E402
+
+TE_CUTOFF = "1999-01-01"
+TE_COLS = [(c, FC.te_alpha[c]) for c in FC.te_cols]
+
+
+def _te_sql() -> str:
+    parts, cols = [], []
+    for c, a in TE_COLS:
+        parts.append(f""",
+m_{c} AS (SELECT {_q(c)} AS v, sum(buyout_flag) AS s, count(*) AS n FROM tr
+          WHERE {_q(c)} IS NOT NULL GROUP BY 1)""")
+        cols.append(f"coalesce((CAST(m_{c}.s AS DOUBLE) + g.g * {a}) / (m_{c}.n + {a}), g.g) AS {c}_te")
+    joins = " ".join(f"LEFT JOIN m_{c} ON f.{_q(c)} = m_{c}.v" for c, _ in TE_COLS)
+    return (FEAT_CTE + f""",
+tr AS (SELECT * FROM feat WHERE sale_date < TIMESTAMP '{TE_CUTOFF}'),
+g AS (SELECT CASE WHEN count(*) > 0 THEN CAST(sum(buyout_flag) AS DOUBLE) / count(*) ELSE 0.5 END AS g FROM tr)"""
+            + "".join(parts) + f"\nSELECT f.row_id, {', '.join(cols)} FROM feat f CROSS JOIN g {joins}")
+
+
+@query("target_encode", sql(_te_sql()))
+def q_target_encode(spark, sf_dir):
+    """Maps fitted on orders before the cutoff, applied to all
+    new-contact orders (unseen -> global mean)."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    feats = feats.cache()
+    train = feats.where(F.col("sale_date") < F.to_timestamp_ntz(F.lit(TE_CUTOFF)))
+    g = enc.global_mean(train, TARGET)
+    out = feats.select("row_id", *_feature_cols([c for c, _ in TE_COLS]))
+    for c, a in TE_COLS:
+        out = enc.apply_target_map(out, c, enc.target_map(train, c, TARGET, a, g), g, f"{c}_te")
+    return out.select("row_id", *[f"{c}_te" for c, _ in TE_COLS])
+
+
+def _te_oof_sql() -> str:
+    parts, cols = [], []
+    for c, a in TE_COLS:
+        parts.append(f""",
+vf_{c} AS (SELECT {_q(c)} AS v, fold, sum(buyout_flag) AS s, count(*) AS n FROM ff
+           WHERE {_q(c)} IS NOT NULL GROUP BY 1, 2),
+o_{c} AS (SELECT v, fold, sum(s) OVER (PARTITION BY v) - s AS so, sum(n) OVER (PARTITION BY v) - n AS no
+          FROM vf_{c})""")
+        cols.append(f"coalesce(CASE WHEN o_{c}.no > 0 THEN (CAST(o_{c}.so AS DOUBLE) + g.g * {a}) / "
+                    f"(o_{c}.no + {a}) END, g.g) AS {c}_oof")
+    joins = " ".join(f"LEFT JOIN o_{c} ON ff.{_q(c)} = o_{c}.v AND ff.fold = o_{c}.fold"
+                     for c, _ in TE_COLS)
+    return (FEAT_CTE + """,
+ff AS (SELECT *, CAST(row_id % 5 AS INTEGER) AS fold FROM feat),
+g AS (SELECT CAST(sum(buyout_flag) AS DOUBLE) / count(*) AS g FROM ff)""" + "".join(parts)
+            + f"\nSELECT ff.row_id, ff.fold, {', '.join(cols)} FROM ff CROSS JOIN g {joins}")
+
+
+@query("target_encode_oof", sql(_te_oof_sql()))
+def q_target_encode_oof(spark, sf_dir):
+    """E5, W5 (given fold = order key mod 5): other-fold smoothed means."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    ff = feats.withColumn("fold", (F.col("row_id") % 5).cast("int")).cache()
+    g = enc.global_mean(ff, TARGET)
+    out = ff
+    for c, a in TE_COLS:
+        out = enc.oof_target_encode(out, c, TARGET, "fold", a, g, f"{c}_oof")
+    return out.select("row_id", "fold", *[f"{c}_oof" for c, _ in TE_COLS])
+
+
+def _onehot_sql() -> str:
+    items = ", ".join(f"{{'feature': '{c}', 'category': CAST({_q(c)} AS VARCHAR)}}" for c in FC.cat_cols)
+    return FEAT_CTE + f""",
+lg AS (SELECT row_id, unnest([{items}], recursive := true) FROM feat),
+l AS (SELECT * FROM lg WHERE category IS NOT NULL),
+voc AS (SELECT feature, category, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY category) - 1 AS INTEGER)
+        AS slot FROM (SELECT DISTINCT feature, category FROM l))
+SELECT l.row_id, l.feature, l.category, l.feature || '_' || l.category AS onehot_col, voc.slot
+FROM l JOIN voc USING (feature, category)"""
+
+
+@query("one_hot_long", sql(_onehot_sql()))
+def q_one_hot_long(spark, sf_dir):
+    """E1 (long form), E6 slot order: sorted categories, NULL -> no slot."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    return enc.onehot_long(feats, FC.cat_cols)
+
+
+@query("scaled_numeric", sql(f"""
+, x AS (SELECT row_id, coalesce(CAST({DC} AS DOUBLE), 0.0) AS x, coalesce(lead_price, 0.0) AS price FROM cohort),
+st AS (SELECT sum(x) AS s, sum(x * x) AS ss, count(*) AS n FROM x),
+sd AS (SELECT s / n AS mean, CASE WHEN (ss - s * s / n) / n > 0 THEN sqrt((ss - s * s / n) / n) ELSE 1.0 END AS std
+       FROM st)
+SELECT row_id, (x - mean) / std AS prior_scaled, price AS price_passthrough FROM x, sd"""))
+def q_scaled_numeric(spark, sf_dir):
+    """E2 (population std; zero std -> 1) on the prior count, E3 pass-through."""
+    df = with_prior(spark, sf_dir).cache()
+    st = enc.scale_stats(df, DEAL_COUNT_COL)
+    return df.select("row_id", enc.scaled(df, DEAL_COUNT_COL, st).alias("prior_scaled"),
+                     enc.passthrough(df, "lead_price").alias("price_passthrough"))
+
+
+# ---------------------------------------------------------------------------
+# metrics on a fixed score
+# ---------------------------------------------------------------------------
+
+from orderlens.operators import metrics as met  # noqa: E402
+
+SCORE_SQL = ", sc AS (SELECT CAST((row_id * 7919) % 1000 AS DOUBLE) / 1000.0 AS p, buyout_flag AS y FROM cohort)"
+
+
+def scored(spark, sf_dir, mult: int = 7919) -> DataFrame:
+    """The cleaned orders with a fixed score (ties on purpose)."""
+    df = with_prior(spark, sf_dir)
+    return df.select(((F.col("row_id") * mult) % 1000).cast("double").__truediv__(F.lit(1000.0)).alias("p"),
+                     F.col(TARGET).alias("y"), "row_id")
+
+
+def _grid_sql(lo, hi, step) -> str:
+    ts = met.grid(lo, hi, step)
+    delta = ts[1] - ts[0]
+    return (f"SELECT i, CAST({lo!r} AS DOUBLE) + CAST(i AS DOUBLE) * CAST({delta!r} AS DOUBLE) AS t "
+            f"FROM range({len(ts)}) r(i)")
+
+
+def _grid_counts_sql(lo, hi, step) -> str:
+    return f""",
+gr AS ({_grid_sql(lo, hi, step)}),
+gc AS (SELECT gr.i, gr.t,
+              sum(CASE WHEN y = 1 AND p >= t THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN y = 0 AND p >= t THEN 1 ELSE 0 END) AS fp,
+              sum(CASE WHEN y = 1 AND p < t THEN 1 ELSE 0 END) AS fn,
+              sum(CASE WHEN y = 0 AND p < t THEN 1 ELSE 0 END) AS tn
+       FROM gr CROSS JOIN sc GROUP BY gr.i, gr.t),
+gf AS (SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn)
+                      ELSE 0.0 END AS f1 FROM gc)"""
+
+
+@query("best_f1", sql(SCORE_SQL + _grid_counts_sql(**met.F1_GRID) + """
+SELECT coalesce((SELECT f1 FROM gf WHERE f1 > 0 ORDER BY f1 DESC, i LIMIT 1), 0.0) AS best_f1,
+       coalesce((SELECT t FROM gf WHERE f1 > 0 ORDER BY f1 DESC, i LIMIT 1), 0.5) AS best_threshold"""))
+def q_best_f1(spark, sf_dir):
+    """M6: best F1 over the 0.05..0.80 grid in one pass."""
+    return met.best_f1_threshold(scored(spark, sf_dir))
+
+
+@query("threshold_sweep", sql(SCORE_SQL + _grid_counts_sql(**met.SWEEP_GRID) + """
+SELECT t AS threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+       CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall, f1
+FROM gf WHERE tp + fp > 0 AND tp + fp < tp + fp + fn + tn"""))
+def q_threshold_sweep(spark, sf_dir):
+    """M9: precision / recall / F1 at thresholds predicting both classes."""
+    return met.threshold_sweep(scored(spark, sf_dir))
+
+
+RANK_SQL = """,
+cnt AS (SELECT p AS s, sum(y) AS pos, count(*) - sum(y) AS neg FROM sc GROUP BY p),
+cum AS (SELECT s, pos, neg,
+               coalesce(sum(pos) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below,
+               coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+        FROM cnt),
+tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM cnt)"""
+
+
+def _metrics_sql(t: float) -> str:
+    return SCORE_SQL + RANK_SQL + f""",
+rk AS (SELECT CASE WHEN tot.P > 0 AND tot.N > 0 THEN
+                 CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / (CAST(2.0 AS DOUBLE) * tot.P * tot.N) END AS roc_auc,
+              CASE WHEN tot.P > 0 AND tot.N > 0 THEN round(sum(CASE WHEN pos > 0 THEN
+                 (CAST(pos AS DOUBLE) / tot.P) * (CAST(tot.P - pos_below AS DOUBLE) /
+                 ((tot.P - pos_below) + (tot.N - neg_below))) ELSE 0.0 END), 12) END AS pr_auc
+       FROM cum, tot GROUP BY tot.P, tot.N),
+cc AS (SELECT sum(CASE WHEN y = 1 AND p >= {t!r} THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN y = 0 AND p >= {t!r} THEN 1 ELSE 0 END) AS fp,
+              sum(CASE WHEN y = 1 AND p < {t!r} THEN 1 ELSE 0 END) AS fn,
+              sum(CASE WHEN y = 0 AND p < {t!r} THEN 1 ELSE 0 END) AS tn FROM sc),
+m AS (SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn,
+             CAST(tp + fp + fn + tn AS BIGINT) AS n, CAST(tot.P AS DOUBLE) AS pp, CAST(tot.N AS DOUBLE) AS qq
+      FROM cc, tot)
+SELECT CAST({t!r} AS DOUBLE) AS threshold,
+       CAST(tp + tn AS DOUBLE) / n AS accuracy,
+       CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision,
+       CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall,
+       CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) ELSE 0.0 END AS f1,
+       CASE WHEN pp > 0 AND qq > 0 THEN (tp / pp + tn / qq) / 2.0 WHEN pp > 0 THEN tp / pp ELSE tn / qq END
+         AS balanced_accuracy,
+       CASE WHEN pp > 0 AND qq > 0 THEN
+         CASE WHEN (CAST(n AS DOUBLE) * n - (qq * qq + pp * pp)) * (CAST(n AS DOUBLE) * n -
+                   (CAST(tn + fn AS DOUBLE) * (tn + fn) + CAST(tp + fp AS DOUBLE) * (tp + fp))) = 0 THEN 0.0
+         ELSE (CAST(tp + tn AS DOUBLE) * n - (qq * (tn + fn) + pp * (tp + fp))) /
+              sqrt((CAST(n AS DOUBLE) * n - (qq * qq + pp * pp)) * (CAST(n AS DOUBLE) * n -
+                   (CAST(tn + fn AS DOUBLE) * (tn + fn) + CAST(tp + fp AS DOUBLE) * (tp + fp)))) END END AS mcc,
+       rk.roc_auc, rk.pr_auc, tn, fp, fn, tp, n, pp / n AS positive_rate
+FROM m, rk"""
+
+
+@query("metrics", sql(_metrics_sql(0.5)))
+def q_metrics(spark, sf_dir):
+    """M7 at threshold 0.5 (AUC with half-credit ties, step-sum AP, MCC)."""
+    return met.classification_metrics(scored(spark, sf_dir), 0.5)
+
+
+@query("roc_points", sql(SCORE_SQL + RANK_SQL + """
+SELECT s AS threshold, CAST(tot.N - neg_below AS DOUBLE) / tot.N AS fpr,
+       CAST(tot.P - pos_below AS DOUBLE) / tot.P AS tpr FROM cum, tot"""))
+def q_roc_points(spark, sf_dir):
+    """Every distinct score is a point."""
+    return met.roc_points(scored(spark, sf_dir))
+
+
+@query("confusion_norm", sql(SCORE_SQL + """,
+c AS (SELECT CAST(y AS INTEGER) AS y_true, CAST(p >= 0.5 AS INTEGER) AS y_pred, count(*) AS n FROM sc GROUP BY 1, 2)
+SELECT y_true, y_pred, n, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY y_true) AS share FROM c"""))
+def q_confusion_norm(spark, sf_dir):
+    """M10."""
+    return met.confusion_normalized(scored(spark, sf_dir), 0.5)
