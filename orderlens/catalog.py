@@ -916,8 +916,8 @@ cum AS (SELECT s, pos, neg,
 tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM cnt)"""
 
 
-def _metrics_sql(t: float) -> str:
-    return SCORE_SQL + RANK_SQL + f""",
+def _metrics_sql(t: float, score_sql: str = SCORE_SQL) -> str:
+    return score_sql + RANK_SQL + f""",
 rk AS (SELECT CASE WHEN tot.P > 0 AND tot.N > 0 THEN
                  CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / (CAST(2.0 AS DOUBLE) * tot.P * tot.N) END AS roc_auc,
               CASE WHEN tot.P > 0 AND tot.N > 0 THEN round(sum(CASE WHEN pos > 0 THEN
@@ -968,3 +968,175 @@ SELECT y_true, y_pred, n, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY y_true)
 def q_confusion_norm(spark, sf_dir):
     """M10."""
     return met.confusion_normalized(scored(spark, sf_dir), 0.5)
+
+
+# ---------------------------------------------------------------------------
+# time splits (M11, M12 counts, P11, O5)
+# ---------------------------------------------------------------------------
+
+from orderlens.plans import backtest as bt  # noqa: E402
+
+TRAIN_THROUGH, TEST_MONTH = "2000-12", "2001-01"
+
+
+@query("month_split_counts", sql(f"""
+, nd AS (SELECT strftime(sale_date, '%Y-%m') AS m, buyout_flag AS y FROM cohort
+         WHERE is_new__ AND sale_date IS NOT NULL)
+SELECT '{TRAIN_THROUGH}' AS train_through, '{TEST_MONTH}' AS test_month,
+       count(*) FILTER (WHERE m <= '{TRAIN_THROUGH}') AS n_train,
+       count(*) FILTER (WHERE m = '{TEST_MONTH}') AS n_test,
+       CAST(sum(y) FILTER (WHERE m <= '{TRAIN_THROUGH}') AS DOUBLE) / count(*) FILTER (WHERE m <= '{TRAIN_THROUGH}')
+         AS train_buyout,
+       CAST(sum(y) FILTER (WHERE m = '{TEST_MONTH}') AS DOUBLE) / count(*) FILTER (WHERE m = '{TEST_MONTH}')
+         AS test_buyout
+FROM nd"""))
+def q_month_split_counts(spark, sf_dir):
+    """train = months <= X, test = month Y (new contacts with a date)."""
+    new = drop_missing_dates(with_prior(spark, sf_dir).filter(is_new_column()))
+    return bt.split_counts(new, TRAIN_THROUGH, TEST_MONTH)
+
+
+@query("backtest_counts", sql("""
+, nd AS (SELECT strftime(sale_date, '%Y-%m') AS m, buyout_flag AS y FROM cohort
+         WHERE is_new__ AND sale_date IS NOT NULL),
+pm AS (SELECT m, count(*) AS n, sum(y) AS pos FROM nd GROUP BY m),
+cm AS (SELECT m, n, pos,
+              coalesce(sum(n) OVER (ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_train,
+              coalesce(sum(pos) OVER (ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_train,
+              row_number() OVER (ORDER BY m) AS k
+       FROM pm)
+SELECT m AS test_month, CAST(n_train AS BIGINT) AS n_train, n AS n_test,
+       CAST(pos_train AS DOUBLE) / n_train AS train_buyout, CAST(pos AS DOUBLE) / n AS test_buyout
+FROM cm WHERE k > 1 AND pos_train > 0 AND pos_train < n_train AND pos > 0 AND pos < n"""))
+def q_backtest_counts(spark, sf_dir):
+    """M12 (counts and rates of every expanding-month split, one pass)."""
+    new = drop_missing_dates(with_prior(spark, sf_dir).filter(is_new_column()))
+    return bt.expanding_month_counts(new)
+
+
+# ---------------------------------------------------------------------------
+# importance, comparison, routed decision
+# ---------------------------------------------------------------------------
+
+from orderlens.plans import explain as xp  # noqa: E402
+
+
+@query("linear_importance", sql(FEAT_CTE + """
+, lg AS (SELECT row_id, buyout_flag AS y, unnest([""" +
+    ", ".join(f"{{'feature': '{c}', 'category': CAST({_q(c)} AS VARCHAR)}}" for c in FC.cat_cols) +
+    """], recursive := true) FROM feat),
+tot AS (SELECT count(*) AS nn, sum(buyout_flag) AS pp FROM feat),
+w AS (SELECT feature, category, sum(y) AS pos, count(*) AS n FROM lg WHERE category IS NOT NULL GROUP BY 1, 2),
+imp AS (SELECT feature, sum(abs(pos * tot.nn - n * tot.pp)) AS s, any_value(tot.nn) AS nn FROM w, tot GROUP BY feature)
+SELECT feature, CAST(s AS DOUBLE) / (CAST(nn AS DOUBLE) * nn) AS importance,
+       CAST(row_number() OVER (ORDER BY CAST(s AS DOUBLE) / (CAST(nn AS DOUBLE) * nn) DESC, feature) AS INTEGER) AS rank
+FROM imp ORDER BY importance DESC, feature LIMIT 25"""))
+def q_linear_importance(spark, sf_dir):
+    """Grouped |weight| per source feature, top 25; weights are the
+    one-hot columns' univariate effects (pos_c*N - n_c*P) / N^2."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    return xp.univariate_importance(feats, FC.cat_cols, TARGET, top_n=25)
+
+
+SCORE_B_SQL = SCORE_SQL.replace("7919", "104729")
+MC_METRICS = ["threshold", "n", "positive_rate", "accuracy", "balanced_accuracy", "precision", "recall",
+              "f1", "mcc", "roc_auc", "pr_auc"]
+
+
+def _comparison_sql() -> str:
+    a = _metrics_sql(0.5)[1:].lstrip(" ,\n")
+    b = _metrics_sql(0.5, SCORE_B_SQL)[1:].lstrip(" ,\n")
+    unions = []
+    for m in MC_METRICS:
+        unions.append(f"SELECT '{m}' AS metric, CAST(ma.{m} AS DOUBLE) AS model_a, CAST(mb.{m} AS DOUBLE) AS model_b "
+                      f"FROM ma, mb WHERE ma.{m} IS NOT NULL OR mb.{m} IS NOT NULL")
+    return f""",
+ma AS (WITH {a}),
+mb AS (WITH {b})
+""" + "\nUNION ALL ".join(unions)
+
+
+@query("model_comparison", sql(_comparison_sql()))
+def q_model_comparison(spark, sf_dir):
+    """Metric x model table for two scorers (metrics NULL for all dropped)."""
+    a = met.classification_metrics(scored(spark, sf_dir, 7919), 0.5)
+    b = met.classification_metrics(scored(spark, sf_dir, 104729), 0.5)
+    return xp.compare_models({"model_a": a, "model_b": b}, MC_METRICS)
+
+
+ROUTE_COEF = {"intercept_ret": 0.8, "slope_ret": 1.5, "intercept_new": -0.4,
+              "has_future_purchase": 0.7, "is_paid_traffic": 0.35, "city_te": 1.2}
+ROUTE_T = 0.5
+
+
+@query("routed_decision", sql(FEAT_CTE.replace("FROM cohort WHERE is_new__ GROUP BY 1\n)",
+                                               "FROM cohort WHERE is_new__ GROUP BY 1\n)")
+                              + f"""
+, x AS (SELECT coalesce(CAST({DC} AS DOUBLE), 0.0) AS x FROM cohort),
+st AS (SELECT sum(x) AS s, sum(x * x) AS ss, count(*) AS n FROM x),
+sd AS (SELECT s / n AS mean, CASE WHEN (ss - s * s / n) / n > 0 THEN sqrt((ss - s * s / n) / n) ELSE 1.0 END AS std
+       FROM st),
+gm AS (SELECT CAST(sum(buyout_flag) AS DOUBLE) / count(*) AS g FROM feat),
+cm AS (SELECT city_clean AS v, sum(buyout_flag) AS s, count(*) AS n FROM feat GROUP BY 1),
+zn AS (SELECT f.row_id, 'new' AS route,
+              {ROUTE_COEF['intercept_new']!r} + {ROUTE_COEF['has_future_purchase']!r} * f.has_future_purchase
+              + {ROUTE_COEF['is_paid_traffic']!r} * f.is_paid_traffic
+              + {ROUTE_COEF['city_te']!r} * coalesce((CAST(cm.s AS DOUBLE) + gm.g * 10) / (cm.n + 10), gm.g) AS z
+       FROM feat f CROSS JOIN gm LEFT JOIN cm ON f.city_clean = cm.v),
+zr AS (SELECT c.row_id, 'returning' AS route,
+              {ROUTE_COEF['intercept_ret']!r} + {ROUTE_COEF['slope_ret']!r} *
+              ((coalesce(CAST(c.{DC} AS DOUBLE), 0.0) - sd.mean) / sd.std) AS z
+       FROM cohort c, sd WHERE NOT c.is_new__),
+z AS (SELECT * FROM zn UNION ALL SELECT * FROM zr)
+SELECT row_id, route, round(1.0 / (1.0 + exp(-z)), 12) AS proba,
+       CAST(1.0 / (1.0 + exp(-z)) >= {ROUTE_T!r} AS INTEGER) AS decision
+FROM z""".replace("1.0 / (1.0 + exp(-z))", "CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-z))")))
+def q_routed_decision(spark, sf_dir):
+    """M4, M5: route by prior count; returning -> scaled-count logistic,
+    new -> logistic over built features (fixed coefficients); one
+    probability per order, decision at the stored threshold."""
+    from orderlens.plans.models import FixedLogistic, route_and_score
+    df = with_prior(spark, sf_dir)
+    new = df.filter(is_new_column())
+    ctx = build_contexts(new, city_table(spark, sf_dir), cache=False)
+    st = enc.scale_stats(df, DEAL_COUNT_COL)
+    ret_model = FixedLogistic({"__x": ROUTE_COEF["slope_ret"]}, ROUTE_COEF["intercept_ret"],
+                              prep=lambda d: d.withColumn("__x", enc.scaled(d, DEAL_COUNT_COL, st)))
+    feats_new, _ = build_features(new, load_feature_config(), ctx)
+    g = enc.global_mean(feats_new, TARGET)
+    tmap = enc.target_map(feats_new, "city_clean", TARGET, 10, g)
+    new_model = FixedLogistic({"has_future_purchase": ROUTE_COEF["has_future_purchase"],
+                               "is_paid_traffic": ROUTE_COEF["is_paid_traffic"],
+                               "__city_te": ROUTE_COEF["city_te"]}, ROUTE_COEF["intercept_new"],
+                              prep=lambda d: enc.apply_target_map(d, "city_clean", tmap, g, "__city_te"))
+    return route_and_score(df, load_feature_config(), ctx, new_model, ret_model, ROUTE_T)
+
+
+# ---------------------------------------------------------------------------
+# user op (X1)
+# ---------------------------------------------------------------------------
+
+from orderlens.functions.ops import Val as _Val, register_op, resolve_input  # noqa: E402
+from pyspark.sql import types as _T  # noqa: E402
+
+
+@register_op("ratio")
+def _op_ratio(current, spec, env):
+    """User op: input / other column (NULL when the divisor is 0 or NULL)."""
+    num = resolve_input(current, spec, env)
+    den = env.source(spec["by"])
+    return _Val(F.try_divide(num.col.cast("double"), den.col.cast("double")), _T.DoubleType())
+
+
+@query("custom_op", sql(f"""
+SELECT row_id, CASE WHEN {CART_N_SQL} = 0 THEN NULL ELSE lead_price / {CART_N_SQL} END AS price_per_item
+FROM cohort"""))
+def q_custom_op(spark, sf_dir):
+    """A registered op used from a spec, reading an earlier feature."""
+    f = _ops_frame(spark, sf_dir, {
+        "cart_n_items": SPEC["cart_n_items"],
+        "price_per_item": {"type": "numeric", "op": {"name": "ratio", "source": "lead_price",
+                                                     "by": "cart_n_items",
+                                                     "sources": ["cart_n_items"]}},
+    })
+    return f.select("row_id", "price_per_item")
