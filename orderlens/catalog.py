@@ -6,7 +6,7 @@ in full; names match SURVEY §7.3.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import os
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from orderlens.operators.contexts import build_contexts
 from orderlens.operators.profile import category_profile
 from orderlens.plans.features import build_features
 from orderlens.plans.spec import load_feature_config
-from orderlens.schema import DEAL_COUNT_COL, DEFAULT_CATEGORY_ORDERS, TARGET
+from orderlens.schema import DEAL_COUNT_COL, DEFAULT_CATEGORY_ORDERS, ROW_ID, TARGET
 from orderlens.sources.leads import LEADS_SQL, city_table, leads_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1140,3 +1140,124 @@ def q_custom_op(spark, sf_dir):
                                                      "sources": ["cart_n_items"]}},
     })
     return f.select("row_id", "price_per_item")
+
+
+# ---------------------------------------------------------------------------
+# model fits (rows-only checks): M1-M3, M12, M15, X2, X3; S3-S6 roundtrip;
+# streaming scoring
+# ---------------------------------------------------------------------------
+
+from orderlens.plans import models as mdl  # noqa: E402
+from orderlens.session import shared_dir, staging_path  # noqa: E402
+
+
+def _new_feats_dated(spark, sf_dir):
+    feats, _ = new_cohort_features(spark, sf_dir)
+    return drop_missing_dates(feats)
+
+
+@query("lr_scores")
+def q_lr_scores(spark, sf_dir):
+    """M1 (both cohorts, tested on returning) and M2 (new contacts, OOF target
+    encoding at fit) trained through TRAIN_THROUGH, scored on TEST_MONTH."""
+    df = drop_missing_dates(with_prior(spark, sf_dir)).cache()
+    tr, te = bt.split_by_month(df, TRAIN_THROUGH, TEST_MONTH)
+    m1 = mdl.PriorCountModel.fit(tr)
+    p1 = m1.predict_proba(te.filter(~is_new_column())).withColumn("model", F.lit("prior_count"))
+    feats = _new_feats_dated(spark, sf_dir).cache()
+    ftr, fte = bt.split_by_month(feats, TRAIN_THROUGH, TEST_MONTH)
+    m2 = mdl.FullFeatureModel.fit(ftr, FC)
+    p2 = m2.predict_proba(fte).withColumn("model", F.lit("full_features"))
+    return p1.unionByName(p2)
+
+
+@query("backtest")
+def q_backtest(spark, sf_dir):
+    """Expanding-window backtest of the full-feature model, by
+    calendar year (every year after the first; all earlier rows train)."""
+    feats = _new_feats_dated(spark, sf_dir).cache()
+
+    def train_fn(train, test):
+        return mdl.FullFeatureModel.fit(train, FC).predict_proba(test)
+    return bt.cumulative_months_loop(feats, train_fn, period="year", parallelism=3)
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf_dir):
+    """M3 on tree-prepped new-contact features (500 trees, depth 4, lr 0.03)."""
+    feats = tree_prep(_new_feats_dated(spark, sf_dir), TREE_CAT, TREE_NUM).cache()
+    tr, te = bt.split_by_month(feats, TRAIN_THROUGH, TEST_MONTH)
+    safe = {c: f"c{i}" for i, c in enumerate(TREE_CAT + TREE_NUM)}
+    ren = lambda d: d.select(ROW_ID, TARGET, *[F.col(f"`{c}`").alias(a) for c, a in safe.items()])
+    m = mdl.BoostedTreeModel.fit(ren(tr), [safe[c] for c in TREE_CAT], [safe[c] for c in TREE_NUM])
+    return m.predict_proba(ren(te))
+
+
+@query("calibration_points")
+def q_calibration_points(spark, sf_dir):
+    """M1's probability on 300 points over 0..7 prior orders, next to the
+    actual rate per capped count in the test month (A11)."""
+    df = drop_missing_dates(with_prior(spark, sf_dir)).cache()
+    tr, te = bt.split_by_month(df, TRAIN_THROUGH, TEST_MONTH)
+    model = mdl.PriorCountModel.fit(tr)
+    curve = mdl.calibration_points(model, spark).select(
+        F.lit("model").alias("kind"), "prior_orders", F.col("proba").alias("rate"),
+        F.lit(None).cast("long").alias("n_total"))
+    actual = rate_by_capped_count(te, capped_prior_count(7)).select(
+        F.lit("actual").alias("kind"), F.col("deals").cast("double").alias("prior_orders"),
+        F.col("buyout_rate").alias("rate"), "n_total")
+    return curve.unionByName(actual)
+
+
+@query("roundtrip", ORACLE["clean_union"])
+def q_roundtrip(spark, sf_dir):
+    """Write the clean set partitioned by month (S4), contexts
+    and metadata (S6) to the shared folder, read them back (S3)."""
+    df = with_prior(spark, sf_dir)
+    new = df.filter(is_new_column())
+    ctx = build_contexts(new, city_table(spark, sf_dir), cache=False)
+    feats, fc = build_features(new, load_feature_config(), ctx)
+    clean = union_cohorts(feats, df.filter(~is_new_column()), fc.all_feature_cols,
+                          extra=["contact_id", "row_id"])
+    base = staging_path(spark, "roundtrip")
+    (clean.withColumn("sale_month", F.date_format("sale_date", "yyyy-MM"))
+          .write.mode("overwrite").partitionBy("sale_month").parquet(os.path.join(base, "clean")))
+    mdl.save_contexts(ctx, os.path.join(base, "contexts"))
+    mdl.save_metadata(spark, os.path.join(base, "meta"), 0.5, TRAIN_THROUGH, TEST_MONTH, "default")
+    back_ctx = mdl.load_contexts(spark, os.path.join(base, "contexts"))
+    assert set(back_ctx) == set(ctx)
+    assert mdl.load_threshold(spark, os.path.join(base, "meta")) == 0.5
+    back = spark.read.parquet(os.path.join(base, "clean")).drop("sale_month")
+    return back.select(*[F.col(f"`{c}`") for c in clean.columns])
+
+
+@query("stream_scores", ORACLE["routed_decision"])
+def q_stream_scores(spark, sf_dir):
+    """M4, M5 as a streaming job: prior-corrected orders land as parquet
+    files; ``foreachBatch`` scores each micro-batch with the saved contexts
+    and the same fixed-coefficient router as ``routed_decision``."""
+    import time as _t
+    from orderlens.plans.models import FixedLogistic
+    from orderlens.streaming.scoring import score_stream
+    df = with_prior(spark, sf_dir)
+    base = staging_path(spark, "stream")
+    src = os.path.join(base, "in")
+    df.repartition(4).write.mode("overwrite").parquet(src)
+    data = spark.read.parquet(src)
+    new = data.filter(is_new_column())
+    ctx = build_contexts(new, city_table(spark, sf_dir))
+    st = enc.scale_stats(data, DEAL_COUNT_COL)
+    ret_model = FixedLogistic({"__x": ROUTE_COEF["slope_ret"]}, ROUTE_COEF["intercept_ret"],
+                              prep=lambda d: d.withColumn("__x", enc.scaled(d, DEAL_COUNT_COL, st)))
+    feats_new, _ = build_features(new, load_feature_config(), ctx)
+    g = enc.global_mean(feats_new, TARGET)
+    tmap = enc.target_map(feats_new, "city_clean", TARGET, 10, g).cache()
+    new_model = FixedLogistic({"has_future_purchase": ROUTE_COEF["has_future_purchase"],
+                               "is_paid_traffic": ROUTE_COEF["is_paid_traffic"],
+                               "__city_te": ROUTE_COEF["city_te"]}, ROUTE_COEF["intercept_new"],
+                              prep=lambda d: enc.apply_target_map(d, "city_clean", tmap, g, "__city_te"))
+    out = os.path.join(base, "out")
+    score_stream(spark, src, data.schema, out, os.path.join(base, "ckpt"), load_feature_config(), ctx,
+                 new_model, ret_model, ROUTE_T, max_files_per_trigger=2)
+    _t.sleep(0)
+    return spark.read.parquet(out).drop("batch_id")

@@ -21,8 +21,11 @@ from orderlens.schema import DATE_COL, ROW_ID, TARGET
 TrainFn = Callable[[DataFrame, DataFrame], DataFrame]  # -> (row_id, proba) for test rows
 
 
-def month_col(date_col: str = DATE_COL):
-    return F.date_format(F.col(date_col), "yyyy-MM")
+PERIOD_FORMATS = {"month": "yyyy-MM", "year": "yyyy"}
+
+
+def month_col(date_col: str = DATE_COL, period: str = "month"):
+    return F.date_format(F.col(date_col), PERIOD_FORMATS[period])
 
 
 def split_by_month(df: DataFrame, train_through: str, test_month: str,
@@ -46,11 +49,11 @@ def split_counts(df: DataFrame, train_through: str, test_month: str, target: str
 
 
 def expanding_month_counts(df: DataFrame, target: str = TARGET, date_col: str = DATE_COL,
-                           keep_skipped: bool = False) -> DataFrame:
+                           keep_skipped: bool = False, period: str = "month") -> DataFrame:
     """Every observed month but the first: train = all earlier months.
     Splits with one class in train or test are dropped (``keep_skipped``
     keeps them with a ``skipped`` flag)."""
-    pm = (df.where(F.col(date_col).isNotNull()).groupBy(month_col(date_col).alias("test_month"))
+    pm = (df.where(F.col(date_col).isNotNull()).groupBy(month_col(date_col, period).alias("test_month"))
             .agg(F.count(F.lit(1)).alias("n_test"), F.sum(target).cast("long").alias("pos")))
     # one row per month: the unpartitioned window is bounded by the time span
     w = Window.orderBy("test_month").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,14 +73,15 @@ def expanding_month_counts(df: DataFrame, target: str = TARGET, date_col: str =
 
 def cumulative_months_loop(df: DataFrame, train_fn: TrainFn, target: str = TARGET,
                            date_col: str = DATE_COL, months: list[str] | None = None,
-                           parallelism: int = 2) -> DataFrame:
+                           parallelism: int = 2, period: str = "month") -> DataFrame:
     """For each eligible month, fit on all earlier months, score the
     month, and report AUC and best F1 next to the split counts.
 
-    ``months`` limits which test months are evaluated (default: all).
+    ``months`` limits which test months are evaluated (default: all);
+    ``period='year'`` runs the same protocol on calendar years.
     """
-    base = df.where(F.col(date_col).isNotNull()).withColumn("__m", month_col(date_col)).cache()
-    splits = expanding_month_counts(base, target, date_col).collect()  # one row per month
+    base = df.where(F.col(date_col).isNotNull()).withColumn("__m", month_col(date_col, period)).cache()
+    splits = expanding_month_counts(base, target, date_col, period=period).collect()  # one row per period
     if months is not None:
         splits = [r for r in splits if r["test_month"] in set(months)]
 
