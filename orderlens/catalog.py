@@ -42,17 +42,38 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_raw(leads_view(spark, sf_dir))
 
 
+_PREPARED: dict = {}
+
+
+def _prepared(spark: SparkSession, key: str, build):
+    """Materialise a stage once per session: a reliable checkpoint in the
+    shared folder (cuts lineage; survives executor loss), reused by every
+    query that reads it -- the clean set the original project writes once
+    and every later step reads."""
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _PREPARED:
+        from orderlens.session import cut_lineage
+        _PREPARED[k] = cut_lineage(build())
+    return _PREPARED[k]
+
+
 def with_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cleaned + W1."""
-    return prior_order_count(cleaned(spark, sf_dir))
+    """cleaned + W1 (materialised once per session)."""
+    return _prepared(spark, f"prior:{sf_dir}", lambda: prior_order_count(cleaned(spark, sf_dir)))
 
 
 def new_cohort_features(spark: SparkSession, sf_dir: str, config: dict | None = None):
     """New-cohort rows with the default spec built (contexts from the same rows)."""
-    df = with_prior(spark, sf_dir)
-    new = df.filter(is_new_column())
-    ctx = build_contexts(new, city_table(spark, sf_dir), cache=False)
-    return build_features(new, config or load_feature_config(), ctx)
+    def build():
+        new = with_prior(spark, sf_dir).filter(is_new_column())
+        ctx = build_contexts(new, city_table(spark, sf_dir))
+        return build_features(new, config or load_feature_config(), ctx)[0]
+    if config is not None:
+        new = with_prior(spark, sf_dir).filter(is_new_column())
+        return build_features(new, config, build_contexts(new, city_table(spark, sf_dir)))
+    feats = _prepared(spark, f"features:{sf_dir}", build)
+    from orderlens.plans.features import derive_feature_columns as _dfc
+    return feats, _dfc(load_feature_config(), feats.columns)
 
 
 # ---------------------------------------------------------------------------
@@ -300,7 +321,7 @@ def _ops_frame(spark, sf_dir, entries: dict, new_only: bool = False):
         df = df.filter(is_new_column())
     ctx = {}
     if any(e.get("op", {}).get("name") in ("map", "substring_lookup") for e in entries.values()):
-        ctx = build_contexts(df, city_table(spark, sf_dir), cache=False)
+        ctx = build_contexts(df, city_table(spark, sf_dir))
     return build_features(df, {"features": entries}, ctx)[0]
 
 
@@ -560,7 +581,7 @@ def q_clean_union(spark, sf_dir):
     """New contacts with features + returning ones with NULL features."""
     df = with_prior(spark, sf_dir)
     new = df.filter(is_new_column())
-    ctx = build_contexts(new, city_table(spark, sf_dir), cache=False)
+    ctx = build_contexts(new, city_table(spark, sf_dir))
     feats, fc = build_features(new, load_feature_config(), ctx)
     return union_cohorts(feats, df.filter(~is_new_column()), fc.all_feature_cols,
                          extra=["contact_id", "row_id"])
@@ -1098,7 +1119,7 @@ def q_routed_decision(spark, sf_dir):
     from orderlens.plans.models import FixedLogistic, route_and_score
     df = with_prior(spark, sf_dir)
     new = df.filter(is_new_column())
-    ctx = build_contexts(new, city_table(spark, sf_dir), cache=False)
+    ctx = build_contexts(new, city_table(spark, sf_dir))
     st = enc.scale_stats(df, DEAL_COUNT_COL)
     ret_model = FixedLogistic({"__x": ROUTE_COEF["slope_ret"]}, ROUTE_COEF["intercept_ret"],
                               prep=lambda d: d.withColumn("__x", enc.scaled(d, DEAL_COUNT_COL, st)))
@@ -1215,7 +1236,7 @@ def q_roundtrip(spark, sf_dir):
     and metadata (S6) to the shared folder, read them back (S3)."""
     df = with_prior(spark, sf_dir)
     new = df.filter(is_new_column())
-    ctx = build_contexts(new, city_table(spark, sf_dir), cache=False)
+    ctx = build_contexts(new, city_table(spark, sf_dir))
     feats, fc = build_features(new, load_feature_config(), ctx)
     clean = union_cohorts(feats, df.filter(~is_new_column()), fc.all_feature_cols,
                           extra=["contact_id", "row_id"])

@@ -204,8 +204,17 @@ class BoostedTreeModel:
         stages.append(VectorAssembler(inputCols=idx + num_cols, outputCol="features"))
         stages.append(GBTClassifier(featuresCol="features", labelCol=TARGET, weightCol="__w",
                                     maxIter=max_iter, maxDepth=depth, stepSize=step,
-                                    minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed))
+                                    minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed,
+                                    cacheNodeIds=True, checkpointInterval=10))
+        from orderlens.session import shared_dir
+        shared_dir(train.sparkSession)  # node-id checkpoints go to the shared folder
         d = train.withColumn("__w", class_weights(train))
+        # each boosting round is a handful of jobs over the whole input: size the
+        # partitions to the data (~1M rows each) so small inputs do not pay for
+        # idle tasks and large ones keep full parallelism
+        n = d.count()
+        parts = max(1, min(d.sparkSession.sparkContext.defaultParallelism * 4, n // 1_000_000 + 1))
+        d = d.repartition(parts).cache()
         return BoostedTreeModel(Pipeline(stages=stages).fit(d), cat_cols, num_cols)
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
