@@ -77,6 +77,9 @@ def apply_lookup(df: DataFrame, lj: LookupJoin) -> DataFrame:
         best = substring_match(df, k, lj.table, lj.table_key, lj.params["order"],
                                lj.params.get("normalize"), lj.params.get("max_rows"))
         best = best.select(F.col(k).alias("__ss_h"), F.col("match").alias(out_col))
+        # one row per distinct text: broadcast when the count is proven small,
+        # else a shuffle join (AQE splits a hot text's partition)
+        best = size_checked(best.cache())
         return df.join(best, F.col(k) == F.col("__ss_h"), "left").drop(k, "__ss_h")
     raise ValueError(f"unknown lookup kind {lj.kind!r}")
 
