@@ -1314,3 +1314,51 @@ def q_stream_scores(spark, sf_dir):
                  new_model, ret_model, ROUTE_T, max_files_per_trigger=2)
     _t.sleep(0)
     return spark.read.parquet(out).drop("batch_id")
+
+
+# ---------------------------------------------------------------------------
+# second per-key history and second binary target (events, documents + labels)
+# ---------------------------------------------------------------------------
+
+@query("prior_count_events", """
+WITH ev AS (SELECT event_id, user_id, ts,
+                   CAST(count(*) OVER (PARTITION BY user_id) + (user_id % 3 - 1) AS DOUBLE) AS snap
+            FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id) - 1 AS rnk,
+             count(*) OVER (PARTITION BY user_id) AS total,
+             last_value(snap IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS lastc
+      FROM ev)
+SELECT event_id, user_id,
+       CASE WHEN user_id IS NULL THEN snap WHEN lastc < total THEN CAST(rnk AS DOUBLE)
+            ELSE lastc - total + 1 + rnk END AS prior_events
+FROM r""")
+def q_prior_count_events(spark, sf_dir):
+    """W1 on a second history: each user's events, ordered by timestamp, with
+    a snapshot count (events per user + user_id%3 - 1)."""
+    from orderlens.sources.leads import table
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    snap = ev.groupBy(F.col("user_id").alias("__u")).agg(F.count(F.lit(1)).alias("__n"))
+    ev = (ev.join(snap, ev.user_id == snap.__u, "left")
+            .select("event_id", "user_id", "ts",
+                    (F.col("__n") + (F.col("user_id") % 3 - 1)).cast("double").alias("snap")))
+    out = prior_order_count(ev, contact_col="user_id", created_col="ts", id_col="event_id",
+                            count_col="snap")
+    return out.select("event_id", "user_id", F.col("snap").alias("prior_events"))
+
+
+DOC_SCORE_SQL = (", sc AS (SELECT CAST(least(d.n_chars, 5000) AS DOUBLE) / 5000.0 AS p, l.quality AS y "
+                 "FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
+
+
+@query("doc_quality_metrics", sql(_metrics_sql(0.5, DOC_SCORE_SQL)))
+def q_doc_quality_metrics(spark, sf_dir):
+    """M7 on a second binary target: document length as a score of the
+    labelled quality flag (documents joined to labels; only two columns read)."""
+    from orderlens.sources.leads import table
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    s = d.join(lab, "doc_id").select(
+        (F.least(F.col("n_chars"), F.lit(5000)).cast("double") / F.lit(5000.0)).alias("p"),
+        F.col("quality").alias("y"))
+    return met.classification_metrics(s, 0.5)

@@ -78,14 +78,16 @@ def clean_raw(df: DataFrame, date_format: str | None = None) -> DataFrame:
     return df.drop(*[c for c in LEAKAGE_COLUMNS if c in df.columns])
 
 
-def prior_order_count(df: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
+def prior_order_count(df: DataFrame, bucket_seconds: int = 86400, contact_col: str = CONTACT_COL,
+                      created_col: str = "lead_created_at", id_col: str = ROW_ID,
+                      count_col: str = DEAL_COUNT_COL) -> DataFrame:
     """Rebuild each contact's prior-order count as of every order.
 
     Per contact, rows are ordered by (created, NULLs last; row id); ``rank`` is
     the 0-based position, ``total`` the contact's row count and ``last`` the
     last non-NULL snapshot in that order.  Result: ``rank`` if
     ``last < total`` else ``last - total + 1 + rank``.  NULL-contact rows keep
-    their value.
+    their value.  ``created_col`` may be epoch seconds or a timestamp.
 
     Hot-contact safe: the position is split as (rows of the contact in earlier
     time buckets) + (position inside its bucket).  ``total``/``last`` and the
@@ -93,38 +95,45 @@ def prior_order_count(df: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
     over one (contact, bucket) or over one contact's bucket counts (bounded by
     the time span), never over a whole contact.
     """
-    if CONTACT_COL not in df.columns:
+    if contact_col not in df.columns:
         return df
     cols = df.columns
-    created = F.col("lead_created_at")
-    rid = F.col(ROW_ID)
-    snap = F.col(f"`{DEAL_COUNT_COL}`")
-    known = df.filter(F.col(CONTACT_COL).isNotNull())
-    unknown = df.filter(F.col(CONTACT_COL).isNull())
-
+    created = F.col(f"`{created_col}`")
+    rid = F.col(f"`{id_col}`")
+    snap = F.col(f"`{count_col}`")
+    contact = F.col(f"`{contact_col}`")
+    known = df.filter(contact.isNotNull())
+    unknown = df.filter(contact.isNull())
+
+    ctype = df.schema[created_col].dataType
+    if isinstance(ctype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        bucket = F.floor(F.unix_date(F.to_date(created)) / max(1, bucket_seconds // 86400))
+    else:
+        bucket = F.floor(created / bucket_seconds)
     sentinel = F.lit(1 << 62)  # NULL created sorts last
-    known = known.withColumn("__b", F.coalesce(F.floor(created / bucket_seconds), sentinel))
+    known = known.withColumn("__b", F.coalesce(bucket.cast("long"), sentinel))
     order_key = F.struct(created.isNull(), created, rid)
 
-    per_contact = known.groupBy(CONTACT_COL).agg(
+    per_contact = known.groupBy(contact.alias("__c")).agg(
         F.count(F.lit(1)).alias("__total"),
         F.max_by(snap, F.when(snap.isNotNull(), order_key)).alias("__last"))
-    per_bucket = known.groupBy(CONTACT_COL, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    wb = (Window.partitionBy(CONTACT_COL).orderBy("__b")
+    per_bucket = known.groupBy(contact.alias("__c"), F.col("__b").alias("__pb")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    wb = (Window.partitionBy("__c").orderBy("__pb")
           .rowsBetween(Window.unboundedPreceding, -1))
     per_bucket = (per_bucket.withColumn("__before", F.coalesce(F.sum("__n").over(wb), F.lit(0)))
                             .drop("__n")
-                            .join(per_contact, CONTACT_COL))
+                            .join(per_contact, "__c"))
 
-    wr = Window.partitionBy(CONTACT_COL, "__b").orderBy(created.asc_nulls_last(), rid.asc())
+    wr = Window.partitionBy(contact, "__b").orderBy(created.asc_nulls_last(), rid.asc())
     known = known.withColumn("__rn", F.row_number().over(wr) - 1)
-    j = known.join(per_bucket, [CONTACT_COL, "__b"])
+    j = known.join(per_bucket, (contact == F.col("__c")) & (F.col("__b") == F.col("__pb")))
     rank = (F.col("__before") + F.col("__rn")).cast("double")
     last = F.col("__last")
     total = F.col("__total")
     fixed = F.when(last < total, rank).otherwise(last - total + 1 + rank)
-    known_out = j.withColumn(DEAL_COUNT_COL, fixed.cast("double")).select(*[F.col(f"`{c}`") for c in cols])
-    return known_out.unionByName(unknown)
+    known_out = j.withColumn(count_col, fixed.cast("double")).select(*[F.col(f"`{c}`") for c in cols])
+    return known_out.unionByName(unknown.withColumn(count_col, snap.cast("double")))
 
 
 def is_new_column(threshold: float = 1.0) -> Column:
