@@ -1,0 +1,28 @@
+"""Entry points under the names users of the original pandas project know.
+
+Every function takes and returns Spark DataFrames (``row_id`` keys rows;
+nothing is positional)."""
+
+from orderlens.operators.clean import (normalize_string_categoricals, prior_order_count,
+                                       select_canonical_columns, split_new_returning)
+from orderlens.operators.contexts import build_contexts
+from orderlens.operators.metrics import best_f1_threshold, classification_metrics
+from orderlens.plans.backtest import cumulative_months_loop, split_by_month
+from orderlens.plans.features import FeatureColumns, build_features, derive_feature_columns
+from orderlens.plans.models import OrderOutcomePredictor, fit_encoder
+from orderlens.plans.spec import load_feature_config
+from orderlens.functions.ops import register_op
+from orderlens.schema import LEAKAGE_COLUMNS
+from orderlens.sources.io import load_raw_data
+
+correct_historical_deal_count = prior_order_count
+compute_classification_metrics = classification_metrics
+
+__all__ = [
+    "FeatureColumns", "LEAKAGE_COLUMNS", "OrderOutcomePredictor", "best_f1_threshold",
+    "build_contexts", "build_features", "classification_metrics", "compute_classification_metrics",
+    "correct_historical_deal_count", "cumulative_months_loop", "derive_feature_columns",
+    "fit_encoder", "load_feature_config", "load_raw_data", "normalize_string_categoricals",
+    "prior_order_count", "register_op", "select_canonical_columns", "split_by_month",
+    "split_new_returning",
+]

@@ -101,7 +101,7 @@ def fit_encoder(df: DataFrame, fc: FeatureColumns, target: str = TARGET) -> Orde
                                     stringOrderType="alphabetAsc", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=[f"__idx_{i}" for i in range(len(cats))],
                                     outputCols=[f"__oh_{i}" for i in range(len(cats))],
-                                    dropLast=True, handleInvalid="keep"))
+                                    dropLast=True))  # the dropped last slot is the unknown one
     tmp = df.withColumns({f"__cat_{i}": _text(df, c) for i, c in enumerate(fc.cat_cols)}) if fc.cat_cols else df
     index_model = Pipeline(stages=stages).fit(tmp) if stages else None
     names, group = [], {}
@@ -306,3 +306,92 @@ def calibration_points(model: PriorCountModel, spark, n: int = 300, lo: float =
 
 def sigmoid(z: float) -> float:
     return 1.0 / (1.0 + math.exp(-z))
+
+
+# ---------------------------------------------------------------------------
+# model persistence (S6) and the routed predictor (M4, M5)
+# ---------------------------------------------------------------------------
+
+def save_prior_model(m: PriorCountModel, path: str) -> None:
+    m.lr.write().overwrite().save(os.path.join(path, "lr"))
+    _write_json(path, {"mean": m.scale.mean, "std": m.scale.std})
+
+
+def load_prior_model(spark, path: str) -> PriorCountModel:
+    from pyspark.ml.classification import LogisticRegressionModel
+    meta = _read_json(spark, path)
+    return PriorCountModel(enc.ScaleStats(meta["mean"], meta["std"]),
+                           LogisticRegressionModel.load(os.path.join(path, "lr")))
+
+
+def save_full_model(m: FullFeatureModel, path: str) -> None:
+    e = m.encoder
+    m.lr.write().overwrite().save(os.path.join(path, "lr"))
+    if e.index_model is not None:
+        e.index_model.write().overwrite().save(os.path.join(path, "index"))
+    for i, c in enumerate(e.fc.te_cols):
+        e.te_maps[c].write.mode("overwrite").parquet(os.path.join(path, f"te_{i}"))
+    fc = e.fc
+    _write_json(path, {
+        "fc": {k: getattr(fc, k) for k in ("cat_cols", "num_cols", "bin_cols", "geo_cols", "te_cat_cols",
+                                           "te_alpha", "cat_drop_first")},
+        "scale": {c: [s.mean, s.std] for c, s in e.scale.items()},
+        "global_mean": e.global_mean, "names": e.names, "group_map": e.group_map,
+        "has_index": e.index_model is not None})
+
+
+def load_full_model(spark, path: str) -> FullFeatureModel:
+    from pyspark.ml.classification import LogisticRegressionModel
+    meta = _read_json(spark, path)
+    fc = FeatureColumns(**meta["fc"])
+    index_model = PipelineModel.load(os.path.join(path, "index")) if meta["has_index"] else None
+    te_maps = {c: spark.read.parquet(os.path.join(path, f"te_{i}")) for i, c in enumerate(fc.te_cols)}
+    e = OrderEncoderModel(fc, index_model, {c: enc.ScaleStats(*v) for c, v in meta["scale"].items()},
+                          te_maps, meta["global_mean"], meta["names"], meta["group_map"])
+    return FullFeatureModel(e, LogisticRegressionModel.load(os.path.join(path, "lr")))
+
+
+def _write_json(path: str, obj: dict) -> None:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(json.dumps(obj, ensure_ascii=False),)], "meta string") \
+         .coalesce(1).write.mode("overwrite").json(os.path.join(path, "_meta"))
+
+
+def _read_json(spark, path: str) -> dict:
+    return json.loads(spark.read.json(os.path.join(path, "_meta")).first()["meta"])
+
+
+class OrderOutcomePredictor:
+    """Routed scorer over a saved folder: feature spec, contexts, metadata
+    (threshold) and the two models.  ``predict_proba`` returns one
+    probability per input row keyed by ``row_id``; ``predict`` adds the
+    decision at the stored threshold."""
+
+    def __init__(self, spark, data_dir: str, config: dict | None = None):
+        from orderlens.plans.spec import load_feature_config
+        self.spark = spark
+        self.config = config or load_feature_config()
+        self.contexts = load_contexts(spark, os.path.join(data_dir, "contexts"))
+        self.threshold = load_threshold(spark, os.path.join(data_dir, "meta"))
+        self.returning = load_prior_model(spark, os.path.join(data_dir, "model_returning"))
+        self.new = load_full_model(spark, os.path.join(data_dir, "model_new"))
+
+    @staticmethod
+    def save(data_dir: str, contexts: dict, new_model: FullFeatureModel,
+             returning_model: PriorCountModel, threshold: float, train_through: str,
+             test_month: str, feature_config: str = "default") -> None:
+        save_contexts(contexts, os.path.join(data_dir, "contexts"))
+        save_full_model(new_model, os.path.join(data_dir, "model_new"))
+        save_prior_model(returning_model, os.path.join(data_dir, "model_returning"))
+        from pyspark.sql import SparkSession
+        save_metadata(SparkSession.getActiveSession(), os.path.join(data_dir, "meta"), threshold,
+                      train_through, test_month, feature_config)
+
+    def predict_proba(self, df: DataFrame) -> DataFrame:
+        return route_and_score(df, self.config, self.contexts, self.new, self.returning,
+                               self.threshold, digits=None).select(ROW_ID, "route", "proba")
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        return route_and_score(df, self.config, self.contexts, self.new, self.returning,
+                               self.threshold, digits=None)
