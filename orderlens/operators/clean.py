@@ -78,9 +78,24 @@ def clean_raw(df: DataFrame, date_format: str | None = None) -> DataFrame:
     return df.drop(*[c for c in LEAKAGE_COLUMNS if c in df.columns])
 
 
-def prior_order_count(df: DataFrame, bucket_seconds: int = 86400, contact_col: str = CONTACT_COL,
+# nested time buckets (each divides the one before): day, hour, minute, second
+BUCKET_LEVELS = (86400, 3600, 60, 1)
+MAX_BUCKET_ROWS = 5_000_000
+
+
+def _seconds(c: Column, t: T.DataType) -> Column:
+    """Monotone seconds for ordering buckets (session-TZ independent for
+    wall-clock timestamps)."""
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return (F.unix_date(F.to_date(c)).cast("double") * 86400.0 + F.hour(c) * 3600
+                + F.minute(c) * 60 + F.second(c))
+    return c.cast("double")
+
+
+def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
                       created_col: str = "lead_created_at", id_col: str = ROW_ID,
-                      count_col: str = DEAL_COUNT_COL) -> DataFrame:
+                      count_col: str = DEAL_COUNT_COL,
+                      max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """Rebuild each contact's prior-order count as of every order.
 
     Per contact, rows are ordered by (created, NULLs last; row id); ``rank`` is
@@ -89,11 +104,15 @@ def prior_order_count(df: DataFrame, bucket_seconds: int = 86400, contact_col: s
     ``last < total`` else ``last - total + 1 + rank``.  NULL-contact rows keep
     their value.  ``created_col`` may be epoch seconds or a timestamp.
 
-    Hot-contact safe: the position is split as (rows of the contact in earlier
-    time buckets) + (position inside its bucket).  ``total``/``last`` and the
-    per-bucket counts are partial aggregates; the only ordered windows run
-    over one (contact, bucket) or over one contact's bucket counts (bounded by
-    the time span), never over a whole contact.
+    Hot-contact safe.  ``total``/``last`` are partial aggregates.  The rank
+    is decomposed over nested time buckets (day, then hour, minute, second,
+    descending only while some (contact, bucket) holds more than
+    ``max_bucket_rows`` rows): rank = sum over levels of the rows in earlier
+    sibling buckets + the position inside the finest bucket.  Each prefix is
+    a window over one parent's child-bucket counts (<= 24 or 60 rows; the
+    day level is bounded by the time span); the row-level window runs over
+    one finest bucket only.  Offsets are computed on aggregated tables and
+    joined to the rows once, on the same keys the row window partitions by.
     """
     if contact_col not in df.columns:
         return df
@@ -105,29 +124,48 @@ def prior_order_count(df: DataFrame, bucket_seconds: int = 86400, contact_col: s
     known = df.filter(contact.isNotNull())
     unknown = df.filter(contact.isNull())
 
-    ctype = df.schema[created_col].dataType
-    if isinstance(ctype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        bucket = F.floor(F.unix_date(F.to_date(created)) / max(1, bucket_seconds // 86400))
-    else:
-        bucket = F.floor(created / bucket_seconds)
-    sentinel = F.lit(1 << 62)  # NULL created sorts last
-    known = known.withColumn("__b", F.coalesce(bucket.cast("long"), sentinel))
-    order_key = F.struct(created.isNull(), created, rid)
+    secs = _seconds(created, df.schema[created_col].dataType)
+    sentinel = F.lit(1 << 62)  # NULL created sorts last at every level
+    bkeys = [f"__b{k}" for k in range(len(BUCKET_LEVELS))]
+    # rows without a creation time sort last, by id alone: below the day level
+    # they are bucketed by id ranges (contiguous in that order) instead of time
+    id_shift = (None, 40, 20, 0)
+    known = known.withColumns({
+        bkeys[k]: (F.coalesce(F.floor(secs / lv).cast("long"), sentinel) if id_shift[k] is None
+                   else F.when(secs.isNull(), F.shiftright(rid.cast("long"), id_shift[k]))
+                         .otherwise(F.floor(secs / lv).cast("long")))
+        for k, lv in enumerate(BUCKET_LEVELS)})
+    depth = 0
+    if max_bucket_rows is not None:
+        for k in range(len(BUCKET_LEVELS)):
+            depth = k
+            mx = (known.groupBy(contact, F.col(bkeys[k])).agg(F.count(F.lit(1)).alias("n"))
+                       .agg(F.max("n")).first()[0])
+            if mx is None or mx <= max_bucket_rows:
+                break
+    keys = bkeys[:depth + 1]
 
+    order_key = F.struct(created.isNull(), created, rid)
     per_contact = known.groupBy(contact.alias("__c")).agg(
         F.count(F.lit(1)).alias("__total"),
         F.max_by(snap, F.when(snap.isNotNull(), order_key)).alias("__last"))
-    per_bucket = known.groupBy(contact.alias("__c"), F.col("__b").alias("__pb")).agg(
-        F.count(F.lit(1)).alias("__n"))
-    wb = (Window.partitionBy("__c").orderBy("__pb")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    per_bucket = (per_bucket.withColumn("__before", F.coalesce(F.sum("__n").over(wb), F.lit(0)))
-                            .drop("__n")
-                            .join(per_contact, "__c"))
-
-    wr = Window.partitionBy(contact, "__b").orderBy(created.asc_nulls_last(), rid.asc())
+
+    fine = known.groupBy(contact.alias("__c"), *keys).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = fine.select("__c", *keys, F.lit(0).cast("long").alias("__before"))
+    for k in range(depth + 1):
+        lvl = fine.groupBy("__c", *keys[:k + 1]).agg(F.sum("__n").alias("__m"))
+        w = (Window.partitionBy("__c", *keys[:k]).orderBy(keys[k])
+             .rowsBetween(Window.unboundedPreceding, -1))
+        lvl = lvl.select("__c", *keys[:k + 1],
+                         F.coalesce(F.sum("__m").over(w), F.lit(0)).alias(f"__o{k}"))
+        offsets = offsets.join(lvl, ["__c", *keys[:k + 1]])
+        offsets = offsets.withColumn("__before", F.col("__before") + F.col(f"__o{k}")).drop(f"__o{k}")
+    offsets = offsets.join(per_contact, "__c")
+
+    wr = Window.partitionBy(contact, *keys).orderBy(created.asc_nulls_last(), rid.asc())
     known = known.withColumn("__rn", F.row_number().over(wr) - 1)
-    j = known.join(per_bucket, (contact == F.col("__c")) & (F.col("__b") == F.col("__pb")))
+    j = known.join(offsets.withColumnsRenamed({kk: f"{kk}_o" for kk in keys}),
+                   (contact == F.col("__c")) & F.expr(" AND ".join(f"{kk} = {kk}_o" for kk in keys)))
     rank = (F.col("__before") + F.col("__rn")).cast("double")
     last = F.col("__last")
     total = F.col("__total")

@@ -18,9 +18,16 @@ BROADCAST_MAX_ROWS = 200_000
 
 def size_checked(df: DataFrame, max_rows: int | None = None,
                  limit: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``limit`` rows, else ``df``."""
+    """``broadcast(df)`` if it has at most ``limit`` rows, else ``df``.
+
+    Without a bound known by construction the table is cached and counted
+    up to ``limit + 1`` rows, so the check and the join share one
+    computation; a larger table is joined by the planner (sort-merge, AQE
+    skew splitting, or a runtime broadcast if its shuffle output is small).
+    """
     if max_rows is not None and max_rows <= limit:
         return F.broadcast(df)
+    df = df.cache()
     n = df.limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df
 
@@ -79,7 +86,7 @@ def apply_lookup(df: DataFrame, lj: LookupJoin) -> DataFrame:
         best = best.select(F.col(k).alias("__ss_h"), F.col("match").alias(out_col))
         # one row per distinct text: broadcast when the count is proven small,
         # else a shuffle join (AQE splits a hot text's partition)
-        best = size_checked(best.cache())
+        best = size_checked(best)
         return df.join(best, F.col(k) == F.col("__ss_h"), "left").drop(k, "__ss_h")
     raise ValueError(f"unknown lookup kind {lj.kind!r}")
 

@@ -44,9 +44,14 @@ def test_prior_count_matches_brute_force(spark):
         rows.append((i, contact, created, snap))
     # one hot contact holding a third of the rows
     rows += [(1000 + j, 999, float(j % 50) * 3600.0, 5.0) for j in range(200)]
+    rows += [(2000 + j, 998, None, 3.0) for j in range(40)]  # hot contact without times
     df = spark.createDataFrame(rows, f"row_id long, contact_id long, lead_created_at double, `{DEAL_COUNT_COL}` double")
+    want = brute_prior(rows)
     got = {r["row_id"]: r[DEAL_COUNT_COL] for r in prior_order_count(df).collect()}
-    assert got == brute_prior(rows)
+    assert got == want
+    # force the nested-bucket path (day -> hour -> minute -> second)
+    got = {r["row_id"]: r[DEAL_COUNT_COL] for r in prior_order_count(df, max_bucket_rows=3).collect()}
+    assert got == want
 
 
 def test_clean_raw_rules(spark):
