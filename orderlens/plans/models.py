@@ -28,12 +28,23 @@ from orderlens.plans.features import FeatureColumns, build_features
 from orderlens.schema import DEAL_COUNT_COL, ROW_ID, TARGET
 
 
-def class_weights(df: DataFrame, target: str = TARGET) -> Column:
-    """'balanced' weights n / (2 * n_class) as a column."""
+def class_counts(df: DataFrame, target: str = TARGET) -> tuple[int, int]:
+    """(rows, positives) in one aggregate."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(target).alias("p")).first()
-    n, p = int(r["n"]), int(r["p"] or 0)
+    return int(r["n"]), int(r["p"] or 0)
+
+
+def balanced_weights(n: int, p: int) -> tuple[float, float, float]:
+    """'balanced' class weights n / (2 * n_class): (w0, w1, sum of weights)."""
     w1 = n / (2.0 * p) if p else 0.0
     w0 = n / (2.0 * (n - p)) if n - p else 0.0
+    return w0, w1, w1 * p + w0 * (n - p)
+
+
+def class_weights(df: DataFrame, target: str = TARGET, counts: tuple[int, int] | None = None) -> Column:
+    """'balanced' weights as a column."""
+    n, p = counts or class_counts(df, target)
+    w0, w1, _ = balanced_weights(n, p)
     return F.when(F.col(target) == 1, F.lit(w1)).otherwise(F.lit(w0))
 
 
@@ -91,8 +102,10 @@ class OrderEncoderModel:
         return self._assemble(out, te_out)
 
 
-def fit_encoder(df: DataFrame, fc: FeatureColumns, target: str = TARGET) -> OrderEncoderModel:
-    g = enc.global_mean(df, target)
+def fit_encoder(df: DataFrame, fc: FeatureColumns, target: str = TARGET,
+                counts: tuple[int, int] | None = None) -> OrderEncoderModel:
+    n, p = counts or class_counts(df, target)
+    g = p / n if n else 0.5
     stages = []
     labels = {}
     if fc.cat_cols:
@@ -118,12 +131,14 @@ def fit_encoder(df: DataFrame, fc: FeatureColumns, target: str = TARGET) -> Orde
     return OrderEncoderModel(fc, index_model, scale, te_maps, g, names, group)
 
 
-def logistic(weight_col: str | None, n_weight: float, c: float = 1.0, max_iter: int = 1000):
+def logistic(weight_col: str | None, n_weight: float, c: float = 1.0, max_iter: int = 1000,
+             tol: float = 1e-4):
     """L2 logistic regression with the sklearn objective (C, summed loss):
-    regParam = 1 / (C * sum of weights), free intercept, no standardization."""
+    regParam = 1 / (C * sum of weights), free intercept, no standardization,
+    the solver's default tolerance 1e-4."""
     kw = dict(featuresCol="features", labelCol=TARGET, maxIter=max_iter, elasticNetParam=0.0,
               regParam=1.0 / (c * max(n_weight, 1.0)), standardization=False, fitIntercept=True,
-              tol=1e-8)
+              tol=tol)
     if weight_col:
         kw["weightCol"] = weight_col
     return LogisticRegression(**kw)
@@ -142,9 +157,9 @@ class PriorCountModel:
     @staticmethod
     def fit(train: DataFrame) -> "PriorCountModel":
         st = enc.scale_stats(train, DEAL_COUNT_COL)
-        d = _prior_vec(train, st).withColumn("__w", class_weights(train))
-        n_w = float(d.agg(F.sum("__w")).first()[0])
-        return PriorCountModel(st, logistic("__w", n_w).fit(d))
+        n, p = class_counts(train)
+        d = _prior_vec(train, st).withColumn("__w", class_weights(train, counts=(n, p)))
+        return PriorCountModel(st, logistic("__w", balanced_weights(n, p)[2]).fit(d))
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         out = self.lr.transform(_prior_vec(df, self.scale))
@@ -165,15 +180,13 @@ class FullFeatureModel:
     @staticmethod
     def fit(train: DataFrame, fc: FeatureColumns, fold_col: str | None = None,
             k: int = 5, seed: int = 42) -> "FullFeatureModel":
-        e = fit_encoder(train, fc)
+        n, p = class_counts(train)
+        e = fit_encoder(train, fc, counts=(n, p))
         if fold_col is None:
-            r = train.agg(F.count(F.lit(1)), F.sum(TARGET)).first()
-            n, p = int(r[0]), int(r[1] or 0)
             train = train.withColumn("__fold", enc.hash_folds(F.col(ROW_ID), enc.n_folds(p, n - p, k), seed))
             fold_col = "__fold"
-        d = e.transform_oof(train, fold_col).withColumn("__w", class_weights(train))
-        n_w = float(d.agg(F.sum("__w")).first()[0])
-        return FullFeatureModel(e, logistic("__w", n_w).fit(d))
+        d = e.transform_oof(train, fold_col).withColumn("__w", class_weights(train, counts=(n, p)))
+        return FullFeatureModel(e, logistic("__w", balanced_weights(n, p)[2]).fit(d))
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         out = self.lr.transform(self.encoder.transform(df))
