@@ -1362,3 +1362,27 @@ def q_doc_quality_metrics(spark, sf_dir):
         (F.least(F.col("n_chars"), F.lit(5000)).cast("double") / F.lit(5000.0)).alias("p"),
         F.col("quality").alias("y"))
     return met.classification_metrics(s, 0.5)
+
+
+@query("backtest_target_maps", sql(FEAT_CTE + """
+, nd AS (SELECT strftime(sale_date, '%Y-%m') AS m, city_clean AS value, buyout_flag AS y FROM feat
+         WHERE sale_date IS NOT NULL),
+pm AS (SELECT m, count(*) AS n, sum(y) AS s FROM nd GROUP BY m),
+periods AS (SELECT m AS test_month,
+                   coalesce(sum(n) OVER (ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before,
+                   coalesce(sum(s) OVER (ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s_before
+            FROM pm),
+vm AS (SELECT value, m, count(*) AS n, sum(y) AS s FROM nd WHERE value IS NOT NULL GROUP BY value, m),
+cv AS (SELECT value, m, sum(n) OVER (PARTITION BY value ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn,
+              sum(s) OVER (PARTITION BY value ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs,
+              lead(m) OVER (PARTITION BY value ORDER BY m) AS next_m
+       FROM vm)
+SELECT p.test_month, cv.value,
+       (CAST(cv.cs AS DOUBLE) + (CASE WHEN p.n_before > 0 THEN CAST(p.s_before AS DOUBLE) / p.n_before ELSE 0.5 END) * 10)
+         / (cv.cn + 10) AS te
+FROM cv JOIN periods p ON p.test_month > cv.m AND (cv.next_m IS NULL OR p.test_month <= cv.next_m)"""))
+def q_backtest_target_maps(spark, sf_dir):
+    """M12 + A4: the city encoding map of every expanding-month split in one
+    pass (per-(value, month) sums, prefix-summed, carried to later months)."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    return bt.expanding_target_maps(feats, "city_clean", FC.te_alpha["city_clean"])

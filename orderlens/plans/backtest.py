@@ -105,3 +105,39 @@ def cumulative_months_loop(df: DataFrame, train_fn: TrainFn, target: str = TARGE
     return spark.createDataFrame(
         rows, "test_month string, n_train long, n_test long, train_buyout double, test_buyout double, "
               "test_auc double, test_f1 double, best_threshold double")
+
+
+def expanding_target_maps(df: DataFrame, col: str, alpha: float, target: str = TARGET,
+                          date_col: str = DATE_COL, period: str = "month") -> DataFrame:
+    """Every test period's smoothed target map in one pass (M12 + A4).
+
+    For test period M the map uses all rows of earlier periods.  Rows are
+    aggregated by (value, period) once; a window per value (bounded by the
+    number of periods) gives cumulative sums, and each (value, period) row
+    covers the test periods up to that value's next period -- a range join
+    against the period table (one row per period, broadcast).  The global
+    mean of earlier periods comes from the same per-period totals.
+    Output: (test_month, value, te) for values seen before the test period.
+    """
+    m = month_col(date_col, period)
+    base = df.where(F.col(date_col).isNotNull()).select(
+        m.alias("m"), F.col(f"`{col}`").alias("value"), F.col(target).alias("y"))
+    per_m = base.groupBy("m").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
+    wm = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1)  # one row per period
+    periods = per_m.select(
+        F.col("m").alias("test_month"),
+        F.coalesce(F.sum("n").over(wm), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("s").over(wm), F.lit(0)).alias("s_before"))
+    vm = (base.where(F.col("value").isNotNull()).groupBy("value", "m")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s")))
+    wv = Window.partitionBy("value").orderBy("m")  # <= number of periods per value
+    vm = vm.select("value", "m",
+                   F.sum("n").over(wv.rowsBetween(Window.unboundedPreceding, 0)).alias("cn"),
+                   F.sum("s").over(wv.rowsBetween(Window.unboundedPreceding, 0)).alias("cs"),
+                   F.lead("m").over(wv).alias("next_m"))
+    cover = (F.col("test_month") > F.col("m")) & (
+        F.col("next_m").isNull() | (F.col("test_month") <= F.col("next_m")))
+    j = vm.join(F.broadcast(periods), cover)
+    g = F.when(F.col("n_before") > 0, F.col("s_before") / F.col("n_before")).otherwise(F.lit(0.5))
+    return j.select("test_month", "value",
+                    ((F.col("cs") + g * F.lit(alpha)) / (F.col("cn") + F.lit(alpha))).alias("te"))

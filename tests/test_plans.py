@@ -11,7 +11,8 @@ SLOW = {"gbt_scores", "gbt_attribution", "backtest", "lr_scores", "roundtrip", "
         "calibration_points"}
 SUBSTRING = {"feature_frame", "op_city_lookup", "clean_union", "tree_prep", "category_profile",
              "feature_drift", "drift_summary", "target_encode", "target_encode_oof", "one_hot_long",
-             "linear_importance", "routed_decision"}
+             "linear_importance", "routed_decision",
+             "backtest_target_maps"}  # range join against the bounded period table
 
 
 def plan_of(df) -> str:

@@ -172,3 +172,23 @@ def test_drift_null_dates_and_cutoff_row(spark):
     s = {r["label"]: r for r in drift_summary(df, [{"label": "sh", "column": "f", "agg": "share",
                                                     "value": "a"}], "2024-01-01").collect()}
     assert s["sh"]["post"] == 1.0                                              # null text leaves denominator
+
+
+def test_expanding_target_maps_equal_per_month_fits(spark):
+    from orderlens.plans.backtest import expanding_target_maps
+    rnd = random.Random(9)
+    rows = [(f"2024-0{rnd.randint(1, 5)}-1{rnd.randint(0, 9)}", rnd.choice(["a", "b", "c", None]),
+             rnd.randint(0, 1)) for _ in range(300)]
+    df = (spark.createDataFrame(rows, "d string, v string, buyout_flag int")
+               .withColumn("sale_date", F.to_timestamp_ntz("d")))
+    got = {(r["test_month"], r["value"]): r["te"] for r in expanding_target_maps(df, "v", 10).collect()}
+    months = sorted({d[:7] for d, _, _ in rows})
+    want = {}
+    for m in months[1:]:
+        tr = [(v, y) for d, v, y in rows if d[:7] < m]
+        g = sum(y for _, y in tr) / len(tr)
+        for v in {v for v, _ in tr if v is not None}:
+            ys = [y for vv, y in tr if vv == v]
+            want[(m, v)] = (sum(ys) + g * 10) / (len(ys) + 10)
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-12) for k in want)
