@@ -44,15 +44,26 @@ def keyed_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str,
     return j.drop(k, "__lk_tkey")
 
 
+NGRAM = 3
+NESTED_LOOP_MAX_TEXTS = 100_000
+
+
 def substring_match(haystacks: DataFrame, hay_col: str, table: DataFrame, match_field: str,
                     order_col: str, normalize: dict | None = None,
-                    max_rows: int | None = None) -> DataFrame:
+                    max_rows: int | None = None,
+                    nested_loop_max_texts: int | None = NESTED_LOOP_MAX_TEXTS) -> DataFrame:
     """Best needle per distinct haystack: the longest raw needle contained in
     the normalised haystack wins; ties keep table order.
 
     Returns ``(hay_col, match)`` where ``match`` is the whole matched row as a
-    struct, NULL when nothing matches.  The haystacks are de-duplicated first
-    (a partial aggregate), so the theta join costs distinct texts x needles.
+    struct, NULL when nothing matches.  Haystacks are de-duplicated first (a
+    partial aggregate).  Up to ``nested_loop_max_texts`` distinct texts the
+    candidates come from a nested-loop join against the broadcast needles
+    (texts x needles).  Beyond that, an exact trigram pre-filter: a needle of
+    3+ characters can only occur in a text containing the needle's first
+    trigram, so texts are exploded to their distinct trigrams and equi-joined
+    to the needles' first trigram before the ``contains`` check; needles
+    shorter than 3 characters (few) keep the nested-loop path.
     """
     norm = normalize or {}
     hay = (haystacks.select(F.col(hay_col).alias("__h")).where(F.col("__h").isNotNull())
@@ -64,8 +75,23 @@ def substring_match(haystacks: DataFrame, hay_col: str, table: DataFrame, match_
                             normalize_text(F.col(match_field).cast("string"), norm).alias("__nn"),
                             F.length(F.col(match_field).cast("string")).alias("__len"),
                             F.col(order_col).alias("__ord")))
-    needles = size_checked(needles, max_rows)
-    cand = hay.join(needles, F.col("__hn").contains(F.col("__nn")), "inner")
+    contained = F.col("__hn").contains(F.col("__nn"))
+    big = False
+    if nested_loop_max_texts is not None:
+        hay = hay.cache()
+        big = hay.limit(nested_loop_max_texts + 1).count() > nested_loop_max_texts
+    if not big:
+        cand = hay.join(size_checked(needles, max_rows), contained, "inner")
+    else:
+        short = needles.where(F.length("__nn") < NGRAM)
+        long = needles.where(F.length("__nn") >= NGRAM).withColumn(
+            "__g", F.substring("__nn", 1, NGRAM))
+        grams = F.expr(f"array_distinct(transform(sequence(1, greatest(length(__hn) - {NGRAM - 1}, 1)), "
+                       f"i -> substring(__hn, i, {NGRAM})))")
+        hay_g = hay.select("__h", "__hn", F.explode(grams).alias("__g"))
+        cand_long = hay_g.join(size_checked(long, max_rows), "__g").where(contained).drop("__g")
+        cand_short = hay.join(size_checked(short, max_rows), contained, "inner")
+        cand = cand_long.unionByName(cand_short)
     best = (cand.groupBy("__h")
                 .agg(F.min_by(F.col("__row"), F.struct(-F.col("__len"), F.col("__ord")))
                      .alias("__match")))

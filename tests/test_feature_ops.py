@@ -202,3 +202,22 @@ def test_spec_validation():
         validate_config({"features": {"x": {"type": "numeric", "op": {"name": "pipeline", "steps": []}}}})
     with pytest.raises(ValueError):
         validate_config({"features": {"x": {"type": "numeric", "nan": "fill"}}})
+
+
+def test_substring_trigram_path_equals_nested_loop(spark):
+    import random
+    from orderlens.operators.lookups import substring_match
+    rnd = random.Random(2)
+    names = ["Ор", "Орел", "Орел-2", "Елец", "Ёлка", "Москва", "Мос", "ква", "Нижний Новгород",
+             "Новгород", "ab", "abc", "bca"]
+    cities = spark.createDataFrame([(i, n, f"R{i}") for i, n in enumerate(names)],
+                                   "ord long, name string, region string")
+    words = ["г.", "Орел", "ОРЕЛ-2", "ёлка", "москва", "нижний", "новгород", "abca", "x", "ор"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 4))) for _ in range(300)] + [None]
+    hay = spark.createDataFrame([(t,) for t in texts], "t string")
+    norm = {"lower": True, "replace": {"ё": "е"}}
+    a = {r["t"]: r["match"]["name"] for r in substring_match(hay, "t", cities, "name", "ord", norm,
+                                                              nested_loop_max_texts=None).collect()}
+    b = {r["t"]: r["match"]["name"] for r in substring_match(hay, "t", cities, "name", "ord", norm,
+                                                              nested_loop_max_texts=0).collect()}
+    assert a == b and len(a) > 20
