@@ -210,9 +210,13 @@ def threshold_sweep(df: DataFrame, y: str = "y", p: str = "p", lo: float = 0.05,
         _f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("f1"))
 
 
-def best_of_sweep(sweep: DataFrame) -> DataFrame:
-    """First threshold with the highest F1 of a sweep."""
-    return sweep.orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
+def best_of_sweep(sweep: DataFrame) -> tuple[float, float]:
+    """(best threshold, best F1) of a sweep: first threshold with the highest
+    F1; raises when no threshold predicts both classes."""
+    r = sweep.orderBy(F.desc("f1"), F.asc("threshold")).limit(1).collect()
+    if not r:
+        raise ValueError("threshold sweep: no threshold predicts both classes")
+    return float(r[0]["threshold"]), float(r[0]["f1"])
 
 
 def confusion_normalized(df: DataFrame, threshold: float, y: str = "y", p: str = "p") -> DataFrame:

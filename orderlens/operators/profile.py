@@ -208,3 +208,20 @@ def value_counts_top(df: DataFrame, col: str, k: int) -> DataFrame:
     return top.select("category", "n", F.row_number().over(w).cast("int").alias("rank"),
                       F.lit(n_distinct).cast("long").alias("n_distinct"),
                       F.lit(kept).cast("long").alias("rows_in_top"))
+
+
+def is_numeric_feature(df: DataFrame, col: str, min_distinct: int = 15) -> bool:
+    """A numeric column with more than 15 distinct non-NULL values is
+    profiled as a histogram, anything else by category (one aggregate)."""
+    if not is_numeric(df.schema[col].dataType):
+        return False
+    n = df.agg(F.count_distinct(F.col(f"`{col}`"))).first()[0]
+    return n > min_distinct
+
+
+def feature_overview(df: DataFrame, col: str, target: str = TARGET, bins: int = 30,
+                     known_order: list[str] | None = None, top_n: int | None = None) -> DataFrame:
+    """Dispatch to the histogram (A7) or the category profile."""
+    if is_numeric_feature(df, col):
+        return numeric_histogram(df, col, target, bins)
+    return category_profile(df, col, target, top_n=top_n, known_order=known_order)

@@ -192,3 +192,19 @@ def test_expanding_target_maps_equal_per_month_fits(spark):
             want[(m, v)] = (sum(ys) + g * 10) / (len(ys) + 10)
     assert got.keys() == want.keys()
     assert all(math.isclose(got[k], want[k], rel_tol=1e-12) for k in want)
+
+
+def test_feature_overview_dispatch_and_sweep_errors(spark):
+    from orderlens.operators.profile import feature_overview
+    df = spark.createDataFrame([(float(i), str(i % 3), i % 2) for i in range(40)],
+                               "x double, c string, buyout_flag int")
+    assert "bin" in feature_overview(df, "x").columns
+    assert "category" in feature_overview(df, "c").columns
+    few = spark.createDataFrame([(float(i % 4), i % 2) for i in range(40)], "x double, buyout_flag int")
+    assert "category" in feature_overview(few, "x").columns       # <= 15 distinct -> categories
+    flat = spark.createDataFrame([(1, 0.99), (0, 0.99)], "y int, p double")
+    with pytest.raises(ValueError):
+        met.best_of_sweep(met.threshold_sweep(flat))
+    ok = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, 0.6), (0, 0.4)], "y int, p double")
+    t, f1 = met.best_of_sweep(met.threshold_sweep(ok))
+    assert f1 == 1.0 and t == met.grid(0.05, 0.96, 0.01)[35] and t > 0.4   # grid value just above 0.4
