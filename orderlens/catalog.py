@@ -46,14 +46,14 @@ _PREPARED: dict = {}
 
 
 def _prepared(spark: SparkSession, key: str, build):
-    """Materialise a stage once per session: a reliable checkpoint in the
-    shared folder (cuts lineage; survives executor loss), reused by every
-    query that reads it -- the clean set the original project writes once
-    and every later step reads."""
+    """Materialise a stage once per session as a parquet table in the shared
+    folder (cuts lineage; survives executor loss; readers get pruning and
+    pushdown), reused by every query that reads it -- the clean set the
+    original project writes once and every later step reads."""
     k = (spark.sparkContext.applicationId, key)
     if k not in _PREPARED:
-        from orderlens.session import cut_lineage
-        _PREPARED[k] = cut_lineage(build())
+        from orderlens.session import stage_table
+        _PREPARED[k] = stage_table(build(), key.split(":")[0], spark)
     return _PREPARED[k]
 
 

@@ -75,3 +75,13 @@ def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a written intermediate table."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stage_table(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared folder and read it
+    back: lineage is cut, the copy survives executor loss, and later readers
+    get column pruning and predicate pushdown on it."""
+    spark = spark or df.sparkSession
+    path = staging_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
