@@ -1273,14 +1273,14 @@ def q_roundtrip(spark, sf_dir):
     clean = union_cohorts(feats, df.filter(~is_new_column()), fc.all_feature_cols,
                           extra=["contact_id", "row_id"])
     base = staging_path(spark, "roundtrip")
-    (clean.withColumn("sale_month", F.date_format("sale_date", "yyyy-MM"))
-          .write.mode("overwrite").partitionBy("sale_month").parquet(os.path.join(base, "clean")))
+    from orderlens.sources.io import read_clean, write_clean
+    write_clean(clean, os.path.join(base, "clean"))
     mdl.save_contexts(ctx, os.path.join(base, "contexts"))
     mdl.save_metadata(spark, os.path.join(base, "meta"), 0.5, TRAIN_THROUGH, TEST_MONTH, "default")
     back_ctx = mdl.load_contexts(spark, os.path.join(base, "contexts"))
     assert set(back_ctx) == set(ctx)
     assert mdl.load_threshold(spark, os.path.join(base, "meta")) == 0.5
-    back = spark.read.parquet(os.path.join(base, "clean")).drop("sale_month")
+    back = read_clean(spark, os.path.join(base, "clean"))
     return back.select(*[F.col(f"`{c}`") for c in clean.columns])
 
 
@@ -1295,7 +1295,7 @@ def q_stream_scores(spark, sf_dir):
     df = with_prior(spark, sf_dir)
     base = staging_path(spark, "stream")
     src = os.path.join(base, "in")
-    df.repartition(4).write.mode("overwrite").parquet(src)
+    df.write.mode("overwrite").parquet(src)  # files arrive as the stream's input
     data = spark.read.parquet(src)
     new = data.filter(is_new_column())
     ctx = build_contexts(new, city_table(spark, sf_dir))

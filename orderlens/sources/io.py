@@ -40,10 +40,15 @@ def write_orders_csv(df: DataFrame, path: str) -> None:
        .option("quoteAll", True).csv(path))
 
 
-def write_clean(df: DataFrame, path: str, date_col: str = DATE_COL) -> None:
-    """The clean set as parquet partitioned by month (month filters prune)."""
+def write_clean(df: DataFrame, path: str, date_col: str = DATE_COL,
+                max_records_per_file: int = 5_000_000) -> None:
+    """The clean set as parquet partitioned by month (month filters prune).
+    Rows are sorted by month inside each task (no shuffle), so a task keeps
+    one open file at a time; files are capped in rows."""
     (df.withColumn("sale_month", F.date_format(F.col(date_col), "yyyy-MM"))
-       .write.mode("overwrite").partitionBy("sale_month").parquet(path))
+       .sortWithinPartitions("sale_month")
+       .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+       .partitionBy("sale_month").parquet(path))
 
 
 def read_clean(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
