@@ -56,14 +56,22 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; when unset (local runs and tests) a
     fresh folder under the system temp dir is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get(id(spark.sparkContext))
     if not d:
         d = tempfile.mkdtemp(prefix="orderlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        _LOCAL_FALLBACK[id(spark.sparkContext)] = d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 -- core confs may be read-only at runtime
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+_LOCAL_FALLBACK: dict = {}
+
+
 def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``:
     a lost executor would lose the only copy)."""
