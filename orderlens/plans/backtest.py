@@ -45,7 +45,8 @@ def split_counts(df: DataFrame, train_through: str, test_month: str, target: str
     return df.agg(
         F.lit(train_through).alias("train_through"), F.lit(test_month).alias("test_month"),
         cnt(tr).alias("n_train"), cnt(te).alias("n_test"),
-        (pos(tr) / cnt(tr)).alias("train_buyout"), (pos(te) / cnt(te)).alias("test_buyout"))
+        F.try_divide(pos(tr), cnt(tr)).cast("double").alias("train_buyout"),
+        F.try_divide(pos(te), cnt(te)).cast("double").alias("test_buyout"))
 
 
 def expanding_month_counts(df: DataFrame, target: str = TARGET, date_col: str = DATE_COL,
