@@ -218,9 +218,10 @@ class BoostedTreeModel:
         stages.append(GBTClassifier(featuresCol="features", labelCol=TARGET, weightCol="__w",
                                     maxIter=max_iter, maxDepth=depth, stepSize=step,
                                     minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed,
-                                    cacheNodeIds=True, checkpointInterval=10))
+                                    # shallow trees: node-id caching costs more than it saves
+                                    cacheNodeIds=False, checkpointInterval=10))
         from orderlens.session import shared_dir
-        shared_dir(train.sparkSession)  # node-id checkpoints go to the shared folder
+        shared_dir(train.sparkSession)  # boosting checkpoints (every 10 rounds) go to the shared folder
         d = train.withColumn("__w", class_weights(train))
         # each boosting round is a handful of jobs over the whole input: size the
         # partitions to the data (~1M rows each) so small inputs do not pay for
