@@ -1206,7 +1206,7 @@ def q_backtest(spark, sf_dir):
 
     def train_fn(train, test):
         return mdl.FullFeatureModel.fit(train, FC).predict_proba(test)
-    return bt.cumulative_months_loop(feats, train_fn, period="year", parallelism=3)
+    return bt.cumulative_months_loop(feats, train_fn, period="year", parallelism=4)
 
 
 def _gbt_fit(spark, sf_dir):

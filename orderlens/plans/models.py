@@ -9,7 +9,6 @@ fitted vocabularies.
 from __future__ import annotations
 
 import json
-import math
 import os
 from dataclasses import dataclass, field
 from typing import Callable
@@ -318,9 +317,6 @@ def calibration_points(model: PriorCountModel, spark, n: int = 300, lo: float =
     return g.join(p, ROW_ID).select(F.col(DEAL_COUNT_COL).alias("prior_orders"), "proba")
 
 
-def sigmoid(z: float) -> float:
-    return 1.0 / (1.0 + math.exp(-z))
-
 
 # ---------------------------------------------------------------------------
 # model persistence (S6) and the routed predictor (M4, M5)
