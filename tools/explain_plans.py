@@ -33,7 +33,7 @@ def main():
     from orderlens.operators.contexts import build_contexts
     from orderlens.plans.features import build_features
     from orderlens.sources.leads import city_table, leads_view
-    clean = c._prepared(spark, f"clean:{SF}", lambda: c.cleaned(spark, SF))
+    clean = c.clean_set(spark, SF)
     new = c.with_prior(spark, SF).filter(c.is_new_column())
     feats, _ = c.new_cohort_features(spark, SF)
     ff = feats.withColumn("fold", (F.col("row_id") % 5).cast("int"))
