@@ -221,3 +221,15 @@ def test_substring_trigram_path_equals_nested_loop(spark):
     b = {r["t"]: r["match"]["name"] for r in substring_match(hay, "t", cities, "name", "ord", norm,
                                                               nested_loop_max_texts=0).collect()}
     assert a == b and len(a) > 20
+
+
+def test_cast_str_and_length_write_floats_like_python(spark):
+    xs = [5000.0, 1e7, 12345678.0, 0.5, float("inf"), None, -3.0]
+    rows = [(i, x) for i, x in enumerate(xs)]
+    res, _ = run(spark, rows, "id int, x double", {
+        "t": {"type": "categorical", "nan": "ignore", "op": {"name": "cast", "source": "x", "to": "str"}},
+        "n": {"type": "numeric", "op": {"name": "string_length", "source": "x"}}})
+    for i, x in enumerate(xs):
+        want = "nan" if x is None else str(x)
+        assert res[i]["t"] == want
+        assert res[i]["n"] == (0 if x is None else len(str(x)))
