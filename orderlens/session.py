@@ -93,3 +93,33 @@ def stage_table(df: DataFrame, name: str, spark: SparkSession | None = None) ->
     path = staging_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(total_cores: int, shared_checkpoint_dir: str) -> dict:
+    """Suggested settings for a large cluster run (pass as ``extra`` to
+    :func:`get_spark` or to spark-submit).
+
+    * shuffle partitions: about 3 x total cores as the initial number; AQE
+      coalesces them toward ~256 MB per partition and splits skewed ones;
+    * scan splits of 256 MB so a task's input fits executor memory;
+    * skew join: a partition 5x the median and over 512 MB is split;
+    * broadcast joins only under 64 MB at runtime (the library's own
+      broadcasts are bounded by construction or by a row-count check);
+    * checkpoints and staged tables on shared storage (never local disk).
+    """
+    parts = max(200, 3 * int(total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.checkpoint.dir": shared_checkpoint_dir,
+        "spark.sql.session.timeZone": "UTC",
+    }

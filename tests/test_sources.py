@@ -70,3 +70,10 @@ def test_contexts_save_load(spark):
     assert set(back) == set(ctx)
     for k in ctx:
         assert sorted(map(tuple, back[k].df.collect())) == sorted(map(tuple, ctx[k].df.collect()))
+
+
+def test_cluster_conf_is_consistent():
+    from orderlens.session import cluster_conf
+    c = cluster_conf(4000, "s3a://bucket/ckpt")
+    assert int(c["spark.sql.shuffle.partitions"]) == 12000
+    assert c["spark.checkpoint.dir"].endswith("ckpt") and c["spark.sql.adaptive.enabled"] == "true"
