@@ -74,6 +74,6 @@ def test_contexts_save_load(spark):
 
 def test_cluster_conf_is_consistent():
     from orderlens.session import cluster_conf
-    c = cluster_conf(4000, "s3a://bucket/ckpt")
+    c = cluster_conf(4000, "hdfs:///shared/ckpt")
     assert int(c["spark.sql.shuffle.partitions"]) == 12000
     assert c["spark.checkpoint.dir"].endswith("ckpt") and c["spark.sql.adaptive.enabled"] == "true"
