@@ -252,13 +252,16 @@ class FixedLogistic:
 
 def route_and_score(df: DataFrame, config: dict, contexts: dict, new_model, returning_model,
                     threshold: float = 0.5, digits: int | None = 12) -> DataFrame:
-    """M4 + M5: build features, send new contacts (prior count < 1 or NULL)
-    to ``new_model`` and the rest to ``returning_model``; one probability per
-    input row (keyed by row id), decision = proba >= threshold."""
-    feats, _ = build_features(df, config, contexts)
+    """M4 + M5: send new contacts (prior count < 1 or NULL) through the
+    feature build to ``new_model`` and the rest to ``returning_model``; one
+    probability per input row (keyed by row id), decision = proba >= threshold."""
+    # route first: only the new-contact model reads the built features (they
+    # are row-wise given fixed contexts, so building them on that route alone
+    # gives the same values and skips the lookups for returning contacts)
     flag = is_new_column()
-    new = new_model.predict_proba(feats.filter(flag)).withColumn("route", F.lit("new"))
-    ret = returning_model.predict_proba(feats.filter(~flag)).withColumn("route", F.lit("returning"))
+    feats_new, _ = build_features(df.filter(flag), config, contexts)
+    new = new_model.predict_proba(feats_new).withColumn("route", F.lit("new"))
+    ret = returning_model.predict_proba(df.filter(~flag)).withColumn("route", F.lit("returning"))
     out = new.unionByName(ret)
     p = F.round(F.col("proba"), digits) if digits is not None else F.col("proba")
     return out.select(ROW_ID, "route", p.alias("proba"),
