@@ -653,14 +653,10 @@ def _feat_profile_sql(feature: str) -> str:
 @query("category_profile", sql(FEAT_CTE + "\n" + "\nUNION ALL".join(_feat_profile_sql(f) for f in PROFILED)))
 def q_category_profile(spark, sf_dir):
     """A6, O3 for several built features of new contacts (long form)."""
+    from orderlens.operators.profile import category_profiles
     feats, _ = new_cohort_features(spark, sf_dir)
-    feats = feats.cache()
-    parts = [category_profile(feats, f, known_order=DEFAULT_CATEGORY_ORDERS.get(f))
-             .select(F.lit(f).alias("feature"), "*") for f in PROFILED]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return category_profiles(feats, PROFILED, known_orders={f: DEFAULT_CATEGORY_ORDERS[f] for f in PROFILED
+                                                            if f in DEFAULT_CATEGORY_ORDERS})
 
 
 @query("top_categories", sql("""

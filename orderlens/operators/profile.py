@@ -225,3 +225,36 @@ def feature_overview(df: DataFrame, col: str, target: str = TARGET, bins: int =
     if is_numeric_feature(df, col):
         return numeric_histogram(df, col, target, bins)
     return category_profile(df, col, target, top_n=top_n, known_order=known_order)
+
+
+def category_profiles(df: DataFrame, cols: list[str], target: str = TARGET,
+                      known_orders: dict | None = None, max_auto: int = 30) -> DataFrame:
+    """A6 for several features in one pass (long form): rows are exploded to
+    (feature, category) and aggregated once; the automatic top-30 (features
+    with more than 30 distinct values including NULL) and the display order
+    are windows over the aggregated table (bounded by distinct categories
+    per feature), never over rows."""
+    known_orders = known_orders or {}
+    items = F.array(*[F.struct(F.lit(c).alias("feature"),
+                               plain_text(Val(F.col(f"`{c}`"), df.schema[c].dataType)).alias("category"))
+                      for c in cols])
+    long = df.select(F.col(target).alias("y"), F.explode(items).alias("kv")).select("y", "kv.*")
+    agg = (long.groupBy("feature", "category")
+               .agg(F.count(F.lit(1)).alias("rows"), F.sum("y").cast("long").alias("n_pos"),
+                    F.count("y").alias("n_total")))
+    per_feature = Window.partitionBy("feature")
+    agg = agg.withColumn("__distinct", F.count(F.lit(1)).over(per_feature))  # NULL counts as a value
+    agg = agg.where(F.col("category").isNotNull())
+    top = Window.partitionBy("feature").orderBy(F.desc("rows"), F.asc("category"))
+    agg = (agg.withColumn("__r", F.row_number().over(top))
+              .where((F.col("__distinct") <= max_auto) | (F.col("__r") <= max_auto)))
+    known_pos = F.lit(BIG).cast("long")
+    for f, known in known_orders.items():
+        pos = F.array_position(F.array(*[F.lit(k) for k in known]), F.col("category"))
+        known_pos = F.when(F.col("feature") == f, F.coalesce(F.nullif(pos, F.lit(0)), F.lit(BIG)).cast("long")) \
+                     .otherwise(known_pos)
+    order = Window.partitionBy("feature").orderBy(known_pos, F.desc("n_total"), F.asc("category"))
+    return agg.select(
+        "feature", "category", "n_pos", (F.col("n_total") - F.col("n_pos")).alias("n_neg"), "n_total",
+        F.when(F.col("n_total") > 0, F.col("n_pos") / F.col("n_total")).otherwise(F.lit(0.0)).alias("rate"),
+        (F.row_number().over(order) - 1).cast("int").alias("position"))

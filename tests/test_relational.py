@@ -208,3 +208,18 @@ def test_feature_overview_dispatch_and_sweep_errors(spark):
     ok = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, 0.6), (0, 0.4)], "y int, p double")
     t, f1 = met.best_of_sweep(met.threshold_sweep(ok))
     assert f1 == 1.0 and t == met.grid(0.05, 0.96, 0.01)[35] and t > 0.4   # grid value just above 0.4
+
+
+def test_multi_profile_equals_single_profiles(spark):
+    from orderlens.operators.profile import category_profile, category_profiles
+    rnd = random.Random(4)
+    rows = [(f"c{rnd.randint(0, 39)}", rnd.choice(["x", "y", None]), rnd.randint(0, 1)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a string, b string, buyout_flag int")
+    many = category_profiles(df, ["a", "b"], known_orders={"b": ["y"]})
+    for col, known in (("a", None), ("b", ["y"])):
+        one = category_profile(df, col, known_order=known)
+        got = sorted(tuple(r) for r in many.where(F.col("feature") == col).drop("feature").collect())
+        want = sorted(tuple(r) for r in one.select("category", "n_pos", "n_neg", "n_total", "rate",
+                                                   "position").collect())
+        assert got == want
+    assert many.where(F.col("feature") == "a").count() == 30       # automatic top 30 of 40
