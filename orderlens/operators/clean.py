@@ -135,12 +135,16 @@ def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
                    else F.when(secs.isNull(), F.shiftright(rid.cast("long"), id_shift[k]))
                          .otherwise(F.floor(secs / lv).cast("long")))
         for k, lv in enumerate(BUCKET_LEVELS)})
+    # day-level counts serve both the size probe and (usually) the finest table
+    day = known.groupBy(contact.alias("__c"), F.col(bkeys[0])).agg(F.count(F.lit(1)).alias("__n"))
     depth = 0
     if max_bucket_rows is not None:
+        day = day.cache()
         for k in range(len(BUCKET_LEVELS)):
             depth = k
-            mx = (known.groupBy(contact, F.col(bkeys[k])).agg(F.count(F.lit(1)).alias("n"))
-                       .agg(F.max("n")).first()[0])
+            counts = day if k == 0 else known.groupBy(contact, F.col(bkeys[k])).agg(
+                F.count(F.lit(1)).alias("__n"))
+            mx = counts.agg(F.max("__n")).first()[0]
             if mx is None or mx <= max_bucket_rows:
                 break
     keys = bkeys[:depth + 1]
@@ -150,7 +154,8 @@ def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
         F.count(F.lit(1)).alias("__total"),
         F.max_by(snap, F.when(snap.isNotNull(), order_key)).alias("__last"))
 
-    fine = known.groupBy(contact.alias("__c"), *keys).agg(F.count(F.lit(1)).alias("__n"))
+    fine = day if depth == 0 else known.groupBy(contact.alias("__c"), *keys).agg(
+        F.count(F.lit(1)).alias("__n"))
     offsets = fine.select("__c", *keys, F.lit(0).cast("long").alias("__before"))
     for k in range(depth + 1):
         lvl = fine.groupBy("__c", *keys[:k + 1]).agg(F.sum("__n").alias("__m"))
