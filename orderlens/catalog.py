@@ -1387,3 +1387,44 @@ def q_backtest_target_maps(spark, sf_dir):
     pass (per-(value, month) sums, prefix-summed, carried to later months)."""
     feats, _ = new_cohort_features(spark, sf_dir)
     return bt.expanding_target_maps(feats, "city_clean", FC.te_alpha["city_clean"])
+
+
+# ---------------------------------------------------------------------------
+# file sources through the driver check (S1 CSV export, S2 city JSON)
+# ---------------------------------------------------------------------------
+
+@query("load_csv_export", ORACLE["load_clean"])
+def q_load_csv_export(spark, sf_dir):
+    """S1 from a CSV export: the raw orders are written as a quoted CSV file
+    set in the shared folder, then read with the export's schema and cleaned
+    (P1-P5).  Same rows as ``load_clean``."""
+    from orderlens.sources.io import load_raw_data, write_orders_csv
+    raw = leads_view(spark, sf_dir)
+    path = staging_path(spark, "csv-export")
+    write_orders_csv(raw, path)
+    return load_raw_data(spark, path, schema=raw.schema)
+
+
+@query("city_dictionary_json", sql(CITY_SQL.split(",\nhay AS")[0] + """,
+big AS (SELECT DISTINCT name FROM cities WHERE coalesce(population, 0) >= 500000 AND name IS NOT NULL)
+SELECT d.name, d.region, CASE WHEN b.name IS NULL THEN 0 ELSE 1 END AS is_big
+FROM citydict d LEFT JOIN big b ON d.name = b.name"""))
+def q_city_dictionary_json(spark, sf_dir):
+    """S2, U2, A3 from a JSON array file: city rows (name, region.fullname,
+    population) written to the shared folder as one JSON array, read with the
+    fixed schema, flattened, extended with the fixed extra cities, and
+    flagged by population."""
+    import json as _json
+    from orderlens.operators.contexts import big_city_flags, city_dictionary, read_city_json
+    rows = city_table(spark, sf_dir).orderBy("ord")
+    path = staging_path(spark, "cities-json")
+    # the dictionary is a fixed reference file (here nation x region: 25 rows by
+    # definition), so writing it as the single JSON array it ships as is bounded
+    arr = rows.select(F.to_json(F.struct("name", "region", "population")).alias("j"))
+    (arr.agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
+        .coalesce(1).write.mode("overwrite").text(path))
+    raw = read_city_json(spark, path)
+    d = city_dictionary(raw)
+    big = big_city_flags(raw).select(F.col("name").alias("__bn"), F.lit(1).alias("__big"))
+    return (d.join(F.broadcast(big), d.name == big.__bn, "left")  # bounded by the dictionary
+             .select("name", "region", F.coalesce("__big", F.lit(0)).alias("is_big")))
