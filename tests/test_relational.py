@@ -223,3 +223,16 @@ def test_multi_profile_equals_single_profiles(spark):
                                                    "position").collect())
         assert got == want
     assert many.where(F.col("feature") == "a").count() == 30       # automatic top 30 of 40
+
+
+def test_all_scores_equal_and_profile_totals(spark):
+    from orderlens.operators.profile import category_profile
+    df = spark.createDataFrame([(i % 3 == 0 and 1 or 0, 0.37) for i in range(90)], "y int, p double")
+    row = met.classification_metrics(df, 0.5).first()
+    assert row["roc_auc"] == 0.5 and row["tp"] == 0 and row["tn"] == 60
+    assert math.isclose(row["pr_auc"], 30 / 90)
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["a", "b", "c", None]), rnd.randint(0, 1)) for _ in range(500)]
+    prof = category_profile(spark.createDataFrame(rows, "c string, buyout_flag int"), "c")
+    assert prof.agg(F.sum("n_total")).first()[0] == sum(1 for c, _ in rows if c is not None)
+    assert sorted(r["position"] for r in prof.collect()) == [0, 1, 2]
