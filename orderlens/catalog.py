@@ -11,13 +11,24 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from orderlens.operators.clean import clean_raw, prior_order_count, is_new_column
+from pyspark.sql import types as _T
+
+from orderlens.functions.ops import Val as _Val, register_op, resolve_input
+from orderlens.operators import encode as enc
+from orderlens.operators import metrics as met
+from orderlens.operators.clean import (capped_prior_count, clean_raw, drop_missing_dates, is_new_column,
+                                       normalize_string_categoricals, prior_order_count, tree_prep,
+                                       union_cohorts)
 from orderlens.operators.contexts import build_contexts
-from orderlens.operators.profile import category_profile
-from orderlens.plans.features import build_features
+from orderlens.operators.profile import (category_profile, drift_summary, feature_drift, month_timeline,
+                                         numeric_histogram, rate_by_capped_count, value_counts_top)
+from orderlens.plans import backtest as bt
+from orderlens.plans import explain as xp
+from orderlens.plans import models as mdl
+from orderlens.plans.features import build_features, derive_feature_columns
 from orderlens.plans.spec import load_feature_config
 from orderlens.schema import DEAL_COUNT_COL, DEFAULT_CATEGORY_ORDERS, ROW_ID, TARGET
+from orderlens.session import staging_path
 from orderlens.sources.leads import LEADS_SQL, city_table, leads_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -572,9 +583,6 @@ def q_post_nan_drop_cast_groups(spark, sf_dir):
 # cohort union, canonical columns, tree prep
 # ---------------------------------------------------------------------------
 
-from orderlens.operators.clean import (capped_prior_count, drop_missing_dates,  # noqa: E402
-                                       normalize_string_categoricals, tree_prep, union_cohorts)
-from orderlens.plans.features import derive_feature_columns  # noqa: E402
 
 FC = derive_feature_columns(load_feature_config(), BUILT)
 VISIBLE = FC.all_feature_cols
@@ -631,8 +639,6 @@ def q_tree_prep(spark, sf_dir):
 # profiles (A6-A14, O3)
 # ---------------------------------------------------------------------------
 
-from orderlens.operators.profile import (drift_summary, feature_drift, month_timeline,  # noqa: E402
-                                         numeric_histogram, rate_by_capped_count, value_counts_top)
 
 PROFILED = ["price_bin", "delta_bin", "sale_weekday", "lead_Квалификация лида", "city_clean"]
 
@@ -786,7 +792,6 @@ def q_rate_by_prior_count(spark, sf_dir):
 # encoding (A4, A5, E1-E5, J3, W5)
 # ---------------------------------------------------------------------------
 
-from orderlens.operators import encode as enc  # noqa: E402
 
 TE_CUTOFF = "1999-01-01"
 TE_COLS = [(c, FC.te_alpha[c]) for c in FC.te_cols]
@@ -886,7 +891,6 @@ def q_scaled_numeric(spark, sf_dir):
 # metrics on a fixed score
 # ---------------------------------------------------------------------------
 
-from orderlens.operators import metrics as met  # noqa: E402
 
 SCORE_SQL = ", sc AS (SELECT CAST((row_id * 7919) % 1000 AS DOUBLE) / 1000.0 AS p, buyout_flag AS y FROM cohort)"
 
@@ -1002,7 +1006,6 @@ def q_confusion_norm(spark, sf_dir):
 # time splits (M11, M12 counts, P11, O5)
 # ---------------------------------------------------------------------------
 
-from orderlens.plans import backtest as bt  # noqa: E402
 
 TRAIN_THROUGH, TEST_MONTH = "2000-12", "2001-01"
 
@@ -1046,7 +1049,6 @@ def q_backtest_counts(spark, sf_dir):
 # importance, comparison, routed decision
 # ---------------------------------------------------------------------------
 
-from orderlens.plans import explain as xp  # noqa: E402
 
 
 @query("linear_importance", sql(FEAT_CTE + """
@@ -1144,8 +1146,6 @@ def q_routed_decision(spark, sf_dir):
 # user op (X1)
 # ---------------------------------------------------------------------------
 
-from orderlens.functions.ops import Val as _Val, register_op, resolve_input  # noqa: E402
-from pyspark.sql import types as _T  # noqa: E402
 
 
 @register_op("ratio")
@@ -1175,8 +1175,6 @@ def q_custom_op(spark, sf_dir):
 # streaming scoring
 # ---------------------------------------------------------------------------
 
-from orderlens.plans import models as mdl  # noqa: E402
-from orderlens.session import shared_dir, staging_path  # noqa: E402
 
 
 def _new_feats_dated(spark, sf_dir):
