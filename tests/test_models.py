@@ -68,3 +68,28 @@ def test_logistic_recovers_planted_coefficients(spark):
     d = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
     lr = mdl.logistic(None, float(n)).fit(d)
     assert abs(lr.coefficients[0] - 1.5) < 0.1 and abs(lr.intercept - 0.5) < 0.1
+
+
+def test_rows_only_queries_invariants(spark, fitted):
+    df, _, _, m_ret = fitted
+    # M1: one probability per row, monotone in the prior count (positive slope here)
+    p = m_ret.predict_proba(df)
+    assert p.count() == df.count() and p.select("row_id").distinct().count() == df.count()
+    curve = [r["proba"] for r in mdl.calibration_points(m_ret, spark, n=20).orderBy("prior_orders").collect()]
+    slope = m_ret.lr.coefficients[0]
+    assert all((b - a) * slope >= -1e-15 for a, b in zip(curve, curve[1:]))
+
+
+def test_backtest_loop_with_constant_scorer(spark):
+    from orderlens.plans import backtest as bt
+    feats, _ = c.new_cohort_features(spark, SF)
+    feats = c.drop_missing_dates(feats)
+
+    def constant(train, test):
+        return test.select("row_id", F.lit(0.5).alias("proba"))
+    res = {r["test_month"]: r for r in bt.cumulative_months_loop(feats, constant, period="year").collect()}
+    counts = {r["test_month"]: r for r in bt.expanding_month_counts(feats, period="year").collect()}
+    assert res.keys() == counts.keys() and len(res) > 0
+    for m, r in res.items():
+        assert r["test_auc"] == 0.5 and r["n_train"] == counts[m]["n_train"]
+        assert r["n_test"] == counts[m]["n_test"]
