@@ -11,23 +11,81 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe, embeddings, html_text, minhash, packing, secret_crf, substring, suffix, topk, toxicity
 from .common import table
-from .minhash import near_classes
-from .suffix import suffix_dedup
+
+
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_links(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_crf.scan(docs, secret_crf.train(docs))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_crf")
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans are [start, end) in code points of the input text."""
+    out = substring.substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("removed_spans", lambda s: F.concat_ws(":", s[0], s[1]))
+    return out.select(
+        "doc_id",
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0]).alias("n_removed"),
+        F.array_join(spans, ",").alias("spans"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = toxicity.judge(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", F.round("tox_score", 6).alias("score"), F.col("tox_categories").alias("categories"), F.col("tox_reject").alias("toxic"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffix_dedup(table(spark, sf_dir, "documents"), length=50)
+    out = suffix.suffix_dedup(table(spark, sf_dir, "documents"), length=50)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_classes(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return minhash.near_classes(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.word_counts(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op8_suffix_dedup": op8_suffix_dedup,
-    "op9_minhash_dedup": op9_minhash_dedup,
-}
+    f.__name__: f
+    for f in (
+        op1_embedding_dedup, op2_secret_scan, op3_bpe_round_trip, op4_html_text, op5_substring_dedup,
+        op6_toxicity, op7_top_k, op8_suffix_dedup, op9_minhash_dedup, op10_best_fit_packing,
+    )
+}
 
 ORACLE: dict[str, str] = {}
