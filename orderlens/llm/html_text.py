@@ -35,18 +35,19 @@ from pyspark.sql.types import StructType
 
 from .common import ship
 
-SAMPLE = 300
+SAMPLE = 500
 PATH_DIM, WORD_DIM, NUMBERS = 64, 48, 7
 DIM = PATH_DIM + WORD_DIM + NUMBERS
 HIDDEN = 16
-EPOCHS = 14
+EPOCHS = 16
 
 #: Fixed values of HTML: elements that break a text into blocks, that hold no text, and that never nest.
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
-SILENT = frozenset("script style noscript template svg math iframe object head title select textarea button option canvas audio video".split())
+RAW = ("script", "style", "textarea", "title", "iframe", "noscript", "xmp")
+SILENT = frozenset("template svg math object head select button option canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Words in tags, classes and ids that tell main text or boilerplate in the training labels.
 MAIN = frozenset("article main".split())
@@ -55,6 +56,7 @@ OTHER = frozenset(
 )
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
@@ -85,7 +87,10 @@ def blocks_of(page) -> list[Block]:
                 out.append(Block(path, text, links))
         parts, links = [], 0
 
-    for m in _TOKEN.finditer(page):
+    pos = 0
+    while pos < len(page):
+        m = _TOKEN.match(page, pos)
+        pos = m.end()
         cdata, closing, name, attributes, text = m.groups()
         if text is not None or cdata is not None:
             if not silent:
@@ -95,6 +100,10 @@ def blocks_of(page) -> list[Block]:
         if name is None:
             continue
         name = name.lower()
+        if name in RAW and not closing:  # its content is no markup
+            end = _RAW_END[name].search(page, pos)
+            pos = end.end() if end else len(page)
+            continue
         if silent:
             if name == silent_name:
                 silent += -1 if closing else 1
