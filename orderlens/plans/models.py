@@ -209,9 +209,9 @@ class BoostedTreeModel:
             depth: int = 4, step: float = 0.03, min_leaf: int = 5, bins: int = 166,
             seed: int = 42) -> "BoostedTreeModel":
         idx = [f"__gi_{i}" for i in range(len(cat_cols))]
-        card = train.agg(*[F.count_distinct(F.col(f"`{c}`")) for c in cat_cols]).first() if cat_cols else []
-        max_bins = max([bins] + [int(x) + 2 for x in card])
-        stages = [StringIndexer(inputCols=[f"`{c}`" if False else c for c in cat_cols], outputCols=idx,
+        card = train.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.01) for c in cat_cols]).first() if cat_cols else []
+        max_bins = max([bins] + [int(x * 1.1) + 8 for x in card])  # an estimate, with room for its error
+        stages = [StringIndexer(inputCols=cat_cols, outputCols=idx,
                                 stringOrderType="alphabetAsc", handleInvalid="keep")] if cat_cols else []
         stages.append(VectorAssembler(inputCols=idx + num_cols, outputCol="features"))
         stages.append(GBTClassifier(featuresCol="features", labelCol=TARGET, weightCol="__w",
@@ -222,12 +222,6 @@ class BoostedTreeModel:
         from orderlens.session import shared_dir
         shared_dir(train.sparkSession)  # boosting checkpoints (every 10 rounds) go to the shared folder
         d = train.withColumn("__w", class_weights(train))
-        # each boosting round is a handful of jobs over the whole input: size the
-        # partitions to the data (~1M rows each) so small inputs do not pay for
-        # idle tasks and large ones keep full parallelism
-        n = d.count()
-        parts = max(1, min(d.sparkSession.sparkContext.defaultParallelism * 4, n // 1_000_000 + 1))
-        d = d.repartition(parts).cache()
         return BoostedTreeModel(Pipeline(stages=stages).fit(d), cat_cols, num_cols)
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
@@ -251,7 +245,7 @@ class FixedLogistic:
 
 
 def route_and_score(df: DataFrame, config: dict, contexts: dict, new_model, returning_model,
-                    threshold: float = 0.5, digits: int | None = 12) -> DataFrame:
+                    threshold: float = 0.5) -> DataFrame:
     """M4 + M5: send new contacts (prior count < 1 or NULL) through the
     feature build to ``new_model`` and the rest to ``returning_model``; one
     probability per input row (keyed by row id), decision = proba >= threshold."""
@@ -263,8 +257,7 @@ def route_and_score(df: DataFrame, config: dict, contexts: dict, new_model, retu
     new = new_model.predict_proba(feats_new).withColumn("route", F.lit("new"))
     ret = returning_model.predict_proba(df.filter(~flag)).withColumn("route", F.lit("returning"))
     out = new.unionByName(ret)
-    p = F.round(F.col("proba"), digits) if digits is not None else F.col("proba")
-    return out.select(ROW_ID, "route", p.alias("proba"),
+    return out.select(ROW_ID, "route", "proba",
                       (F.col("proba") >= F.lit(threshold)).cast("int").alias("decision"))
 
 
@@ -303,10 +296,11 @@ def save_metadata(spark, path: str, threshold: float, train_through: str, test_m
 
 
 def load_threshold(spark, path: str, default: float = 0.5) -> float:
-    try:
-        return float(spark.read.parquet(path).first()["threshold"])
-    except Exception:  # noqa: BLE001
-        return default
+    """The saved threshold; ``default`` only where the metadata holds none.  A missing or
+    unreadable folder is an error."""
+    row = spark.read.parquet(path).first()
+    found = row.asDict().get("threshold") if row else None
+    return default if found is None else float(found)
 
 
 def calibration_points(model: PriorCountModel, spark, n: int = 300, lo: float = 0.0,
@@ -346,8 +340,7 @@ def save_full_model(m: FullFeatureModel, path: str) -> None:
         e.te_maps[c].write.mode("overwrite").parquet(os.path.join(path, f"te_{i}"))
     fc = e.fc
     _write_json(path, {
-        "fc": {k: getattr(fc, k) for k in ("cat_cols", "num_cols", "bin_cols", "geo_cols", "te_cat_cols",
-                                           "te_alpha", "cat_drop_first")},
+        "fc": fc.to_dict(),
         "scale": {c: [s.mean, s.std] for c, s in e.scale.items()},
         "global_mean": e.global_mean, "names": e.names, "group_map": e.group_map,
         "has_index": e.index_model is not None})
@@ -356,7 +349,7 @@ def save_full_model(m: FullFeatureModel, path: str) -> None:
 def load_full_model(spark, path: str) -> FullFeatureModel:
     from pyspark.ml.classification import LogisticRegressionModel
     meta = _read_json(spark, path)
-    fc = FeatureColumns(**meta["fc"])
+    fc = FeatureColumns.from_dict(meta["fc"])
     index_model = PipelineModel.load(os.path.join(path, "index")) if meta["has_index"] else None
     te_maps = {c: spark.read.parquet(os.path.join(path, f"te_{i}")) for i, c in enumerate(fc.te_cols)}
     e = OrderEncoderModel(fc, index_model, {c: enc.ScaleStats(*v) for c, v in meta["scale"].items()},
@@ -403,8 +396,8 @@ class OrderOutcomePredictor:
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         return route_and_score(df, self.config, self.contexts, self.new, self.returning,
-                               self.threshold, digits=None).select(ROW_ID, "route", "proba")
+                               self.threshold).select(ROW_ID, "route", "proba")
 
     def predict(self, df: DataFrame) -> DataFrame:
         return route_and_score(df, self.config, self.contexts, self.new, self.returning,
-                               self.threshold, digits=None)
+                               self.threshold)

@@ -204,23 +204,59 @@ def test_spec_validation():
         validate_config({"features": {"x": {"type": "numeric", "nan": "fill"}}})
 
 
-def test_substring_trigram_path_equals_nested_loop(spark):
+def test_substring_match_equals_brute_force(spark):
     import random
     from orderlens.operators.lookups import substring_match
     rnd = random.Random(2)
     names = ["Ор", "Орел", "Орел-2", "Елец", "Ёлка", "Москва", "Мос", "ква", "Нижний Новгород",
-             "Новгород", "ab", "abc", "bca"]
+             "Новгород", "ab", "abc", "bca", "орел", "г. Москва", "г. Мос", None]
     cities = spark.createDataFrame([(i, n, f"R{i}") for i, n in enumerate(names)],
                                    "ord long, name string, region string")
     words = ["г.", "Орел", "ОРЕЛ-2", "ёлка", "москва", "нижний", "новгород", "abca", "x", "ор"]
     texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 4))) for _ in range(300)] + [None]
     hay = spark.createDataFrame([(t,) for t in texts], "t string")
-    norm = {"lower": True, "replace": {"ё": "е"}}
-    a = {r["t"]: r["match"]["name"] for r in substring_match(hay, "t", cities, "name", "ord", norm,
-                                                              nested_loop_max_texts=None).collect()}
-    b = {r["t"]: r["match"]["name"] for r in substring_match(hay, "t", cities, "name", "ord", norm,
-                                                              nested_loop_max_texts=0).collect()}
-    assert a == b and len(a) > 20
+    norm = lambda t: t.lower().replace("ё", "е")
+    got = {r["t"]: r["match"]["ord"] for r in substring_match(hay, "t", cities, "name", "ord",
+                                                              {"lower": True, "replace": {"ё": "е"}}).collect()}
+    want = {}
+    for t in {t for t in texts if t is not None}:
+        hits = [(-len(n), i) for i, n in enumerate(names) if n is not None and norm(n) in norm(t)]
+        if hits:
+            want[t] = min(hits)[1]
+    assert got == want and len(got) > 20
+    none = substring_match(hay, "t", cities.where("ord < 0"), "name", "ord")
+    assert none.count() == 0
+
+
+def test_arithmetic_reads_built_and_overwritten_features(spark):
+    rows = [(1, 10.0, 2.0), (2, 4.0, 0.0), (3, None, 1.0)]
+    res, _ = run(spark, rows, "id int, x double, d double", {
+        "before": {"type": "numeric", "op": {"name": "arithmetic", "sources": ["x"], "formula": "x + 0"}},
+        "x": {"type": "numeric", "op": {"name": "clip", "source": "x", "upper": 6}},
+        "twice": {"type": "numeric", "op": {"name": "arithmetic", "sources": ["x"], "formula": "`x` * 2"}},
+        "ratio": {"type": "numeric", "op": {"name": "arithmetic", "sources": ["twice", "d"],
+                                            "formula": "(twice + 1) / d"}}})
+    assert [res[i]["before"] for i in (1, 2, 3)] == [10.0, 4.0, None]
+    assert [res[i]["twice"] for i in (1, 2, 3)] == [12.0, 8.0, None]
+    assert [res[i]["ratio"] for i in (1, 2, 3)] == [6.5, None, None]
+
+
+def test_integer_casts_are_exact(spark):
+    from orderlens.functions.ops import Val, to_long
+    from pyspark.sql import functions as F
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big, str(big), 4.0)], "a long, b string, c double")
+    got = df.select(*[to_long(Val(F.col(c), df.schema[c].dataType), c).alias(c) for c in "abc"]).first()
+    assert tuple(got) == (big, big, 4)
+    with pytest.raises(Exception):
+        df.select(to_long(Val(F.lit(1.5), df.schema["c"].dataType), "x")).collect()
+
+
+def test_spec_faults_are_listed_together():
+    from orderlens.plans.spec import SpecError, validate_config
+    with pytest.raises(SpecError) as e:
+        validate_config({"features": {"a": {"type": "bogus"}, "b": {"type": "target_encoding"}, "c": 3}})
+    assert len(e.value.faults) == 3
 
 
 def test_cast_str_and_length_write_floats_like_python(spark):

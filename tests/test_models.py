@@ -39,7 +39,7 @@ def test_predictor_round_trip_and_one_row_per_input(spark, fitted):
     assert pred.threshold == 0.42
     out = pred.predict(df)
     assert out.count() == df.count() and out.select("row_id").distinct().count() == df.count()
-    direct = mdl.route_and_score(df, c.load_feature_config(), ctx, m_new, m_ret, 0.42, digits=None)
+    direct = mdl.route_and_score(df, c.load_feature_config(), ctx, m_new, m_ret, 0.42)
     a = {r["row_id"]: r["proba"] for r in out.collect()}
     b = {r["row_id"]: r["proba"] for r in direct.collect()}
     assert all(math.isclose(a[k], b[k], rel_tol=1e-9, abs_tol=1e-12) for k in a)
