@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderlens.functions.ops import Val, is_numeric, is_string, nan_to_null, plain_text, to_double
+from orderlens.functions.ops import Val, is_numeric, is_string, to_double, to_long
 from orderlens.schema import (CONTACT_COL, DATE_COL, DEAL_COUNT_COL, FALSE_TEXT, LEAKAGE_COLUMNS,
                               NAN_TOKEN, ROW_ID, TARGET, TRUE_TEXT, UNKNOWN_OUTCOME_COL)
 
@@ -78,9 +78,9 @@ def clean_raw(df: DataFrame, date_format: str | None = None) -> DataFrame:
     return df.drop(*[c for c in LEAKAGE_COLUMNS if c in df.columns])
 
 
-# nested time buckets (each divides the one before): day, hour, minute, second
-BUCKET_LEVELS = (86400, 3600, 60, 1)
-MAX_BUCKET_ROWS = 5_000_000
+#: Seconds of a time bucket, and bits of an id that one id bucket spans.
+BUCKET_SECONDS = 3600
+ID_BITS = 20
 
 
 def _seconds(c: Column, t: T.DataType) -> Column:
@@ -94,83 +94,53 @@ def _seconds(c: Column, t: T.DataType) -> Column:
 
 def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
                       created_col: str = "lead_created_at", id_col: str = ROW_ID,
-                      count_col: str = DEAL_COUNT_COL,
-                      max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
+                      count_col: str = DEAL_COUNT_COL) -> DataFrame:
     """Rebuild each contact's prior-order count as of every order.
 
-    Per contact, rows are ordered by (created, NULLs last; row id); ``rank`` is
-    the 0-based position, ``total`` the contact's row count and ``last`` the
-    last non-NULL snapshot in that order.  Result: ``rank`` if
+    Per contact, rows are ordered by (created, NULL and NaN last; row id);
+    ``rank`` is the 0-based position, ``total`` the contact's row count and
+    ``last`` the last non-NULL snapshot in that order.  Result: ``rank`` if
     ``last < total`` else ``last - total + 1 + rank``.  NULL-contact rows keep
     their value.  ``created_col`` may be epoch seconds or a timestamp.
 
-    Hot-contact safe.  ``total``/``last`` are partial aggregates.  The rank
-    is decomposed over nested time buckets (day, then hour, minute, second,
-    descending only while some (contact, bucket) holds more than
-    ``max_bucket_rows`` rows): rank = sum over levels of the rows in earlier
-    sibling buckets + the position inside the finest bucket.  Each prefix is
-    a window over one parent's child-bucket counts (<= 24 or 60 rows; the
-    day level is bounded by the time span); the row-level window runs over
-    one finest bucket only.  Offsets are computed on aggregated tables and
-    joined to the rows once, on the same keys the row window partitions by.
+    Hot-contact safe, by one plan at every size.  ``total`` and ``last`` are
+    partial aggregates.  A contact's rows are cut into hours (rows without a
+    time: into id ranges, which come after all hours): rank = rows of earlier
+    buckets + position inside the bucket.  The first is a window over the
+    contact's bucket counts, bounded by the time span; the second a window
+    over the rows of one contact and hour.
     """
     if contact_col not in df.columns:
         return df
     cols = df.columns
     created = F.col(f"`{created_col}`")
+    if isinstance(df.schema[created_col].dataType, (T.FloatType, T.DoubleType)):
+        created = F.nanvl(created, F.lit(None).cast("double"))
     rid = F.col(f"`{id_col}`")
     snap = F.col(f"`{count_col}`")
     contact = F.col(f"`{contact_col}`")
     known = df.filter(contact.isNotNull())
     unknown = df.filter(contact.isNull())
 
-    secs = _seconds(created, df.schema[created_col].dataType)
-    sentinel = F.lit(1 << 62)  # NULL created sorts last at every level
-    bkeys = [f"__b{k}" for k in range(len(BUCKET_LEVELS))]
-    # rows without a creation time sort last, by id alone: below the day level
-    # they are bucketed by id ranges (contiguous in that order) instead of time
-    id_shift = (None, 40, 20, 0)
+    hour = F.floor(_seconds(created, df.schema[created_col].dataType) / BUCKET_SECONDS).cast("long")
     known = known.withColumns({
-        bkeys[k]: (F.coalesce(F.floor(secs / lv).cast("long"), sentinel) if id_shift[k] is None
-                   else F.when(secs.isNull(), F.shiftright(rid.cast("long"), id_shift[k]))
-                         .otherwise(F.floor(secs / lv).cast("long")))
-        for k, lv in enumerate(BUCKET_LEVELS)})
-    # day-level counts serve both the size probe and (usually) the finest table
-    day = known.groupBy(contact.alias("__c"), F.col(bkeys[0])).agg(F.count(F.lit(1)).alias("__n"))
-    depth = 0
-    if max_bucket_rows is not None:
-        day = day.cache()
-        for k in range(len(BUCKET_LEVELS)):
-            depth = k
-            counts = day if k == 0 else known.groupBy(contact, F.col(bkeys[k])).agg(
-                F.count(F.lit(1)).alias("__n"))
-            mx = counts.agg(F.max("__n")).first()[0]
-            if mx is None or mx <= max_bucket_rows:
-                break
-    keys = bkeys[:depth + 1]
-
+        "__late": created.isNull().cast("int"),
+        "__b": F.when(created.isNull(), F.shiftright(rid.cast("long"), ID_BITS)).otherwise(hour)})
+    keys = ["__late", "__b"]
     order_key = F.struct(created.isNull(), created, rid)
-    per_contact = known.groupBy(contact.alias("__c")).agg(
-        F.count(F.lit(1)).alias("__total"),
-        F.max_by(snap, F.when(snap.isNotNull(), order_key)).alias("__last"))
-
-    fine = day if depth == 0 else known.groupBy(contact.alias("__c"), *keys).agg(
-        F.count(F.lit(1)).alias("__n"))
-    offsets = fine.select("__c", *keys, F.lit(0).cast("long").alias("__before"))
-    for k in range(depth + 1):
-        lvl = fine.groupBy("__c", *keys[:k + 1]).agg(F.sum("__n").alias("__m"))
-        w = (Window.partitionBy("__c", *keys[:k]).orderBy(keys[k])
-             .rowsBetween(Window.unboundedPreceding, -1))
-        lvl = lvl.select("__c", *keys[:k + 1],
-                         F.coalesce(F.sum("__m").over(w), F.lit(0)).alias(f"__o{k}"))
-        offsets = offsets.join(lvl, ["__c", *keys[:k + 1]])
-        offsets = offsets.withColumn("__before", F.col("__before") + F.col(f"__o{k}")).drop(f"__o{k}")
-    offsets = offsets.join(per_contact, "__c")
+    per_bucket = known.groupBy(contact.alias("__c"), *keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.max(F.when(snap.isNotNull(), F.struct(order_key.alias("o"), snap.alias("s")))).alias("__top"))
+    in_order = Window.partitionBy("__c").orderBy(*keys)
+    whole = Window.partitionBy("__c")
+    offsets = per_bucket.select(
+        "__c", *[F.col(k).alias(f"{k}_o") for k in keys],
+        F.coalesce(F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.sum("__n").over(whole).alias("__total"), F.max("__top").over(whole)["s"].alias("__last"))
 
     wr = Window.partitionBy(contact, *keys).orderBy(created.asc_nulls_last(), rid.asc())
     known = known.withColumn("__rn", F.row_number().over(wr) - 1)
-    j = known.join(offsets.withColumnsRenamed({kk: f"{kk}_o" for kk in keys}),
-                   (contact == F.col("__c")) & F.expr(" AND ".join(f"{kk} = {kk}_o" for kk in keys)))
+    j = known.join(offsets, (contact == F.col("__c")) & F.expr(" AND ".join(f"{k} = {k}_o" for k in keys)))
     rank = (F.col("__before") + F.col("__rn")).cast("double")
     last = F.col("__last")
     total = F.col("__total")
@@ -200,14 +170,15 @@ def select_canonical_columns(df: DataFrame, feature_cols: list[str],
 
 
 def normalize_string_categoricals(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Numbers -> integer text without '.0'; NULL kept; absent ignored."""
+    """Whole numbers -> integer text without '.0', exact above 2^53; a fraction fails the
+    job; NULL and NaN -> NULL; absent columns ignored."""
     upd = {}
     for c in columns:
         if c not in df.columns:
             continue
         v = _val(df, c)
         if is_numeric(v.dtype):
-            upd[c] = nan_to_null(Val(v.col.cast("double"), T.DoubleType())).col.cast("long").cast("string")
+            upd[c] = to_long(v, f"text of {c}").cast("string")
         else:
             upd[c] = v.col.cast("string")
     return df.withColumns(upd) if upd else df
@@ -222,13 +193,6 @@ def month_of(col: str = DATE_COL) -> Column:
     return F.date_format(F.col(col), "yyyy-MM")
 
 
-def month_range_filter(df: DataFrame, month: str, col: str = DATE_COL) -> DataFrame:
-    """P11 as a range predicate (prunes partitions / row groups): one month."""
-    start = F.to_timestamp_ntz(F.lit(month + "-01"))
-    end = F.add_months(F.to_date(F.lit(month + "-01")), 1).cast("timestamp_ntz")
-    return df.filter((F.col(col) >= start) & (F.col(col) < end))
-
-
 def tree_prep(df: DataFrame, cat_cols: list[str], num_cols: list[str]) -> DataFrame:
     """Categoricals -> text with NULL as '__NaN__'; numbers -> double, NULL -> 0."""
     df = normalize_string_categoricals(df, cat_cols)

@@ -1,7 +1,6 @@
 """Context tables for the feature ops (B2 = A1-A3 + the city dictionary).
 
-All are small aggregates keyed uniquely; they are cached because several
-features and both cohorts read them.
+All are small aggregates with unique keys.
 """
 
 from __future__ import annotations
@@ -68,10 +67,11 @@ def big_city_flags(raw_cities: DataFrame) -> DataFrame:
                       .groupBy("name").agg(F.lit(1).alias("flag")))
 
 
-def build_contexts(df: DataFrame, raw_cities: DataFrame, cache: bool = True,
-                   max_city_rows: int | None = None) -> dict:
+def build_contexts(df: DataFrame, raw_cities: DataFrame) -> dict:
     """B2: context tables computed from ``df`` (pass a train-only frame to
-    keep later months out of the manager statistics)."""
+    keep later months out of the manager statistics).  They are plans; stage
+    them (:func:`orderlens.plans.models.save_contexts`) to share one
+    computation between many builds."""
     cities = city_dictionary(raw_cities)
     tables = {
         "russia_cities": cities,
@@ -79,10 +79,8 @@ def build_contexts(df: DataFrame, raw_cities: DataFrame, cache: bool = True,
         "mgr_group_map": manager_tiers(df),
         "big_city_map": big_city_flags(raw_cities),
     }
-    if cache:
-        tables = {k: v.cache() for k, v in tables.items()}
     return {
-        "russia_cities": RowsTable(tables["russia_cities"], order="ord", max_rows=max_city_rows),
+        "russia_cities": RowsTable(tables["russia_cities"], order="ord"),
         "manager_map": MapTable(tables["manager_map"], "manager", "n"),
         "mgr_group_map": MapTable(tables["mgr_group_map"], "manager", "tier"),
         "big_city_map": MapTable(tables["big_city_map"], "name", "flag"),

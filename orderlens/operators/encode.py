@@ -4,12 +4,11 @@ encoding (plain and out-of-fold) and the assembled feature vector.
 Target encoding is one aggregate per column: sums by (value) for the plain
 map, by (value, fold) for out-of-fold values, where the other folds' sums
 are the value total minus the own fold -- one group-by instead of k.
-The global mean is a scalar; maps are joined back with a size check.
+The global mean is a scalar; maps are joined back by equi-join.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderlens.functions.ops import Val, plain_text, to_double
-from orderlens.operators.lookups import size_checked
+from orderlens.operators.lookups import left_lookup
 
 
 def global_mean(df: DataFrame, target: str) -> float:
@@ -41,9 +40,9 @@ def target_map(df: DataFrame, col: str, target: str, alpha: float, g: float) ->
 
 def apply_target_map(df: DataFrame, col: str, tmap: DataFrame, g: float, out: str) -> DataFrame:
     """Left lookup; unseen or NULL -> global mean."""
-    t = size_checked(tmap.select(F.col("value").alias("__te_v"), F.col("te").alias("__te")))
-    j = df.join(t, F.col(f"`{col}`") == F.col("__te_v"), "left")
-    return j.withColumn(out, F.coalesce(F.col("__te"), F.lit(g))).drop("__te_v", "__te")
+    t = tmap.select(F.col("value").alias("__te_v"), F.col("te").alias("__te"))
+    j = left_lookup(df, F.col(f"`{col}`"), t, "__te_v")
+    return j.withColumn(out, F.coalesce(F.col("__te"), F.lit(g))).drop("__te")
 
 
 def oof_target_encode(df: DataFrame, col: str, target: str, fold: str, alpha: float,
@@ -58,7 +57,6 @@ def oof_target_encode(df: DataFrame, col: str, target: str, fold: str, alpha: fl
         "__v", "__f",
         (F.sum("__s").over(w) - F.col("__s")).alias("__so"),
         (F.sum("__n").over(w) - F.col("__n")).alias("__no"))
-    stats = size_checked(stats)
     j = df.join(stats, (v == F.col("__v")) & (F.col(fold) == F.col("__f")), "left")
     te = F.when(F.col("__no") > 0, smoothed(F.col("__so"), F.col("__no"), g, alpha))
     return j.withColumn(out, F.coalesce(te, F.lit(g))).drop("__v", "__f", "__so", "__no")
@@ -88,7 +86,7 @@ def onehot_long(df: DataFrame, cols: list[str], id_col: str = "row_id") -> DataF
     vocab = long.select("feature", "category").distinct()
     w = Window.partitionBy("feature").orderBy("category")  # over the distinct vocabulary
     vocab = vocab.withColumn("slot", (F.dense_rank().over(w) - 1).cast("int"))
-    return (long.join(size_checked(vocab), ["feature", "category"])
+    return (long.join(vocab, ["feature", "category"])
                 .select(id_col, "feature", "category",
                         F.concat(F.col("feature"), F.lit("_"), F.col("category")).alias("onehot_col"),
                         "slot"))
@@ -103,14 +101,8 @@ class ScaleStats:
 def scale_stats(df: DataFrame, col: str) -> ScaleStats:
     """E2 fit: NULL -> 0, population std, zero std -> 1."""
     x = F.coalesce(to_double(Val(F.col(f"`{col}`"), df.schema[col].dataType)), F.lit(0.0))
-    r = df.agg(F.sum(x).alias("s"), F.sum(x * x).alias("ss"), F.count(F.lit(1)).alias("n")).first()
-    n = r["n"]
-    if not n:
-        return ScaleStats(0.0, 1.0)
-    mean = r["s"] / n
-    var = (r["ss"] - r["s"] * r["s"] / n) / n
-    std = math.sqrt(var) if var > 0 else 0.0
-    return ScaleStats(mean, std if std != 0 else 1.0)
+    r = df.agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std")).first()
+    return ScaleStats(r["mean"] or 0.0, r["std"] or 1.0)
 
 
 def scaled(df: DataFrame, col: str, st: ScaleStats) -> Column:

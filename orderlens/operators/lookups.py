@@ -1,9 +1,9 @@
 """Lookups: keyed (J1/J3), substring (J2) and top-n membership.
 
-Broadcast rule: a side is broadcast only when its row count is proven small
--- either bounded by construction (``max_rows``) or checked with a bounded
-``limit(n+1).count()`` -- otherwise the join is left to the planner (sort-merge
-with AQE skew splitting, or a runtime broadcast under the size threshold).
+All are equi-joins without broadcast hints: Spark broadcasts a side by its
+measured bytes (the runtime threshold), otherwise it sorts and merges, and AQE
+splits hot keys.  NULL keys never match, so they are spread by a hash of the
+row instead of meeting in one partition.
 """
 
 from __future__ import annotations
@@ -13,107 +13,67 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.ops import LookupJoin, normalize_text
 
-BROADCAST_MAX_ROWS = 200_000
 
-
-def size_checked(df: DataFrame, max_rows: int | None = None,
-                 limit: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``limit`` rows, else ``df``.
-
-    Without a bound known by construction the table is cached and counted
-    up to ``limit + 1`` rows, so the check and the join share one
-    computation; a larger table is joined by the planner (sort-merge, AQE
-    skew splitting, or a runtime broadcast if its shuffle output is small).
-    """
-    if max_rows is not None and max_rows <= limit:
-        return F.broadcast(df)
-    df = df.cache()
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+def left_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str) -> DataFrame:
+    """``df`` left-joined to ``table`` on ``key = table_key`` (dropped from the
+    result); the table's other column names must not occur in ``df``."""
+    spread = F.when(key.isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).otherwise(F.lit(0))
+    t = table.withColumnRenamed(table_key, "__lk_table").withColumn("__lk_none", F.lit(0).cast("long"))
+    j = df.withColumns({"__lk_key": key, "__lk_spread": spread.cast("long")})
+    j = j.join(t, (F.col("__lk_key") == F.col("__lk_table")) & (F.col("__lk_spread") == F.col("__lk_none")), "left")
+    return j.drop("__lk_key", "__lk_spread", "__lk_table", "__lk_none")
 
 
 def keyed_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str,
-                 out: dict[str, str], max_rows: int | None = None) -> DataFrame:
+                 out: dict[str, str]) -> DataFrame:
     """Left equi lookup; ``out`` = {new column: table column}.  The table key
     is unique by construction (aggregated context tables)."""
-    k = "__lk_key"
-    t = table.select(F.col(table_key).alias("__lk_tkey"),
-                     *[F.col(src).alias(dst) for dst, src in out.items()])
-    t = size_checked(t, max_rows)
-    j = df.withColumn(k, key).join(t, F.col(k) == F.col("__lk_tkey"), "left")
-    return j.drop(k, "__lk_tkey")
-
-
-NGRAM = 3
-NESTED_LOOP_MAX_TEXTS = 100_000
+    t = table.select(F.col(table_key).alias("__lk_tkey"), *[F.col(src).alias(dst) for dst, src in out.items()])
+    return left_lookup(df, key, t, "__lk_tkey")
 
 
 def substring_match(haystacks: DataFrame, hay_col: str, table: DataFrame, match_field: str,
-                    order_col: str, normalize: dict | None = None,
-                    max_rows: int | None = None,
-                    nested_loop_max_texts: int | None = NESTED_LOOP_MAX_TEXTS) -> DataFrame:
+                    order_col: str, normalize: dict | None = None) -> DataFrame:
     """Best needle per distinct haystack: the longest raw needle contained in
     the normalised haystack wins; ties keep table order.
 
     Returns ``(hay_col, match)`` where ``match`` is the whole matched row as a
-    struct, NULL when nothing matches.  Haystacks are de-duplicated first (a
-    partial aggregate).  Up to ``nested_loop_max_texts`` distinct texts the
-    candidates come from a nested-loop join against the broadcast needles
-    (texts x needles).  Beyond that, an exact trigram pre-filter: a needle of
-    3+ characters can only occur in a text containing the needle's first
-    trigram, so texts are exploded to their distinct trigrams and equi-joined
-    to the needles' first trigram before the ``contains`` check; needles
-    shorter than 3 characters (few) keep the nested-loop path.
+    struct; haystacks without a match are absent.  Texts are de-duplicated, and
+    needles that are equal after normalisation are reduced to the winning one.
+    A text then yields its distinct substrings of each length that some needle
+    has, and these meet the needles in one equi-join on the whole needle, so
+    neither shared prefixes nor many needles multiply the work.
     """
     norm = normalize or {}
     hay = (haystacks.select(F.col(hay_col).alias("__h")).where(F.col("__h").isNotNull())
                     .distinct()
                     .withColumn("__hn", normalize_text(F.col("__h"), norm)))
-    fields = [c for c in table.columns]
+    raw = F.col(match_field).cast("string")
+    rank = F.struct(-F.length(raw), F.col(order_col))
     needles = (table.where(F.col(match_field).isNotNull())
-                    .select(F.struct(*[F.col(c) for c in fields]).alias("__row"),
-                            normalize_text(F.col(match_field).cast("string"), norm).alias("__nn"),
-                            F.length(F.col(match_field).cast("string")).alias("__len"),
-                            F.col(order_col).alias("__ord")))
-    contained = F.col("__hn").contains(F.col("__nn"))
-    big = False
-    if nested_loop_max_texts is not None:
-        hay = hay.cache()
-        big = hay.limit(nested_loop_max_texts + 1).count() > nested_loop_max_texts
-    if not big:
-        cand = hay.join(size_checked(needles, max_rows), contained, "inner")
-    else:
-        short = needles.where(F.length("__nn") < NGRAM)
-        long = needles.where(F.length("__nn") >= NGRAM).withColumn(
-            "__g", F.substring("__nn", 1, NGRAM))
-        grams = F.expr(f"array_distinct(transform(sequence(1, greatest(length(__hn) - {NGRAM - 1}, 1)), "
-                       f"i -> substring(__hn, i, {NGRAM})))")
-        hay_g = hay.select("__h", "__hn", F.explode(grams).alias("__g"))
-        cand_long = hay_g.join(size_checked(long, max_rows), "__g").where(contained).drop("__g")
-        cand_short = hay.join(size_checked(short, max_rows), contained, "inner")
-        cand = cand_long.unionByName(cand_short)
-    best = (cand.groupBy("__h")
-                .agg(F.min_by(F.col("__row"), F.struct(-F.col("__len"), F.col("__ord")))
-                     .alias("__match")))
+                    .select(F.struct(*[F.col(c) for c in table.columns]).alias("__row"),
+                            normalize_text(raw, norm).alias("__nn"), rank.alias("__rank"))
+                    .groupBy("__nn").agg(F.min_by("__row", "__rank").alias("__row"), F.min("__rank").alias("__rank")))
+    # One small number for each needle length; bounded by the longest needle.
+    lengths = sorted(r[0] for r in needles.select(F.length("__nn")).distinct().collect())
+    parts = [F.expr(f"transform(sequence(1, greatest(length(__hn) - {n - 1}, 1)), i -> substring(__hn, i, {n}))")
+             for n in lengths] or [F.array(F.lit(None).cast("string"))]
+    pieces = hay.select("__h", F.explode(F.array_distinct(F.concat(*parts))).alias("__nn"))
+    best = (pieces.join(needles, "__nn").groupBy("__h")
+                  .agg(F.min_by("__row", "__rank").alias("__match")))
     return best.select(F.col("__h").alias(hay_col), F.col("__match").alias("match"))
 
 
 def apply_lookup(df: DataFrame, lj: LookupJoin) -> DataFrame:
     """Execute a lookup filed by a feature op."""
     if lj.kind == "equi":
-        return keyed_lookup(df, lj.key, lj.table, lj.table_key, lj.out,
-                            lj.params.get("max_rows"))
+        return keyed_lookup(df, lj.key, lj.table, lj.table_key, lj.out)
     if lj.kind == "substring":
         (out_col,) = lj.out.keys()
         k = "__ss_key"
-        df = df.withColumn(k, lj.key)
-        best = substring_match(df, k, lj.table, lj.table_key, lj.params["order"],
-                               lj.params.get("normalize"), lj.params.get("max_rows"))
-        best = best.select(F.col(k).alias("__ss_h"), F.col("match").alias(out_col))
-        # one row per distinct text: broadcast when the count is proven small,
-        # else a shuffle join (AQE splits a hot text's partition)
-        best = size_checked(best)
-        return df.join(best, F.col(k) == F.col("__ss_h"), "left").drop(k, "__ss_h")
+        texts = df.select(lj.key.alias(k))
+        best = substring_match(texts, k, lj.table, lj.table_key, lj.params["order"], lj.params.get("normalize"))
+        return left_lookup(df, lj.key, best.select(F.col(k).alias("__ss_h"), F.col("match").alias(out_col)), "__ss_h")
     raise ValueError(f"unknown lookup kind {lj.kind!r}")
 
 
@@ -121,9 +81,3 @@ def top_n_values(df: DataFrame, col: str, n: int) -> DataFrame:
     """The n most frequent non-null values (ties broken by value) -- A14."""
     return (df.where(F.col(col).isNotNull()).groupBy(col).count()
               .orderBy(F.desc("count"), F.asc(col)).limit(n).select(col))
-
-
-def keep_top_n(df: DataFrame, col: str, n: int) -> DataFrame:
-    """Rows whose ``col`` is among the n most frequent values -- J4 (semi join
-    against an n-row table, broadcast since n is the bound)."""
-    return df.join(F.broadcast(top_n_values(df, col, n)), col, "left_semi")

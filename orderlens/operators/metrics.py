@@ -1,11 +1,11 @@
 """Ranking and threshold metrics over a scored table.
 
 No global window over rows: scores are reduced to one row per distinct
-score (partial aggregation) and cumulative counts come from range buckets --
-per-bucket totals (at most ``buckets`` rows, prefix-summed in one small task)
-plus an ordered window inside each bucket.  Threshold grids count rows per
+score (partial aggregation) and cumulative counts come from range buckets of
+equal depth -- per-bucket totals (prefix-summed in one small task) plus an
+ordered window inside each bucket.  Threshold grids count rows per
 grid cell (grid size + 1 groups at most) and suffix-sum that tiny table.
-Only scalars (min/max score, class totals) reach the driver.
+Only the bucket bounds and scalars (class totals) reach the driver.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orderlens.session import stage_table
+
 DEC = "decimal(38,0)"
 
 
@@ -37,40 +39,53 @@ def score_counts(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
               .select("s", "pos", (F.col("n") - F.col("pos")).alias("neg")))
 
 
-def _summary(counts: DataFrame):
-    r = counts.agg(F.min("s"), F.max("s"), F.sum("pos"), F.sum("neg")).first()
-    return r[0], r[1], int(r[2] or 0), int(r[3] or 0)
+#: Score buckets: two levels of equal depth, so that a row is placed by 2 * FAN comparisons.
+FAN = 32
+
+
+def score_bounds(counts: DataFrame) -> list[float]:
+    """Scores that cut the distinct scores into up to FAN * FAN parts of about equal depth."""
+    steps = [k / (FAN * FAN) for k in range(1, FAN * FAN)]
+    got = counts.agg(F.percentile_approx("s", steps, 20 * FAN * FAN).alias("b")).first()["b"] or []
+    return sorted(set(got))
+
+
+def bucket_index(s: Column, bounds: list[float]) -> Column:
+    """Number of bounds below ``s``: first among every FAN-th bound, then in the part between."""
+    if not bounds:
+        return F.lit(0)
+    every = F.array(*[F.lit(b) for b in bounds])
+    coarse = F.array(*[F.lit(b) for b in bounds[FAN - 1::FAN]]) if len(bounds) >= FAN else F.array().cast("array<double>")
+    block = F.size(F.filter(coarse, lambda b: b < s))
+    rest = F.slice(every, block * FAN + 1, F.lit(FAN))
+    return block * FAN + F.size(F.filter(rest, lambda b: b < s))
+
 
+def cumulative_below(counts: DataFrame) -> DataFrame:
+    """Add ``pos_below``/``neg_below`` (counts at strictly smaller scores).
 
-def cumulative_below(counts: DataFrame, lo: float | None, hi: float | None,
-                     buckets: int = 4096) -> DataFrame:
-    """Add ``pos_below``/``neg_below`` (counts at strictly smaller scores)."""
-    if lo is None:
-        return counts.withColumns({"pos_below": F.lit(0).cast("long"),
-                                   "neg_below": F.lit(0).cast("long")})
-    width = (hi - lo) if hi > lo else 1.0
-    b = F.least(F.floor((F.col("s") - F.lit(lo)) / F.lit(width) * buckets),
-                F.lit(buckets - 1)).cast("int")
-    c = counts.withColumn("b", b)
+    Buckets of equal depth hold about as many distinct scores each, however the
+    scores cluster, so no task's window grows beyond its share."""
+    c = counts.withColumn("b", bucket_index(F.col("s"), score_bounds(counts)))
     per_b = c.groupBy("b").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
-    # at most ``buckets`` rows: an unpartitioned window over them is one small task
+    # at most FAN * FAN rows: an unpartitioned window over them is one small task
     wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     per_b = per_b.select("b", F.coalesce(F.sum("bpos").over(wb), F.lit(0)).alias("bpos_before"),
                          F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("bneg_before"))
     wi = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     c = c.withColumns({"ipos": F.coalesce(F.sum("pos").over(wi), F.lit(0)),
                        "ineg": F.coalesce(F.sum("neg").over(wi), F.lit(0))})
-    j = c.join(F.broadcast(per_b), "b")
+    j = c.join(F.broadcast(per_b), "b")  # FAN * FAN rows at most
     return j.select("s", "pos", "neg",
                     (F.col("bpos_before") + F.col("ipos")).cast("long").alias("pos_below"),
                     (F.col("bneg_before") + F.col("ineg")).cast("long").alias("neg_below"))
 
 
 def ranking(df: DataFrame, y: str = "y", p: str = "p"):
-    """(cumulative table, P, N) for a scored frame."""
-    counts = score_counts(df, y, p).cache()
-    lo, hi, P, N = _summary(counts)  # noqa: N806
-    return cumulative_below(counts, lo, hi), P, N
+    """(cumulative table, P, N) for a scored frame; the score table is staged once."""
+    counts = stage_table(score_counts(df, y, p), "scores")
+    r = counts.agg(F.sum("pos"), F.sum("neg")).first()
+    return cumulative_below(counts), int(r[0] or 0), int(r[1] or 0)
 
 
 def auc_ap(cum: DataFrame, P: int, N: int) -> DataFrame:  # noqa: N803
@@ -86,7 +101,7 @@ def auc_ap(cum: DataFrame, P: int, N: int) -> DataFrame:  # noqa: N803
     return out.select(
         (F.col("num").cast("double") / (F.lit(2.0) * F.lit(P) * F.lit(N)) if both
          else F.lit(None).cast("double")).alias("roc_auc"),
-        (F.round(F.col("ap"), 12) if both else F.lit(None).cast("double")).alias("pr_auc"))
+        (F.col("ap") if both else F.lit(None).cast("double")).alias("pr_auc"))
 
 
 def roc_points(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:

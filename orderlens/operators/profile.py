@@ -22,21 +22,15 @@ def category_order(col: str, known: list[str] | None) -> Column:
 
 
 def category_profile(df: DataFrame, col: str, target: str = TARGET, top_n: int | None = None,
-                     known_order: list[str] | None = None, max_auto: int = 30) -> DataFrame:
+                     known_order: list[str] | None = None) -> DataFrame:
     """Per non-null category: positives, negatives, total (non-null
     targets), rate (0 when total is 0), ``position`` in display order.
 
-    ``top_n`` (or, automatically, 30 when there are more than 30 distinct values
-    including NULL) keeps the most frequent categories through a semi join
-    against that n-row table.
+    All categories are kept; only an explicit ``top_n`` keeps the most frequent
+    ones through a semi join against that n-row table.
     """
     c = F.col(f"`{col}`")
     work = df.select(c.alias("category"), F.col(target).alias("y"))
-    if top_n is None:
-        n_distinct = work.agg(F.count_distinct("category").alias("d"),
-                              F.max(F.when(F.col("category").isNull(), 1).otherwise(0)).alias("z")).first()
-        if n_distinct["d"] + n_distinct["z"] > max_auto:
-            top_n = max_auto
     if top_n is not None:
         top = (work.where(F.col("category").isNotNull()).groupBy("category").count()
                    .orderBy(F.desc("count"), F.asc("category")).limit(top_n).select("category"))
@@ -102,7 +96,7 @@ def numeric_histogram(df: DataFrame, col: str, target: str = TARGET, bins: int =
         "bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"),
         n_total.alias("n_total"), n_pos.alias("n_pos"), (n_total - n_pos).alias("n_neg"),
         F.when(n_total > 0, n_pos / n_total).alias("rate"),
-        F.round(F.lit(mean), 6).alias("mean_value"))
+        F.lit(mean).cast("double").alias("mean_value"))
 
 
 def month_timeline(df: DataFrame, is_new: Column, date_col: str = DATE_COL,
@@ -148,11 +142,11 @@ def feature_drift(df: DataFrame, feature: str, cutoff: str, target: str = TARGET
 
 
 def drift_summary(df: DataFrame, spec: list[dict], cutoff: str, date_col: str = DATE_COL,
-                  target: str = TARGET, digits: int = 6) -> DataFrame:
+                  target: str = TARGET) -> DataFrame:
     """A10: one aggregate pass for all rows of the spec, unpivoted to
     (label, pre, post).  ``mean`` of a number; ``share`` of rows equal to a
     value (NULL text leaves the denominator); ``rate`` of the target,
-    optionally where ``column == value``.  Values rounded to ``digits``."""
+    optionally where ``column == value``."""
     d = F.col(date_col)
     cut = F.to_timestamp_ntz(F.lit(cutoff))
     periods = {"pre": d < cut, "post": d >= cut}
@@ -176,7 +170,7 @@ def drift_summary(df: DataFrame, spec: list[dict], cutoff: str, date_col: str =
                     e = F.avg(F.when(pc, F.col(row.get("column") or tcol)))
             else:
                 raise ValueError(f"unknown agg: {agg!r}")
-            aggs.append(F.round(e, digits).alias(f"{pname}_{i}"))
+            aggs.append(e.alias(f"{pname}_{i}"))
     one = df.agg(*aggs)
     stack = ", ".join(f"{_sql_str(r['label'])}, pre_{i}, post_{i}" for i, r in enumerate(spec))
     return one.selectExpr(f"stack({len(spec)}, {stack}) AS (label, pre, post)")
@@ -203,11 +197,11 @@ def value_counts_top(df: DataFrame, col: str, k: int) -> DataFrame:
     n_distinct = counts.count()
     top = (counts.where(F.col("category").isNotNull())
                  .orderBy(F.desc("n"), F.asc("category")).limit(k))
-    kept = df.join(F.broadcast(top.select(F.col("category").alias(col))), col, "left_semi").count()
-    w = Window.orderBy(F.desc("n"), F.asc("category"))  # over the k-row top table
-    return top.select("category", "n", F.row_number().over(w).cast("int").alias("rank"),
-                      F.lit(n_distinct).cast("long").alias("n_distinct"),
-                      F.lit(kept).cast("long").alias("rows_in_top"))
+    # windows over the k-row top table; the rows a semi join on it keeps are the sum of its counts
+    return top.select(
+        "category", "n", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("category"))).cast("int").alias("rank"),
+        F.lit(n_distinct).cast("long").alias("n_distinct"),
+        F.sum("n").over(Window.partitionBy(F.lit(0))).cast("long").alias("rows_in_top"))
 
 
 def is_numeric_feature(df: DataFrame, col: str, min_distinct: int = 15) -> bool:
@@ -228,12 +222,11 @@ def feature_overview(df: DataFrame, col: str, target: str = TARGET, bins: int =
 
 
 def category_profiles(df: DataFrame, cols: list[str], target: str = TARGET,
-                      known_orders: dict | None = None, max_auto: int = 30) -> DataFrame:
+                      known_orders: dict | None = None, top_n: int | None = None) -> DataFrame:
     """A6 for several features in one pass (long form): rows are exploded to
-    (feature, category) and aggregated once; the automatic top-30 (features
-    with more than 30 distinct values including NULL) and the display order
-    are windows over the aggregated table (bounded by distinct categories
-    per feature), never over rows."""
+    (feature, category) and aggregated once; the display order, and the cut to
+    an explicit ``top_n``, are windows over the aggregated table (bounded by
+    distinct categories per feature), never over rows."""
     known_orders = known_orders or {}
     items = F.array(*[F.struct(F.lit(c).alias("feature"),
                                plain_text(Val(F.col(f"`{c}`"), df.schema[c].dataType)).alias("category"))
@@ -242,12 +235,10 @@ def category_profiles(df: DataFrame, cols: list[str], target: str = TARGET,
     agg = (long.groupBy("feature", "category")
                .agg(F.count(F.lit(1)).alias("rows"), F.sum("y").cast("long").alias("n_pos"),
                     F.count("y").alias("n_total")))
-    per_feature = Window.partitionBy("feature")
-    agg = agg.withColumn("__distinct", F.count(F.lit(1)).over(per_feature))  # NULL counts as a value
     agg = agg.where(F.col("category").isNotNull())
-    top = Window.partitionBy("feature").orderBy(F.desc("rows"), F.asc("category"))
-    agg = (agg.withColumn("__r", F.row_number().over(top))
-              .where((F.col("__distinct") <= max_auto) | (F.col("__r") <= max_auto)))
+    if top_n is not None:
+        top = Window.partitionBy("feature").orderBy(F.desc("rows"), F.asc("category"))
+        agg = agg.withColumn("__r", F.row_number().over(top)).where(F.col("__r") <= top_n)
     known_pos = F.lit(BIG).cast("long")
     for f, known in known_orders.items():
         pos = F.array_position(F.array(*[F.lit(k) for k in known]), F.col("category"))

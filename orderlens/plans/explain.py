@@ -9,17 +9,14 @@ from pyspark.sql.window import Window
 from orderlens.functions.ops import Val, plain_text
 
 
-def grouped_importance(coefs: DataFrame, group_map: DataFrame | None = None,
-                       top_n: int = 25) -> DataFrame:
-    """Sum of |weight| per source feature (or per column without a
-    group map), top n by importance (O4 = TakeOrderedAndProject)."""
-    c = coefs
-    if group_map is not None:
-        c = c.join(F.broadcast(group_map), "name", "left")  # one row per model column
-        key = F.coalesce(F.col("feature"), F.col("name"))
-    else:
-        key = F.col("name")
-    g = c.groupBy(key.alias("feature")).agg(F.sum(F.abs("weight")).alias("importance"))
+def grouped_importance(coefs: DataFrame, top_n: int = 25) -> DataFrame:
+    """Sum of |weight| per source feature, top n by importance (O4 =
+    TakeOrderedAndProject).  ``coefs`` has a row for each model column with its
+    ``weight`` and, if known, the ``feature`` it was made from; otherwise the
+    column's ``name`` is the feature."""
+    key = (F.coalesce("feature", "name") if {"feature", "name"} <= set(coefs.columns)
+           else F.col("feature" if "feature" in coefs.columns else "name"))
+    g = coefs.groupBy(key.alias("feature")).agg(F.sum(F.abs("weight")).alias("importance"))
     top = g.orderBy(F.desc("importance"), F.asc("feature")).limit(top_n)
     w = Window.orderBy(F.desc("importance"), F.asc("feature"))  # over <= top_n rows
     return top.withColumn("rank", F.row_number().over(w).cast("int"))
@@ -38,10 +35,9 @@ def univariate_importance(df: DataFrame, cat_cols: list[str], target: str,
               .select("y", "kv.feature", "kv.category").where(F.col("category").isNotNull()))
     w = long.groupBy("feature", "category").agg(F.sum("y").cast("long").alias("pos"),
                                                 F.count(F.lit(1)).alias("n"))
-    coefs = w.select(F.concat("feature", F.lit("_"), "category").alias("name"), "feature",
-                     (F.col("pos") * F.lit(n_all) - F.col("n") * F.lit(p_all)).cast("decimal(38,0)")
+    coefs = w.select("feature", (F.col("pos") * F.lit(n_all) - F.col("n") * F.lit(p_all)).cast("decimal(38,0)")
                      .alias("weight"))
-    imp = grouped_importance(coefs.select("name", "weight"), coefs.select("name", "feature"), top_n)
+    imp = grouped_importance(coefs, top_n)
     denom = float(n_all) * n_all
     return imp.select("feature", (F.col("importance").cast("double") / F.lit(denom)).alias("importance"),
                       "rank")

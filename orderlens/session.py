@@ -53,11 +53,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir``; when unset (local runs and tests) a
-    fresh folder under the system temp dir is created and registered.
+    Read from ``spark.checkpoint.dir``.  Only a local session (tests) gets a
+    fresh folder under the system temp dir when it is unset; a cluster without
+    the setting is refused, since its executors don't share that disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_FALLBACK.get(id(spark.sparkContext))
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="orderlens-ckpt-")
         _LOCAL_FALLBACK[id(spark.sparkContext)] = d
         try:
@@ -72,14 +75,6 @@ def shared_dir(spark: SparkSession) -> str:
 _LOCAL_FALLBACK: dict = {}
 
 
-def cut_lineage(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never ``localCheckpoint``:
-    a lost executor would lose the only copy)."""
-    spark = spark or df.sparkSession
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
-
-
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a written intermediate table."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
@@ -104,7 +99,7 @@ def cluster_conf(total_cores: int, shared_checkpoint_dir: str) -> dict:
     * scan splits of 256 MB so a task's input fits executor memory;
     * skew join: a partition 5x the median and over 512 MB is split;
     * broadcast joins only under 64 MB at runtime (the library's own
-      broadcasts are bounded by construction or by a row-count check);
+      broadcasts are bounded by construction);
     * checkpoints and staged tables on shared storage (never local disk).
     """
     parts = max(200, 3 * int(total_cores))

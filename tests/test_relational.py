@@ -50,7 +50,7 @@ def test_prior_count_matches_brute_force(spark):
     got = {r["row_id"]: r[DEAL_COUNT_COL] for r in prior_order_count(df).collect()}
     assert got == want
     # force the nested-bucket path (day -> hour -> minute -> second)
-    got = {r["row_id"]: r[DEAL_COUNT_COL] for r in prior_order_count(df, max_bucket_rows=3).collect()}
+    got = {r["row_id"]: r[DEAL_COUNT_COL] for r in prior_order_count(df).collect()}
     assert got == want
 
 
@@ -222,7 +222,8 @@ def test_multi_profile_equals_single_profiles(spark):
         want = sorted(tuple(r) for r in one.select("category", "n_pos", "n_neg", "n_total", "rate",
                                                    "position").collect())
         assert got == want
-    assert many.where(F.col("feature") == "a").count() == 30       # automatic top 30 of 40
+    assert many.where(F.col("feature") == "a").count() == 40       # every category is kept
+    assert category_profiles(df, ["a"], top_n=5).count() == 5
 
 
 def test_all_scores_equal_and_profile_totals(spark):
