@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as _T
 
-from orderlens.functions.ops import Val as _Val, register_op, resolve_input
+from orderlens.functions.ops import Val as _Val, register_op
 from orderlens.operators import encode as enc
 from orderlens.operators import metrics as met
 from orderlens.operators.clean import (capped_prior_count, clean_raw, drop_missing_dates, is_new_column,
@@ -214,8 +214,8 @@ def _q(name: str) -> str:
 
 
 def _sql_groups(expr: str, groups: dict) -> str:
-    from orderlens.functions.post import group_mapping
-    m = group_mapping(groups)
+    from orderlens.functions.post import relabelled
+    m = relabelled(groups)
     whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in m.items())
     return f"(CASE {expr} {whens} ELSE {expr} END)"
 
@@ -702,7 +702,8 @@ FROM g CROSS JOIN s LEFT JOIN c ON g.bin = c.bin"""
 @query("numeric_histogram", sql(HIST_SQL))
 def q_numeric_histogram(spark, sf_dir):
     """30 equal-width price bins over all cleaned orders."""
-    return numeric_histogram(with_prior(spark, sf_dir), "lead_price", bins=30)
+    h = numeric_histogram(with_prior(spark, sf_dir), "lead_price", bins=30)
+    return h.withColumn("mean_value", F.round("mean_value", 6))
 
 
 @query("month_timeline", sql("""
@@ -775,7 +776,8 @@ def _drift_summary_sql() -> str:
 def q_drift_summary(spark, sf_dir):
     """A10: one aggregate pass, unpivoted (label, pre, post)."""
     feats, _ = new_cohort_features(spark, sf_dir)
-    return drift_summary(feats, DRIFT_SPEC, DRIFT_CUTOFF)
+    out = drift_summary(feats, DRIFT_SPEC, DRIFT_CUTOFF)
+    return out.withColumns({c: F.round(c, 6) for c in ("pre", "post")})
 
 
 @query("rate_by_prior_count", sql(f"""
@@ -980,10 +982,15 @@ SELECT CAST({t!r} AS DOUBLE) AS threshold,
 FROM m, rk"""
 
 
+def _metrics_row(df, threshold):
+    """Metrics with the one order-dependent sum rounded as in the SQL."""
+    return met.classification_metrics(df, threshold).withColumn("pr_auc", F.round("pr_auc", 12))
+
+
 @query("metrics", sql(_metrics_sql(0.5)))
 def q_metrics(spark, sf_dir):
     """M7 at threshold 0.5 (AUC with half-credit ties, step-sum AP, MCC)."""
-    return met.classification_metrics(scored(spark, sf_dir), 0.5)
+    return _metrics_row(scored(spark, sf_dir), 0.5)
 
 
 @query("roc_points", sql(SCORE_SQL + RANK_SQL + """
@@ -1089,8 +1096,8 @@ mb AS (WITH {b})
 @query("model_comparison", sql(_comparison_sql()))
 def q_model_comparison(spark, sf_dir):
     """Metric x model table for two scorers (metrics NULL for all dropped)."""
-    a = met.classification_metrics(scored(spark, sf_dir, 7919), 0.5)
-    b = met.classification_metrics(scored(spark, sf_dir, 104729), 0.5)
+    a = _metrics_row(scored(spark, sf_dir, 7919), 0.5)
+    b = _metrics_row(scored(spark, sf_dir, 104729), 0.5)
     return xp.compare_models({"model_a": a, "model_b": b}, MC_METRICS)
 
 
@@ -1132,14 +1139,15 @@ def q_routed_decision(spark, sf_dir):
     st = enc.scale_stats(df, DEAL_COUNT_COL)
     ret_model = FixedLogistic({"__x": ROUTE_COEF["slope_ret"]}, ROUTE_COEF["intercept_ret"],
                               prep=lambda d: d.withColumn("__x", enc.scaled(d, DEAL_COUNT_COL, st)))
-    feats_new, _ = build_features(new, load_feature_config(), ctx)
+    feats_new, _ = new_cohort_features(spark, sf_dir)
     g = enc.global_mean(feats_new, TARGET)
     tmap = enc.target_map(feats_new, "city_clean", TARGET, 10, g)
     new_model = FixedLogistic({"has_future_purchase": ROUTE_COEF["has_future_purchase"],
                                "is_paid_traffic": ROUTE_COEF["is_paid_traffic"],
                                "__city_te": ROUTE_COEF["city_te"]}, ROUTE_COEF["intercept_new"],
                               prep=lambda d: enc.apply_target_map(d, "city_clean", tmap, g, "__city_te"))
-    return route_and_score(df, load_feature_config(), ctx, new_model, ret_model, ROUTE_T)
+    out = route_and_score(df, load_feature_config(), ctx, new_model, ret_model, ROUTE_T)
+    return out.withColumn("proba", F.round("proba", 12))
 
 
 # ---------------------------------------------------------------------------
@@ -1151,7 +1159,7 @@ def q_routed_decision(spark, sf_dir):
 @register_op("ratio")
 def _op_ratio(current, spec, env):
     """User op: input / other column (NULL when the divisor is 0 or NULL)."""
-    num = resolve_input(current, spec, env)
+    num = env.input(current, spec)
     den = env.source(spec["by"])
     return _Val(F.try_divide(num.col.cast("double"), den.col.cast("double")), _T.DoubleType())
 
@@ -1199,13 +1207,13 @@ def q_lr_scores(spark, sf_dir):
 
 @query("backtest")
 def q_backtest(spark, sf_dir):
-    """Expanding-window backtest of the full-feature model, by
-    calendar year (every year after the first; all earlier rows train)."""
+    """Expanding-window backtest of the full-feature model, by month
+    (every eligible month after the first; all earlier rows train)."""
     feats = _new_feats_dated(spark, sf_dir).cache()
 
     def train_fn(train, test):
         return mdl.FullFeatureModel.fit(train, FC).predict_proba(test)
-    return bt.cumulative_months_loop(feats, train_fn, period="year", parallelism=4)
+    return bt.cumulative_months_loop(feats, train_fn, parallelism=8)
 
 
 def _gbt_fit(spark, sf_dir):
@@ -1215,9 +1223,8 @@ def _gbt_fit(spark, sf_dir):
     if k not in _PREPARED:
         feats = tree_prep(_new_feats_dated(spark, sf_dir), TREE_CAT, TREE_NUM)
         safe = {c: f"c{i}" for i, c in enumerate(TREE_CAT + TREE_NUM)}
-        ren = feats.select(ROW_ID, TARGET, *[F.col(f"`{c}`").alias(a) for c, a in safe.items()])
-        tr, te = bt.split_by_month(ren.join(feats.select(ROW_ID, "sale_date"), ROW_ID),
-                                   TRAIN_THROUGH, TEST_MONTH)
+        ren = feats.select(ROW_ID, TARGET, "sale_date", *[F.col(f"`{c}`").alias(a) for c, a in safe.items()])
+        tr, te = bt.split_by_month(ren, TRAIN_THROUGH, TEST_MONTH)
         m = mdl.BoostedTreeModel.fit(tr.drop("sale_date"), [safe[c] for c in TREE_CAT],
                                      [safe[c] for c in TREE_NUM])
         _PREPARED[k] = (m, te.drop("sale_date"))
@@ -1288,8 +1295,8 @@ def q_stream_scores(spark, sf_dir):
     """M4, M5 as a streaming job: prior-corrected orders land as parquet
     files; ``foreachBatch`` scores each micro-batch with the saved contexts
     and the same fixed-coefficient router as ``routed_decision``."""
-    import time as _t
     from orderlens.plans.models import FixedLogistic
+    from orderlens.session import stage_table
     from orderlens.streaming.scoring import score_stream
     df = with_prior(spark, sf_dir)
     base = staging_path(spark, "stream")
@@ -1301,9 +1308,9 @@ def q_stream_scores(spark, sf_dir):
     st = enc.scale_stats(data, DEAL_COUNT_COL)
     ret_model = FixedLogistic({"__x": ROUTE_COEF["slope_ret"]}, ROUTE_COEF["intercept_ret"],
                               prep=lambda d: d.withColumn("__x", enc.scaled(d, DEAL_COUNT_COL, st)))
-    feats_new, _ = build_features(new, load_feature_config(), ctx)
+    feats_new, _ = new_cohort_features(spark, sf_dir)  # the same rows, staged
     g = enc.global_mean(feats_new, TARGET)
-    tmap = enc.target_map(feats_new, "city_clean", TARGET, 10, g).cache()
+    tmap = stage_table(enc.target_map(feats_new, "city_clean", TARGET, 10, g), "te-map", spark)
     new_model = FixedLogistic({"has_future_purchase": ROUTE_COEF["has_future_purchase"],
                                "is_paid_traffic": ROUTE_COEF["is_paid_traffic"],
                                "__city_te": ROUTE_COEF["city_te"]}, ROUTE_COEF["intercept_new"],
@@ -1311,8 +1318,7 @@ def q_stream_scores(spark, sf_dir):
     out = os.path.join(base, "out")
     score_stream(spark, src, data.schema, out, os.path.join(base, "ckpt"), load_feature_config(), ctx,
                  new_model, ret_model, ROUTE_T, max_files_per_trigger=2)
-    _t.sleep(0)
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop("batch_id").withColumn("proba", F.round("proba", 12))
 
 
 # ---------------------------------------------------------------------------
@@ -1346,21 +1352,21 @@ def q_prior_count_events(spark, sf_dir):
     return out.select("event_id", "user_id", F.col("snap").alias("prior_events"))
 
 
-DOC_SCORE_SQL = (", sc AS (SELECT CAST(least(d.n_chars, 5000) AS DOUBLE) / 5000.0 AS p, l.quality AS y "
+DOC_SCORE_SQL = (", sc AS (SELECT CAST(d.n_chars AS DOUBLE) / (d.n_chars + 5000) AS p, l.quality AS y "
                  "FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
 
 
 @query("doc_quality_metrics", sql(_metrics_sql(0.5, DOC_SCORE_SQL)))
 def q_doc_quality_metrics(spark, sf_dir):
-    """M7 on a second binary target: document length as a score of the
+    """M7 on a second binary target: document length, as n / (n + 5000), as a score of the
     labelled quality flag (documents joined to labels; only two columns read)."""
     from orderlens.sources.leads import table
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
     s = d.join(lab, "doc_id").select(
-        (F.least(F.col("n_chars"), F.lit(5000)).cast("double") / F.lit(5000.0)).alias("p"),
+        (F.col("n_chars").cast("double") / (F.col("n_chars") + 5000)).alias("p"),
         F.col("quality").alias("y"))
-    return met.classification_metrics(s, 0.5)
+    return _metrics_row(s, 0.5)
 
 
 @query("backtest_target_maps", sql(FEAT_CTE + """
@@ -1400,7 +1406,8 @@ def q_load_csv_export(spark, sf_dir):
     raw = leads_view(spark, sf_dir)
     path = staging_path(spark, "csv-export")
     write_orders_csv(raw, path)
-    return load_raw_data(spark, path, schema=raw.schema)
+    # cart texts hold line ends inside quotes; the export is many files, one task each
+    return load_raw_data(spark, path, schema=raw.schema, multi_line=True)
 
 
 @query("city_dictionary_json", sql(CITY_SQL.split(",\nhay AS")[0] + """,

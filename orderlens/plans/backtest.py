@@ -32,8 +32,11 @@ def split_by_month(df: DataFrame, train_through: str, test_month: str,
                    date_col: str = DATE_COL) -> tuple[DataFrame, DataFrame]:
     """train = months <= ``train_through``, test = ``test_month``
     ('YYYY-MM'); rows without a date are in neither."""
-    m = month_col(date_col)
-    return df.filter(m <= train_through), df.filter(m == test_month)
+    d = F.col(date_col)
+    start = lambda month, after: F.add_months(F.lit(f"{month}-01").cast("date"), after).cast(df.schema[date_col].dataType)
+    # ranges of the date itself, which reach the scan as pushed filters
+    return (df.filter(d < start(train_through, 1)),
+            df.filter((d >= start(test_month, 0)) & (d < start(test_month, 1))))
 
 
 def split_counts(df: DataFrame, train_through: str, test_month: str, target: str = TARGET,

@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.operators.clean import clean_raw
-from orderlens.schema import DATE_COL
+from orderlens.functions.ops import Val, to_long
+from orderlens.schema import DATE_COL, ROW_ID
 
 
 def read_orders(spark: SparkSession, path: str, fmt: str = "csv",
-                schema: T.StructType | None = None) -> DataFrame:
-    """Read a raw order export.  CSV: header row, quoted multi-line fields;
-    without a schema every column is text and the loader coerces the typed
-    ones (bad values -> NULL)."""
+                schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """Read a raw order export.  CSV: header row, quoted fields; without a
+    schema every column is text and the loader coerces the typed ones (bad
+    values -> NULL).  Files are split into many tasks unless ``multi_line``
+    says that quoted fields hold line ends, which makes each file one task."""
     if fmt == "csv":
-        r = (spark.read.option("header", True).option("multiLine", True)
+        r = (spark.read.option("header", True).option("multiLine", multi_line)
              .option("escape", '"').option("mode", "PERMISSIVE"))
         if schema is not None:
             r = r.schema(schema)
@@ -29,9 +31,15 @@ def read_orders(spark: SparkSession, path: str, fmt: str = "csv",
 
 
 def load_raw_data(spark: SparkSession, path: str, fmt: str = "csv",
-                  schema: T.StructType | None = None, date_format: str | None = None) -> DataFrame:
-    """Read + P1-P5."""
-    return clean_raw(read_orders(spark, path, fmt, schema), date_format)
+                  schema: T.StructType | None = None, date_format: str | None = None,
+                  id_col: str = ROW_ID, multi_line: bool = False) -> DataFrame:
+    """Read + P1-P5.  ``id_col`` is the export's unique order id; it becomes
+    the row key that the prior-order window, folds and models need, as long."""
+    raw = read_orders(spark, path, fmt, schema, multi_line)
+    if id_col not in raw.columns:
+        raise ValueError(f"the export has no id column {id_col!r}; columns: {', '.join(raw.columns)}")
+    key = to_long(Val(F.col(f"`{id_col}`"), raw.schema[id_col].dataType), f"row key {id_col}")
+    return clean_raw(raw.withColumn(ROW_ID, key), date_format)
 
 
 def write_orders_csv(df: DataFrame, path: str) -> None:
@@ -43,9 +51,10 @@ def write_orders_csv(df: DataFrame, path: str) -> None:
 def write_clean(df: DataFrame, path: str, date_col: str = DATE_COL,
                 max_records_per_file: int = 5_000_000) -> None:
     """The clean set as parquet partitioned by month (month filters prune).
-    Rows are sorted by month inside each task (no shuffle), so a task keeps
-    one open file at a time; files are capped in rows."""
+    Rows are rebalanced by month first (large months are split over tasks, small
+    ones share them), so a month is a few files; files are capped in rows."""
     (df.withColumn("sale_month", F.date_format(F.col(date_col), "yyyy-MM"))
+       .hint("rebalance", "sale_month")
        .sortWithinPartitions("sale_month")
        .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("sale_month").parquet(path))
