@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import ship
+from .common import Staged, ship
 
 #: Labelled documents of a fit, and features kept.
 SAMPLE = 8_000
@@ -141,7 +141,6 @@ def train(
     docs: DataFrame, labels: DataFrame, categories: tuple[tuple[str, str], ...] = CATEGORIES, sample: int = SAMPLE, features: int = FEATURES
 ) -> Chain | None:
     """Fit the chain on a bounded sample of labelled documents; None if there is nothing to learn."""
-    ship(docs.sparkSession)
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     label = [F.coalesce(F.expr(c), F.lit(False)).cast("int").alias(f"y{i}") for i, (_, c) in enumerate(categories)]
@@ -149,6 +148,7 @@ def train(
     rows = docs.select("doc_id", "text", "lang").join(F.broadcast(marks), "doc_id").select(
         F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(FOLDS)).alias("fold"), "doc_id", "text", *label
     )
+    rows = Staged(docs.sparkSession).write(rows)
     last = f"y{len(categories) - 1}"
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
