@@ -364,6 +364,32 @@ def q_op_identity_cast(spark, sf_dir):
     return f.select("row_id", "price_identity", "price_text", "prior_int", "group_float")
 
 
+@query("op_arithmetic_chain", sql("""
+, c AS (SELECT row_id, CASE WHEN lead_price > 1000 THEN CAST(1000 AS DOUBLE) ELSE lead_price END AS p FROM cohort)
+SELECT row_id, p / CAST(1000 AS DOUBLE) AS price_k,
+       CASE WHEN row_id % 5 = 0 THEN NULL ELSE (p / CAST(1000 AS DOUBLE)) / CAST(row_id % 5 AS DOUBLE) END AS per_rest
+FROM c"""))
+def q_op_arithmetic_chain(spark, sf_dir):
+    """a formula over an overwritten column, one over a built feature, and zero divisors (NULL)."""
+    op = lambda formula, *names: {"type": "numeric", "op": {"name": "arithmetic", "sources": list(names),
+                                                            "formula": formula}}
+    spec = {"features": {
+        "lead_price": {"type": "numeric", "op": {"name": "clip", "source": "lead_price", "upper": 1000}},
+        "price_k": op("lead_price / 1000", "lead_price"),
+        "per_rest": op("price_k / (row_id % 5)", "price_k", "row_id")}}
+    feats, _ = build_features(with_prior(spark, sf_dir), spec, {})
+    return feats.select("row_id", "price_k", "per_rest")
+
+
+@query("big_id_text", sql("""
+SELECT row_id, CAST(row_id + 9007199254740993 AS VARCHAR) AS id_text FROM cohort"""))
+def q_big_id_text(spark, sf_dir):
+    """Ids above 2^53 as exact text."""
+    from orderlens.operators.clean import normalize_string_categoricals
+    df = with_prior(spark, sf_dir).select("row_id", (F.col("row_id") + 9007199254740993).alias("id_text"))
+    return normalize_string_categoricals(df, ["id_text"])
+
+
 @query("op_fillna_clip", sql("""
 SELECT row_id, coalesce(lead_price, 0.0) AS price_filled,
        CASE WHEN lead_price < 1000 THEN 1000.0 WHEN lead_price > 15000 THEN 15000.0
