@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html_text, minhash, packing, secret_crf, substring, suffix, topk, toxicity
+from . import bpe, embeddings, html_text, minhash, oracles, packing, secret_crf, substring, suffix, topk, toxicity
 from .common import table
 
 
@@ -88,4 +88,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracles.ORACLE)
