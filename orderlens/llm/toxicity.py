@@ -43,6 +43,9 @@ RIDGE = 1.0
 PREFIXES = (4, 5, 6, 7)
 WORD_CACHE = 300_000
 
+#: Columns of the judgement.
+ADDED = ("tox_score", "tox_categories", "tox_reject")
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Category by category: toxic documents of a language; the verdict comes last.
@@ -188,26 +191,41 @@ def train(
     return fit_chain(x.reshape(len(got), len(columns)), y, [c for c, _ in categories], columns, got["fold"].to_numpy())
 
 
-def judge(docs: DataFrame, model: Chain | None, categories: tuple[tuple[str, str], ...] = CATEGORIES) -> DataFrame:
-    """All columns of ``docs`` with tox_score (double), tox_categories (names over 0.5, comma-joined) and tox_reject."""
+def _scores(model: Chain, texts: pa.Array, cache: dict[str, tuple[int, ...]]) -> np.ndarray:
+    return model.predict(_indicators(texts.to_pylist(), model.features, cache))
+
+
+def judge(docs: DataFrame, model: Chain | None) -> DataFrame:
+    """All columns of ``docs`` with tox_score (double), tox_categories (names over 0.5,
+    comma-joined) and tox_reject, which replace columns of these names."""
+    docs = docs.drop(*ADDED)
     if model is None:
-        return docs.withColumns({"tox_score": F.lit(0.0), "tox_categories": F.lit(""), "tox_reject": F.lit(False)})
+        return docs.withColumns(dict(zip(ADDED, (F.lit(0.0), F.lit(""), F.lit(False)), strict=True)))
     ship(docs.sparkSession)
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, tuple[int, ...]] = {}
         for batch in batches:
-            p = model.predict(_indicators(batch.column("text").to_pylist(), model.features, cache))
+            p = _scores(model, batch.column(at), cache)
             names = [",".join(n for n, q in zip(model.names[:-1], row[:-1], strict=True) if q >= 0.5) for row in p]
             more = [pa.array(p[:, -1]), pa.array(names, pa.string()), pa.array(p[:, -1] >= model.threshold)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *added])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *ADDED])
 
-    added = ["tox_score", "tox_categories", "tox_reject"]
     schema = StructType([*docs.schema.fields, *StructType.fromDDL("tox_score double, tox_categories string, tox_reject boolean").fields])
     return docs.mapInArrow(run, schema)
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not judged toxic, with their columns as they are."""
-    own = docs.columns
-    return judge(docs, train(docs, labels)).where("not tox_reject").select(*own)
+    model = train(docs, labels)
+    if model is None:
+        return docs
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[str, tuple[int, ...]] = {}
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model, batch.column(at), cache)[:, -1] < model.threshold))
+
+    return docs.mapInArrow(run, docs.schema)
