@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -64,6 +65,12 @@ class Staged:
         self.count += 1
         path = f"{self.root}/{self.count:03d}"
         df.write.parquet(path)
+        # The written table replaces the shuffles behind it. Spark deletes their files once the
+        # driver's JVM has collected what refers to them, which a small driver may not do for
+        # long; what the first collection frees lets the second one find them.
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(path)
         out._staged_path = path
         return out

@@ -197,7 +197,7 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
     shared = staged.write(sent.groupBy("b").applyInPandas(repeated, "g int, names binary"))
 
     def texts_of(_, pdf: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        """Rows with b >= 0: runs of text for bucket b. With b = -1: spans already known."""
+        """Runs of text for bucket b, or (doc_id not null) spans that are known already."""
         out: dict[str, list] = {k: [] for k in ("b", "doc_id", "names", "docs", "starts", "sizes", "data", "spans")}
         if len(pdf) and len(wanted):
             want = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in wanted["names"]]))
@@ -219,7 +219,7 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
                     else:
                         known.append((a, z))
                 if known:
-                    out["b"].append(-1)
+                    out["b"].append(doc % buckets)  # spans go along to any bucket
                     out["doc_id"].append(doc)
                     out["spans"].append(np.array(known, "<i8").tobytes())
                     for k in ("names", "docs", "starts", "sizes", "data"):
@@ -234,22 +234,28 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
                     out["b"].append(int(b[order[x]]))
                     out["doc_id"].append(None)
                     out["spans"].append(None)
-                    out["names"].append(names[order[x:y]].tobytes())
+                    # 32 bits of a name are enough to tell which runs of a bucket may be equal.
+                    out["names"].append(mix64(names[order[x:y]]).astype(np.uint32).tobytes())
                     out["docs"].append(np.array([r[1] for r in some], np.int64).tobytes())
-                    out["starts"].append(np.array([r[2] for r in some], np.int64).tobytes())
-                    out["sizes"].append(np.array([len(r[3]) for r in some], np.int64).tobytes())
+                    out["starts"].append(np.array([r[2] for r in some], np.int32).tobytes())
+                    out["sizes"].append(np.array([len(r[3]) for r in some], np.int32).tobytes())
                     out["data"].append(b"".join(r[3] for r in some))
         return pd.DataFrame(out).astype({"b": "Int32", "doc_id": "Int64"})
 
-    pieces = staged.write(
+    pieces = (
         docs.groupBy("g")
         .cogroup(shared.groupBy("g"))
         .applyInPandas(texts_of, "b int, doc_id long, names binary, docs binary, starts binary, sizes binary, data binary, spans binary")
     )
 
     def later(pdf: pd.DataFrame) -> pd.DataFrame:
+        known = pdf.loc[pdf["doc_id"].notna(), ["doc_id", "spans"]]
+        pdf = pdf[pdf["doc_id"].isna()]
+        if not len(pdf):
+            return known
         cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in pdf[c]])
-        names, docs_, starts, sizes = cat("names", np.uint64), cat("docs", np.int64), cat("starts", np.int64), cat("sizes", np.int64)
+        names, docs_ = cat("names", np.uint32), cat("docs", np.int64)
+        starts, sizes = cat("starts", np.int32).astype(np.int64), cat("sizes", np.int32).astype(np.int64)
         data = b"".join(pdf["data"])
         at = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -279,7 +285,7 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
             spans.append((docs_[order][which], position, position + length))
         doc, start, end = (np.concatenate([s[i] for s in spans]) for i in range(3))
         if not len(doc):
-            return pd.DataFrame({"doc_id": [], "spans": []})
+            return known
         sort = np.lexsort((start, doc))
         doc, start, end = doc[sort], start[sort], end[sort]
         join = np.concatenate(([True], (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])))
@@ -287,11 +293,10 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
         stop = np.maximum.reduceat(end, cut)
         doc, start = doc[cut], start[cut]
         a, z = _split(doc)
-        return pd.DataFrame({"doc_id": doc[a], "spans": [_pack(start[x:y], stop[x:y]) for x, y in zip(a, z, strict=True)]})
+        found = pd.DataFrame({"doc_id": doc[a], "spans": [_pack(start[x:y], stop[x:y]) for x, y in zip(a, z, strict=True)]})
+        return pd.concat([known.astype({"doc_id": np.int64}), found]) if len(known) else found
 
-    pieces_of = pieces.where("b >= 0").select("b", "names", "docs", "starts", "sizes", "data")
-    found = pieces_of.groupBy("b").applyInPandas(later, "doc_id long, spans binary")
-    return found.unionByName(pieces.where("b = -1").select("doc_id", "spans"))
+    return staged.write(pieces.groupBy("b").applyInPandas(later, "doc_id long, spans binary"))
 
 
 def merged(packed: list[bytes]) -> list[tuple[int, int]]:
