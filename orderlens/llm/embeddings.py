@@ -36,8 +36,9 @@ TILE = 1_024
 CHUNK = 1 << 15
 
 
-def valid_vectors(table: DataFrame, id_column: str = "vec_id", column: str = "embedding", keep: tuple[str, ...] = ("label",)) -> DataFrame:
-    """id, kept columns and vec: little-endian doubles, null for null, empty or non-finite vectors."""
+def valid_vectors(table: DataFrame, id_column: str = "vec_id", column: str = "embedding", keep: tuple[str, ...] = ("label",), zero: bool = True) -> DataFrame:
+    """id, kept columns and vec: little-endian doubles, null for null, empty or non-finite
+    vectors, and for zero vectors unless ``zero``."""
     ship(table.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +46,7 @@ def valid_vectors(table: DataFrame, id_column: str = "vec_id", column: str = "em
             out = []
             for x in batch.column(batch.num_columns - 1).to_pylist():
                 v = np.array(x, dtype="<f8") if x else np.zeros(0)  # null components become nan
-                out.append(v.tobytes() if len(v) and np.isfinite(v).all() else None)
+                out.append(v.tobytes() if len(v) and np.isfinite(v).all() and (zero or v.any()) else None)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.binary())], names=[id_column, *keep, "vec"])
 
     schema = StructType([table.schema[id_column], *(table.schema[k] for k in keep), *StructType.fromDDL("vec binary").fields])
@@ -96,9 +97,8 @@ def smallest_linked(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 def near_links(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of (vec_id, label, embedding)."""
     staged = Staged(vectors.sparkSession)
-    rows = staged.write(valid_vectors(vectors.withColumn("vec_id", F.col("vec_id").cast("long"))))
-    zero = F.expr("regexp_replace(hex(vec), '[08]', '') = ''")  # zero and minus zero have these digits only
-    use = rows.where("vec_id is not null and label is not null and vec is not null").where(~zero)
+    rows = staged.write(valid_vectors(vectors.withColumn("vec_id", F.col("vec_id").cast("long")), zero=False))
+    use = rows.where("vec_id is not null and label is not null and vec is not null")
     classes = staged.write(use.groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("size")))
     member = use.select("vec_id", "label", "vec").distinct().join(classes, ["label", "vec"]).select("vec_id", "rep", "size")
 
