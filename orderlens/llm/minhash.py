@@ -8,6 +8,9 @@ and is compared exhaustively on the full sets; nodes that still are larger after
 levels (many near copies of one text) are compared exhaustively in chunks that all hold
 the node's smallest member as well, so no member is dropped and no task holds a whole group.
 
+Members of a leaf whose sketches (all trees' minima) agree with no other member's are left
+out before texts are fetched; see :func:`least_agreement`. Links are confirmed on full sets.
+
 Trees come in rounds. After a round, linked representatives share a component, and later
 trees only work on nodes that hold two or more components: components are all that is
 reported, so a pair that is connected already needs no comparison.
@@ -127,67 +130,83 @@ def signatures(docs: DataFrame, size: int, coordinates: int) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, n long, d1 long, d2 long, mins array<long>")
 
 
-def _leaves(reps: DataFrame, trees: range, depth: int, limit: int, staged: Staged) -> DataFrame:
-    """(node, chunk, doc_id, first): members of the nodes to compare.
+def tree_nodes(reps: DataFrame, trees: int, depth: int, limit: int, staged: Staged) -> DataFrame:
+    """(tree, node, chunk, doc_id, later): members of the nodes to compare, all trees.
 
-    reps: doc_id, comp, mins. A node is kept if it holds two components."""
+    reps: doc_id, mins. ``later`` is 0 for the node's smallest member, which every chunk holds."""
     level_min = lambda level: F.col("mins")[level]
     open_ = (
-        reps.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in trees])))
+        reps.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("mins", F.slice("mins", F.col("tree") * depth + 1, F.lit(depth)))
-        .select("doc_id", "comp", "mins", F.xxhash64("tree", level_min(0)).alias("node"))
+        .select("doc_id", "tree", "mins", F.xxhash64("tree", level_min(0)).alias("node"))
     )
     done: list[DataFrame] = []
     for level in range(depth):
-        sizes = open_.groupBy("node").agg(
-            F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("doc_id").alias("first")
-        ).where("c0 <> c1")
-        sized = staged.write(open_.join(sizes.select("node", "members", "first"), "node"))
+        sizes = open_.groupBy("node").agg(F.count("*").alias("members"), F.min("doc_id").alias("first")).where("members > 1")
+        sized = staged.write(open_.join(sizes, "node"))
         last = level == depth - 1
-        done.append((sized if last else sized.where(F.col("members") <= limit)).select("node", "members", "first", "doc_id"))
+        done.append((sized if last else sized.where(F.col("members") <= limit)).select("tree", "node", "members", "first", "doc_id"))
         if not last:
-            open_ = sized.where(F.col("members") > limit).select(
-                "doc_id", "comp", "mins", F.xxhash64("node", level_min(level + 1)).alias("node")
-            )
+            open_ = sized.where(F.col("members") > limit).select("doc_id", "tree", "mins", F.xxhash64("node", level_min(level + 1)).alias("node"))
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)
     chunks = F.ceil(F.col("members") / limit).cast("int")
     others = rows.where("doc_id <> first").select(
-        "node", F.pmod(F.xxhash64("doc_id", "node"), chunks).cast("int").alias("chunk"), "doc_id", F.lit(1).alias("later")
+        "tree", "node", F.pmod(F.xxhash64("doc_id", "node"), chunks).cast("int").alias("chunk"), "doc_id", F.lit(1).alias("later")
     )
     pivots = rows.where("doc_id = first").select(
-        "node", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "doc_id", F.lit(0).alias("later")
+        "tree", "node", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "doc_id", F.lit(0).alias("later")
     )
     return others.unionByName(pivots)
 
 
+def least_agreement(coordinates: int, percent: int) -> int:
+    """Equal minima below which two sketches rule a pair out: five standard deviations under
+    the mean of a pair right at the threshold, which misses about one such pair in a million."""
+    p = percent / 100
+    return max(1, int(coordinates * p - 5 * (coordinates * p * (1 - p)) ** 0.5))
+
+
 def near_classes(
     docs: DataFrame, size: int = 3, percent: int = 85, trees: int = 8, depth: int = 5, limit: int = 24, first_trees: int = 2
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    staged = Staged(spark)
+    staged = Staged(docs.sparkSession)
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = whole.where("doc_id is not null")
     sig = staged.write(signatures(docs, size, trees * depth))
     full = sig.where("n > 0")
     classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     member = staged.write(full.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]).select("doc_id", "rep"))
-    reps = staged.write(
-        full.join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "mins")
-    )
+    firsts = member.where("doc_id = rep").select("doc_id").distinct()
+    reps = staged.write(full.join(firsts, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("mins").alias("mins")))
+    least = least_agreement(trees * depth, percent)
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame | None:
-        pdf = pdf.sort_values(["later", "doc_id"]).drop_duplicates("doc_id")
+    def plausible(pdf: pd.DataFrame) -> pd.DataFrame | None:
+        """The members that have a partner by their sketches."""
         if len(pdf) < 2:
             return None
+        m = np.stack(pdf["mins"].to_list())
+        close = (m[:, None, :] == m[None, :, :]).sum(axis=2) >= least
+        np.fill_diagonal(close, False)
+        keep = close.any(axis=1)
+        return pdf.loc[keep, ["tree", "node", "chunk", "doc_id", "later"]] if keep.any() else None
+
+    members = tree_nodes(reps, trees, depth, limit, staged).join(reps, "doc_id").select("tree", "node", "chunk", "doc_id", "later", "mins")
+    rows = staged.write(sorted_groups(members, ["node", "chunk"], plausible, "tree int, node long, chunk int, doc_id long, later int"))
+    # Texts and ids are both spread over the tasks, whatever the number of ids.
+    texts = staged.write(docs.join(rows.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame | None:
+        pdf = pdf.sort_values(["later", "doc_id"]).drop_duplicates("doc_id")
         ids = pdf["doc_id"].tolist()
-        names = pdf["comp"].tolist()
-        sets = [shingles(t, size) for t in pdf["text"]]
         forest, by = Forest(len(ids)), {}
-        for i, c in enumerate(names):
+        for i, c in enumerate(pdf["comp"].tolist()):
             forest.join(by.setdefault(c, i), i)
+        if len(by) < 2:
+            return None
+        sets = [shingles(t, size) for t in pdf["text"]]
         links = []
         for i in range(len(ids)):
             for j in range(i + 1, len(ids)):
@@ -198,14 +217,16 @@ def near_classes(
 
     links: DataFrame | None = None
     comp: DataFrame | None = None
-    for part in (range(first_trees), range(first_trees, trees)):
-        named = reps.withColumn("comp", F.col("doc_id")) if comp is None else reps.join(
-            comp.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-        ).select("doc_id", "mins", F.coalesce("component", "doc_id").alias("comp"))
-        rows = staged.write(_leaves(named, part, depth, limit, staged))
-        wanted = rows.select("doc_id").distinct()
-        texts = staged.write(docs.join(wanted, "doc_id", "left_semi").join(named.select("doc_id", "comp"), "doc_id"))
-        joined = rows.join(texts, "doc_id").select("node", "chunk", "doc_id", "later", "comp", "text")
+    for part in (F.col("tree") < first_trees, F.col("tree") >= first_trees):
+        named = rows.where(part)
+        if comp is None:
+            named = named.withColumn("comp", F.col("doc_id"))
+        else:
+            named = named.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id"))
+            # Only nodes that hold two components can add anything.
+            several = named.groupBy("node", "chunk").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+            named = named.join(several.select("node", "chunk"), ["node", "chunk"], "left_semi")
+        joined = named.join(texts, "doc_id").select("node", "chunk", "doc_id", "later", "comp", "text")
         found = sorted_groups(joined, ["node", "chunk"], compare, "a long, b long")
         links = staged.write(found if links is None else links.unionByName(found))
         comp = components(links, staged)
