@@ -31,10 +31,12 @@ from pyspark.sql.types import StructType
 
 from .common import ship
 
-#: Encoded words a worker keeps; the cache starts anew beyond this.
-CACHE_WORDS = 300_000
+#: Encoded words, and runs of text between spaces, that a worker keeps; a cache starts anew beyond this.
+CACHE_WORDS = 200_000
 #: Documents whose words are replayed together.
-STEP = 2_000
+STEP = 3_000
+#: No merge.
+NONE = 2**62
 
 #: A match of the split pattern never goes from a non-space to a space, so text can be
 #: cut there first. The two libraries' white space differs in these characters only.
@@ -58,12 +60,14 @@ class Encoder:
         self.single = [ranks[bytes([i])] for i in range(256)]
         self.pair_rank: dict[tuple[int, int], int] = {}
         self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.pairs: tuple[np.ndarray, np.ndarray] | None = None
 
     def rank_of(self, a: int, b: int) -> int:
         """Rank of the token that a and b merge into; -1 if there is none."""
         got = self.pair_rank.get((a, b))
         if got is None:
-            if len(self.pair_rank) > 2_000_000:
+            if len(self.pair_rank) > CACHE_WORDS:
                 self.pair_rank.clear()
             got = self.pair_rank[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
         return got
@@ -89,74 +93,118 @@ class Encoder:
                 heapq.heappush(heap, (x, prv[i]))
         return [t for t in tok if t >= 0]
 
-    def replay(self, words: list[bytes]) -> list[list[int]]:
+    def pair_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (left << 32 | right) of all pairs that merge, ascending, and their ranks."""
+        if self.pairs is None:
+            found = [
+                (self.ranks[t[:k]] << 32 | self.ranks[t[k:]], r)
+                for t, r in self.ranks.items()
+                for k in range(1, len(t))
+                if t[:k] in self.ranks and t[k:] in self.ranks
+            ]
+            table = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
+            self.pairs = np.append(table[:, 0], np.int64(2**63 - 1)), np.append(table[:, 1], NONE)
+        return self.pairs
+
+    def replay(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word, by replaying the merges over the whole word table."""
-        whole = b"".join(words)
-        single = self.single
-        tok = [single[c] for c in whole]
+        keys, key_ranks = self.pair_table()
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        tok = np.array(self.single, dtype=np.int64)[np.frombuffer(b"".join(words), np.uint8)]
         n = len(tok)
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        ends: list[int] = []
-        at = 0
-        for w in words:
-            if w:
-                prv[at] = -1
-                at += len(w)
-                nxt[at - 1] = -1
-            ends.append(at)
-        rank_of = self.rank_of
-        index: dict[int, list[int]] = {}
-        for i in range(n - 1):
-            if nxt[i] >= 0 and (r := rank_of(tok[i], tok[i + 1])) >= 0:
-                index.setdefault(r, []).append(i)
-        queue = list(index)
-        heapq.heapify(queue)
-        again: list[int] = []
+        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        full = sizes > 0
+        nxt[ends[full] - 1] = -1
+        prv[(ends - sizes)[full]] = -1
+
+        def ranks_at(at: np.ndarray) -> np.ndarray:
+            """Rank of the pair that begins at each position; its right token must exist."""
+            key = tok[at] << 32 | tok[nxt[at]]
+            i = np.searchsorted(keys, key)
+            return np.where(keys[i] == key, key_ranks[i], NONE)
+
+        rank = np.full(n, NONE, dtype=np.int64)
+        inner = np.flatnonzero(nxt >= 0)
+        rank[inner] = ranks_at(inner)
+        # The inverted index: positions of the pairs behind each merge.
+        index: dict[int, list] = {}
+
+        def file(at: np.ndarray, ranks: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            at, ranks = at[order], ranks[order]
+            cut = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            first = [0, *cut.tolist()]
+            for r, a, z in zip(ranks[first].tolist(), first, [*first[1:], len(at)], strict=True):
+                if r in index:
+                    index[r].append(at[a:z])
+                else:
+                    index[r] = [at[a:z]]
+                    heapq.heappush(queue, r)
+
+        queue: list[int] = []
+        some = inner[rank[inner] != NONE]
+        if len(some):
+            file(some, rank[some])
+        again: list[np.ndarray] = []
         while queue:
             r = heapq.heappop(queue)
-            positions = index.pop(r, None)
-            if positions is None:
+            parts = index.pop(r)
+            at = np.concatenate(parts) if len(parts) > 1 else parts[0]
+            at = at[rank[at] == r]
+            if len(parts) > 1:
+                at = np.unique(at)
+            if len(at) > 1:
+                linked = nxt[at[:-1]] == at[1:]
+                if linked.any():  # of pairs that share a token the left one merges first
+                    begin = np.maximum.accumulate(np.where(np.concatenate(([True], ~linked)), np.arange(len(at)), 0))
+                    at = at[(np.arange(len(at)) - begin) % 2 == 0]
+            if not len(at):
+                continue
+            right = nxt[at]
+            after = nxt[right]
+            beside = np.flatnonzero(after[:-1] == at[1:])
+            if len(beside):  # one after the other, the first would meet the next one's left token
+                key = r << 32 | tok[at[beside + 1]]
+                i = np.searchsorted(keys, key)
+                early = (keys[i] == key) & (key_ranks[i] < r)
+                if early.any():
+                    again.append(at[beside[early]])
+            tok[at] = r
+            tok[right] = -1
+            nxt[at] = after
+            rank[at] = rank[right] = NONE
+            more = after >= 0
+            prv[after[more]] = at[more]
+            left = prv[at]
+            left = left[left >= 0]
+            touched = np.concatenate([at[more], left])
+            if not len(touched):
                 continue
-            positions.sort()
-            for i in positions:
-                j = nxt[i]
-                if j < 0 or tok[i] < 0 or rank_of(tok[i], tok[j]) != r:
-                    continue
-                k = nxt[j]
-                tok[i], tok[j], nxt[i] = r, -1, k
-                h = prv[i]
-                if k >= 0:
-                    prv[k] = i
-                    if (x := rank_of(r, tok[k])) >= 0:
-                        if x < r:
-                            again.append(i)
-                        if x not in index:
-                            heapq.heappush(queue, x)
-                            index[x] = [i]
-                        else:
-                            index[x].append(i)
-                if h >= 0 and (x := rank_of(tok[h], r)) >= 0:
-                    if x < r:
-                        again.append(i)
-                    if x not in index:
-                        heapq.heappush(queue, x)
-                        index[x] = [h]
-                    else:
-                        index[x].append(h)
-        out = []
-        start = 0
-        for end in ends:
-            out.append([t for t in tok[start:end] if t >= 0])
-            start = end
-        for w in set(np.searchsorted(np.array(ends), np.array(again, dtype=np.int64), side="right").tolist()):
-            out[w] = self.sequential(words[w])
+            if len(left):
+                touched = np.unique(touched)
+            new = ranks_at(touched)
+            rank[touched] = new
+            hit = new != NONE
+            if hit.any():
+                touched, new = touched[hit], new[hit]
+                if (new < r).any():
+                    again.append(touched[new < r])
+                file(touched, new)
+        live = tok >= 0
+        kept = tok[live]
+        upto = np.concatenate(([0], np.cumsum(live)))[np.concatenate(([0], ends))]
+        out = [kept[a:z] for a, z in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
+        for w in set(np.searchsorted(ends, np.concatenate(again), side="right").tolist()) if again else ():
+            out[w] = np.array(self.sequential(words[w]), dtype=np.int64)
         return out
 
     def encode_batch(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.chunks) > CACHE_WORDS:
-            self.chunks.clear()
-        cache = self.chunks
+        for kept in (self.chunks, self.words):
+            if len(kept) > CACHE_WORDS:
+                kept.clear()
+        cache, known = self.chunks, self.words
         cut, new = [], set()
         for text in texts:
             if not isinstance(text, str) or not text:
@@ -166,10 +214,11 @@ class Encoder:
             cut.append(parts)
             new.update(p for p in parts if p not in cache)
         pieces = {p: self.split.findall(p) for p in new}
-        table = list({w for ws in pieces.values() for w in ws})
-        ids = dict(zip(table, self.replay([w.encode("utf-8", "surrogatepass") for w in table]), strict=True))
+        table = list({w for ws in pieces.values() for w in ws if w not in known})
+        for w, ids in zip(table, self.replay([w.encode("utf-8", "surrogatepass") for w in table]), strict=True):
+            known[w] = ids.astype("<u4").tobytes()
         for p, ws in pieces.items():
-            cache[p] = np.array([i for w in ws for i in ids[w]], dtype="<u4").tobytes()
+            cache[p] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
         return [b"".join([cache[p] for p in parts]) for parts in cut]
 
 
