@@ -167,18 +167,18 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
             # The lowest bit says that two documents of this batch and group have it.
             packed = (names & ~np.uint64(1)) | several.astype(np.uint64)
             b = _bucket(names & ~np.uint64(1), buckets)
-            order = np.lexsort((b, group))
+            order = np.lexsort((group, b))
             packed, group, b = packed[order], group[order], b[order]
-            cut = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]) | (b[1:] != b[:-1]))))
-            ends = np.append(cut[1:], len(b))
-            yield pd.DataFrame(
-                {"b": b[cut].astype(np.int32), "g": group[cut].astype(np.int32), "names": [packed[x:y].tobytes() for x, y in zip(cut, ends, strict=True)]}
-            )
+            # One row for each bucket: its names by group, the groups, and their numbers of names.
+            rows = []
+            for x, y in zip(*_split(b), strict=True):
+                first, end = _split(group[x:y])
+                rows.append((int(b[x]), group[x:y][first].astype(np.int32).tobytes(), (end - first).astype(np.int32).tobytes(), packed[x:y].tobytes()))
+            yield pd.DataFrame(rows, columns=["b", "groups", "counts", "names"])
 
     def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(x, np.uint64) for x in pdf["names"]]
-        packed = np.concatenate(parts)
-        group = np.repeat(pdf["g"].to_numpy(), [len(x) for x in parts])
+        cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in pdf[c]])
+        packed, group = cat("names", np.uint64), np.repeat(cat("groups", np.int32), cat("counts", np.int32))
         several = (packed & np.uint64(1)).astype(bool)
         names = packed & ~np.uint64(1)
         order = np.argsort(names)
@@ -193,7 +193,7 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
         start, end = _split(group)
         return pd.DataFrame({"g": group[start].astype(np.int32), "names": [np.unique(names[a:b]).tobytes() for a, b in zip(start, end, strict=True)]})
 
-    sent = docs.mapInPandas(names_of, "b int, g int, names binary")
+    sent = docs.mapInPandas(names_of, "b int, groups binary, counts binary, names binary")
     shared = staged.write(sent.groupBy("b").applyInPandas(repeated, "g int, names binary"))
 
     def texts_of(_, pdf: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
