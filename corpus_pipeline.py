@@ -8,6 +8,7 @@ the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.llm import minhash, packing, secret_crf, substring, toxicity
 from orderlens.llm.common import Staged, table
@@ -23,12 +24,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without an id stay: nothing tells which of them is meant."""
     classes = minhash.near_classes(docs, size=5, percent=80)
-    return docs.join(classes.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = classes.where("not kept").select("doc_id").distinct()
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one holds."""
-    return substring.substring_dedup(docs).drop("removed_spans")
+    return substring.substring_dedup(docs, spans_column=None)
 
 
 def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
