@@ -903,15 +903,13 @@ def q_one_hot_long(spark, sf_dir):
 
 @query("scaled_numeric", sql(f"""
 , x AS (SELECT row_id, coalesce(CAST({DC} AS DOUBLE), 0.0) AS x, coalesce(lead_price, 0.0) AS price FROM cohort),
-st AS (SELECT sum(x) AS s, sum(x * x) AS ss, count(*) AS n FROM x),
-sd AS (SELECT s / n AS mean, CASE WHEN (ss - s * s / n) / n > 0 THEN sqrt((ss - s * s / n) / n) ELSE 1.0 END AS std
-       FROM st)
-SELECT row_id, (x - mean) / std AS prior_scaled, price AS price_passthrough FROM x, sd"""))
+sd AS (SELECT avg(x) AS mean, coalesce(nullif(stddev_pop(x), 0), 1.0) AS std FROM x)
+SELECT row_id, round((x - mean) / std, 9) AS prior_scaled, price AS price_passthrough FROM x, sd"""))
 def q_scaled_numeric(spark, sf_dir):
     """E2 (population std; zero std -> 1) on the prior count, E3 pass-through."""
-    df = with_prior(spark, sf_dir).cache()
+    df = with_prior(spark, sf_dir)
     st = enc.scale_stats(df, DEAL_COUNT_COL)
-    return df.select("row_id", enc.scaled(df, DEAL_COUNT_COL, st).alias("prior_scaled"),
+    return df.select("row_id", F.round(enc.scaled(df, DEAL_COUNT_COL, st), 9).alias("prior_scaled"),
                      enc.passthrough(df, "lead_price").alias("price_passthrough"))
 
 
