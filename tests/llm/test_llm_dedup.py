@@ -165,3 +165,44 @@ def test_chains_take_matches_in_order():
     pos, ref = [0, 10, 20, 30, 40, 300], [100, 110, 5, 130, 140, 150]
     assert sorted(map(sorted, substring.chains(pos, ref))) == [[0, 1, 3, 4]]
     assert substring.chains([3], [4]) == []
+
+
+def chains_by_force(pos, ref):
+    n, reach = len(pos), substring.MAX_GAP + substring.SHINGLE
+    score, back = [], []
+    for i in range(n):
+        best = (float(substring.SHINGLE), -1)
+        for j in range(i):
+            d, e = pos[i] - pos[j], ref[i] - ref[j]
+            if 0 < d <= reach and 0 < e <= reach:
+                best = max(best, (score[j] + min(substring.SHINGLE, d, e) - substring.GAP_COST * (d + e), j))
+        score.append(best[0])
+        back.append(best[1])
+    return score, back
+
+
+def test_chains_link_within_reach_whatever_lies_far_off():
+    for gap in (60, 100, 400, 900, 1300):
+        pos = [*range(0, 200, 8), *range(200 + gap, 300 + gap, 8)]
+        sizes = sorted(len(c) for c in substring.chains(pos, [p + 7 for p in pos]))
+        assert sizes == ([38] if gap == 60 else [13, 25]), gap
+    rng = random.Random(3)
+    for _ in range(50):
+        pos = sorted(rng.sample(range(600), 80))
+        ref = [p + 5 if rng.random() < 0.7 else rng.randrange(600) for p in pos]
+        score, _ = chains_by_force(pos, ref)
+        best = substring.chains(pos, ref)[0]
+        got = substring.SHINGLE + sum(
+            min(substring.SHINGLE, pos[b] - pos[a], ref[b] - ref[a]) - substring.GAP_COST * (pos[b] - pos[a] + ref[b] - ref[a])
+            for a, b in zip(best[:-1], best[1:])
+        )
+        assert abs(got - max(score)) < 1e-9
+
+
+def test_two_passages_of_one_pair_far_apart_are_both_cut(spark):
+    rng = random.Random(11)
+    long_, short = prose(rng, 200), prose(rng, 100)
+    rows = [(1, f"{long_} {prose(rng, 400)} {short}"), (2, f"{long_} {prose(rng, 400)} {short} {prose(rng, 30)}")]
+    out = {r.doc_id: r for r in substring.substring_dedup(frame(spark, rows)).collect()}
+    assert not out[1].removed_spans and len(out[2].removed_spans) == 2
+    assert 425 <= len(out[2].text.split()) <= 432
