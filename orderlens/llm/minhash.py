@@ -4,9 +4,11 @@ A document's set holds its distinct word shingles as 64-bit hashes. Documents wi
 sets form a class first; the smallest id stands for it. Independent trees then branch the
 representatives recursively: at each level a node is split by its members' minimum shingle
 under a hash function of that tree and level. A node of at most ``limit`` members is a leaf
-and is compared exhaustively on the full sets; nodes that still are larger after ``depth``
-levels (many near copies of one text) are compared exhaustively in chunks that all hold
-the node's smallest member as well, so no member is dropped and no task holds a whole group.
+and is compared exhaustively on the full sets. Nodes that still are larger after ``depth``
+levels (many near copies of one text) are compared in chunks that all hold the node's
+smallest member as well, which links most of them; then, where a node still holds two or
+more components, in all pairs of its blocks: see :func:`block_pairs`. So every pair of a
+node whose members are not connected already is compared, and no task holds a whole group.
 
 Members of a leaf whose sketches (all trees' minima) agree with no other member's are left
 out before texts are fetched; see :func:`least_agreement`. Links are confirmed on full sets.
@@ -15,9 +17,10 @@ Trees come in rounds. After a round, linked representatives share a component, a
 trees only work on nodes that hold two or more components: components are all that is
 reported, so a pair that is connected already needs no comparison.
 
-Recall: a pair of similarity s meets in a tree of reached depth d with chance s**d, and
-nodes of few members stop at depth 1 or 2. With 8 trees and s = 0.85 the chance of a miss
-is 3e-7 at depth 1, 4e-5 at depth 2 and 5e-4 at depth 3.
+Recall: a pair of similarity s meets in a tree of reached depth d with chance s**d, and all
+pairs of the node they meet in are compared. The number of trees follows from the full depth
+and the threshold (:func:`tree_count`): a pair right at the threshold is missed with a chance
+of ``MISS`` at most, less where nodes of few members stop at a lower depth.
 
 Defined results: null texts and texts without words have an empty set and link with
 nothing (component_id = doc_id); texts with fewer words than a shingle have one shingle,
@@ -28,6 +31,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +43,10 @@ from pyspark.sql import functions as F
 from .common import M1, M2, M3, Forest, Staged, mix64, sorted_groups
 from .components import components
 
+#: Chance at most that a pair right at the threshold meets in no tree.
+MISS = 1e-4
+#: Members of a block of a large node.
+BLOCK = 128
 #: Words whose hashes a worker keeps (about 100 bytes each).
 WORD_CACHE = 200_000
 
@@ -130,8 +138,15 @@ def signatures(docs: DataFrame, size: int, coordinates: int) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, n long, d1 long, d2 long, mins array<long>")
 
 
-def tree_nodes(reps: DataFrame, trees: int, depth: int, limit: int, staged: Staged) -> DataFrame:
-    """(tree, node, chunk, doc_id, later): members of the nodes to compare, all trees.
+def tree_count(depth: int, percent: int) -> int:
+    """Trees of ``depth`` levels in which a pair at the threshold is missed with a chance of ``MISS`` at most."""
+    meets = (percent / 100) ** depth
+    return 1 if meets >= 1 - MISS else math.ceil(math.log(MISS) / math.log1p(-meets))
+
+
+def tree_nodes(reps: DataFrame, trees: int, depth: int, limit: int, staged: Staged) -> tuple[DataFrame, DataFrame]:
+    """(tree, node, chunk, doc_id, later): members of the nodes to compare, all trees; and
+    (tree, node, doc_id): members of the nodes of more than ``limit`` members.
 
     reps: doc_id, mins. ``later`` is 0 for the node's smallest member, which every chunk holds."""
     level_min = lambda level: F.col("mins")[level]
@@ -151,14 +166,44 @@ def tree_nodes(reps: DataFrame, trees: int, depth: int, limit: int, staged: Stag
     rows = done[0]
     for more in done[1:]:
         rows = rows.unionByName(more)
-    chunks = F.ceil(F.col("members") / limit).cast("int")
+    chunks = F.ceil(F.col("members") / limit).cast("long")
     others = rows.where("doc_id <> first").select(
-        "tree", "node", F.pmod(F.xxhash64("doc_id", "node"), chunks).cast("int").alias("chunk"), "doc_id", F.lit(1).alias("later")
+        "tree", "node", F.pmod(F.xxhash64("doc_id", "node"), chunks).cast("long").alias("chunk"), "doc_id", F.lit(1).alias("later")
     )
     pivots = rows.where("doc_id = first").select(
-        "tree", "node", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"), "doc_id", F.lit(0).alias("later")
+        "tree", "node", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), "doc_id", F.lit(0).alias("later")
+    )
+    return others.unionByName(pivots), done[-1].where(F.col("members") > limit).select("tree", "node", "doc_id")
+
+
+def block_pairs(named: DataFrame, block: int, staged: Staged) -> DataFrame:
+    """(tree, node, chunk, doc_id, later): members of the pairs of blocks to compare.
+
+    named: tree, node, doc_id, comp. In a node a component of ``block`` members or more has
+    blocks of its own, the others share blocks. All pairs of blocks are compared but those of
+    one component, so rows grow with the members times those outside the node's large
+    component. ``later`` is 2 and 3 for the sides of a pair, 1 in a block paired with itself."""
+    sizes = named.groupBy("node", "comp").agg(F.count("*").alias("own"))
+    pooled = F.sum(F.when(F.col("own") < block, F.col("own")).otherwise(0)).alias("pooled")
+    nodes = sizes.groupBy("node").agg(F.count("*").alias("comps"), pooled).where("comps > 1")
+    large = F.col("own") >= block
+    of = F.ceil(F.when(large, F.col("own")).otherwise(F.col("pooled")) / block)
+    member = staged.write(
+        named.join(sizes, ["node", "comp"])
+        .join(nodes, "node")
+        .withColumn("whole", F.when(large, F.col("comp")))
+        .withColumn("block", F.xxhash64(large, "whole", F.pmod(F.xxhash64("doc_id", "node"), of)))
+        .select("tree", "node", "block", "whole", "doc_id")
     )
-    return others.unionByName(pivots)
+    one = member.groupBy("node", "block").agg(F.min("whole").alias("whole"))
+    left = one.select("node", F.col("block").alias("a"), F.col("whole").alias("wa"))
+    right = one.select("node", F.col("block").alias("b"), F.col("whole").alias("wb"))
+    pairs = staged.write(left.join(right, "node").where("a <= b and coalesce(wa <> wb, true)").select("node", "a", "b"))
+    chunk = F.xxhash64("a", "b").alias("chunk")
+    side = lambda x, pairs, later: (
+        pairs.withColumn("block", F.col(x)).join(member, ["node", "block"]).select("tree", "node", chunk, "doc_id", later.cast("int").alias("later"))
+    )
+    return side("a", pairs, F.when(F.col("a") == F.col("b"), 1).otherwise(2)).unionByName(side("b", pairs.where("a <> b"), F.lit(3)))
 
 
 def least_agreement(coordinates: int, percent: int) -> int:
@@ -169,9 +214,10 @@ def least_agreement(coordinates: int, percent: int) -> int:
 
 
 def near_classes(
-    docs: DataFrame, size: int = 3, percent: int = 85, trees: int = 8, depth: int = 5, limit: int = 24, first_trees: int = 2
+    docs: DataFrame, size: int = 3, percent: int = 85, trees: int | None = None, depth: int = 4, limit: int = 24, first_trees: int = 2, block: int = BLOCK
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+    trees = trees or tree_count(depth, percent)
     staged = Staged(docs.sparkSession)
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = whole.where("doc_id is not null")
@@ -188,13 +234,21 @@ def near_classes(
         if len(pdf) < 2:
             return None
         m = np.stack(pdf["mins"].to_list())
-        close = (m[:, None, :] == m[None, :, :]).sum(axis=2) >= least
+        side = pdf["later"].to_numpy()
+        close = np.zeros((len(m), len(m)), dtype=bool)
+        for i in range(len(m)):
+            close[i] = (m == m[i]).sum(axis=1) >= least
+        close &= (side[:, None] != side[None, :]) | (side < 2)
         np.fill_diagonal(close, False)
         keep = close.any(axis=1)
         return pdf.loc[keep, ["tree", "node", "chunk", "doc_id", "later"]] if keep.any() else None
 
-    members = tree_nodes(reps, trees, depth, limit, staged).join(reps, "doc_id").select("tree", "node", "chunk", "doc_id", "later", "mins")
-    rows = staged.write(sorted_groups(members, ["node", "chunk"], plausible, "tree int, node long, chunk int, doc_id long, later int"))
+    def with_partners(members: DataFrame) -> DataFrame:
+        members = members.join(reps, "doc_id").select("tree", "node", "chunk", "doc_id", "later", "mins")
+        return staged.write(sorted_groups(members, ["node", "chunk"], plausible, "tree int, node long, chunk long, doc_id long, later int"))
+
+    members, large = tree_nodes(reps, trees, depth, limit, staged)
+    rows = with_partners(members)
     # Texts and ids are both spread over the tasks, whatever the number of ids.
     texts = staged.write(docs.join(rows.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
 
@@ -207,28 +261,37 @@ def near_classes(
         if len(by) < 2:
             return None
         sets = [shingles(t, size) for t in pdf["text"]]
+        side = pdf["later"].tolist()
         links = []
         for i in range(len(ids)):
             for j in range(i + 1, len(ids)):
-                if forest.find(i) != forest.find(j) and similar(sets[i], sets[j], percent):
+                if (side[i] != side[j] or side[i] < 2) and forest.find(i) != forest.find(j) and similar(sets[i], sets[j], percent):
                     forest.join(i, j)
                     links.append((ids[i], ids[j]))
         return pd.DataFrame(links, columns=["a", "b"]) if links else None
 
-    links: DataFrame | None = None
-    comp: DataFrame | None = None
-    for part in (F.col("tree") < first_trees, F.col("tree") >= first_trees):
-        named = rows.where(part)
-        if comp is None:
-            named = named.withColumn("comp", F.col("doc_id"))
-        else:
-            named = named.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id"))
-            # Only nodes that hold two components can add anything.
-            several = named.groupBy("node", "chunk").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-            named = named.join(several.select("node", "chunk"), ["node", "chunk"], "left_semi")
+    def linked(named: DataFrame, texts: DataFrame) -> DataFrame:
         joined = named.join(texts, "doc_id").select("node", "chunk", "doc_id", "later", "comp", "text")
-        found = sorted_groups(joined, ["node", "chunk"], compare, "a long, b long")
-        links = staged.write(found if links is None else links.unionByName(found))
+        return sorted_groups(joined, ["node", "chunk"], compare, "a long, b long")
+
+    def with_components(rows: DataFrame) -> DataFrame:
+        return rows.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id"))
+
+    rounds = (F.col("tree") < first_trees, F.col("tree") >= first_trees)
+    links = staged.write(linked(rows.where(rounds[0]).withColumn("comp", F.col("doc_id")), texts))
+    comp = components(links, staged)
+    named = with_components(rows.where(rounds[1]))
+    # Only nodes that hold two components can add anything.
+    several = named.groupBy("node", "chunk").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+    links = staged.write(linked(named.join(several.select("node", "chunk"), ["node", "chunk"], "left_semi"), texts).unionByName(links))
+    comp = components(links, staged)
+    # Large nodes that hold two components still.
+    for part in rounds:
+        rest = with_partners(block_pairs(with_components(large.where(part)), block, staged))
+        if rest.isEmpty():
+            continue
+        sought = docs.join(rest.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+        links = staged.write(linked(with_components(rest), sought).unionByName(links))
         comp = components(links, staged)
     result = (
         member.groupBy("doc_id")

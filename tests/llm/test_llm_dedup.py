@@ -206,3 +206,25 @@ def test_two_passages_of_one_pair_far_apart_are_both_cut(spark):
     out = {r.doc_id: r for r in substring.substring_dedup(frame(spark, rows)).collect()}
     assert not out[1].removed_spans and len(out[2].removed_spans) == 2
     assert 425 <= len(out[2].text.split()) <= 432
+
+
+def test_star_whose_centre_is_not_the_smallest_id(spark):
+    rng = random.Random(2)
+    base = [f"b{k}" for k in range(300)]
+    rows = [(70, " ".join(base))]
+    for i in [*range(70), *range(71, 160)]:
+        words = list(base)
+        for k in range(8):
+            words[rng.randrange(k * 37 + 3, k * 37 + 34)] = f"e{i}x{k}"
+        rows.append((i, " ".join(words)))
+    sets = {i: minhash.shingles(t, 3) for i, t in rows}
+    assert minhash.similar(sets[70], sets[0], 85) and not minhash.similar(sets[0], sets[1], 85)
+    out = minhash.near_classes(frame(spark, rows), 3, 85, limit=6, block=16).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: c for i, (_, c) in classes_by_force(rows, 3, 85).items()}
+    assert {r.component_id for r in out} == {0} and [r.doc_id for r in out if r.kept] == [0]
+
+
+def test_trees_follow_from_depth_and_threshold():
+    for depth, percent in ((4, 85), (4, 80), (5, 85), (1, 100)):
+        trees = minhash.tree_count(depth, percent)
+        assert (1 - (percent / 100) ** depth) ** trees <= minhash.MISS
