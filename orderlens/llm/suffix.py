@@ -9,7 +9,9 @@ document with a smaller id. Method:
    windows), so a task sends 8 bytes a run, each name once per group of documents.
 2. *Suffixes.* Documents are regrouped, and the text of runs with a repeated name goes
    to the bucket of the name. All copies of a window meet in one bucket. Equal runs of
-   text are sent once per group of documents, with the smallest document id.
+   text are sent once per group of documents, with the smallest document id. A hot name
+   (see ``HOT``) stands in very many different runs, as a line that most documents hold
+   does; its windows go one by one to the buckets of their own hashes, so they spread.
 3. *LPF.* Each bucket sorts the suffixes of its runs by their first ``length`` bytes
    (prefix doubling), and takes the previous and the next position in suffix order whose
    document is smaller. A suffix whose longest previous factor reaches ``length`` is a
@@ -37,6 +39,9 @@ from .common import M1, M2, M3, Staged, bucket_of, group_count, mix64
 K = 18
 #: Bytes of text in a group of documents.
 GROUP_BYTES = 4_000_000
+#: Pairs of a batch and a group of documents from which a name that stands in them is hot.
+#: The windows of a hot name take some ten times the bytes of its runs, so rarer names stay whole.
+HOT = 2048
 
 _MULT = (M1, M2, M3)
 
@@ -76,6 +81,16 @@ def runs(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, last + length - 1, names[first]
 
 
+def window_keys(data: bytes, length: int) -> np.ndarray:
+    """64-bit hashes of all windows, by the hashes of K-byte strings that cover them."""
+    h = _hashes(data)
+    n = len(data) - length + 1
+    out = np.zeros(n, np.uint64)
+    for at in (*range(0, length - K, K), length - K):
+        out = mix64(out ^ h[at : at + n])
+    return out
+
+
 def _bucket(names: np.ndarray, buckets: int) -> np.ndarray:
     return (mix64(names) >> np.uint64(16)) % np.uint64(buckets)
 
@@ -136,8 +151,8 @@ def _bytes(text) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
-def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """(doc_id, spans): packed int64 [start, end) byte intervals to remove, unmerged."""
+def text_pieces(docs: DataFrame, staged: Staged, length: int = 50, group_bytes: int = GROUP_BYTES, hot: int = HOT) -> DataFrame:
+    """Text with repeated names by bucket b, and (doc_id not null) spans that are known already."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = group_count(total, group_bytes, 16)
@@ -185,6 +200,8 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
         names, group, several = names[order], group[order], several[order]
         start, end = _split(names)
         keep = np.repeat((end - start > 1) | np.logical_or.reduceat(several, start), end - start)
+        # From here on the lowest bit says that a name is hot.
+        names = names | np.repeat((end - start >= hot).astype(np.uint64), end - start)
         names, group = names[keep], group[keep]
         if not len(names):
             return pd.DataFrame({"g": [], "names": []})
@@ -201,6 +218,8 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
         out: dict[str, list] = {k: [] for k in ("b", "doc_id", "names", "docs", "starts", "sizes", "data", "spans")}
         if len(pdf) and len(wanted):
             want = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in wanted["names"]]))
+            is_hot = (want & np.uint64(1)).astype(bool)
+            want = want & ~np.uint64(1)
             seen: dict[bytes, int] = {}
             rows: list[tuple[int, int, int, bytes]] = []
             pdf = pdf.sort_values("doc_id", kind="stable")
@@ -210,12 +229,21 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
                 names = names & ~np.uint64(1)
                 at = np.searchsorted(want, names)
                 hit = np.flatnonzero(want[np.minimum(at, len(want) - 1)] == names)
-                known = []
+                parts = []
+                windows = window_keys(data, length) if is_hot[at[hit]].any() else None
                 for i, a, z in zip(hit.tolist(), first[hit].tolist(), end[hit].tolist(), strict=True):
+                    if is_hot[at[i]]:
+                        parts += [(windows[w], w, w + length) for w in range(a, z - length + 1)]
+                    else:
+                        parts.append((names[i], a, z))
+                known: list[tuple[int, int]] = []
+                for key, a, z in parts:
                     piece = data[a:z]
                     by = seen.setdefault(piece, doc)
                     if by == doc:
-                        rows.append((names[i], doc, a, piece))
+                        rows.append((key, doc, a, piece))
+                    elif known and a <= known[-1][1]:
+                        known[-1] = (known[-1][0], max(z, known[-1][1]))
                     else:
                         known.append((a, z))
                 if known:
@@ -242,12 +270,17 @@ def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_byte
                     out["data"].append(b"".join(r[3] for r in some))
         return pd.DataFrame(out).astype({"b": "Int32", "doc_id": "Int64"})
 
-    pieces = (
+    return (
         docs.groupBy("g")
         .cogroup(shared.groupBy("g"))
         .applyInPandas(texts_of, "b int, doc_id long, names binary, docs binary, starts binary, sizes binary, data binary, spans binary")
     )
 
+
+def repeated_spans(docs: DataFrame, staged: Staged, length: int = 50, group_bytes: int = GROUP_BYTES, hot: int = HOT) -> DataFrame:
+    """(doc_id, spans): packed int64 [start, end) byte intervals to remove, unmerged."""
+    pieces = text_pieces(docs, staged, length, group_bytes, hot)
+
     def later(pdf: pd.DataFrame) -> pd.DataFrame:
         known = pdf.loc[pdf["doc_id"].notna(), ["doc_id", "spans"]]
         pdf = pdf[pdf["doc_id"].isna()]
@@ -313,11 +346,11 @@ def merged(packed: list[bytes]) -> list[tuple[int, int]]:
     return out
 
 
-def suffix_dedup(docs: DataFrame, length: int = 50, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 50, group_bytes: int = GROUP_BYTES, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary): every document without the
     bytes covered by later copies of ``length``-byte strings."""
     staged = Staged(docs.sparkSession)
-    spans = repeated_spans(docs, staged, length, group_bytes)
+    spans = repeated_spans(docs, staged, length, group_bytes, hot)
     by_doc = spans.groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(by_doc, "doc_id", "left")
 

@@ -228,3 +228,28 @@ def test_trees_follow_from_depth_and_threshold():
     for depth, percent in ((4, 85), (4, 80), (5, 85), (1, 100)):
         trees = minhash.tree_count(depth, percent)
         assert (1 - (percent / 100) ** depth) ** trees <= minhash.MISS
+
+
+def test_a_line_of_many_documents_is_spread_over_buckets(spark, corpus):
+    rng = random.Random(4)
+    line = "all rights reserved, see the licence"
+    rows = [(1000 + i, f"{prose(rng, 12)} {line} {prose(rng, 12)}") for i in range(300)]
+    share = {}
+    for hot in (2, 10**9):
+        pieces = suffix.text_pieces(frame(spark, rows), Staged(spark), 50, 2_000, hot).where("data is not null")
+        sent = [r.n for r in pieces.selectExpr("b", "octet_length(data) n").groupBy("b").sum("n").toDF("b", "n").collect()]
+        share[hot] = max(sent) / sum(sent)
+    assert share[2] < 0.15 < 0.5 < share[10**9]
+    rows += corpus
+    out = {r.doc_id: r for r in suffix.suffix_dedup(frame(spark, rows), 50, group_bytes=4_000, hot=2).collect()}
+    first: dict[bytes, int] = {}
+    known = [(i, (t or "").encode()) for i, t in rows if i is not None]
+    for i, b in sorted(known):
+        for p in range(len(b) - 49):
+            first.setdefault(b[p : p + 50], i)
+    for i, b in known:
+        mark = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if first[b[p : p + 50]] < i:
+                mark[p : p + 50] = b"\1" * 50
+        assert bytes(out[i].kept) == bytes(c for c, m in zip(b, mark) if not m), i
