@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, html_text, minhash, oracles, packing, secret_crf, substring, suffix, topk, toxicity
+from . import bpe, embeddings, hard_negatives, html_text, minhash, oracles, packing, prefix_trie, secret_crf, substring, suffix, topk, toxicity, url_filter
 from .common import table
 
 
@@ -80,11 +80,37 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.word_counts(table(spark, sf_dir, "documents")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: (verdict, host, path) of op12.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.default_labels(spark))
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), model, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved, "embedding")
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_secret_scan, op3_bpe_round_trip, op4_html_text, op5_substring_dedup,
-        op6_toxicity, op7_top_k, op8_suffix_dedup, op9_minhash_dedup, op10_best_fit_packing,
+        op6_toxicity, op7_top_k, op8_suffix_dedup, op9_minhash_dedup, op10_best_fit_packing, op11_prefix_trie, op12_url_filter, op13_hard_negatives,
     )
 }
 
