@@ -36,12 +36,16 @@ def test_run_equals_its_stages(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_cover_their_tables(spark, name):
     out = __spark_entry__.queries()[name](spark, SMALL)
-    table = {"op1": "embeddings", "op4": "pages"}.get(name.split("_")[0], "documents")
+    table = {"op1": "embeddings", "op4": "pages", "op7": "embeddings", "op11": "conversations", "op12": "pages", "op13": "embeddings"}.get(name.split("_")[0], "documents")
     rows = spark.read.parquet(f"{SMALL}/{table}.parquet")
     if name.startswith("op7"):
         asked = rows.where("vec_id % 50 = 0").count()
         assert out.count() == 5 * asked
     elif name.startswith("op10"):
         assert out.select("doc_id").distinct().count() == rows.count()
+    elif name.startswith("op11"):
+        assert out.where("depth = 0").first().n_convs == rows.select("conv_id").distinct().count()
+    elif name.startswith("op13"):
+        assert out.select("anchor_id").distinct().count() == rows.where("vec_id % 100 = 0").count()
     else:
         assert out.count() == rows.count()
