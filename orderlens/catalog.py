@@ -20,11 +20,13 @@ from orderlens.operators.clean import (capped_prior_count, clean_raw, drop_missi
                                        normalize_string_categoricals, prior_order_count, tree_prep,
                                        union_cohorts)
 from orderlens.operators.contexts import build_contexts
+from orderlens.operators.lookups import heavy_values
 from orderlens.operators.profile import (category_profile, drift_summary, feature_drift, month_timeline,
                                          numeric_histogram, rate_by_capped_count, value_counts_top)
 from orderlens.plans import backtest as bt
 from orderlens.plans import explain as xp
 from orderlens.plans import models as mdl
+from orderlens.plans import rolling as roll
 from orderlens.plans.features import build_features, derive_feature_columns
 from orderlens.plans.spec import load_feature_config
 from orderlens.schema import DEAL_COUNT_COL, DEFAULT_CATEGORY_ORDERS, ROW_ID, TARGET
@@ -844,12 +846,12 @@ def q_target_encode(spark, sf_dir):
     """Maps fitted on orders before the cutoff, applied to all
     new-contact orders (unseen -> global mean)."""
     feats, _ = new_cohort_features(spark, sf_dir)
-    feats = feats.cache()
     train = feats.where(F.col("sale_date") < F.to_timestamp_ntz(F.lit(TE_CUTOFF)))
     g = enc.global_mean(train, TARGET)
     out = feats.select("row_id", *_feature_cols([c for c, _ in TE_COLS]))
+    heavy = heavy_values(out, [c for c, _ in TE_COLS])
     for c, a in TE_COLS:
-        out = enc.apply_target_map(out, c, enc.target_map(train, c, TARGET, a, g), g, f"{c}_te")
+        out = enc.apply_target_map(out, c, enc.target_map(train, c, TARGET, a, g), g, f"{c}_te", heavy[c])
     return out.select("row_id", *[f"{c}_te" for c, _ in TE_COLS])
 
 
@@ -875,14 +877,77 @@ g AS (SELECT CAST(sum(buyout_flag) AS DOUBLE) / count(*) AS g FROM ff)""" + "".j
 def q_target_encode_oof(spark, sf_dir):
     """E5, W5 (given fold = order key mod 5): other-fold smoothed means."""
     feats, _ = new_cohort_features(spark, sf_dir)
-    ff = feats.withColumn("fold", (F.col("row_id") % 5).cast("int")).cache()
-    g = enc.global_mean(ff, TARGET)
-    out = ff
+    te = [c for c, _ in TE_COLS]
+    out = feats.withColumn("fold", (F.col("row_id") % 5).cast("int")).select("row_id", "fold", TARGET, *_feature_cols(te))
+    g, heavy = enc.global_mean(out, TARGET), heavy_values(out, te)
     for c, a in TE_COLS:
-        out = enc.oof_target_encode(out, c, TARGET, "fold", a, g, f"{c}_oof")
+        out = enc.oof_target_encode(out, c, TARGET, "fold", a, g, f"{c}_oof", heavy[c])
     return out.select("row_id", "fold", *[f"{c}_oof" for c, _ in TE_COLS])
 
 
+@query("stratified_folds", sql("""
+, y AS (SELECT buyout_flag AS label, count(*) AS n FROM cohort GROUP BY 1),
+c AS (SELECT label, n, coalesce(sum(n) OVER (ORDER BY label NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM y)
+SELECT label, CAST(f.i AS INTEGER) AS fold,
+       CAST(n // 5 + CASE WHEN (f.i - start % 5 + 5) % 5 < n % 5 THEN 1 ELSE 0 END AS BIGINT) AS n
+FROM c CROSS JOIN range(5) f(i)
+WHERE n // 5 + CASE WHEN (f.i - start % 5 + 5) % 5 < n % 5 THEN 1 ELSE 0 END > 0"""))
+def q_stratified_folds(spark, sf_dir):
+    """Fold sizes per class of the seeded, exactly stratified folds."""
+    df = with_prior(spark, sf_dir).select("row_id", F.col(TARGET).alias("label"))
+    return enc.stratified_folds(df, "label", 5).groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ordered_ts_sql() -> str:
+    w = "OVER (PARTITION BY {c} ORDER BY (row_id * 7919) % 10007, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    cols = [f"(coalesce(CAST(sum(buyout_flag) {w.format(c=_q(c))} AS DOUBLE), 0.0) + g.g * {a}) / (count(*) {w.format(c=_q(c))} + {a}) AS {c}_ots"
+            for c, a in TE_COLS]
+    return FEAT_CTE + f""",
+g AS (SELECT CAST(sum(buyout_flag) AS DOUBLE) / count(*) AS g FROM feat)
+SELECT row_id, {', '.join(cols)} FROM feat CROSS JOIN g"""
+
+
+@query("ordered_target_stats", sql(_ordered_ts_sql()))
+def q_ordered_target_stats(spark, sf_dir):
+    """M3: ordered target statistics along a given permutation, the boosted trees' encoding of
+    many-valued categories."""
+    feats, _ = new_cohort_features(spark, sf_dir)
+    te = [c for c, _ in TE_COLS]
+    out = feats.select("row_id", TARGET, *_feature_cols(te))
+    g = enc.global_mean(out, TARGET)
+    order = [(F.col("row_id") * 7919) % 10007, F.col("row_id")]
+    for c, a in TE_COLS:
+        out = enc.ordered_target_statistics(out, [c], TARGET, a, g, [f"{c}_ots"], order)
+    return out.select("row_id", *[f"{c}_ots" for c in te])
+
+
+AS_OF_COL, AS_OF_ALPHA = TE_COLS[0]
+
+
+@query("target_map_intervals", sql(FEAT_CTE + f"""
+, vm AS (SELECT {_q(AS_OF_COL)} AS value, strftime(sale_date, '%Y-%m') AS after, CAST(sum(buyout_flag) AS BIGINT) AS s, count(*) AS n
+         FROM feat WHERE sale_date IS NOT NULL AND {_q(AS_OF_COL)} IS NOT NULL GROUP BY 1, 2)
+SELECT value, after, lead(after) OVER (PARTITION BY value ORDER BY after) AS upto,
+       CAST(sum(s) OVER (PARTITION BY value ORDER BY after) AS BIGINT) AS s, CAST(sum(n) OVER (PARTITION BY value ORDER BY after) AS BIGINT) AS n
+FROM vm"""))
+def q_target_map_intervals(spark, sf_dir):
+    """A value's statistics with the test months for which they hold."""
+    return bt.target_map_intervals(new_cohort_features(spark, sf_dir)[0], AS_OF_COL)
+
+
+@query("target_map_as_of", sql(FEAT_CTE + f"""
+, d AS (SELECT row_id, {_q(AS_OF_COL)} AS value, strftime(sale_date, '%Y-%m') AS m, buyout_flag AS y FROM feat WHERE sale_date IS NOT NULL),
+g AS (SELECT m, coalesce(CAST(sum(sum(y)) OVER w AS DOUBLE) / sum(count(*)) OVER w, 0.5) AS g FROM d GROUP BY m
+      WINDOW w AS (ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+v AS (SELECT a.row_id, sum(b.y) AS s, count(b.row_id) AS n FROM d a LEFT JOIN d b ON a.value = b.value AND b.m < a.m GROUP BY a.row_id)
+SELECT d.row_id, CASE WHEN v.n > 0 THEN (CAST(v.s AS DOUBLE) + g.g * {AS_OF_ALPHA}) / (v.n + {AS_OF_ALPHA}) ELSE g.g END AS te
+FROM d JOIN v ON d.row_id = v.row_id JOIN g ON d.m = g.m"""))
+def q_target_map_as_of(spark, sf_dir):
+    """Each order's encoding as of its own month, by an as-of join."""
+    feats = new_cohort_features(spark, sf_dir)[0].select("row_id", TARGET, "sale_date", *_feature_cols([AS_OF_COL]))
+    return bt.target_map_as_of(feats, AS_OF_COL, AS_OF_ALPHA).select("row_id", "te")
+
+
 def _onehot_sql() -> str:
     items = ", ".join(f"{{'feature': '{c}', 'category': CAST({_q(c)} AS VARCHAR)}}" for c in FC.cat_cols)
     return FEAT_CTE + f""",
@@ -1229,15 +1294,64 @@ def q_lr_scores(spark, sf_dir):
     return p1.unionByName(p2)
 
 
+def _rolling(spark, sf_dir):
+    """All months' full-feature models from one joint fit (shared per session)."""
+    k = (spark.sparkContext.applicationId, f"rolling:{sf_dir}")
+    if k not in _PREPARED:
+        _PREPARED[k] = roll.fit(roll.prepare(_new_feats_dated(spark, sf_dir), FC))
+    return _PREPARED[k]
+
+
 @query("backtest")
 def q_backtest(spark, sf_dir):
-    """Expanding-window backtest of the full-feature model, by month
-    (every eligible month after the first; all earlier rows train)."""
-    feats = _new_feats_dated(spark, sf_dir).cache()
+    """Expanding-window backtest of the full-feature model, by month
+    (every eligible month after the first; all earlier rows train; the rolling
+    fit's penalised intercept)."""
+    return bt.evaluated(_rolling(spark, sf_dir).scores(), _new_feats_dated(spark, sf_dir))
+
 
-    def train_fn(train, test):
-        return mdl.FullFeatureModel.fit(train, FC).predict_proba(test)
-    return bt.cumulative_months_loop(feats, train_fn, parallelism=8)
+@query("backtest_coefficients")
+def q_backtest_coefficients(spark, sf_dir):
+    """Weights of every month's model by feature name."""
+    return _rolling(spark, sf_dir).coefficients()
+
+
+MONTH_SCORE_SQL = (", sc AS (SELECT strftime(sale_date, '%Y-%m') AS month, is_new__ AS is_new, "
+                   "CAST((row_id * 7919) % 1000 AS DOUBLE) / 1000.0 AS p, buyout_flag AS y FROM cohort WHERE sale_date IS NOT NULL)")
+
+
+def _month_metrics_sql() -> str:
+    lo, hi, step = met.F1_GRID.values()
+    return MONTH_SCORE_SQL + f""",
+cnt AS (SELECT month, is_new, p AS s, sum(y) AS pos, count(*) - sum(y) AS neg FROM sc GROUP BY ALL),
+cum AS (SELECT *, coalesce(sum(pos) OVER (PARTITION BY month, is_new ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below,
+               coalesce(sum(neg) OVER (PARTITION BY month, is_new ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+               sum(pos) OVER (PARTITION BY month, is_new) AS P, sum(neg) OVER (PARTITION BY month, is_new) AS N
+        FROM cnt),
+rk AS (SELECT month, is_new, sum(pos + neg) AS n, sum(pos) AS n_pos,
+              CASE WHEN any_value(P) > 0 AND any_value(N) > 0 THEN
+                CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / (CAST(2.0 AS DOUBLE) * any_value(P) * any_value(N)) END AS roc_auc,
+              CASE WHEN any_value(P) > 0 AND any_value(N) > 0 THEN round(sum(CASE WHEN pos > 0 THEN
+                (CAST(pos AS DOUBLE) / P) * (CAST(P - pos_below AS DOUBLE) / ((P - pos_below) + (N - neg_below))) ELSE 0.0 END), 10) END AS pr_auc
+       FROM cum GROUP BY month, is_new),
+gr AS ({_grid_sql(lo, hi, step)}),
+gc AS (SELECT month, is_new, i, t, sum(CASE WHEN y = 1 AND p >= t THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN y = 0 AND p >= t THEN 1 ELSE 0 END) AS fp, sum(CASE WHEN y = 1 AND p < t THEN 1 ELSE 0 END) AS fn
+       FROM gr CROSS JOIN sc GROUP BY month, is_new, i, t),
+gf AS (SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM gc),
+best AS (SELECT month, is_new, f1, t FROM gf QUALIFY row_number() OVER (PARTITION BY month, is_new ORDER BY f1 DESC, i) = 1)
+SELECT rk.month, rk.is_new, CAST(rk.n AS BIGINT) AS n, CAST(rk.n_pos AS BIGINT) AS n_pos, rk.roc_auc, rk.pr_auc, best.f1 AS best_f1,
+       CASE WHEN best.f1 > 0 THEN best.t ELSE 0.5 END AS best_threshold
+FROM rk JOIN best ON rk.month = best.month AND rk.is_new = best.is_new"""
+
+
+@query("month_metrics", sql(_month_metrics_sql()))
+def q_month_metrics(spark, sf_dir):
+    """M6, M7, W6 by key: AUC, AP and best F1 of every month and cohort from one scored table."""
+    df = with_prior(spark, sf_dir).where("sale_date is not null")
+    scores = df.select(bt.month_col().alias("month"), is_new_column().alias("is_new"), F.col(TARGET).alias("y"),
+                       (((F.col("row_id") * 7919) % 1000).cast("double") / F.lit(1000.0)).alias("p"))
+    return met.metrics_by(scores, ["month", "is_new"]).withColumn("pr_auc", F.round("pr_auc", 10))
 
 
 def _gbt_fit(spark, sf_dir):

@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from orderlens.functions.ops import Val, plain_text, to_double
 from orderlens.operators.lookups import left_lookup
+from orderlens.operators.ranking import ranked, running_sums
 
 
 def global_mean(df: DataFrame, target: str) -> float:
@@ -38,36 +39,67 @@ def target_map(df: DataFrame, col: str, target: str, alpha: float, g: float) ->
               .select("value", smoothed(F.col("s"), F.col("n"), g, alpha).alias("te")))
 
 
-def apply_target_map(df: DataFrame, col: str, tmap: DataFrame, g: float, out: str) -> DataFrame:
-    """Left lookup; unseen or NULL -> global mean."""
+def apply_target_map(df: DataFrame, col: str, tmap: DataFrame, g: float, out: str, heavy: list | tuple = ()) -> DataFrame:
+    """Left lookup; unseen or NULL -> global mean.  ``heavy``: values to spread (``lookups.heavy_values``)."""
     t = tmap.select(F.col("value").alias("__te_v"), F.col("te").alias("__te"))
-    j = left_lookup(df, F.col(f"`{col}`"), t, "__te_v")
+    j = left_lookup(df, F.col(f"`{col}`"), t, "__te_v", heavy)
     return j.withColumn(out, F.coalesce(F.col("__te"), F.lit(g))).drop("__te")
 
 
 def oof_target_encode(df: DataFrame, col: str, target: str, fold: str, alpha: float,
-                      g: float, out: str) -> DataFrame:
+                      g: float, out: str, heavy: list | tuple = ()) -> DataFrame:
     """E5: each row's value from the other folds' statistics; the global
-    mean is over all training rows; no other-fold rows or NULL -> mean."""
+    mean is over all training rows; no other-fold rows or NULL -> mean.
+    ``heavy``: values to spread (``lookups.heavy_values``)."""
     v = F.col(f"`{col}`")
     by_vf = (df.where(v.isNotNull()).groupBy(v.alias("__v"), F.col(fold).alias("__f"))
                .agg(F.sum(F.col(target)).alias("__s"), F.count(F.lit(1)).alias("__n")))
     w = Window.partitionBy("__v")  # over the (value, fold) table: <= k rows per value
     stats = by_vf.select(
-        "__v", "__f",
+        F.struct("__v", "__f").alias("__vf"),
         (F.sum("__s").over(w) - F.col("__s")).alias("__so"),
         (F.sum("__n").over(w) - F.col("__n")).alias("__no"))
-    j = df.join(stats, (v == F.col("__v")) & (F.col(fold) == F.col("__f")), "left")
+    key = F.when(v.isNotNull(), F.struct(v.alias("__v"), F.col(fold).alias("__f")))
+    j = left_lookup(df, key, stats, "__vf", heavy, (v, F.col("__vf.__v")))
     te = F.when(F.col("__no") > 0, smoothed(F.col("__so"), F.col("__no"), g, alpha))
-    return j.withColumn(out, F.coalesce(te, F.lit(g))).drop("__v", "__f", "__so", "__no")
+    return j.withColumn(out, F.coalesce(te, F.lit(g))).drop("__so", "__no")
+
+
+def ordered_target_statistics(df: DataFrame, cols: list[str], target: str, alpha: float, g: float,
+                              outs: list[str], order: list[Column | str] | None = None,
+                              row_id: str = "row_id", seed: int = 42) -> DataFrame:
+    """M3's encoding: the smoothed mean target of the rows that come before a row in a seeded
+    permutation and share its value; (g) for the first one.  NULL is a value of its own.
+
+    ``order`` (default: a seeded hash of the row id, then the id) must be unique; running sums by
+    range partition, so a value with most of the rows spreads over tasks."""
+    order = order or [F.xxhash64(F.col(row_id), F.lit(seed)), F.col(row_id)]
+    for c, out in zip(cols, outs, strict=True):
+        y = F.col(target).cast("double")
+        df = running_sums(df, [c], order, {"__s": y, "__n": F.lit(1).cast("long")})
+        df = df.withColumn(out, smoothed(F.col("__s") - y, F.col("__n") - 1, g, alpha)).drop("__s", "__n")
+    return df
 
 
 def hash_folds(row_id: Column, k: int, seed: int = 42) -> Column:
-    """W5 stand-in: a deterministic hash fold (sklearn's shuffled stratified
-    folds are not reproducible outside sklearn)."""
+    """A fold by a seeded hash of the row id: balanced on average only, but free of any shuffle."""
     return F.pmod(F.xxhash64(row_id, F.lit(seed)), F.lit(k)).cast("int")
 
 
+def stratified_folds(df: DataFrame, target: str, k: int, fold: str = "fold", row_id: str = "row_id", seed: int = 42,
+                     order: list[Column | str] | None = None) -> DataFrame:
+    """Exact stratified shuffled folds.  Each class is put in a seeded order (``order`` is
+    unique; default a hash of the row id, then the id) and dealt out in turn, each class going on
+    where the one before stopped: both a class's folds and whole folds differ by one row at most."""
+    order = order or [F.xxhash64(F.col(row_id), F.lit(seed)), F.col(row_id)]
+    out = ranked(df, order, "__r", [target])
+    sizes = df.groupBy(F.col(target).alias("__t")).agg(F.count(F.lit(1)).alias("__n"))  # one row a class
+    before = Window.orderBy(F.asc_nulls_first("__t")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__t", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    out = out.join(F.broadcast(starts), F.col(target).eqNullSafe(F.col("__t")))  # classes
+    return out.withColumn(fold, ((F.col("__start") + F.col("__r") - 1) % k).cast("int")).drop("__t", "__start", "__r")
+
+
 def n_folds(n_pos: int, n_neg: int, requested: int = 5) -> int:
     """k = min(requested, max(2, positives, negatives)) -- the original rule."""
     return min(requested, int(max(2, n_pos, n_neg)))
@@ -83,9 +115,8 @@ def onehot_long(df: DataFrame, cols: list[str], id_col: str = "row_id") -> DataF
     long = (df.select(F.col(id_col), F.explode(items).alias("kv"))
               .select(id_col, "kv.feature", "kv.category")
               .where(F.col("category").isNotNull()))
-    vocab = long.select("feature", "category").distinct()
-    w = Window.partitionBy("feature").orderBy("category")  # over the distinct vocabulary
-    vocab = vocab.withColumn("slot", (F.dense_rank().over(w) - 1).cast("int"))
+    vocab = ranked(long.select("feature", "category").distinct(), ["category"], "slot", ["feature"])
+    vocab = vocab.withColumn("slot", (F.col("slot") - 1).cast("int"))
     return (long.join(vocab, ["feature", "category"])
                 .select(id_col, "feature", "category",
                         F.concat(F.col("feature"), F.lit("_"), F.col("category")).alias("onehot_col"),

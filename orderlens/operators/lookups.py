@@ -3,7 +3,8 @@
 All are equi-joins without broadcast hints: Spark broadcasts a side by its
 measured bytes (the runtime threshold), otherwise it sorts and merges, and AQE
 splits hot keys.  NULL keys never match, so they are spread by a hash of the
-row instead of meeting in one partition.
+row instead of meeting in one partition; keys named as heavy are spread over
+``SALTS`` partitions, to which their one table row is copied.
 """
 
 from __future__ import annotations
@@ -14,12 +15,39 @@ from pyspark.sql import functions as F
 from orderlens.functions.ops import LookupJoin, normalize_text
 
 
-def left_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str) -> DataFrame:
+#: Partitions over which the rows of one heavy key are spread.
+SALTS = 64
+#: A key is heavy from this share of the rows on; so there are fewer than 1 / HEAVY of them.
+HEAVY = 1 / 64
+
+
+def heavy_values(df: DataFrame, cols: list[str], share: float = HEAVY) -> dict[str, list]:
+    """Per column its values with at least ``share`` of the rows (NULL left out), from one
+    sketch aggregate over all columns; at most 1 / share values a column reach the driver."""
+    most = int(1 / share) + 1
+    top = [F.expr(f"approx_top_k(`{c}`, {most}, {64 * most})").alias(f"t{i}") for i, c in enumerate(cols)]
+    r = df.agg(F.count(F.lit(1)).alias("n"), *top).first()
+    least = max(1.0, share * r["n"])
+    return {c: [e["item"] for e in (r[f"t{i}"] or []) if e["item"] is not None and e["count"] >= least]
+            for i, c in enumerate(cols)}
+
+
+def left_lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str, heavy: list | tuple = (),
+                heavy_on: tuple[Column, Column] | None = None) -> DataFrame:
     """``df`` left-joined to ``table`` on ``key = table_key`` (dropped from the
-    result); the table's other column names must not occur in ``df``."""
-    spread = F.when(key.isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).otherwise(F.lit(0))
-    t = table.withColumnRenamed(table_key, "__lk_table").withColumn("__lk_none", F.lit(0).cast("long"))
-    j = df.withColumns({"__lk_key": key, "__lk_spread": spread.cast("long")})
+    result); the table's other column names must not occur in ``df`` and its key is unique.
+
+    ``heavy`` are values that many rows hold, of the keys or of the two columns
+    ``heavy_on`` = (of df, of table) that equal keys share."""
+    mine, theirs = heavy_on or (key, F.col(table_key))
+    own = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    spread = F.when(key.isNull(), own)
+    copies = F.array(F.lit(0).cast("long"))
+    if heavy:
+        spread = spread.when(mine.isin(*heavy), F.pmod(own, F.lit(SALTS)))
+        copies = F.when(theirs.isin(*heavy), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(copies)
+    t = table.withColumn("__lk_none", F.explode(copies) if heavy else F.lit(0).cast("long")).withColumnRenamed(table_key, "__lk_table")
+    j = df.withColumns({"__lk_key": key, "__lk_spread": spread.otherwise(F.lit(0)).cast("long")})
     j = j.join(t, (F.col("__lk_key") == F.col("__lk_table")) & (F.col("__lk_spread") == F.col("__lk_none")), "left")
     return j.drop("__lk_key", "__lk_spread", "__lk_table", "__lk_none")
 

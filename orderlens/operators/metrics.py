@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orderlens.operators.ranking import running_sums
 from orderlens.session import stage_table
 
 DEC = "decimal(38,0)"
@@ -158,6 +159,64 @@ def classification_metrics(df: DataFrame, threshold: float = 0.5, y: str = "y",
         (F.lit(float(P)) / d(n)).alias("positive_rate"))
 
 
+def grid_cell(s: Column, thresholds: list[float]):
+    """k = #{i: thresholds[i] <= s} of an even grid, and the function from an index to its threshold."""
+    n = len(thresholds)
+    lo = thresholds[0]
+    delta = thresholds[1] - thresholds[0] if n > 1 else 1.0
+    t_at = lambda k: F.lit(lo) + k.cast("double") * F.lit(delta)
+    k0 = F.least(F.greatest(F.floor((s - F.lit(lo)) / F.lit(delta)) + 1, F.lit(0)), F.lit(n))
+    k1 = F.when((k0 >= 1) & (s < t_at(k0 - 1)), k0 - 1).otherwise(k0)
+    return F.when((k1 < n) & (s >= t_at(k1)), k1 + 1).otherwise(k1).cast("int"), t_at
+
+
+def metrics_by(df: DataFrame, keys: list[str], y: str = "y", p: str = "p", grid_of: dict | None = None) -> DataFrame:
+    """M6, M7 and W6 for many models, months or both at once: per ``keys`` the rows, positives,
+    ROC-AUC, average precision, and the best F1 of the grid with its threshold.
+
+    The scored table is read twice, whatever the number of keys: once for the ranking (one row
+    per key and distinct score, running counts from the top by :func:`running_sums`, so a key
+    with most of the rows still spreads over tasks) and once for the grid (at most grid + 1 rows
+    a key).  NULL scores are left out; AUC and AP are NULL for one class; (0.0, 0.5) where no
+    threshold gives F1 > 0."""
+    df = df.where(F.col(p).isNotNull())
+    group = [F.col(f"`{k}`") for k in keys]
+    counts = df.groupBy(*group, F.col(p).alias("__s")).agg(F.sum(F.col(y)).cast("long").alias("__pos"),
+                                                            F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumn("__neg", F.col("__n") - F.col("__pos"))
+    cum = running_sums(counts, keys, [F.desc("__s")], {"__tp": F.col("__pos"), "__fp": F.col("__neg")})
+    pos, neg, tp, fp = (F.col(f"__{c}") for c in ("pos", "neg", "tp", "fp"))
+    sums = cum.groupBy(*group).agg(
+        F.sum("__n").alias("n"), F.sum(pos).alias("n_pos"),
+        F.sum(pos.cast(DEC) * (fp * 2 - neg).cast(DEC)).alias("__over"),
+        F.sum(F.when(pos > 0, pos * (tp / (tp + fp))).otherwise(F.lit(0.0))).alias("__ap"))
+    P, N = F.col("n_pos"), F.col("n") - F.col("n_pos")  # noqa: N806
+    both = (P > 0) & (N > 0)
+    pairs = P.cast(DEC) * N.cast(DEC) * 2
+    ranked = sums.select(*group, "n", "n_pos",
+                         F.when(both, (pairs - F.col("__over")).cast("double") / pairs.cast("double")).alias("roc_auc"),
+                         F.when(both, F.col("__ap") / P).alias("pr_auc"))
+
+    k, t_at = grid_cell(F.col(p), grid(**(grid_of or F1_GRID)))
+    cells = df.groupBy(*group, k.alias("__k")).agg(F.sum(F.col(y)).cast("long").alias("__pos"), F.count(F.lit(1)).alias("__n"))
+    # at most grid + 1 cells a key; a threshold counts the cells above it, so F1 changes at cells only
+    down = Window.partitionBy(*group).orderBy(F.desc("__k")).rowsBetween(Window.unboundedPreceding, 0)
+    total = Window.partitionBy(*group)
+    step = Window.partitionBy(*group).orderBy("__k")
+    cells = cells.select(*group, "__k", F.sum("__pos").over(down).alias("__tp"), F.sum(F.col("__n") - F.col("__pos")).over(down).alias("__fp"),
+                         F.sum("__pos").over(total).alias("__all"), F.coalesce(F.lag("__k").over(step), F.lit(0)).alias("__i"))
+    f1 = F.when(F.col("__k") > 0, _f1(tp, fp, F.col("__all") - tp)).otherwise(F.lit(0.0))
+    best = cells.groupBy(*group).agg(F.max(F.struct(f1.alias("f1"), (-F.col("__i")).alias("i"))).alias("__b"))
+    found = F.col("__b.f1") > 0
+    best = best.select(*[g.alias(f"__k{j}") for j, g in enumerate(group)],
+                       F.when(found, F.col("__b.f1")).otherwise(F.lit(0.0)).alias("best_f1"),
+                       F.when(found, t_at(-F.col("__b.i"))).otherwise(F.lit(0.5)).alias("best_threshold"))
+    meets = F.lit(True)
+    for j, g in enumerate(group):
+        meets = meets & g.eqNullSafe(F.col(f"__k{j}"))
+    return ranked.join(best, meets).drop(*[f"__k{j}" for j in range(len(group))])
+
+
 def grid_counts(df: DataFrame, thresholds: list[float], y: str = "y", p: str = "p") -> DataFrame:
     """Per threshold index ``i``: tp/fp/fn/tn of ``p >= thresholds[i]``.
 
@@ -166,13 +225,7 @@ def grid_counts(df: DataFrame, thresholds: list[float], y: str = "y", p: str = "
     the (len+1)-row table is suffix-summed.
     """
     n = len(thresholds)
-    lo = thresholds[0]
-    delta = thresholds[1] - thresholds[0] if n > 1 else 1.0
-    t_at = lambda k: F.lit(lo) + k.cast("double") * F.lit(delta)
-    s = F.col(p)
-    k0 = F.least(F.greatest(F.floor((s - F.lit(lo)) / F.lit(delta)) + 1, F.lit(0)), F.lit(n))
-    k1 = F.when((k0 >= 1) & (s < t_at(k0 - 1)), k0 - 1).otherwise(k0)
-    k = F.when((k1 < n) & (s >= t_at(k1)), k1 + 1).otherwise(k1).cast("int")
+    k, t_at = grid_cell(F.col(p), thresholds)
     per_k = (df.groupBy(k.alias("k"))
                .agg(F.sum(F.col(y)).cast("long").alias("pos"), F.count(F.lit(1)).alias("cnt")))
     totals = per_k.agg(F.sum("pos").alias("P"), F.sum("cnt").alias("T")).first()

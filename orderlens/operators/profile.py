@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orderlens.functions.ops import Val, is_numeric, plain_text, to_double
+from orderlens.operators.ranking import ranked
 from orderlens.schema import DATE_COL, DEAL_COUNT_COL, NAN_TOKEN, TARGET
 
 BIG = 1 << 30
@@ -46,9 +47,8 @@ def category_profile(df: DataFrame, col: str, target: str = TARGET, top_n: int |
         F.col("n_total"),
         F.when(F.col("n_total") > 0, F.col("n_pos") / F.col("n_total")).otherwise(F.lit(0.0))
          .alias("rate"))
-    w = Window.orderBy(category_order("category", known_order), F.desc("n_total"), F.asc("category"))
-    # the profile holds one row per category: a global window is over that tiny table
-    return prof.withColumn("position", (F.row_number().over(w) - 1).cast("int"))
+    shown = [category_order("category", known_order), F.desc("n_total"), F.asc("category")]
+    return ranked(prof, shown, "position").withColumn("position", (F.col("position") - 1).cast("int"))
 
 
 def numeric_histogram(df: DataFrame, col: str, target: str = TARGET, bins: int = 30,
@@ -224,9 +224,8 @@ def feature_overview(df: DataFrame, col: str, target: str = TARGET, bins: int =
 def category_profiles(df: DataFrame, cols: list[str], target: str = TARGET,
                       known_orders: dict | None = None, top_n: int | None = None) -> DataFrame:
     """A6 for several features in one pass (long form): rows are exploded to
-    (feature, category) and aggregated once; the display order, and the cut to
-    an explicit ``top_n``, are windows over the aggregated table (bounded by
-    distinct categories per feature), never over rows."""
+    (feature, category) and aggregated once; the display order is a distributed
+    rank of the aggregated table, the cut to an explicit ``top_n`` a rank limit."""
     known_orders = known_orders or {}
     items = F.array(*[F.struct(F.lit(c).alias("feature"),
                                plain_text(Val(F.col(f"`{c}`"), df.schema[c].dataType)).alias("category"))
@@ -244,8 +243,8 @@ def category_profiles(df: DataFrame, cols: list[str], target: str = TARGET,
         pos = F.array_position(F.array(*[F.lit(k) for k in known]), F.col("category"))
         known_pos = F.when(F.col("feature") == f, F.coalesce(F.nullif(pos, F.lit(0)), F.lit(BIG)).cast("long")) \
                      .otherwise(known_pos)
-    order = Window.partitionBy("feature").orderBy(known_pos, F.desc("n_total"), F.asc("category"))
+    agg = ranked(agg, [known_pos, F.desc("n_total"), F.asc("category")], "position", ["feature"])
     return agg.select(
         "feature", "category", "n_pos", (F.col("n_total") - F.col("n_pos")).alias("n_neg"), "n_total",
         F.when(F.col("n_total") > 0, F.col("n_pos") / F.col("n_total")).otherwise(F.lit(0.0)).alias("rate"),
-        (F.row_number().over(order) - 1).cast("int").alias("position"))
+        (F.col("position") - 1).cast("int").alias("position"))
