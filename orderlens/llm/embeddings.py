@@ -3,8 +3,8 @@
 Vectors of one label are compared by cosine, all with all, in tiles. Vectors that are equal
 in every component form a class first; one stands for it, with the class's size. A label's
 representatives are spread over tiles of about ``TILE``; each pair of tiles is one group,
-whose product of int8 codes is exact integer arithmetic (in float32 products, where every
-partial sum is a small integer). With u = s*q + d, |d| <= e, for unit vectors u the cosine
+whose product of int8 codes is exact integer arithmetic (float32 products of ``EXACT`` dimensions
+at a time, in which every partial sum is an integer under 2^24, added up in doubles). With u = s*q + d, |d| <= e, for unit vectors u the cosine
 of two vectors differs from s*s'*(q.q') by at most e*|s'q'| + |sq|*e' + e*e', so pairs whose
 upper bound stays under the threshold are done; only the others are computed in double
 precision from the full vectors. A group returns each vector's number of links and one link
@@ -32,6 +32,8 @@ from .common import Staged, ship
 from .components import components
 
 TILE = 1_024
+#: Dimensions whose products of codes, at most 127 * 127 each, float32 sums up exactly.
+EXACT = 1_000
 #: Candidate pairs that are recomputed at once.
 CHUNK = 1 << 15
 
@@ -53,6 +55,33 @@ def valid_vectors(table: DataFrame, id_column: str = "vec_id", column: str = "em
     return table.select(id_column, *keep, column).mapInArrow(run, schema)
 
 
+def integer_vectors(table: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The kept columns and vec: floor(256 * x) of ``embedding`` as little-endian longs; null for null or empty
+    vectors, null or non-finite components, and vectors whose integers have a squared length of 2^63 or more
+    (an inner product could then exceed a long; of shorter ones none can)."""
+    ship(table.sparkSession)
+
+    def whole(x: list | None) -> bytes | None:
+        if not x:
+            return None
+        v = np.floor(256 * np.array(x, dtype=np.float64))  # null components become nan
+        size = float(v @ v)
+        if not np.isfinite(size) or size > 2.0**64:
+            return None
+        if size >= 2.0**62 and sum(int(c) ** 2 for c in v) >= 2**63:
+            return None
+        return v.astype("<i8").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            with np.errstate(over="ignore", invalid="ignore"):
+                vecs = [whole(x) for x in batch.column(len(keep)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(vecs, pa.binary())], names=[*keep, "vec"])
+
+    schema = StructType([*(table.schema[c] for c in keep), *StructType.fromDDL("vec binary").fields])
+    return table.select(*keep, "embedding").mapInArrow(run, schema)
+
+
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 codes, scales, norms of the decoded vectors and bounds of the error's norm, by row."""
     scale = np.abs(unit).max(axis=1) / 127
@@ -62,12 +91,20 @@ def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return codes, scale, np.sqrt((decoded**2).sum(axis=1)) + tiny, np.sqrt(((unit - decoded) ** 2).sum(axis=1)) + tiny
 
 
+def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products of int8 codes, of any number of dimensions."""
+    out = np.zeros((len(a), len(b)))
+    for at in range(0, a.shape[1], EXACT):
+        out += a[:, at : at + EXACT].astype(np.float32) @ b[:, at : at + EXACT].astype(np.float32).T
+    return out
+
+
 def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of rows of a and b (i < j if both are one tile) with cosine >= threshold."""
     norm_a, norm_b = np.sqrt((a**2).sum(axis=1)), np.sqrt((b**2).sum(axis=1))
     qa, sa, na, ea = quantise(a / norm_a[:, None])
     qb, sb, nb, eb = quantise(b / norm_b[:, None])
-    dot = (qa.astype(np.float32) @ qb.astype(np.float32).T).astype(np.float64)
+    dot = code_products(qa, qb)
     bound = dot * sa[:, None] * sb[None, :] + ea[:, None] * nb[None, :] + na[:, None] * eb[None, :] + ea[:, None] * eb[None, :]
     i, j = np.nonzero(bound >= threshold - 1e-9)
     if same:
@@ -141,4 +178,4 @@ def near_links(vectors: DataFrame, threshold: float = 0.93, tile: int = TILE) ->
     ).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-__all__ = ["linked_pairs", "near_links", "quantise", "smallest_linked", "valid_vectors"]
+__all__ = ["code_products", "integer_vectors", "linked_pairs", "near_links", "quantise", "smallest_linked", "valid_vectors"]

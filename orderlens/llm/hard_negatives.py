@@ -29,12 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .common import Staged, bucket_of, group_count
+from .embeddings import integer_vectors
 
 ROW_BLOCK = 8_192
 ANCHOR_BLOCK = 1_024
@@ -47,30 +46,6 @@ _UNPACK = struct.Struct(">QQQBQ")
 _HALF = 1 << 63
 
 
-def integer_vectors(table: DataFrame) -> DataFrame:
-    """vec_id, label, anchor and vec: floor(256 * x) as little-endian longs, null where the row takes no part."""
-
-    def whole(x: list | None) -> bytes | None:
-        if not x:
-            return None
-        v = np.floor(256 * np.array(x, dtype=np.float64))  # null components become nan
-        size = float(v @ v)
-        if not np.isfinite(size) or size > 2.0**64:
-            return None
-        if size >= 2.0**62 and sum(int(c) ** 2 for c in v) >= _HALF:
-            return None
-        return v.astype("<i8").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            with np.errstate(over="ignore", invalid="ignore"):
-                vecs = [whole(x) for x in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(vecs, pa.binary())], names=["vec_id", "label", "anchor", "vec"])
-
-    schema = StructType([*(table.schema[c] for c in ("vec_id", "label", "anchor")), *StructType.fromDDL("vec binary").fields])
-    return table.select("vec_id", "label", "anchor", "embedding").mapInArrow(run, schema)
-
-
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer products of all rows: in doubles where they hold every sum, else in longs
     (whose partial sums may wrap around, but not the results, see the bound on lengths)."""
@@ -158,7 +133,7 @@ def mine(
     spark = staged.spark
     table = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.coalesce(is_anchor, F.lit(False)).alias("anchor"), "embedding")
     table = table.where("vec_id is not null and label is not null and embedding is not null")
-    rows = staged.write(integer_vectors(table).where("vec is not null").distinct().withColumn("version", F.xxhash64("label", "vec")))
+    rows = staged.write(integer_vectors(table, ("vec_id", "label", "anchor")).where("vec is not null").distinct().withColumn("version", F.xxhash64("label", "vec")))
     asked = rows.where("anchor").drop("anchor")
     n, n_asked = rows.count(), asked.count()
     i_blocks, j_blocks = group_count(n, row_block, 1), group_count(n_asked, anchor_block, 1)

@@ -10,10 +10,11 @@ other shards (blocks of queries against shards), which then skip most nodes, if
 allow. Shards return at most k rows a query, merged by a ranked window.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no
-part; scores of vectors of different lengths don't exist; equal scores go to the smaller
+part, nor do vectors whose integers have a squared length of 2^63 or more (a score could then
+exceed a long; below it none can); scores of vectors of different lengths don't exist; equal scores go to the smaller
 vec_id; a row with the query's id is never its result; rows that repeat an id and a vector
 count once; with fewer than k candidates all are returned; null ids take no part; other
-columns are ignored; an empty table gives an empty result. Scores must fit a long.
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Staged, bucket_of, group_count
-from .embeddings import valid_vectors
+from .embeddings import integer_vectors
 
 SHARD = 2_048
 QUERY_BLOCK = 2_048
@@ -34,10 +35,10 @@ LEAF = 64
 
 
 def to_integers(vecs: list[bytes]) -> np.ndarray:
-    """Rows of floor(256 * x) as integral doubles, or as exact integers where doubles can't hold the sums."""
-    x = np.floor(256 * np.stack([np.frombuffer(v, "<f8") for v in vecs]))
+    """Rows of integers as integral doubles, or as exact integers where doubles can't hold the sums."""
+    x = np.stack([np.frombuffer(v, "<i8") for v in vecs])
     if x.shape[1] * float(np.abs(x).max(initial=0)) ** 2 < 2**53:
-        return x
+        return x.astype(np.float64)
     return np.array([[int(c) for c in r] for r in x], dtype=object)
 
 
@@ -109,7 +110,7 @@ def _by_length(vecs: pd.Series) -> dict[int, np.ndarray]:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHARD, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of ``queries`` (vec_id, embedding) the k best of ``vectors``."""
     staged = Staged(vectors.sparkSession)
-    usable = lambda t: valid_vectors(t.withColumn("vec_id", F.col("vec_id").cast("long")), keep=()).where("vec_id is not null and vec is not null").distinct()
+    usable = lambda t: integer_vectors(t.withColumn("vec_id", F.col("vec_id").cast("long")), ("vec_id",)).where("vec_id is not null and vec is not null").distinct()
     data = staged.write(usable(vectors))
     asked = staged.write(usable(queries))
     shards = group_count(data.count(), shard, 1)

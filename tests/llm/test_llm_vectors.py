@@ -103,3 +103,33 @@ def test_tree_finds_exact_best_with_big_numbers():
     for q in range(0, 300, 29):
         want = sorted(((-int(sum(int(a) * int(b) for a, b in zip(ints[q], y, strict=True))), i) for i, y in enumerate(ints) if i != q))[:4]
         assert [(-s, -m) for s, m in tree.search(ints[q], bounds[q], q, 4, None)] == want
+
+
+def test_code_products_are_exact_in_any_dimension():
+    rng = np.random.default_rng(6)
+    for size in (3, 1_000, 1_040, 4_096):
+        a = rng.choice([-127, 127, 126], size=(20, size)).astype(np.int8)
+        a[1] = a[0]
+        assert (embeddings.code_products(a, a) == a.astype(np.int64) @ a.T.astype(np.int64)).all()
+
+
+def test_no_borderline_pair_is_lost_in_many_dimensions():
+    """Integer components, the threshold just under each pair's own cosine."""
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        x = rng.integers(-127, 128, size=4_096).astype(float)
+        x[0] = 127
+        y = np.clip(x + rng.integers(-1, 2, size=4_096), -127, 127)
+        y[0] = 127
+        cosine = (x @ y) / np.sqrt((x @ x) * (y @ y))
+        i, _ = embeddings.linked_pairs(np.stack([x, y]), np.stack([x, y]), cosine - 1e-11, True)
+        assert len(i) == 1
+
+
+def test_scores_stay_in_a_long(spark):
+    """Vectors that could give a score beyond a long take no part; the longest others are exact."""
+    top = 2.0**31 / 256
+    rows = [(0, [top, 1.0], 1), (50, [1e9, 1e9], 1), (1, [top, 0.5], 1), (2, [1e300, 0.0], 1), (3, [-top, 2.0], 1)]
+    table = spark.createDataFrame([(i, v, k) for i, v, k in rows], "vec_id long, embedding array<double>, label int")
+    out = [tuple(r) for r in topk.top_k(table, table.where("vec_id % 50 = 0"), 5).collect()]
+    assert out == [(0, 1, 1, 2**62 + 256 * 128), (0, 2, 3, -(2**62) + 256 * 512)]
