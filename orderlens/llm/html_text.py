@@ -55,7 +55,8 @@ OTHER = frozenset(
     "nav menu header footer aside sidebar ad ads advert advertisement banner sponsor cookie notice consent alert form comment comments reply share social breadcrumb related newsletter".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+_NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
+_VALUE = re.compile(r"=\s*([\"'])")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
@@ -68,6 +69,61 @@ class Block:
     links: int  # characters inside links
 
 
+class Markup:
+    """Reads a page from left to right, in time proportional to its length."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.at = 0
+        self.sections = True
+        self.broken = False  # a quoted value without an end was met: quotes count no more
+
+    def _tag_end(self, at: int) -> int:
+        """Where a tag ends whose name ends at ``at``; -1 if nowhere. Quotes count at the start of a value only."""
+        page, begin = self.page, at
+        while not self.broken:
+            close = page.find(">", at)
+            if close < 0:
+                break
+            quote = _VALUE.search(page, at, close)
+            if quote is None:
+                return close + 1
+            at = page.find(quote[1], quote.end()) + 1
+            if not at:
+                self.broken = True
+        if not self.broken:  # a quote holds the last >: none follows outside of quotes
+            self.broken = True
+        return page.find(">", begin) + 1 or -1
+
+    def next(self) -> tuple[str, str, str, str]:
+        """(kind, closing, name, rest): kind "text" (rest is the text), "tag" (rest holds the attributes) or "none"."""
+        page, at = self.page, self.at
+        lt = page.find("<", at)
+        if lt != at:
+            self.at = lt if lt >= 0 else len(page)
+            return "text", "", "", page[at : self.at]
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            self.at = end + 3 if end >= 0 else len(page)
+            return "none", "", "", ""
+        if self.sections and page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at + 9)
+            if end >= 0:
+                self.at = end + 3
+                return "text", "", "", page[at + 9 : end]
+            self.sections = False  # nor does a later one end
+        name = _NAME.match(page, at)
+        if name or page[at + 1 : at + 2] in ("!", "?"):
+            end = self._tag_end(name.end()) if name else page.find(">", at) + 1 or -1
+            if end > 0:
+                self.at = end
+                return ("tag", name[1], name[2], page[name.end() : end - 1]) if name else ("none", "", "", "")
+            self.at = len(page)  # no > follows: whatever comes is text
+            return "text", "", "", page[at:]
+        self.at = at + 1
+        return "text", "", "", "<"
+
+
 def blocks_of(page) -> list[Block]:
     """Blocks of a page in order: white space runs made one space, character references decoded."""
     if not isinstance(page, str) or not page:
@@ -87,22 +143,20 @@ def blocks_of(page) -> list[Block]:
                 out.append(Block(path, text, links))
         parts, links = [], 0
 
-    pos = 0
-    while pos < len(page):
-        m = _TOKEN.match(page, pos)
-        pos = m.end()
-        cdata, closing, name, attributes, text = m.groups()
-        if text is not None or cdata is not None:
+    markup = Markup(page)
+    while markup.at < len(page):
+        kind, closing, name, attributes = markup.next()
+        if kind == "text":
             if not silent:
-                parts.append(text if text is not None else cdata)
-                links += len(parts[-1]) if linked else 0
+                parts.append(attributes)
+                links += len(attributes) if linked else 0
             continue
-        if name is None:
+        if kind == "none":
             continue
         name = name.lower()
         if name in RAW and not closing:  # its content is no markup
-            end = _RAW_END[name].search(page, pos)
-            pos = end.end() if end else len(page)
+            end = _RAW_END[name].search(page, markup.at)
+            markup.at = end.end() if end else len(page)
             continue
         if silent:
             if name == silent_name:
@@ -116,7 +170,7 @@ def blocks_of(page) -> list[Block]:
         if name in VOID:
             if name == "hr":
                 flush()
-            else:
+            elif name != "wbr":  # a place for a line break, no space
                 parts.append(" ")
             continue
         if name in SILENT and not closing:
@@ -345,6 +399,8 @@ def fit(pages: list[str], seed: int = 11, epochs: int = EPOCHS) -> dict[str, np.
         if not blocks:
             continue
         labels = [structural_label(b) for b in blocks]
+        if not any(labels):  # a page whose structure tells nothing teaches nothing
+            continue
         for own, y in [(blocks, labels), planted(rng, blocks, labels), planted(rng, blocks, labels)]:
             data.append((vectors.page(own), np.array(y, dtype=float)))
     w = init()
