@@ -9,7 +9,8 @@ table, updating only the two neighbours a merge touches. Documents then look the
 Equality with the sequential rule (lowest rank first, then leftmost) holds because
 positions of one rank are applied from left to right. Where a merge makes a pair of lower
 rank than its own possible, which a trained rank table hardly ever has, the word is encoded
-again by the sequential rule itself, so the result is the same for any table.
+again by the sequential rule itself. A match that is a token as a whole is that token, as the
+tiktoken library looks it up first, also where no merges lead to it.
 
 Defined results: a null text is encoded as empty (no ids, no bytes); repeated rows come
 back repeated; a null id stays null; other columns are ignored; an empty table gives an
@@ -214,8 +215,15 @@ class Encoder:
             cut.append(parts)
             new.update(p for p in parts if p not in cache)
         pieces = {p: self.split.findall(p) for p in new}
-        table = list({w for ws in pieces.values() for w in ws if w not in known})
-        for w, ids in zip(table, self.replay([w.encode("utf-8", "surrogatepass") for w in table]), strict=True):
+        table, raw = [], []
+        for w in {w for ws in pieces.values() for w in ws if w not in known}:
+            data = w.encode("utf-8", "surrogatepass")
+            if (whole := self.ranks.get(data)) is not None:
+                known[w] = whole.to_bytes(4, "little")
+            else:
+                table.append(w)
+                raw.append(data)
+        for w, ids in zip(table, self.replay(raw) if raw else (), strict=True):
             known[w] = ids.astype("<u4").tobytes()
         for p, ws in pieces.items():
             cache[p] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
