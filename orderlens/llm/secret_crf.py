@@ -321,25 +321,25 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Field:
     """Fit the field on windows of the ``sample`` documents with the smallest hashed ids."""
     ship(docs.sparkSession)
     ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample)
-    # The sample is bounded by `sample` rows, so it may be broadcast.
-    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "lang")
+    # The sample is bounded by `sample` ids, so it may be broadcast; of rows that repeat an id the smallest serves.
+    rows = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("r")).select("doc_id", "r.text", "r.lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [
-                (doc, "\x00".join(t), bytes(y), "\x00".join(f))
+                (doc, t, bytes(y), f)
                 for doc, text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True)
                 for t, y, f in windows_of(text or "", lang)
             ]
             cols = list(zip(*got, strict=True)) if got else [[], [], [], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.string())],
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.string())), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.list_(pa.string()))],
                 names=["doc_id", "tokens", "tags", "file"],
             )
 
-    found = rows.mapInArrow(run, "doc_id long, tokens string, tags binary, file string").collect()
+    found = rows.mapInArrow(run, "doc_id long, tokens array<string>, tags binary, file array<string>").collect()
     found = sorted(found, key=lambda r: (r["doc_id"], r["tokens"]))
-    windows = [(r["tokens"].split("\x00"), list(r["tags"]), r["file"].split("\x00")) for r in found]
+    windows = [(list(r["tokens"]), list(r["tags"]), list(r["file"])) for r in found]
     tagged, plain = [w for w in windows if any(w[1])], [w for w in windows if not any(w[1])]
     return fit(tagged + plain[:PLAIN])
 

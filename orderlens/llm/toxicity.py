@@ -147,8 +147,9 @@ def train(
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     label = [F.coalesce(F.expr(c), F.lit(False)).cast("int").alias(f"y{i}") for i, (_, c) in enumerate(categories)]
-    # The sample is bounded by `sample` rows, so it may be broadcast.
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(marks), "doc_id").select(
+    # The sample is bounded by `sample` ids, so it may be broadcast; of rows that repeat an id the smallest serves.
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(marks), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "lang", "toxic")).alias("r")).select("doc_id", "r.*").select(
         F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(FOLDS)).alias("fold"), "doc_id", "text", *label
     )
     rows = Staged(docs.sparkSession).write(rows)
