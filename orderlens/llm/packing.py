@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.operators.ranking import running_sums
+
 from .common import Staged, group_count
 
 #: Permitted sequence lengths, and the cost of a sequence besides its length, in tokens.
@@ -101,10 +103,12 @@ def pack(
     lengths = tuple(sorted(lengths))
     top = lengths[-1]
     staged = Staged(sizes.sparkSession)
-    sizes = staged.write(
-        sizes.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("total"))
-        .withColumn("copy", F.monotonically_increasing_id())
-    )
+    sizes = sizes.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("total"))
+    # Rows are numbered by id and length: the same rows give the same bins, however they are dealt out.
+    alike = sizes.groupBy("doc_id", "total").agg(F.count("*").alias("n"))
+    upto = running_sums(alike, [], [F.asc_nulls_first("doc_id"), "total"], {"upto": F.col("n")}, stage=staged.write)
+    alike = upto.withColumn("copy", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1)))
+    sizes = staged.write(alike.select("doc_id", "total", "copy"))
     pieces = (
         sizes.where("total > 0")
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("total") / top) - 1)))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 import re
 import string
+import time
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from orderlens.llm import bpe, html_text, packing, secret_crf, toxicity
 
@@ -282,3 +284,63 @@ def test_lengths_are_chosen_by_cost():
 def test_word_counts(spark):
     out = packing.word_counts(docs(spark, [(1, "a  b\nc"), (2, None), (3, ""), (4, " ")])).collect()
     assert sorted(map(tuple, out)) == [(1, 3), (2, 0), (3, 0), (4, 0)]
+
+
+def test_markup_is_read_in_linear_time_and_loses_nothing():
+    texts = lambda page: [b.text for b in html_text.blocks_of(page)]
+    assert texts("<p title=it's>one</p><p>two</p><p>don't</p>") == ["one", "two", "don't"]
+    assert texts('<p a="x>y">q</p><p b = \'x>y\' c>r<br>s</p>') == ["q", "r s"]
+    assert texts("<p>super<wbr>cali</p><p>a < b <3</p><p><![CDATA[x<y]]></p>") == ["supercali", "a < b <3", "x<y"]
+    assert texts('<p x="open>one</p><p>two</p>') == ["one", "two"]  # a quote without an end counts no more
+    begin = time.time()
+    for part in ('<p x="', "<p x='>", "<![CDATA[", "<!--", "<", "</script", "<script>", "<p x=\"'>"):
+        html_text.blocks_of(part * 60_000)
+    assert time.time() - begin < 20
+
+
+def test_pages_without_structure_teach_nothing():
+    plain = ["<div>some words here</div><div>and more</div>"] * 5
+    assert all((a == b).all() for a, b in zip(html_text.fit(plain, epochs=1).values(), html_text.init().values(), strict=True))
+
+
+def test_training_windows_hold_any_character(spark):
+    rows = [(i, "a \x00 b password: \x00hunter2hunter2\x00 secret=abcdefgh12345678 c", "en") for i in range(2)]
+    rows += [(1, "another row of the id token=abcdefgh1234", "en"), (3, None, None), (None, "x", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    field = secret_crf.train(docs)
+    assert secret_crf.scan(docs, field).count() == len(rows)
+
+
+def test_a_whole_match_in_the_table_is_one_token(tmp_path):
+    """As the tiktoken library has it: a token that no merges lead to still stands for its match."""
+    import base64
+
+    ranks = {bytes([i]): i for i in range(256)} | {b"xyz": 300}
+    path = tmp_path / "toy.tiktoken"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" " + str(r).encode() for t, r in ranks.items()))
+    encoder = bpe.Encoder(bpe.load_ranks(str(path)), r"\w+|\W")
+    known = tiktoken.Encoding("toy", pat_str=r"\w+|\W", mergeable_ranks=ranks, special_tokens={})
+    for text in ("xyz", "xyzz xyz", "axyz xyz!", ""):
+        assert list(np.frombuffer(encoder.encode_batch([text])[0], "<u4")) == known.encode_ordinary(text)
+
+
+def test_bins_do_not_depend_on_the_deal(spark):
+    rows = [(i % 50, 1 + (i * 37) % 400) for i in range(600)] + [(7, 100)] * 30 + [(None, 5)] * 4
+    sizes = spark.createDataFrame(rows, "doc_id long, n_tokens long")
+    out = [sorted(map(tuple, packing.pack(sizes.repartition(n), shard_items=200).fillna(-1).collect())) for n in (2, 7)]
+    assert out[0] == out[1] and len(out[0]) >= len(rows)
+
+
+def test_samples_hold_one_row_an_id(spark):
+    """An id with thousands of rows brings one of them to the fit."""
+    docs = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.concat(F.lit("word password=abcdefgh"), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    docs = docs.union(spark.createDataFrame([(i, f"kind words of document {i}", "en") for i in range(100, 140)], "doc_id long, text string, lang string"))
+    labels = spark.createDataFrame([(5, 1)] + [(i, i % 2) for i in range(100, 140)], "doc_id long, toxic int")
+    seen = []
+    plain = toxicity.fit_chain
+    try:
+        toxicity.fit_chain = lambda x, *a: seen.append(len(x)) or plain(x, *a)
+        toxicity.train(docs, labels)
+    finally:
+        toxicity.fit_chain = plain
+    assert seen == [41]
