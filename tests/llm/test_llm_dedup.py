@@ -253,3 +253,56 @@ def test_a_line_of_many_documents_is_spread_over_buckets(spark, corpus):
             if first[b[p : p + 50]] < i:
                 mark[p : p + 50] = b"\1" * 50
         assert bytes(out[i].kept) == bytes(c for c, m in zip(b, mark) if not m), i
+
+
+def removed_by_force(rows, length=50):
+    """The kept bytes of each (id, text), judged by ids on the input."""
+    known = [(i, (t or "").encode()) for i, t in rows if i is not None]
+    first: dict[bytes, int] = {}
+    for i, b in sorted(known):
+        for p in range(len(b) - length + 1):
+            first.setdefault(b[p : p + length], i)
+    out = {}
+    for i, b in known:
+        mark = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if first[b[p : p + length]] < i:
+                mark[p : p + length] = b"\1" * length
+        out[i, b] = bytes(c for c, m in zip(b, mark) if not m)
+    return out
+
+
+@pytest.mark.parametrize("hot", [2, 2048])
+def test_suffix_dedup_of_rows_that_repeat_an_id(spark, hot):
+    """Each row has spans of its own, and rows of one id don't remove one another's bytes."""
+    rng = random.Random(12)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a), (5, a + " " + b), (5, c), (5, b), (5, c), (3, c[:120]), (9, b + a), (9, c), (9, None), (None, a)]
+    rows += [(20 + i % 7, prose(rng, 20) + a[i : i + 90] + prose(rng, 9)) for i in range(60)]
+    want = removed_by_force(rows)
+    got = suffix.suffix_dedup(frame(spark, rows), 50, group_bytes=1_500, hot=hot).collect()
+    assert len(got) == len(rows)
+    expect = sorted((i, len((t or "").encode()), want[i, (t or "").encode()]) for i, t in rows if i is not None)
+    assert sorted((r.doc_id, r.n_bytes, bytes(r.kept)) for r in got if r.doc_id is not None) == expect
+    assert [bytes(r.kept) for r in got if r.doc_id is None] == [a.encode()]
+
+
+def test_previous_factors_equal_brute_force():
+    rng = np.random.default_rng(1)
+    for length in (9, 17, 50):
+        data = rng.integers(97, 99, 500).astype(np.uint8)
+        data[300:400] = data[100:200]
+        data[450:] = 97
+        starts = rng.permutation(len(data) - length + 1)[:300]
+        owner = np.sort(rng.integers(0, 9, len(data)))[starts]
+        got = suffix.previous_factors(data, starts, owner, length)
+        for k, s in enumerate(starts):
+            best = 0
+            for j, t in enumerate(starts):
+                if owner[j] < owner[k]:
+                    n = 0
+                    while n < length and data[s + n] == data[t + n]:
+                        n += 1
+                    best = max(best, n)
+            assert got[k] == best
+    assert (suffix._smaller_before(np.array([3, 1, 2, 2, 0, 5])) == [-1, -1, 1, 1, -1, 4]).all()
