@@ -8,13 +8,15 @@ smaller id, and removes the later ones.
 2. *Matches.* A seed's first occurrence (smallest document, then position) is an aggregate;
    each later occurrence is joined to it, so matches grow with the seeds, not with pairs.
 3. *Chains.* A document's matches with one earlier document are chained in order in both
-   texts; gaps cost, and a match follows the best chain that ends within reach before it.
+   texts through Fenwick trees; gaps cost, and a match follows the best chain that ends within
+   reach before it.
 4. *Alignment.* The words of a chain are aligned between its seeds and extended beyond its
    ends. Passages of at least ``min_words`` words with a similarity of 0.8 or more go.
 
 Defined results: null and empty texts stay as they are; words are cut at 0x20 and
 0x09-0x0D and compared with A-Z lower-cased; documents with null ids are kept whole; rows
-that repeat an id are one document, so they don't remove one another; other columns stay
+that repeat an id don't remove one another's text, and each has spans of its own (a row is
+known by id and text); other columns stay
 (``n_chars`` is counted anew); an empty table gives an empty result.
 """
 
@@ -86,29 +88,115 @@ def seeds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[at], at
 
 
+class Ascent:
+    """A Fenwick tree of running maxima: the best (value, index) of the places up to one."""
+
+    def __init__(self, size: int):
+        self.best: list[tuple[float, int]] = [(-np.inf, -1)] * (size + 1)
+
+    def put(self, at: int, item: tuple[float, int]) -> None:
+        at += 1
+        while at < len(self.best):
+            if item > self.best[at]:
+                self.best[at] = item
+            at += at & -at
+
+    def upto(self, at: int) -> tuple[float, int]:
+        found = (-np.inf, -1)
+        at += 1
+        while at > 0:
+            if self.best[at] > found:
+                found = self.best[at]
+            at -= at & -at
+        return found
+
+
+class Reach:
+    """The best item of the places [at - reach, at - SHINGLE], by blocks of as many places: such a range is a block,
+    or the end of one and the beginning of the next, so a tree from either side of each block answers it."""
+
+    def __init__(self, reach: int):
+        self.reach = reach
+        self.width = reach - SHINGLE + 1
+        self.blocks: dict[int, tuple[Ascent, Ascent]] = {}
+
+    def put(self, at: int, item: tuple[float, int]) -> None:
+        block, inside = divmod(at, self.width)
+        trees = self.blocks.get(block)
+        if trees is None:
+            trees = self.blocks[block] = Ascent(self.width), Ascent(self.width)
+        trees[0].put(inside, item)
+        trees[1].put(self.width - 1 - inside, item)
+
+    def before(self, at: int) -> tuple[float, int]:
+        (low, a), (high, z) = divmod(at - self.reach, self.width), divmod(at - SHINGLE, self.width)
+        found = self.blocks[low][1].upto(self.width - 1 - a) if low in self.blocks else (-np.inf, -1)
+        if high != low and high in self.blocks:
+            found = max(found, self.blocks[high][0].upto(z))
+        return found
+
+
 def chains(pos: list[int], ref: list[int]) -> list[list[int]]:
     """Chains over matches of one pair of documents, sorted by pos: lists of indexes.
 
     score(i) = words newly matched + the best of 0 and score(j) - GAP_COST * gaps, over
     all matches j that lie before i in both texts, at most MAX_GAP words away in either.
-    Chains are taken from the best end down; a match is in one chain only."""
+    For a match that doesn't overlap, the best one before it is a range maximum of
+    score(j) + GAP_COST * (pos(j) + ref(j)) over ref(j). Matches out of reach by pos leave
+    by epochs of that length: an epoch asks the one before it from its last match to its
+    first, while that one's matches enter from its end; so trees only ever take in. Matches
+    that overlap are few and looked up by place. Chains are taken from the best end down; a
+    match is in one chain only."""
     n = len(pos)
     reach = MAX_GAP + SHINGLE
-    score, back, top = [0.0] * n, [-1] * n, [0.0] * n  # top: best score up to a match
-    for i in range(n):
-        p, r = pos[i], ref[i]
-        best, who = float(SHINGLE), -1
-        j = i - 1
-        # No match at or before j can do better once top is too low for its least gap cost.
-        while j >= 0 and p - pos[j] <= reach and top[j] + SHINGLE - GAP_COST * (p - pos[j] + 1) > best:
-            d, e = p - pos[j], r - ref[j]
-            if d > 0 and 0 < e <= reach:
-                linked = score[j] + min(SHINGLE, d, e) - GAP_COST * (d + e)
-                if linked > best:
-                    best, who = linked, j
-            j -= 1
-        score[i], back[i] = best, who
-        top[i] = max(best, top[i - 1]) if i else best
+    score, back = [0.0] * n, [-1] * n
+    worth = lambda j: (score[j] + GAP_COST * (pos[j] + ref[j]), j)
+    by_ref: dict[int, list[int]] = {}
+    start, last = 0, range(0)  # the matches of the epoch before
+    while start < n:
+        epoch = pos[start] // reach
+        end = start
+        while end < n and pos[end] // reach == epoch:
+            end += 1
+        if last and pos[last[-1]] // reach < epoch - 1:
+            last = range(0)
+        # From the epoch before: its matches enter from the last one on; the few that may overlap are looked at one by one.
+        late = [j for j in last if pos[j] > epoch * reach - SHINGLE]
+        early: list[tuple[float, int]] = [(-np.inf, -1)] * (end - start)
+        if last:
+            tree, j = Reach(reach), last[-1] - len(late)
+            for i in range(end - 1, start - 1, -1):
+                while j >= last[0] and pos[j] >= pos[i] - reach:
+                    tree.put(ref[j], worth(j))
+                    j -= 1
+                early[i - start] = tree.before(ref[i])
+        tree, entered = Reach(reach), start
+        for i in range(start, end):
+            p, r = pos[i], ref[i]
+            while pos[entered] <= p - SHINGLE:
+                tree.put(ref[entered], worth(entered))
+                entered += 1
+            best, who = float(SHINGLE), -1
+            for value, j in (early[i - start], tree.before(r)):
+                if j >= 0 and value + SHINGLE - GAP_COST * (p + r) > best:
+                    best, who = value + SHINGLE - GAP_COST * (p + r), j
+            near = late + [j for k in range(1, SHINGLE) for j in by_ref.get(r - k, ())]  # overlap by ref
+            j = i - 1
+            while j >= 0 and pos[j] > p - SHINGLE:  # overlap by pos
+                near.append(j)
+                j -= 1
+            for j in near:
+                d, e = p - pos[j], r - ref[j]
+                if 0 < d <= reach and 0 < e <= reach:
+                    linked = score[j] + min(SHINGLE, d, e) - GAP_COST * (d + e)
+                    if linked > best:
+                        best, who = linked, j
+            score[i], back[i] = best, who
+            here = by_ref.setdefault(r, [])
+            while here and pos[here[0]] < p - reach:
+                here.pop(0)
+            here.append(i)
+        start, last = end, range(start, end)
     used = [False] * n
     out = []
     for i in sorted(range(n), key=lambda i: (-score[i], i)):
@@ -171,8 +259,9 @@ def align(h: np.ndarray, excerpt: np.ndarray, anchors: list[tuple[int, int]]) ->
 
 
 def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, starts, ends): word spans of ``docs`` (doc_id, text) that repeat an earlier document."""
+    """(doc_id, v, starts, ends): word spans of ``docs`` (doc_id, text; v: the text's hash) that repeat an earlier document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+    docs = docs.withColumn("v", F.xxhash64("text"))  # tells rows of one id apart
 
     def seeds_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -183,67 +272,68 @@ def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, simila
                     {
                         "h": np.concatenate([x for x, _ in found]).view(np.int64),
                         "doc": np.repeat(pdf["doc_id"].to_numpy(), n),
+                        "v": np.repeat(pdf["v"].to_numpy(), n),
                         "pos": np.concatenate([p for _, p in found]).astype(np.int32),
                     }
                 )
 
-    seed = staged.write(docs.mapInPandas(seeds_of, "h long, doc long, pos int"))
+    seed = staged.write(docs.mapInPandas(seeds_of, "h long, doc long, v long, pos int"))
     first = (
         seed.groupBy("h")
-        .agg(F.min(F.struct("doc", "pos")).alias("f"), F.max("doc").alias("last"))
+        .agg(F.min(F.struct("doc", "v", "pos")).alias("f"), F.max("doc").alias("last"))
         .where("f.doc < last")
-        .select("h", F.col("f.doc").alias("ref"), F.col("f.pos").alias("rpos"))
+        .select("h", F.col("f.doc").alias("ref"), F.col("f.v").alias("rv"), F.col("f.pos").alias("rpos"))
     )
-    match = staged.write(seed.join(first, "h").where("ref < doc").select("doc", "ref", "pos", "rpos"))
+    match = staged.write(seed.join(first, "h").where("ref < doc").select("doc", "v", "ref", "rv", "pos", "rpos"))
     staged.drop(seed)
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame | None:
         rows = []
-        ref = pdf["ref"].to_numpy()
-        cut = [0, *(np.flatnonzero(ref[1:] != ref[:-1]) + 1).tolist(), len(ref)]
+        ref, rv = pdf["ref"].to_numpy(), pdf["rv"].to_numpy()
+        cut = [0, *(np.flatnonzero((ref[1:] != ref[:-1]) | (rv[1:] != rv[:-1])) + 1).tolist(), len(ref)]
         pos, rpos = pdf["pos"].tolist(), pdf["rpos"].tolist()
         for a, z in zip(cut[:-1], cut[1:], strict=True):
             if z - a < 2:
                 continue
             p, r = pos[a:z], rpos[a:z]
             for c in chains(p, r):
-                rows.append((pdf["doc"].iloc[0], ref[a], r[c[0]], r[c[-1]], np.array([(p[i], r[i]) for i in c], "<i4").tobytes()))
-        return pd.DataFrame(rows, columns=["doc", "ref", "ra", "rz", "anchors"]) if rows else None
+                rows.append((pdf["doc"].iloc[0], pdf["v"].iloc[0], ref[a], rv[a], r[c[0]], r[c[-1]], np.array([(p[i], r[i]) for i in c], "<i4").tobytes()))
+        return pd.DataFrame(rows, columns=["doc", "v", "ref", "rv", "ra", "rz", "anchors"]) if rows else None
 
-    chained = staged.write(sorted_groups(match, ["doc"], chain, "doc long, ref long, ra int, rz int, anchors binary", ["ref", "pos", "rpos"]))
+    fields = "doc long, v long, ref long, rv long, ra int, rz int, anchors binary"
+    chained = staged.write(sorted_groups(match, ["doc", "v"], chain, fields, ["ref", "rv", "pos", "rpos"]))
     staged.drop(match)
 
     # The words beside and between the seeds, cut once for each stretch of an earlier text.
-    regions = chained.select("ref", "ra", "rz").distinct().groupBy("ref").agg(F.collect_list(F.struct("ra", "rz")).alias("regions"))
+    regions = chained.select("ref", "rv", "ra", "rz").distinct().groupBy("ref", "rv").agg(F.collect_list(F.struct("ra", "rz")).alias("regions"))
     # Texts and what is sought in them are both spread over the tasks, at every size.
-    one_row = docs.join(regions.withColumnRenamed("ref", "doc_id").hint("merge"), "doc_id")
+    one_row = docs.join(regions.withColumnsRenamed({"ref": "doc_id", "rv": "v"}).hint("merge"), ["doc_id", "v"]).select("doc_id", "v", "text", "regions")
 
     def excerpts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, v, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = word_hash_array(text)
                 ra, rz = [p["ra"] for p in parts], [p["rz"] for p in parts]
                 cuts = [h[max(0, a - EXTEND) : z + SHINGLE + EXTEND].tobytes() for a, z in zip(ra, rz, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc] * len(parts), pa.int64()), pa.array(ra, pa.int32()), pa.array(rz, pa.int32()), pa.array(cuts, pa.binary())],
-                    names=["ref", "ra", "rz", "excerpt"],
+                    [*(pa.array([x] * len(parts), pa.int64()) for x in (doc, v)), pa.array(ra, pa.int32()), pa.array(rz, pa.int32()), pa.array(cuts, pa.binary())],
+                    names=["ref", "rv", "ra", "rz", "excerpt"],
                 )
 
-    cut = one_row.mapInArrow(excerpts, "ref long, ra int, rz int, excerpt binary").dropDuplicates(["ref", "ra", "rz"])
-    wanted = chained.join(cut, ["ref", "ra", "rz"]).groupBy("doc").agg(F.collect_list(F.struct("ref", "ra", "anchors", "excerpt")).alias("found"))
-    whole = docs.join(wanted.withColumnRenamed("doc", "doc_id").hint("merge"), "doc_id")
+    cut = one_row.mapInArrow(excerpts, "ref long, rv long, ra int, rz int, excerpt binary").dropDuplicates(["ref", "rv", "ra", "rz"])
+    found = chained.join(cut, ["ref", "rv", "ra", "rz"])
+    wanted = found.groupBy("doc", "v").agg(F.collect_list(F.struct("ra", "anchors", "excerpt")).alias("found"))
+    whole = docs.join(wanted.withColumnRenamed("doc", "doc_id").hint("merge"), ["doc_id", "v"]).select("doc_id", "v", "text", "found")
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts, ends = [], [], []
-            for doc, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            ids, rows, starts, ends = [], [], [], []
+            for doc, v, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = word_hash_array(text)
                 spans = []
                 for f in found:
                     off = max(0, f["ra"] - EXTEND)
                     anchors = [(p, r - off) for p, r in np.frombuffer(f["anchors"], "<i4").reshape(-1, 2).tolist()]
-                    if anchors[-1][0] + SHINGLE > len(h):
-                        continue  # another row of the same id
                     a, z, like = align(h, np.frombuffer(f["excerpt"], np.uint64), anchors)
                     if z - a >= min_words and like >= similarity:
                         spans.append((a, z))
@@ -255,14 +345,16 @@ def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, simila
                         merged.append([a, z])
                 if merged:
                     ids.append(doc)
+                    rows.append(v)
                     starts.append([a for a, _ in merged])
                     ends.append([z for _, z in merged])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))], names=["doc_id", "starts", "ends"]
+                [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))],
+                names=["doc_id", "v", "starts", "ends"],
             )
 
-    spans = whole.mapInArrow(aligned, "doc_id long, starts array<int>, ends array<int>")
-    return spans.groupBy("doc_id").agg(F.min(F.struct("starts", "ends")).alias("s")).select("doc_id", "s.starts", "s.ends")
+    spans = whole.mapInArrow(aligned, "doc_id long, v long, starts array<int>, ends array<int>")
+    return spans.groupBy("doc_id", "v").agg(F.min(F.struct("starts", "ends")).alias("s")).select("doc_id", "v", "s.starts", "s.ends")
 
 
 def cut_words(text: str, starts: list[int], ends: list[int]) -> tuple[str, list[tuple[int, int]]]:
@@ -291,8 +383,8 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, similarity: flo
     # The documents' own columns go by number through the join, so their names can't clash.
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
     joined = (
-        docs.select(*own, F.col("doc_id").cast("long").alias("key"))
-        .join(spans.withColumnRenamed("doc_id", "key").hint("merge"), "key", "left")
+        docs.select(*own, F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("v"))
+        .join(spans.withColumnRenamed("doc_id", "key").hint("merge"), ["key", "v"], "left")
         .select(*[f"c{i}" for i in range(len(names))], "starts", "ends")
     )
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None

@@ -306,3 +306,43 @@ def test_previous_factors_equal_brute_force():
                     best = max(best, n)
             assert got[k] == best
     assert (suffix._smaller_before(np.array([3, 1, 2, 2, 0, 5])) == [-1, -1, 1, 1, -1, 4]).all()
+
+
+def test_fenwick_chains_equal_the_quadratic_recurrence():
+    rng = random.Random(21)
+    for trial in range(300):
+        n = rng.randint(1, 160)
+        span = rng.choice([40, 200, 900])
+        pos = sorted(rng.randrange(span) for _ in range(n))
+        shift = [rng.choice([0, 3, 70, 300]) for _ in range(3)]
+        ref = [max(0, p + rng.choice(shift) + (rng.randint(-9, 9) if rng.random() < 0.3 else 0)) if rng.random() < 0.8 else rng.randrange(span) for p in pos]
+        pairs = sorted(set(zip(pos, ref)))
+        pos, ref = [p for p, _ in pairs], [r for _, r in pairs]
+        score, _ = chains_by_force(pos, ref)
+        worth = lambda c: substring.SHINGLE + sum(
+            min(substring.SHINGLE, pos[b] - pos[a], ref[b] - ref[a]) - substring.GAP_COST * (pos[b] - pos[a] + ref[b] - ref[a]) for a, b in zip(c[:-1], c[1:]))
+        found = substring.chains(pos, ref)
+        assert all(0 < pos[b] - pos[a] <= substring.MAX_GAP + substring.SHINGLE and ref[b] > ref[a] for c in found for a, b in zip(c[:-1], c[1:]))
+        if max(score) > substring.SHINGLE:
+            assert abs(worth(found[0]) - max(score)) < 1e-9, trial
+
+
+def test_trees_answer_ranges():
+    rng = random.Random(5)
+    tree, known = substring.Reach(69), {}
+    for k in range(400):
+        at, value = rng.randrange(500), rng.random()
+        tree.put(at, (value, k))
+        known.setdefault(at, []).append((value, k))
+        ask = rng.randrange(-5, 600)
+        want = [x for p in range(ask - 69, ask - substring.SHINGLE + 1) for x in known.get(p, ())]
+        assert tree.before(ask) == max(want, default=(-np.inf, -1))
+
+
+def test_passages_of_rows_that_repeat_an_id(spark):
+    """A row's spans are cut from that row alone."""
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    out = substring.substring_dedup(frame(spark, [(1, a), (5, a + " " + b), (5, c), (5, c), (8, b)])).collect()
+    left = sorted((r.doc_id, " ".join(r.text.split())) for r in out)
+    assert left == sorted([(1, a), (5, b), (5, c), (5, c), (8, "")])
