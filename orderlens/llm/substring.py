@@ -4,12 +4,14 @@ Finds passages that also stand, word for word or with small edits, in a document
 smaller id, and removes the later ones.
 
 1. *Seeds.* Of each ``WINDOW`` consecutive 5-word shingles the one with the smallest hash
-   is a seed, so two equal passages of 36 words share two seeds at least.
+   is a seed (one in five or six), so two equal passages of 24 words share two seeds at least.
+   A seed carries a few bits of each of the words beside it.
 2. *Matches.* A seed's first occurrence (smallest document, then position) is an aggregate;
    each later occurrence is joined to it, so matches grow with the seeds, not with pairs.
 3. *Chains.* A document's matches with one earlier document are chained in order in both
    texts through Fenwick trees; gaps cost, and a match follows the best chain that ends within
-   reach before it.
+   reach before it. A match without a chain counts where the words beside it agree, too: of an
+   edited passage often one seed only survives.
 4. *Alignment.* The words of a chain are aligned between its seeds and extended beyond its
    ends. Passages of at least ``min_words`` words with a similarity of 0.8 or more go.
 
@@ -32,17 +34,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from .common import M1, M2, M3, Staged, sorted_groups
+from .common import M1, M2, M3, Staged, mix64, sorted_groups
 from .minhash import word_hashes, words_of
 
 SHINGLE = 5
-WINDOW = 16
-MIN_WORDS = 40
+WINDOW = 10
+#: A passage of 40 words still counts where a few words at its ends are changed.
+MIN_WORDS = 36
 SIMILARITY = 0.8
 #: Words between neighbours of a chain at most, in either text.
 MAX_GAP = 64
 #: Cost of a word of gap, against 1 for a word that a seed matches.
 GAP_COST = 0.05
+#: Words on either side of a seed of which it carries 4 bits, and how many of all must agree for a match alone.
+BESIDE, AGREE = 4, 3
+#: A run of words is followed until its value, +1 for an equal word and -2 for another, has fallen by more than this.
+FALL = 9
 #: Words beside a chain that are looked at for its ends; whatever runs on beyond is exact
 #: text, which has seeds of its own.
 EXTEND = 48
@@ -54,6 +61,16 @@ def word_hash_array(text) -> np.ndarray:
     return word_hashes(words_of(text))
 
 
+def beside(h: np.ndarray, at: np.ndarray, own: int) -> np.ndarray:
+    """4 bits of each of the words beside the seeds; beyond the text's ends bits of ``own``."""
+    edge = mix64(np.full(BESIDE, own, np.int64).view(np.uint64) + np.arange(BESIDE, dtype=np.uint64))
+    bits = (np.concatenate([edge, h, edge]) >> np.uint64(60)).astype(np.uint32)
+    out = np.zeros(len(at), np.uint32)
+    for k in (*range(-BESIDE, 0), *range(SHINGLE, SHINGLE + BESIDE)):
+        out = (out << np.uint32(4)) | bits[at + BESIDE + k]
+    return out.view(np.int32)
+
+
 def seeds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and positions of a document's seeds."""
     n = len(h) - SHINGLE + 1
@@ -220,13 +237,13 @@ def _lcs(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _run_on(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Extend without gaps: words taken, words matched; +1 and -2 a word, stopped 6 below the best."""
+    """Extend without gaps: words taken, words matched; +1 and -2 a word, stopped ``FALL`` below the best."""
     n = min(len(a), len(b))
     if not n:
         return 0, 0
     same = a[:n] == b[:n]
     value = np.cumsum(np.where(same, 1, -2))
-    fall = np.flatnonzero(value < np.maximum.accumulate(np.maximum(value, 0)) - 6)
+    fall = np.flatnonzero(value < np.maximum.accumulate(np.maximum(value, 0)) - FALL)
     stop = int(fall[0]) if len(fall) else n
     if not stop:
         return 0, 0
@@ -259,48 +276,56 @@ def align(h: np.ndarray, excerpt: np.ndarray, anchors: list[tuple[int, int]]) ->
 
 
 def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, v, starts, ends): word spans of ``docs`` (doc_id, text; v: the text's hash) that repeat an earlier document."""
+    """(doc_id, row, starts, ends): word spans of ``docs`` (doc_id, text; row: the text's hash) that repeat an earlier document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    docs = docs.withColumn("v", F.xxhash64("text"))  # tells rows of one id apart
+    # Tells rows of one id apart. Seeds carry half of it; the alignment checks that a seed's words are there.
+    docs = docs.withColumns({"row": F.xxhash64("text"), "v": F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")})
 
     def seeds_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [seeds(word_hash_array(t)) for t in pdf["text"]]
-            n = [len(x) for x, _ in found]
+            found = []
+            for doc, text in zip(pdf["doc_id"].tolist(), pdf["text"], strict=True):
+                h = word_hash_array(text)
+                x, at = seeds(h)
+                found.append((x, at, beside(h, at, doc)))
+            n = [len(x) for x, *_ in found]
             if sum(n):
                 yield pd.DataFrame(
                     {
-                        "h": np.concatenate([x for x, _ in found]).view(np.int64),
+                        "h": np.concatenate([x for x, *_ in found]).view(np.int64),
                         "doc": np.repeat(pdf["doc_id"].to_numpy(), n),
-                        "v": np.repeat(pdf["v"].to_numpy(), n),
-                        "pos": np.concatenate([p for _, p in found]).astype(np.int32),
+                        "v": np.repeat(pdf["v"].to_numpy(), n).astype(np.int32),
+                        "pos": np.concatenate([p for _, p, _ in found]).astype(np.int32),
+                        "near": np.concatenate([b for *_, b in found]),
                     }
                 )
 
-    seed = staged.write(docs.mapInPandas(seeds_of, "h long, doc long, v long, pos int"))
+    seed = staged.write(docs.mapInPandas(seeds_of, "h long, doc long, v int, pos int, near int"))
     first = (
         seed.groupBy("h")
-        .agg(F.min(F.struct("doc", "v", "pos")).alias("f"), F.max("doc").alias("last"))
+        .agg(F.min(F.struct("doc", "v", "pos", "near")).alias("f"), F.max("doc").alias("last"))
         .where("f.doc < last")
-        .select("h", F.col("f.doc").alias("ref"), F.col("f.v").alias("rv"), F.col("f.pos").alias("rpos"))
+        .select("h", F.col("f.doc").alias("ref"), F.col("f.v").alias("rv"), F.col("f.pos").alias("rpos"), F.col("f.near").alias("rnear"))
     )
-    match = staged.write(seed.join(first, "h").where("ref < doc").select("doc", "v", "ref", "rv", "pos", "rpos"))
+    differ = F.col("near").bitwiseXOR(F.col("rnear"))
+    alike = sum(F.when(F.shiftright(differ, 4 * k).bitwiseAND(F.lit(15)) == 0, 1).otherwise(0) for k in range(2 * BESIDE))
+    match = staged.write(seed.join(first, "h").where("ref < doc").select("doc", "v", "ref", "rv", "pos", "rpos", (alike >= AGREE).alias("alone")))
     staged.drop(seed)
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame | None:
         rows = []
         ref, rv = pdf["ref"].to_numpy(), pdf["rv"].to_numpy()
         cut = [0, *(np.flatnonzero((ref[1:] != ref[:-1]) | (rv[1:] != rv[:-1])) + 1).tolist(), len(ref)]
-        pos, rpos = pdf["pos"].tolist(), pdf["rpos"].tolist()
+        pos, rpos, alone = pdf["pos"].tolist(), pdf["rpos"].tolist(), pdf["alone"].tolist()
         for a, z in zip(cut[:-1], cut[1:], strict=True):
-            if z - a < 2:
-                continue
             p, r = pos[a:z], rpos[a:z]
-            for c in chains(p, r):
+            linked = chains(p, r) if z - a > 1 else []
+            free = set(range(z - a)).difference(*linked)
+            for c in [*linked, *([i] for i in sorted(free) if alone[a + i])]:
                 rows.append((pdf["doc"].iloc[0], pdf["v"].iloc[0], ref[a], rv[a], r[c[0]], r[c[-1]], np.array([(p[i], r[i]) for i in c], "<i4").tobytes()))
         return pd.DataFrame(rows, columns=["doc", "v", "ref", "rv", "ra", "rz", "anchors"]) if rows else None
 
-    fields = "doc long, v long, ref long, rv long, ra int, rz int, anchors binary"
+    fields = "doc long, v int, ref long, rv int, ra int, rz int, anchors binary"
     chained = staged.write(sorted_groups(match, ["doc", "v"], chain, fields, ["ref", "rv", "pos", "rpos"]))
     staged.drop(match)
 
@@ -316,25 +341,28 @@ def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, simila
                 ra, rz = [p["ra"] for p in parts], [p["rz"] for p in parts]
                 cuts = [h[max(0, a - EXTEND) : z + SHINGLE + EXTEND].tobytes() for a, z in zip(ra, rz, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array([x] * len(parts), pa.int64()) for x in (doc, v)), pa.array(ra, pa.int32()), pa.array(rz, pa.int32()), pa.array(cuts, pa.binary())],
+                    [pa.array([doc] * len(parts), pa.int64()), pa.array([v] * len(parts), pa.int32()), pa.array(ra, pa.int32()), pa.array(rz, pa.int32()), pa.array(cuts, pa.binary())],
                     names=["ref", "rv", "ra", "rz", "excerpt"],
                 )
 
-    cut = one_row.mapInArrow(excerpts, "ref long, rv long, ra int, rz int, excerpt binary").dropDuplicates(["ref", "rv", "ra", "rz"])
+    cut = one_row.mapInArrow(excerpts, "ref long, rv int, ra int, rz int, excerpt binary").distinct()
     found = chained.join(cut, ["ref", "rv", "ra", "rz"])
     wanted = found.groupBy("doc", "v").agg(F.collect_list(F.struct("ra", "anchors", "excerpt")).alias("found"))
-    whole = docs.join(wanted.withColumnRenamed("doc", "doc_id").hint("merge"), ["doc_id", "v"]).select("doc_id", "v", "text", "found")
+    whole = docs.join(wanted.withColumnRenamed("doc", "doc_id").hint("merge"), ["doc_id", "v"]).select("doc_id", "row", "text", "found")
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows, starts, ends = [], [], [], []
-            for doc, v, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, row, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = word_hash_array(text)
                 spans = []
                 for f in found:
                     off = max(0, f["ra"] - EXTEND)
                     anchors = [(p, r - off) for p, r in np.frombuffer(f["anchors"], "<i4").reshape(-1, 2).tolist()]
-                    a, z, like = align(h, np.frombuffer(f["excerpt"], np.uint64), anchors)
+                    excerpt = np.frombuffer(f["excerpt"], np.uint64)
+                    if not all(p + SHINGLE <= len(h) and q + SHINGLE <= len(excerpt) and (h[p : p + SHINGLE] == excerpt[q : q + SHINGLE]).all() for p, q in anchors):
+                        continue  # found in another row of the id
+                    a, z, like = align(h, excerpt, anchors)
                     if z - a >= min_words and like >= similarity:
                         spans.append((a, z))
                 merged: list[list[int]] = []
@@ -345,16 +373,16 @@ def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, simila
                         merged.append([a, z])
                 if merged:
                     ids.append(doc)
-                    rows.append(v)
+                    rows.append(row)
                     starts.append([a for a, _ in merged])
                     ends.append([z for _, z in merged])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array(starts, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))],
-                names=["doc_id", "v", "starts", "ends"],
+                names=["doc_id", "row", "starts", "ends"],
             )
 
-    spans = whole.mapInArrow(aligned, "doc_id long, v long, starts array<int>, ends array<int>")
-    return spans.groupBy("doc_id", "v").agg(F.min(F.struct("starts", "ends")).alias("s")).select("doc_id", "v", "s.starts", "s.ends")
+    spans = whole.mapInArrow(aligned, "doc_id long, row long, starts array<int>, ends array<int>")
+    return spans.groupBy("doc_id", "row").agg(F.min(F.struct("starts", "ends")).alias("s")).select("doc_id", "row", "s.starts", "s.ends")
 
 
 def cut_words(text: str, starts: list[int], ends: list[int]) -> tuple[str, list[tuple[int, int]]]:
@@ -383,8 +411,8 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, similarity: flo
     # The documents' own columns go by number through the join, so their names can't clash.
     own = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
     joined = (
-        docs.select(*own, F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("v"))
-        .join(spans.withColumnRenamed("doc_id", "key").hint("merge"), ["key", "v"], "left")
+        docs.select(*own, F.col("doc_id").cast("long").alias("key"), F.xxhash64("text").alias("row"))
+        .join(spans.withColumnRenamed("doc_id", "key").hint("merge"), ["key", "row"], "left")
         .select(*[f"c{i}" for i in range(len(names))], "starts", "ends")
     )
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
