@@ -51,18 +51,26 @@ def oof_target_encode(df: DataFrame, col: str, target: str, fold: str, alpha: fl
     """E5: each row's value from the other folds' statistics; the global
     mean is over all training rows; no other-fold rows or NULL -> mean.
     ``heavy``: values to spread (``lookups.heavy_values``)."""
+    return apply_oof(df, col, fold, oof_map(df, col, target, fold, alpha, g), g, out, heavy)
+
+
+def oof_map(df: DataFrame, col: str, target: str, fold: str, alpha: float, g: float) -> DataFrame:
+    """E5 as a table: (value, fold, te), the smoothed mean of a value over the other folds."""
+    v = F.col(f"`{col}`")
+    by = (df.where(v.isNotNull()).groupBy(v.alias("value"), F.col(fold).alias("fold"))
+            .agg(F.sum(F.col(target)).alias("s"), F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy("value")  # over the (value, fold) table: <= k rows per value
+    so, no = F.sum("s").over(w) - F.col("s"), F.sum("n").over(w) - F.col("n")
+    return by.select("value", "fold", F.when(no > 0, smoothed(so, no, g, alpha)).otherwise(F.lit(g)).alias("te"))
+
+
+def apply_oof(df: DataFrame, col: str, fold: str, table: DataFrame, g: float, out: str, heavy: list | tuple = ()) -> DataFrame:
+    """Each row's value of ``oof_map`` by its value and fold; else the mean."""
     v = F.col(f"`{col}`")
-    by_vf = (df.where(v.isNotNull()).groupBy(v.alias("__v"), F.col(fold).alias("__f"))
-               .agg(F.sum(F.col(target)).alias("__s"), F.count(F.lit(1)).alias("__n")))
-    w = Window.partitionBy("__v")  # over the (value, fold) table: <= k rows per value
-    stats = by_vf.select(
-        F.struct("__v", "__f").alias("__vf"),
-        (F.sum("__s").over(w) - F.col("__s")).alias("__so"),
-        (F.sum("__n").over(w) - F.col("__n")).alias("__no"))
-    key = F.when(v.isNotNull(), F.struct(v.alias("__v"), F.col(fold).alias("__f")))
-    j = left_lookup(df, key, stats, "__vf", heavy, (v, F.col("__vf.__v")))
-    te = F.when(F.col("__no") > 0, smoothed(F.col("__so"), F.col("__no"), g, alpha))
-    return j.withColumn(out, F.coalesce(te, F.lit(g))).drop("__so", "__no")
+    t = table.select(F.struct(F.col("value").alias("__v"), F.col("fold").alias("__f")).alias("__vf"), F.col("te").alias("__te"))
+    key = F.when(v.isNotNull(), F.struct(v.alias("__v"), F.col(f"`{fold}`").alias("__f")))
+    j = left_lookup(df, key, t, "__vf", heavy, (v, F.col("__vf.__v")))
+    return j.withColumn(out, F.coalesce("__te", F.lit(g))).drop("__te")
 
 
 def ordered_target_statistics(df: DataFrame, cols: list[str], target: str, alpha: float, g: float,

@@ -15,7 +15,7 @@ from typing import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from orderlens.operators import encode as enc
 from orderlens.operators.clean import is_new_column
 from orderlens.plans.features import FeatureColumns, build_features
 from orderlens.schema import DEAL_COUNT_COL, ROW_ID, TARGET
+from orderlens.session import stage_table
 
 
 def class_counts(df: DataFrame, target: str = TARGET) -> tuple[int, int]:
@@ -62,6 +63,7 @@ class OrderEncoderModel:
     global_mean: float
     names: list[str] = field(default_factory=list)
     group_map: dict = field(default_factory=dict)
+    kept: list[int] | None = None  # columns that stay where a feature's first slot is dropped
 
     def _base(self, df: DataFrame) -> DataFrame:
         fc = self.fc
@@ -80,7 +82,10 @@ class OrderEncoderModel:
         inputs = ([f"__oh_{i}" for i in range(len(fc.cat_cols))]
                   + [f"__num_{i}" for i in range(len(fc.num_cols))]
                   + [f"__bin_{i}" for i in range(len(fc.bin_cols))] + te_out)
-        return VectorAssembler(inputCols=inputs, outputCol="features").transform(df)
+        if self.kept is None:
+            return VectorAssembler(inputCols=inputs, outputCol="features").transform(df)
+        whole = VectorAssembler(inputCols=inputs, outputCol="__every").transform(df)
+        return VectorSlicer(inputCol="__every", outputCol="features", indices=self.kept).transform(whole).drop("__every")
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = self._base(df)
@@ -116,18 +121,23 @@ def fit_encoder(df: DataFrame, fc: FeatureColumns, target: str = TARGET,
                                     dropLast=True))  # the dropped last slot is the unknown one
     tmp = df.withColumns({f"__cat_{i}": _text(df, c) for i, c in enumerate(fc.cat_cols)}) if fc.cat_cols else df
     index_model = Pipeline(stages=stages).fit(tmp) if stages else None
-    names, group = [], {}
+    names, group, kept, width = [], {}, [], 0
     if index_model is not None:
         for c, labs in zip(fc.cat_cols, index_model.stages[0].labelsArray):
-            for lab in labs:
+            drop = int(bool(fc.cat_drop_first.get(c)))  # E1: the first value is the reference
+            for lab in labs[drop:]:
                 names.append(f"{c}_{lab}")
                 group[f"{c}_{lab}"] = c
+            kept += range(width + drop, width + len(labs))
+            width += len(labs)
     scale = {c: enc.scale_stats(df, c) for c in fc.num_cols}
-    te_maps = {c: enc.target_map(df, c, target, fc.te_alpha[c], g).cache() for c in fc.te_cols}
-    for c in fc.num_cols + fc.bin_cols + fc.te_cols:
+    te_maps = {c: stage_table(enc.target_map(df, c, target, fc.te_alpha[c], g), "target_map") for c in fc.te_cols}
+    rest = fc.num_cols + fc.bin_cols + fc.te_cols
+    for c in rest:
         names.append(c)
         group[c] = c
-    return OrderEncoderModel(fc, index_model, scale, te_maps, g, names, group)
+    kept += range(width, width + len(rest))
+    return OrderEncoderModel(fc, index_model, scale, te_maps, g, names, group, None if len(kept) == width + len(rest) else kept)
 
 
 def logistic(weight_col: str | None, n_weight: float, c: float = 1.0, max_iter: int = 1000,
@@ -154,11 +164,12 @@ class PriorCountModel:
     lr: object
 
     @staticmethod
-    def fit(train: DataFrame) -> "PriorCountModel":
+    def fit(train: DataFrame, tol: float = 1e-12) -> "PriorCountModel":
+        """One coefficient and an intercept, so the solver may run to the end."""
         st = enc.scale_stats(train, DEAL_COUNT_COL)
         n, p = class_counts(train)
         d = _prior_vec(train, st).withColumn("__w", class_weights(train, counts=(n, p)))
-        return PriorCountModel(st, logistic("__w", balanced_weights(n, p)[2]).fit(d))
+        return PriorCountModel(st, logistic("__w", balanced_weights(n, p)[2], tol=tol).fit(d))
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         out = self.lr.transform(_prior_vec(df, self.scale))
@@ -343,7 +354,7 @@ def save_full_model(m: FullFeatureModel, path: str) -> None:
         "fc": fc.to_dict(),
         "scale": {c: [s.mean, s.std] for c, s in e.scale.items()},
         "global_mean": e.global_mean, "names": e.names, "group_map": e.group_map,
-        "has_index": e.index_model is not None})
+        "has_index": e.index_model is not None, "kept": e.kept})
 
 
 def load_full_model(spark, path: str) -> FullFeatureModel:
@@ -353,10 +364,20 @@ def load_full_model(spark, path: str) -> FullFeatureModel:
     index_model = PipelineModel.load(os.path.join(path, "index")) if meta["has_index"] else None
     te_maps = {c: spark.read.parquet(os.path.join(path, f"te_{i}")) for i, c in enumerate(fc.te_cols)}
     e = OrderEncoderModel(fc, index_model, {c: enc.ScaleStats(*v) for c, v in meta["scale"].items()},
-                          te_maps, meta["global_mean"], meta["names"], meta["group_map"])
+                          te_maps, meta["global_mean"], meta["names"], meta["group_map"], meta.get("kept"))
     return FullFeatureModel(e, LogisticRegressionModel.load(os.path.join(path, "lr")))
 
 
+def save_boosted_model(m: BoostedTreeModel, path: str) -> None:
+    m.pipeline.write().overwrite().save(os.path.join(path, "trees"))
+    _write_json(path, {"cat_cols": m.cat_cols, "num_cols": m.num_cols})
+
+
+def load_boosted_model(spark, path: str) -> BoostedTreeModel:
+    meta = _read_json(spark, path)
+    return BoostedTreeModel(PipelineModel.load(os.path.join(path, "trees")), meta["cat_cols"], meta["num_cols"])
+
+
 def _write_json(path: str, obj: dict) -> None:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
