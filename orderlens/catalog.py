@@ -1279,17 +1279,47 @@ def _new_feats_dated(spark, sf_dir):
     return drop_missing_dates(feats)
 
 
+def _full_fit(spark, sf_dir):
+    """M2 on the new contacts of the training months (exactly stratified folds; shared per
+    session), and the test month's rows."""
+    k = (spark.sparkContext.applicationId, f"full:{sf_dir}")
+    if k not in _PREPARED:
+        tr, te = bt.split_by_month(_new_feats_dated(spark, sf_dir), TRAIN_THROUGH, TEST_MONTH)
+        n, p = mdl.class_counts(tr)
+        folds = enc.stratified_folds(tr, TARGET, enc.n_folds(p, n - p), "__fold")
+        _PREPARED[k] = (mdl.FullFeatureModel.fit(folds, FC, fold_col="__fold"), te)
+    return _PREPARED[k]
+
+
+@query("fitted_importance")
+def q_fitted_importance(spark, sf_dir):
+    """Summed |coefficient| per source feature of the fitted full-feature model."""
+    return xp.grouped_importance(_full_fit(spark, sf_dir)[0].coefficients(spark))
+
+
+@query("fitted_comparison")
+def q_fitted_comparison(spark, sf_dir):
+    """The fitted logistic and boosted models on the test month, each at its own best threshold."""
+    trees, te = _gbt_fit(spark, sf_dir)
+    full, fte = _full_fit(spark, sf_dir)
+    scores = (full.predict_proba(fte).join(fte.select(ROW_ID, TARGET), ROW_ID).withColumn("model", F.lit("logistic"))
+              .unionByName(trees.predict_proba(te).join(te.select(ROW_ID, TARGET), ROW_ID).withColumn("model", F.lit("boosted"))))
+    from orderlens.session import stage_table
+    scores = stage_table(scores.select("model", F.col(TARGET).alias("y"), F.col("proba").alias("p")), "compared")
+    best = {r["model"]: r["best_threshold"] for r in met.metrics_by(scores, ["model"]).collect()}  # one row a model
+    rows = {m: met.classification_metrics(scores.where(F.col("model") == m), t) for m, t in sorted(best.items())}
+    return xp.compare_models(rows, ["threshold", "accuracy", "precision", "recall", "f1", "balanced_accuracy", "mcc", "roc_auc", "pr_auc"])
+
+
 @query("lr_scores")
 def q_lr_scores(spark, sf_dir):
     """M1 (both cohorts, tested on returning) and M2 (new contacts, OOF target
     encoding at fit) trained through TRAIN_THROUGH, scored on TEST_MONTH."""
-    df = drop_missing_dates(with_prior(spark, sf_dir)).cache()
+    df = drop_missing_dates(with_prior(spark, sf_dir))
     tr, te = bt.split_by_month(df, TRAIN_THROUGH, TEST_MONTH)
     m1 = mdl.PriorCountModel.fit(tr)
     p1 = m1.predict_proba(te.filter(~is_new_column())).withColumn("model", F.lit("prior_count"))
-    feats = _new_feats_dated(spark, sf_dir).cache()
-    ftr, fte = bt.split_by_month(feats, TRAIN_THROUGH, TEST_MONTH)
-    m2 = mdl.FullFeatureModel.fit(ftr, FC)
+    m2, fte = _full_fit(spark, sf_dir)
     p2 = m2.predict_proba(fte).withColumn("model", F.lit("full_features"))
     return p1.unionByName(p2)
 
@@ -1390,11 +1420,44 @@ def q_gbt_attribution(spark, sf_dir):
     return mean_abs_attribution(vec, stages[-1], TREE_CAT + TREE_NUM, top_n=20)
 
 
-@query("calibration_points")
+#: M1's optimum by Newton steps over the counts of (scaled prior count, target) of the training months.
+LINE_SQL = f"""
+, d1 AS (SELECT row_id, coalesce({DC}, 0.0) AS x, is_new__, buyout_flag AS y, strftime(sale_date, '%Y-%m') AS m FROM cohort WHERE sale_date IS NOT NULL),
+t1 AS (SELECT avg(x) AS mean, coalesce(nullif(stddev_pop(x), 0), 1.0) AS std, count(*) AS n, sum(y) AS p FROM d1 WHERE m <= '{TRAIN_THROUGH}'),
+g1 AS (SELECT (x - mean) / std AS z, y, count(*) * (CASE WHEN y = 1 THEN n / (2.0 * p) ELSE n / (2.0 * (n - p)) END) AS w
+       FROM d1 CROSS JOIN t1 WHERE m <= '{TRAIN_THROUGH}' GROUP BY x, y, mean, std, n, p),
+it AS (
+  SELECT 0 AS i, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS a
+  UNION ALL
+  SELECT i + 1, b - (haa * gb - hba * ga) / (hbb * haa - hba * hba), a - (hbb * ga - hba * gb) / (hbb * haa - hba * hba)
+  FROM (SELECT i, b, a, sum(w * (q - y)) AS gb, sum(w * (q - y) * z) + a AS ga, sum(w * q * (1 - q)) AS hbb,
+               sum(w * q * (1 - q) * z) AS hba, sum(w * q * (1 - q) * z * z) + 1 AS haa
+        FROM (SELECT it.i, it.b, it.a, g1.*, 1 / (1 + exp(-(it.b + it.a * z))) AS q FROM it CROSS JOIN g1 WHERE it.i < 30) GROUP BY i, b, a)),
+ln AS (SELECT b, a, mean, std FROM it CROSS JOIN t1 WHERE i = 30)"""
+
+
+@query("prior_model_scores", sql(LINE_SQL + f"""
+SELECT row_id, round(1 / (1 + exp(-(b + a * (x - mean) / std))), 9) AS proba
+FROM d1 CROSS JOIN ln WHERE m = '{TEST_MONTH}' AND NOT is_new__""").replace("WITH ", "WITH RECURSIVE ", 1))
+def q_prior_model_scores(spark, sf_dir):
+    """M1: the prior-count model of the training months on the test month's returning contacts."""
+    tr, te = bt.split_by_month(drop_missing_dates(with_prior(spark, sf_dir)), TRAIN_THROUGH, TEST_MONTH)
+    scores = mdl.PriorCountModel.fit(tr).predict_proba(te.filter(~is_new_column()))
+    return scores.select("row_id", F.round("proba", 9).alias("proba"))
+
+
+@query("calibration_points", sql(LINE_SQL + f"""
+, grid AS (SELECT CASE WHEN i = 299 THEN 7.0 ELSE i * (CAST(7.0 AS DOUBLE) / 299) + 0.0 END AS x FROM range(300) r(i))
+SELECT 'model' AS kind, CAST(x AS DOUBLE) AS prior_orders, round(1 / (1 + exp(-(b + a * (x - mean) / std))), 9) AS rate,
+       CAST(NULL AS BIGINT) AS n_total
+FROM grid CROSS JOIN ln
+UNION ALL
+SELECT 'actual', CAST(CAST(least(x, 7) AS INTEGER) AS DOUBLE), round(CAST(sum(y) AS DOUBLE) / count(*), 9), count(*)
+FROM d1 WHERE m = '{TEST_MONTH}' GROUP BY 2""").replace("WITH ", "WITH RECURSIVE ", 1))
 def q_calibration_points(spark, sf_dir):
     """M1's probability on 300 points over 0..7 prior orders, next to the
     actual rate per capped count in the test month (A11)."""
-    df = drop_missing_dates(with_prior(spark, sf_dir)).cache()
+    df = drop_missing_dates(with_prior(spark, sf_dir))
     tr, te = bt.split_by_month(df, TRAIN_THROUGH, TEST_MONTH)
     model = mdl.PriorCountModel.fit(tr)
     curve = mdl.calibration_points(model, spark).select(
@@ -1403,7 +1466,7 @@ def q_calibration_points(spark, sf_dir):
     actual = rate_by_capped_count(te, capped_prior_count(7)).select(
         F.lit("actual").alias("kind"), F.col("deals").cast("double").alias("prior_orders"),
         F.col("buyout_rate").alias("rate"), "n_total")
-    return curve.unionByName(actual)
+    return curve.unionByName(actual).withColumn("rate", F.round("rate", 9))
 
 
 @query("roundtrip", ORACLE["clean_union"])

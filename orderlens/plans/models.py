@@ -157,28 +157,67 @@ def positive_proba(df: DataFrame) -> Column:
     return vector_to_array(F.col("probability"))[1]
 
 
+@dataclass(frozen=True)
+class Line:
+    """A logistic curve of one scaled number."""
+    intercept: float
+    coefficients: tuple[float]
+
+    @staticmethod
+    def fit(train: DataFrame, z: Column, target: str, weights: tuple[float, float], c: float = 1.0, tol: float = 1e-10) -> "Line":
+        """Newton steps of half the squared coefficient plus c times the weighted log loss (free
+        intercept).  Rows are counted by (z, target) once; each step is one aggregate of X'WX sums
+        over those counts, and two numbers reach the driver."""
+        counts = stage_table(train.groupBy(z.alias("z"), F.col(target).cast("double").alias("y"))
+                                  .agg(F.count(F.lit(1)).cast("double").alias("n")), "line_counts")
+        w = F.when(F.col("y") == 1, F.lit(weights[1])).otherwise(F.lit(weights[0])) * F.col("n") * F.lit(c)
+
+        def sums(b: float, a: float):
+            t = F.lit(b) + F.lit(a) * F.col("z")
+            q = F.lit(1.0) / (F.lit(1.0) + F.exp(-t))
+            loss = F.greatest(t, F.lit(0.0)) + F.log1p(F.exp(-F.abs(t))) - F.col("y") * t
+            h, r, zz = w * q * (1 - q), w * (q - F.col("y")), F.col("z")
+            got = counts.agg(*[F.sum(x) for x in (w * loss, r, r * zz, h, h * zz, h * zz * zz)]).first()
+            f, gb, ga, hbb, hba, haa = (x or 0.0 for x in got)
+            return f + 0.5 * a * a, gb, ga + a, hbb, hba, haa + 1.0
+
+        b = a = 0.0
+        f, gb, ga, hbb, hba, haa = sums(b, a)
+        for _ in range(60):
+            det = hbb * haa - hba * hba
+            if max(abs(gb), abs(ga)) <= tol or det <= 0:
+                break
+            db, da = (haa * gb - hba * ga) / det, (hbb * ga - hba * gb) / det
+            length, moved = 1.0, None
+            while length > 1e-8:
+                moved = sums(b - length * db, a - length * da)
+                if moved[0] <= f + 1e-13 * abs(f):
+                    break
+                length /= 2
+            if (b - length * db, a - length * da) == (b, a):
+                break
+            b, a = b - length * db, a - length * da
+            f, gb, ga, hbb, hba, haa = moved
+        return Line(b, (a,))
+
+    def proba(self, z: Column) -> Column:
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(self.intercept) + F.lit(self.coefficients[0]) * z)))
+
+
 @dataclass
 class PriorCountModel:
     """M1: scaled prior-order count -> balanced logistic regression."""
     scale: enc.ScaleStats
-    lr: object
+    lr: Line
 
     @staticmethod
-    def fit(train: DataFrame, tol: float = 1e-12) -> "PriorCountModel":
-        """One coefficient and an intercept, so the solver may run to the end."""
+    def fit(train: DataFrame) -> "PriorCountModel":
         st = enc.scale_stats(train, DEAL_COUNT_COL)
         n, p = class_counts(train)
-        d = _prior_vec(train, st).withColumn("__w", class_weights(train, counts=(n, p)))
-        return PriorCountModel(st, logistic("__w", balanced_weights(n, p)[2], tol=tol).fit(d))
+        return PriorCountModel(st, Line.fit(train, enc.scaled(train, DEAL_COUNT_COL, st), TARGET, balanced_weights(n, p)[:2]))
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
-        out = self.lr.transform(_prior_vec(df, self.scale))
-        return out.select(ROW_ID, positive_proba(out).alias("proba"))
-
-
-def _prior_vec(df: DataFrame, st: enc.ScaleStats) -> DataFrame:
-    d = df.withColumn("__x", enc.scaled(df, DEAL_COUNT_COL, st))
-    return VectorAssembler(inputCols=["__x"], outputCol="features").transform(d)
+        return df.select(ROW_ID, self.lr.proba(enc.scaled(df, DEAL_COUNT_COL, self.scale)).alias("proba"))
 
 
 @dataclass
@@ -331,15 +370,12 @@ def calibration_points(model: PriorCountModel, spark, n: int = 300, lo: float =
 # ---------------------------------------------------------------------------
 
 def save_prior_model(m: PriorCountModel, path: str) -> None:
-    m.lr.write().overwrite().save(os.path.join(path, "lr"))
-    _write_json(path, {"mean": m.scale.mean, "std": m.scale.std})
+    _write_json(path, {"mean": m.scale.mean, "std": m.scale.std, "intercept": m.lr.intercept, "coefficients": list(m.lr.coefficients)})
 
 
 def load_prior_model(spark, path: str) -> PriorCountModel:
-    from pyspark.ml.classification import LogisticRegressionModel
     meta = _read_json(spark, path)
-    return PriorCountModel(enc.ScaleStats(meta["mean"], meta["std"]),
-                           LogisticRegressionModel.load(os.path.join(path, "lr")))
+    return PriorCountModel(enc.ScaleStats(meta["mean"], meta["std"]), Line(meta["intercept"], tuple(meta["coefficients"])))
 
 
 def save_full_model(m: FullFeatureModel, path: str) -> None:
