@@ -1476,7 +1476,7 @@ def q_roundtrip(spark, sf_dir):
     df = with_prior(spark, sf_dir)
     new = df.filter(is_new_column())
     ctx = build_contexts(new, city_table(spark, sf_dir))
-    feats, fc = build_features(new, load_feature_config(), ctx)
+    feats, fc = new_cohort_features(spark, sf_dir)
     clean = union_cohorts(feats, df.filter(~is_new_column()), fc.all_feature_cols,
                           extra=["contact_id", "row_id"])
     base = staging_path(spark, "roundtrip")
@@ -1486,6 +1486,10 @@ def q_roundtrip(spark, sf_dir):
     mdl.save_metadata(spark, os.path.join(base, "meta"), 0.5, TRAIN_THROUGH, TEST_MONTH, "default")
     back_ctx = mdl.load_contexts(spark, os.path.join(base, "contexts"))
     assert set(back_ctx) == set(ctx)
+    for name, t in ctx.items():
+        was, now = t.df, back_ctx[name].df.select(t.df.columns)
+        assert was.exceptAll(now).isEmpty() and now.exceptAll(was).isEmpty(), name
+        assert {k: v for k, v in t.__dict__.items() if k != "df"} == {k: v for k, v in back_ctx[name].__dict__.items() if k != "df"}
     assert mdl.load_threshold(spark, os.path.join(base, "meta")) == 0.5
     back = read_clean(spark, os.path.join(base, "clean"))
     return back.select(*[F.col(f"`{c}`") for c in clean.columns])
@@ -1632,5 +1636,5 @@ def q_city_dictionary_json(spark, sf_dir):
     raw = read_city_json(spark, path)
     d = city_dictionary(raw)
     big = big_city_flags(raw).select(F.col("name").alias("__bn"), F.lit(1).alias("__big"))
-    return (d.join(F.broadcast(big), d.name == big.__bn, "left")  # bounded by the dictionary
+    return (d.join(big, d.name == big.__bn, "left")
              .select("name", "region", F.coalesce("__big", F.lit(0)).alias("is_big")))

@@ -125,7 +125,11 @@ def classification_metrics(df: DataFrame, threshold: float = 0.5, y: str = "y",
                            p: str = "p") -> DataFrame:
     """M7: one row of metrics at ``threshold``; MCC/AUC/AP NULL with one class."""
     cum, P, N = ranking(df, y, p)  # noqa: N806
-    cc = confusion_counts(df, threshold, y, p)
+    # the confusion counts come from the staged scores, too: the input is read once
+    above = F.col("s") >= F.lit(threshold)
+    part = lambda c, where: F.coalesce(F.sum(F.when(where, F.col(c))), F.lit(0)).cast("long")
+    cc = cum.agg(part("pos", above).alias("tp"), part("neg", above).alias("fp"), part("pos", ~above).alias("fn"),
+                 part("neg", ~above).alias("tn"))
     ra = auc_ap(cum, P, N).first()
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     d = lambda c: c.cast("double")

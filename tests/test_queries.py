@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SLOW = {"gbt_scores", "gbt_attribution", "backtest", "lr_scores"}
+SLOW = {"gbt_scores", "gbt_attribution", "fitted_comparison"}
 
 
 def test_entry(spark):
