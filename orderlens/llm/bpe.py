@@ -33,9 +33,9 @@ from pyspark.sql.types import StructType
 from .common import ship
 
 #: Encoded words, and runs of text between spaces, that a worker keeps; a cache starts anew beyond this.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 #: Documents whose words are replayed together.
-STEP = 3_000
+STEP = 500
 #: No merge.
 NONE = 2**62
 
