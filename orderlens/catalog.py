@@ -58,21 +58,33 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PREPARED: dict = {}
 
 
-def _prepared(spark: SparkSession, key: str, build):
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input tables: a rewritten input is another input."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/*.parquet")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
+
+
+def _once(spark: SparkSession, name: str, sf_dir: str, build):
+    """``build()`` once per session and state of the input; a later state drops the one before."""
+    k, state = (spark.sparkContext.applicationId, name, sf_dir), _state(spark, sf_dir)
+    if k not in _PREPARED or _PREPARED[k][0] != state:
+        _PREPARED[k] = (state, build())
+    return _PREPARED[k][1]
+
+
+def _prepared(spark: SparkSession, name: str, sf_dir: str, build):
     """Materialise a stage once per session as a parquet table in the shared
     folder (cuts lineage; survives executor loss; readers get pruning and
     pushdown), reused by every query that reads it -- the clean set the
     original project writes once and every later step reads."""
-    k = (spark.sparkContext.applicationId, key)
-    if k not in _PREPARED:
-        from orderlens.session import stage_table
-        _PREPARED[k] = stage_table(build(), key.split(":")[0], spark)
-    return _PREPARED[k]
+    from orderlens.session import stage_table
+    return _once(spark, name, sf_dir, lambda: stage_table(build(), name, spark))
 
 
 def clean_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P1-P5, staged once per session."""
-    return _prepared(spark, f"clean:{sf_dir}", lambda: cleaned(spark, sf_dir))
+    return _prepared(spark, "clean", sf_dir, lambda: cleaned(spark, sf_dir))
 
 
 def with_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +94,7 @@ def with_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     those branches scan it instead of re-deriving the view."""
     def build():
         return prior_order_count(clean_set(spark, sf_dir))
-    return _prepared(spark, f"prior:{sf_dir}", build)
+    return _prepared(spark, "prior", sf_dir, build)
 
 
 def new_cohort_features(spark: SparkSession, sf_dir: str, config: dict | None = None):
@@ -94,7 +106,7 @@ def new_cohort_features(spark: SparkSession, sf_dir: str, config: dict | None =
     if config is not None:
         new = with_prior(spark, sf_dir).filter(is_new_column())
         return build_features(new, config, build_contexts(new, city_table(spark, sf_dir)))
-    feats = _prepared(spark, f"features:{sf_dir}", build)
+    feats = _prepared(spark, "features", sf_dir, build)
     from orderlens.plans.features import derive_feature_columns as _dfc
     return feats, _dfc(load_feature_config(), feats.columns)
 
@@ -1282,13 +1294,12 @@ def _new_feats_dated(spark, sf_dir):
 def _full_fit(spark, sf_dir):
     """M2 on the new contacts of the training months (exactly stratified folds; shared per
     session), and the test month's rows."""
-    k = (spark.sparkContext.applicationId, f"full:{sf_dir}")
-    if k not in _PREPARED:
+    def build():
         tr, te = bt.split_by_month(_new_feats_dated(spark, sf_dir), TRAIN_THROUGH, TEST_MONTH)
         n, p = mdl.class_counts(tr)
         folds = enc.stratified_folds(tr, TARGET, enc.n_folds(p, n - p), "__fold")
-        _PREPARED[k] = (mdl.FullFeatureModel.fit(folds, FC, fold_col="__fold"), te)
-    return _PREPARED[k]
+        return mdl.FullFeatureModel.fit(folds, FC, fold_col="__fold"), te
+    return _once(spark, "full_fit", sf_dir, build)
 
 
 @query("fitted_importance")
@@ -1326,10 +1337,7 @@ def q_lr_scores(spark, sf_dir):
 
 def _rolling(spark, sf_dir):
     """All months' full-feature models from one joint fit (shared per session)."""
-    k = (spark.sparkContext.applicationId, f"rolling:{sf_dir}")
-    if k not in _PREPARED:
-        _PREPARED[k] = roll.fit(roll.prepare(_new_feats_dated(spark, sf_dir), FC))
-    return _PREPARED[k]
+    return _once(spark, "rolling", sf_dir, lambda: roll.fit(roll.prepare(_new_feats_dated(spark, sf_dir), FC)))
 
 
 @query("backtest")
@@ -1387,16 +1395,15 @@ def q_month_metrics(spark, sf_dir):
 def _gbt_fit(spark, sf_dir):
     """M3 fit on tree-prepped new-contact features (shared per session by
     ``gbt_scores`` and ``gbt_attribution``)."""
-    k = (spark.sparkContext.applicationId, f"gbt:{sf_dir}")
-    if k not in _PREPARED:
+    def build():
         feats = tree_prep(_new_feats_dated(spark, sf_dir), TREE_CAT, TREE_NUM)
         safe = {c: f"c{i}" for i, c in enumerate(TREE_CAT + TREE_NUM)}
         ren = feats.select(ROW_ID, TARGET, "sale_date", *[F.col(f"`{c}`").alias(a) for c, a in safe.items()])
         tr, te = bt.split_by_month(ren, TRAIN_THROUGH, TEST_MONTH)
         m = mdl.BoostedTreeModel.fit(tr.drop("sale_date"), [safe[c] for c in TREE_CAT],
                                      [safe[c] for c in TREE_NUM])
-        _PREPARED[k] = (m, te.drop("sale_date"))
-    return _PREPARED[k]
+        return m, te.drop("sale_date")
+    return _once(spark, "gbt", sf_dir, build)
 
 
 @query("gbt_scores")
