@@ -46,8 +46,10 @@ SIMILARITY = 0.8
 MAX_GAP = 64
 #: Cost of a word of gap, against 1 for a word that a seed matches.
 GAP_COST = 0.05
-#: Words on either side of a seed of which it carries 4 bits, and how many of all must agree for a match alone.
-BESIDE, AGREE = 4, 3
+#: Distances of the words beside a seed, before its first and after its last word, of which it carries 4 bits each,
+#: and how many must agree for a match alone: words so far apart lie in one passage of some length, not in a line.
+BESIDE = (6, 12, 18, 24)
+AGREE = 3
 #: A run of words is followed until its value, +1 for an equal word and -2 for another, has fallen by more than this.
 FALL = 9
 #: Words beside a chain that are looked at for its ends; whatever runs on beyond is exact
@@ -63,11 +65,12 @@ def word_hash_array(text) -> np.ndarray:
 
 def beside(h: np.ndarray, at: np.ndarray, own: int) -> np.ndarray:
     """4 bits of each of the words beside the seeds; beyond the text's ends bits of ``own``."""
-    edge = mix64(np.full(BESIDE, own, np.int64).view(np.uint64) + np.arange(BESIDE, dtype=np.uint64))
+    far = BESIDE[-1]
+    edge = mix64(np.full(far, own, np.int64).view(np.uint64) + np.arange(far, dtype=np.uint64))
     bits = (np.concatenate([edge, h, edge]) >> np.uint64(60)).astype(np.uint32)
     out = np.zeros(len(at), np.uint32)
-    for k in (*range(-BESIDE, 0), *range(SHINGLE, SHINGLE + BESIDE)):
-        out = (out << np.uint32(4)) | bits[at + BESIDE + k]
+    for k in (*(-d for d in BESIDE), *(SHINGLE - 1 + d for d in BESIDE)):
+        out = (out << np.uint32(4)) | bits[at + far + k]
     return out.view(np.int32)
 
 
@@ -308,7 +311,7 @@ def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, simila
         .select("h", F.col("f.doc").alias("ref"), F.col("f.v").alias("rv"), F.col("f.pos").alias("rpos"), F.col("f.near").alias("rnear"))
     )
     differ = F.col("near").bitwiseXOR(F.col("rnear"))
-    alike = sum(F.when(F.shiftright(differ, 4 * k).bitwiseAND(F.lit(15)) == 0, 1).otherwise(0) for k in range(2 * BESIDE))
+    alike = sum(F.when(F.shiftright(differ, 4 * k).bitwiseAND(F.lit(15)) == 0, 1).otherwise(0) for k in range(2 * len(BESIDE)))
     match = staged.write(seed.join(first, "h").where("ref < doc").select("doc", "v", "ref", "rv", "pos", "rpos", (alike >= AGREE).alias("alone")))
     staged.drop(seed)
 
@@ -321,7 +324,13 @@ def passages(docs: DataFrame, staged: Staged, min_words: int = MIN_WORDS, simila
             p, r = pos[a:z], rpos[a:z]
             linked = chains(p, r) if z - a > 1 else []
             free = set(range(z - a)).difference(*linked)
-            for c in [*linked, *([i] for i in sorted(free) if alone[a + i])]:
+            lone, last = [], {}
+            for i in sorted(free):
+                # In text that repeats itself one seed stands at every few words; its alignments reach over those between.
+                if alone[a + i] and p[i] - last.get(r[i], -EXTEND) >= EXTEND // 2:
+                    lone.append([i])
+                    last[r[i]] = p[i]
+            for c in [*linked, *lone]:
                 rows.append((pdf["doc"].iloc[0], pdf["v"].iloc[0], ref[a], rv[a], r[c[0]], r[c[-1]], np.array([(p[i], r[i]) for i in c], "<i4").tobytes()))
         return pd.DataFrame(rows, columns=["doc", "v", "ref", "rv", "ra", "rz", "anchors"]) if rows else None
 

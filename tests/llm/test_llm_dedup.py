@@ -374,3 +374,11 @@ def test_recall_of_edited_passages(spark):
     assert sum(long_) / len(long_) >= 0.95 and min(long_) >= 0.8
     assert sum(share.values()) / len(share) >= 0.85
     assert all(out[i] == 120 + n for i, (n, _) in ((k - 100_000, kinds[k]) for k in kinds))
+
+
+def test_text_that_repeats_itself_is_cut_whole(spark):
+    rng = random.Random(41)
+    junk = " ".join(["spam eggs"] * 400)
+    rows = [(1, f"{prose(rng, 50)} {junk} {prose(rng, 50)}"), (2, f"{prose(rng, 70)} {junk} {prose(rng, 30)}")]
+    out = {r.doc_id: r.text.split() for r in substring.substring_dedup(frame(spark, rows)).collect()}
+    assert len(out[1]) == 900 and len(out[2]) <= 110 and out[2].count("spam") <= 5
