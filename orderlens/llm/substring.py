@@ -170,6 +170,14 @@ def chains(pos: list[int], ref: list[int]) -> list[list[int]]:
     n = len(pos)
     reach = MAX_GAP + SHINGLE
     score, back = [0.0] * n, [-1] * n
+    if len({r - p for p, r in zip(pos, ref, strict=True)}) == 1:
+        # One straight run, as of an exact copy: going by each match on the way never costs more, so the last one is the best before.
+        for i, p in enumerate(pos):
+            score[i] = float(SHINGLE)
+            d = p - pos[i - 1] if i else 0
+            if 0 < d <= reach and (linked := score[i - 1] + min(SHINGLE, d) - GAP_COST * 2 * d) > SHINGLE:
+                score[i], back[i] = linked, i - 1
+        return _taken(score, back)
     worth = lambda j: (score[j] + GAP_COST * (pos[j] + ref[j]), j)
     by_ref: dict[int, list[int]] = {}
     start, last = 0, range(0)  # the matches of the epoch before
@@ -217,6 +225,12 @@ def chains(pos: list[int], ref: list[int]) -> list[list[int]]:
                 here.pop(0)
             here.append(i)
         start, last = end, range(start, end)
+    return _taken(score, back)
+
+
+def _taken(score: list[float], back: list[int]) -> list[list[int]]:
+    """Chains of two matches or more, from the best end down."""
+    n = len(score)
     used = [False] * n
     out = []
     for i in sorted(range(n), key=lambda i: (-score[i], i)):

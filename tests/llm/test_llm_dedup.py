@@ -316,6 +316,8 @@ def test_fenwick_chains_equal_the_quadratic_recurrence():
         pos = sorted(rng.randrange(span) for _ in range(n))
         shift = [rng.choice([0, 3, 70, 300]) for _ in range(3)]
         ref = [max(0, p + rng.choice(shift) + (rng.randint(-9, 9) if rng.random() < 0.3 else 0)) if rng.random() < 0.8 else rng.randrange(span) for p in pos]
+        if trial % 5 == 0:  # one straight run
+            ref = [p + 12 for p in pos]
         pairs = sorted(set(zip(pos, ref)))
         pos, ref = [p for p, _ in pairs], [r for _, r in pairs]
         score, _ = chains_by_force(pos, ref)
