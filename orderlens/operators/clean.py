@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from orderlens.functions.ops import Val, is_numeric, is_string, to_double, to_long
+from orderlens.operators.ranking import running_sums
 from orderlens.schema import (CONTACT_COL, DATE_COL, DEAL_COUNT_COL, FALSE_TEXT, LEAKAGE_COLUMNS,
                               NAN_TOKEN, ROW_ID, TARGET, TRUE_TEXT, UNKNOWN_OUTCOME_COL)
 
@@ -78,20 +78,6 @@ def clean_raw(df: DataFrame, date_format: str | None = None) -> DataFrame:
     return df.drop(*[c for c in LEAKAGE_COLUMNS if c in df.columns])
 
 
-#: Seconds of a time bucket, and bits of an id that one id bucket spans.
-BUCKET_SECONDS = 3600
-ID_BITS = 20
-
-
-def _seconds(c: Column, t: T.DataType) -> Column:
-    """Monotone seconds for ordering buckets (session-TZ independent for
-    wall-clock timestamps)."""
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return (F.unix_date(F.to_date(c)).cast("double") * 86400.0 + F.hour(c) * 3600
-                + F.minute(c) * 60 + F.second(c))
-    return c.cast("double")
-
-
 def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
                       created_col: str = "lead_created_at", id_col: str = ROW_ID,
                       count_col: str = DEAL_COUNT_COL) -> DataFrame:
@@ -104,11 +90,9 @@ def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
     their value.  ``created_col`` may be epoch seconds or a timestamp.
 
     Hot-contact safe, by one plan at every size.  ``total`` and ``last`` are
-    partial aggregates.  A contact's rows are cut into hours (rows without a
-    time: into id ranges, which come after all hours): rank = rows of earlier
-    buckets + position inside the bucket.  The first is a window over the
-    contact's bucket counts, bounded by the time span; the second a window
-    over the rows of one contact and hour.
+    partial aggregates.  Positions are running counts over range partitions of
+    (contact, created, id), so a contact's rows spread over as many tasks as they
+    need, also those of one second.
     """
     if contact_col not in df.columns:
         return df
@@ -122,26 +106,16 @@ def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
     known = df.filter(contact.isNotNull())
     unknown = df.filter(contact.isNull())
 
-    hour = F.floor(_seconds(created, df.schema[created_col].dataType) / BUCKET_SECONDS).cast("long")
-    known = known.withColumns({
-        "__late": created.isNull().cast("int"),
-        "__b": F.when(created.isNull(), F.shiftright(rid.cast("long"), ID_BITS)).otherwise(hour)})
-    keys = ["__late", "__b"]
     order_key = F.struct(created.isNull(), created, rid)
-    per_bucket = known.groupBy(contact.alias("__c"), *keys).agg(
-        F.count(F.lit(1)).alias("__n"),
+    per_contact = known.groupBy(contact.alias("__c")).agg(
+        F.count(F.lit(1)).alias("__total"),
         F.max(F.when(snap.isNotNull(), F.struct(order_key.alias("o"), snap.alias("s")))).alias("__top"))
-    in_order = Window.partitionBy("__c").orderBy(*keys)
-    whole = Window.partitionBy("__c")
-    offsets = per_bucket.select(
-        "__c", *[F.col(k).alias(f"{k}_o") for k in keys],
-        F.coalesce(F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.sum("__n").over(whole).alias("__total"), F.max("__top").over(whole)["s"].alias("__last"))
-
-    wr = Window.partitionBy(contact, *keys).orderBy(created.asc_nulls_last(), rid.asc())
-    known = known.withColumn("__rn", F.row_number().over(wr) - 1)
-    j = known.join(offsets, (contact == F.col("__c")) & F.expr(" AND ".join(f"{k} = {k}_o" for k in keys)))
-    rank = (F.col("__before") + F.col("__rn")).cast("double")
+    per_contact = per_contact.select("__c", "__total", F.col("__top")["s"].alias("__last"))
+
+    at = running_sums(known.withColumn("__at", created), [contact_col], [F.asc_nulls_last("__at"), rid],
+                      {"__upto": F.lit(1).cast("long")})
+    j = at.join(per_contact, contact == F.col("__c"))
+    rank = (F.col("__upto") - 1).cast("double")
     last = F.col("__last")
     total = F.col("__total")
     fixed = F.when(last < total, rank).otherwise(last - total + 1 + rank)

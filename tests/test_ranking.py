@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import encode as enc
 from orderlens.operators import lookups
+from orderlens.operators.clean import prior_order_count
 from orderlens.operators.profile import category_profile
 from orderlens.operators.ranking import ranked, running_sums
+from orderlens.schema import DEAL_COUNT_COL
 
 
 def rows_by_task(df):
@@ -45,6 +47,17 @@ def test_one_group_spreads_over_tasks(spark):
     assert out.where("r <> id + 1").isEmpty()
 
 
+def test_prior_counts_of_one_second_spread(spark):
+    df = spark.range(400_000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 4 > 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("contact_id"),
+                                     F.lit(1000.0).alias("lead_created_at"), F.lit(1.0).alias(DEAL_COUNT_COL))
+    out = prior_order_count(df)
+    hot = out.where("contact_id = 7")
+    assert hot.agg(F.min(f"`{DEAL_COUNT_COL}`"), F.max(f"`{DEAL_COUNT_COL}`"), F.countDistinct(f"`{DEAL_COUNT_COL}`")).first()[:] == (0, 299_999, 300_000)
+    at = running_sums(df.where("contact_id is not null"), ["contact_id"], ["lead_created_at", "row_id"], {"n": F.lit(1)}, 16)
+    tasks = rows_by_task(at)
+    assert max(tasks) <= 3 * sum(tasks) / len(tasks) and len(tasks) > 3
+
+
 def test_profile_of_a_million_categories(spark):
     df = spark.range(1_000_000).select(F.col("id").cast("string").alias("c"), (F.col("id") % 2).cast("int").alias("buyout_flag"))
     out = category_profile(df, "c")
