@@ -344,3 +344,16 @@ def test_samples_hold_one_row_an_id(spark):
     finally:
         toxicity.fit_chain = plain
     assert seen == [41]
+
+
+def test_a_document_full_of_secrets_is_scanned_in_linear_time(field):
+    rng = random.Random(4)
+    for _ in range(300):
+        some = lambda k: [(a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, k)))]
+        base, spans = sorted((*s, 0) for s in some(6)), some(9)
+        assert secret_crf.apart(spans, base) == [(a, z) for a, z in spans if not any(a < y and x < z for x, y, _ in base)]
+    text = "token=abcdefgh1 " * 60_000
+    began = time.monotonic()
+    base, spans = secret_crf.Scanner(field).spans(text, "en")
+    assert time.monotonic() - began < 15
+    assert len(base) == 60_000 and set(base) <= set(spans)
