@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from orderlens.functions.ops import Val, is_numeric, is_string, to_double, to_long
 from orderlens.operators.ranking import running_sums
 from orderlens.schema import (CONTACT_COL, DATE_COL, DEAL_COUNT_COL, FALSE_TEXT, LEAKAGE_COLUMNS,
                               NAN_TOKEN, ROW_ID, TARGET, TRUE_TEXT, UNKNOWN_OUTCOME_COL)
+from orderlens.session import stage_table
 
 
 def _val(df: DataFrame, name: str) -> Val:
@@ -89,10 +91,13 @@ def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
     ``last < total`` else ``last - total + 1 + rank``.  NULL-contact rows keep
     their value.  ``created_col`` may be epoch seconds or a timestamp.
 
-    Hot-contact safe, by one plan at every size.  ``total`` and ``last`` are
-    partial aggregates.  Positions are running counts over range partitions of
-    (contact, created, id), so a contact's rows spread over as many tasks as they
-    need, also those of one second.
+    Hot-contact safe, by one plan at every size, and over the four columns it needs alone:
+    rows are counted by (contact, created, id), ``total`` and ``last`` are partial
+    aggregates, and positions are running counts over range partitions of that key, so a
+    contact's rows spread over as many tasks as they need, also those of one second.  The
+    counts are written once as a narrow table; the result is a join to it, of which a reader
+    computes only the columns it asks for.  Rows that share contact, time and id get
+    successive counts, which are written once with the rows, so that all readers see the same.
     """
     if contact_col not in df.columns:
         return df
@@ -100,27 +105,34 @@ def prior_order_count(df: DataFrame, contact_col: str = CONTACT_COL,
     created = F.col(f"`{created_col}`")
     if isinstance(df.schema[created_col].dataType, (T.FloatType, T.DoubleType)):
         created = F.nanvl(created, F.lit(None).cast("double"))
-    rid = F.col(f"`{id_col}`")
-    snap = F.col(f"`{count_col}`")
-    contact = F.col(f"`{contact_col}`")
-    known = df.filter(contact.isNotNull())
-    unknown = df.filter(contact.isNull())
-
-    order_key = F.struct(created.isNull(), created, rid)
-    per_contact = known.groupBy(contact.alias("__c")).agg(
+    snap, contact = F.col(f"`{count_col}`"), F.col(f"`{contact_col}`")
+    key = {"__c": contact, "__at": created, "__id": F.col(f"`{id_col}`")}
+    known = df.where(contact.isNotNull()).select(*[v.alias(k) for k, v in key.items()], snap.alias("__snap"))
+    rows = known.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    at = running_sums(rows, ["__c"], [F.asc_nulls_last("__at"), F.col("__id")], {"__upto": F.col("__n")})
+    order_key = F.struct(F.col("__at").isNull(), F.col("__at"), F.col("__id"))
+    per_contact = known.groupBy(F.col("__c").alias("__pc")).agg(
         F.count(F.lit(1)).alias("__total"),
-        F.max(F.when(snap.isNotNull(), F.struct(order_key.alias("o"), snap.alias("s")))).alias("__top"))
-    per_contact = per_contact.select("__c", "__total", F.col("__top")["s"].alias("__last"))
-
-    at = running_sums(known.withColumn("__at", created), [contact_col], [F.asc_nulls_last("__at"), rid],
-                      {"__upto": F.lit(1).cast("long")})
-    j = at.join(per_contact, contact == F.col("__c"))
-    rank = (F.col("__upto") - 1).cast("double")
-    last = F.col("__last")
-    total = F.col("__total")
+        F.max(F.when(F.col("__snap").isNotNull(), F.struct(order_key.alias("o"), F.col("__snap").alias("s")))).alias("__top"))
+    per_contact = per_contact.select("__pc", "__total", F.col("__top")["s"].alias("__last"))
+
+    rank = (F.col("__upto") - F.col("__n")).cast("double")
+    last, total = F.col("__last"), F.col("__total")
     fixed = F.when(last < total, rank).otherwise(last - total + 1 + rank)
-    known_out = j.withColumn(count_col, fixed.cast("double")).select(*[F.col(f"`{c}`") for c in cols])
-    return known_out.unionByName(unknown.withColumn(count_col, snap.cast("double")))
+    counts = stage_table(at.join(per_contact, F.col("__c") == F.col("__pc"))
+                           .select(*key, "__n", fixed.cast("double").alias("__first")), "prior_counts")
+    copies = not counts.where("__n > 1").isEmpty()
+
+    meets = F.lit(True)
+    for k, v in key.items():
+        meets = meets & v.eqNullSafe(counts[k])
+    j = df.join(counts, meets, "left")
+    first = F.col("__first")
+    if copies:
+        first = first + (F.row_number().over(Window.partitionBy(*key).orderBy(*key)) - 1)
+    out = j.withColumn(count_col, F.when(contact.isNull(), snap).otherwise(first).cast("double"))
+    out = out.select(*[F.col(f"`{c}`") for c in cols])
+    return stage_table(out, "prior") if copies else out
 
 
 def is_new_column(threshold: float = 1.0) -> Column:

@@ -84,8 +84,11 @@ DELIVERY_TARIFF = ["Почта Посылка", "Посылка склад-дв
 def cart_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return (li.join(part, li.l_partkey == part.p_partkey)
-              .groupBy("l_orderkey")
+    # dealt by order before the lists are made (half-made ones would be no fewer), over all
+    # partitions: a task's lists and its orders' rows are sorted in memory
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "p_name")
+              .repartition(parts, "l_orderkey").groupBy("l_orderkey")
               .agg(F.array_join(F.array_sort(F.collect_list("p_name")), "; ").alias("items")))
 
 

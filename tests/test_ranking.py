@@ -122,3 +122,22 @@ def test_heavy_values_and_spread_lookup(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert lookups.heavy_values(df.limit(0), ["c"]) == {"c": []}
+
+
+def test_prior_counts_move_only_the_columns_they_need(spark):
+    """No exchange of the result's plan holds a column that the reader did not ask for; rows that
+    share contact, time and id get successive counts, NULL contacts keep their value."""
+    import io
+    from contextlib import redirect_stdout
+
+    rows = [(1, 7, 100.0, 9.0, "a wide text"), (2, 7, None, 9.0, "b"), (3, 7, float("nan"), 9.0, "c"), (4, None, 5.0, 4.0, "d"), (5, 8, 1.0, None, "e")]
+    schema = "row_id long, contact_id long, lead_created_at double, `contact_Число сделок` double, cart string"
+    out = prior_order_count(spark.createDataFrame(rows, schema))
+    got = {r[0]: r[3] for r in out.collect()}
+    assert got == {1: 7.0, 2: 8.0, 3: 9.0, 4: 4.0, 5: None}
+    text = io.StringIO()
+    with redirect_stdout(text):
+        out.select("row_id", "`contact_Число сделок`").explain("formatted")
+    assert not [part for part in text.getvalue().split("\n\n") if "Exchange" in part and "cart" in part]
+    twice = spark.createDataFrame(rows[:2] * 2, schema)
+    assert sorted(r[3] for r in prior_order_count(twice).collect()) == [6.0, 7.0, 8.0, 9.0]
