@@ -88,19 +88,21 @@ def clean_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cleaned + W1 (materialised once per session).  The window reads its
-    input in several branches (per-contact stats, per-bucket counts, the
-    bucket window, NULL contacts), so the cleaned set is stored first and
-    those branches scan it instead of re-deriving the view."""
-    def build():
-        return prior_order_count(clean_set(spark, sf_dir))
-    return _prepared(spark, "prior", sf_dir, build)
+    """cleaned + W1: the clean set joined to its staged counts (built once per session).
+    The clean set is stored first, so the counts read four of its columns, and each
+    reader joins only the columns it needs."""
+    return _once(spark, "prior", sf_dir, lambda: prior_order_count(clean_set(spark, sf_dir)))
+
+
+def prior_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``with_prior`` staged once, for those who read whole rows several times."""
+    return _prepared(spark, "prior_rows", sf_dir, lambda: with_prior(spark, sf_dir))
 
 
 def new_cohort_features(spark: SparkSession, sf_dir: str, config: dict | None = None):
     """New-cohort rows with the default spec built (contexts from the same rows)."""
     def build():
-        new = with_prior(spark, sf_dir).filter(is_new_column())
+        new = prior_rows(spark, sf_dir).filter(is_new_column())
         ctx = build_contexts(new, city_table(spark, sf_dir))
         return build_features(new, config or load_feature_config(), ctx)[0]
     if config is not None:
@@ -999,8 +1001,9 @@ SCORE_SQL = ", sc AS (SELECT CAST((row_id * 7919) % 1000 AS DOUBLE) / 1000.0 AS
 
 
 def scored(spark, sf_dir, mult: int = 7919) -> DataFrame:
-    """The cleaned orders with a fixed score (ties on purpose)."""
-    df = with_prior(spark, sf_dir)
+    """The cleaned orders with a fixed score (ties on purpose); ids and outcomes are staged
+    once, as the metrics read them several times."""
+    df = _prepared(spark, "outcomes", sf_dir, lambda: with_prior(spark, sf_dir).select("row_id", TARGET))
     return df.select(((F.col("row_id") * mult) % 1000).cast("double").__truediv__(F.lit(1000.0)).alias("p"),
                      F.col(TARGET).alias("y"), "row_id")
 
@@ -1234,7 +1237,7 @@ def q_routed_decision(spark, sf_dir):
     new -> logistic over built features (fixed coefficients); one
     probability per order, decision at the stored threshold."""
     from orderlens.plans.models import FixedLogistic, route_and_score
-    df = with_prior(spark, sf_dir)
+    df = prior_rows(spark, sf_dir)
     new = df.filter(is_new_column())
     ctx = build_contexts(new, city_table(spark, sf_dir))
     st = enc.scale_stats(df, DEAL_COUNT_COL)
@@ -1480,7 +1483,7 @@ def q_calibration_points(spark, sf_dir):
 def q_roundtrip(spark, sf_dir):
     """Write the clean set partitioned by month (S4), contexts
     and metadata (S6) to the shared folder, read them back (S3)."""
-    df = with_prior(spark, sf_dir)
+    df = prior_rows(spark, sf_dir)
     new = df.filter(is_new_column())
     ctx = build_contexts(new, city_table(spark, sf_dir))
     feats, fc = new_cohort_features(spark, sf_dir)
@@ -1510,13 +1513,14 @@ def q_stream_scores(spark, sf_dir):
     from orderlens.plans.models import FixedLogistic
     from orderlens.session import stage_table
     from orderlens.streaming.scoring import score_stream
-    df = with_prior(spark, sf_dir)
+    df = prior_rows(spark, sf_dir)
     base = staging_path(spark, "stream")
     src = os.path.join(base, "in")
     df.write.mode("overwrite").parquet(src)  # files arrive as the stream's input
     data = spark.read.parquet(src)
     new = data.filter(is_new_column())
-    ctx = build_contexts(new, city_table(spark, sf_dir))
+    mdl.save_contexts(build_contexts(new, city_table(spark, sf_dir)), os.path.join(base, "contexts"))
+    ctx = mdl.load_contexts(spark, os.path.join(base, "contexts"))  # else every batch would count all orders anew
     st = enc.scale_stats(data, DEAL_COUNT_COL)
     ret_model = FixedLogistic({"__x": ROUTE_COEF["slope_ret"]}, ROUTE_COEF["intercept_ret"],
                               prep=lambda d: d.withColumn("__x", enc.scaled(d, DEAL_COUNT_COL, st)))
