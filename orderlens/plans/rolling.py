@@ -225,11 +225,44 @@ def _decoded(batch: pa.RecordBatch, shape: tuple, tests: np.ndarray):
     return (col["y"].to_numpy().astype(float), col["m"].to_numpy(), _matrix(col["x"], d_x, float), _matrix(col["c"], n_cats, np.int64), t)
 
 
+#: Rows whose design is held at once while second derivatives are summed (it stays in a core's cache).
+BLOCK = 512
+
+
+def _second(x: np.ndarray, c: np.ndarray, t: list, h: np.ndarray, until: np.ndarray, d_c: int) -> np.ndarray:
+    """models x upper triangle of X'WX (by rows).  Rows are in the order of months, and model k
+    trains on the first ``until[k]``.  A block's design is made once for all models, which differ
+    in its encodings' columns and weights only; X'WX = (sqrt(W)X)'(sqrt(W)X) is symmetric, so half
+    of it is computed and sent."""
+    d_x, n_t = x.shape[1], len(t)
+    size = d_x + n_t + d_c + 1
+    out = np.zeros((len(until), size, size))
+    root, by_model = np.sqrt(h.T), [np.ascontiguousarray(v.T) for v in t]
+    part = np.empty((BLOCK, size))
+    for a in range(0, len(x), BLOCK):
+        n = min(BLOCK, len(x) - a)
+        full = np.zeros((n, size))
+        full[:, :d_x], full[:, -1] = x[a:a + n], 1.0
+        for i in range(c.shape[1]):
+            use = np.flatnonzero(c[a:a + n, i] >= 0)
+            full[use, d_x + n_t + c[a + use, i]] = 1.0
+        for k in np.flatnonzero(until > a):
+            own = min(n, until[k] - a)
+            for j in range(n_t):
+                full[:own, d_x + j] = by_model[j][k, a:a + own]
+            held = np.multiply(full[:own], root[k, a:a + own, None], out=part[:own])
+            out[k] += held.T @ held
+    return out[(slice(None), *np.triu_indices(size))]
+
+
 def _batch_sums(batch: pa.RecordBatch, shape: tuple, mod: _Models, second: str) -> np.ndarray:
     """models x (loss, gradient[, second derivatives]) in the rows' units: numbers, encodings,
     slots, offset.  ``second``: "none", "diagonal" or "full"."""
     d_x, d_t, d_c, n_cats, _ = shape
     y, m, x, c, t = _decoded(batch, shape, mod.tests)
+    if second == "full":
+        order = np.argsort(m, kind="stable")
+        y, m, x, c, t = y[order], m[order], x[order], c[order], [v[order] for v in t]
     z = x @ mod.slope.T + mod.offset
     for j in range(d_t):
         z += t[j] * mod.enc[:, j]
@@ -253,24 +286,15 @@ def _batch_sums(batch: pa.RecordBatch, shape: tuple, mod: _Models, second: str)
     if second == "diagonal":
         parts += [sums(h, True), h.T @ x]
     elif second == "full":
-        hot = np.zeros((len(y), d_c))
-        for i in range(n_cats):
-            use = np.flatnonzero(c[:, i] >= 0)
-            hot[use, c[use, i]] = 1.0
-        out = np.empty((len(mod), (d_x + d_t + d_c + 1) ** 2))
-        for k in range(len(mod)):
-            rows = np.flatnonzero(trains[:, k])
-            full = np.hstack([x[rows], *[t[j][rows, k][:, None] for j in range(d_t)], hot[rows], np.ones((len(rows), 1))])
-            out[k] = (full.T @ (full * h[rows, k][:, None])).ravel()
-        parts.append(out)
+        parts.append(_second(x, c, t, h, trains.sum(axis=0), d_c))
     return np.hstack(parts)
 
 
 def _sum_over_rows(d: RollingDesign, mod: _Models, second: str) -> np.ndarray:
-    """The tasks' sums, added in two levels: about the root of the number of tasks reach the driver."""
+    """The tasks' sums, added in two levels; one array reaches the driver, whatever the number of tasks."""
     sent = d.rows.sparkSession.sparkContext.broadcast(mod)  # models x coefficients
     shape = (d.n_x, d.n_t, d.n_c, len(d.fc.cat_cols), len(d.months))
-    size = (len(mod), 1 + d.size + {"none": 0, "diagonal": d.size + d.n_x, "full": d.size**2}[second])
+    size = (len(mod), 1 + d.size + {"none": 0, "diagonal": d.size + d.n_x, "full": d.size * (d.size + 1) // 2}[second])
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
@@ -288,9 +312,7 @@ def _sum_over_rows(d: RollingDesign, mod: _Models, second: str) -> np.ndarray:
 
     groups = math.isqrt(max(d.tasks, 1) - 1) + 1
     parts = d.rows.drop(ROW_ID, "u").mapInArrow(partial, "sums binary").repartition(groups).mapInArrow(added, "sums binary")
-    total = np.zeros(size)
-    for r in parts.toLocalIterator():
-        total += np.frombuffer(r[0]).reshape(size)
+    total = np.frombuffer(parts.repartition(1).mapInArrow(added, "sums binary").first()[0]).reshape(size)
     sent.unpersist()
     return total
 
@@ -315,7 +337,9 @@ def objective(d: RollingDesign, c: float, penalise_intercept: bool) -> Callable:
             diag, hx = more[:, :d.size].copy(), more[:, d.size:]
             diag[:, :k] = (diag[:, :k] - 2 * mean * hx + mean**2 * more[:, d.size - 1:d.size]) / std**2
             return value, grad, np.maximum(c * diag + shrink, 1e-12)
-        hess = more.reshape(len(which), d.size, d.size)
+        hess = np.zeros((len(which), d.size, d.size))
+        up = np.triu_indices(d.size)
+        hess[:, up[0], up[1]] = hess[:, up[1], up[0]] = more
         turn = np.tile(np.eye(d.size), (len(which), 1, 1))
         turn[:, np.arange(k), np.arange(k)] = 1.0 / std
         turn[:, -1, :k] = -mean / std

@@ -168,3 +168,21 @@ def test_as_of_map_equals_the_expanding_maps(spark, design):
     assert met_some > 500
     kept = bt.target_map_intervals(rows, col)
     assert kept.count() == rows.where(F.col(f"`{col}`").isNotNull()).select(F.date_format("sale_date", "yyyy-MM"), F.col(f"`{col}`")).distinct().count()
+
+
+def test_second_derivatives_are_summed_by_halves_and_reach_the_driver_once(spark):
+    """X'WX of rows in any order equals a plain product; the tasks' sums are one array at the end."""
+    rng = np.random.default_rng(5)
+    n, models, d_x, n_t, n_cats, d_c = 1_300, 4, 3, 2, 2, 7
+    x, h = rng.normal(size=(n, d_x)), rng.random((n, models))
+    c = np.stack([rng.integers(-1, 4, n), np.where(rng.random(n) < 0.2, -1, rng.integers(4, 7, n))], axis=1)
+    t = [rng.random((n, models)) for _ in range(n_t)]
+    until = np.array([0, 5, 700, n])
+    got = roll._second(x, c, t, h, until, d_c)
+    hot = np.zeros((n, d_c))
+    for i in range(n_cats):
+        hot[c[:, i] >= 0, c[c[:, i] >= 0, i]] = 1.0
+    for k, u in enumerate(until):
+        full = np.hstack([x, *[v[:, [k]] for v in t], hot, np.ones((n, 1))])[:u]
+        want = full.T @ (full * h[:u, [k]])
+        assert np.allclose(got[k], want[np.triu_indices(len(want))], atol=1e-9)
