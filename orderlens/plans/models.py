@@ -48,6 +48,13 @@ def class_weights(df: DataFrame, target: str = TARGET, counts: tuple[int, int] |
     return F.when(F.col(target) == 1, F.lit(w1)).otherwise(F.lit(w0))
 
 
+def even_parts(spark, n: int, least: int = 20_000, most: int = 1_000_000) -> int:
+    """Partitions for n rows that are read many times: one for each core, but of ``least`` to
+    ``most`` rows each (above that a multiple of the cores)."""
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    return max(1, min(cores, -(-n // least))) if n <= cores * most else cores * -(-n // (cores * most))
+
+
 def _text(df: DataFrame, c: str) -> Column:
     return plain_text(Val(F.col(f"`{c}`"), df.schema[c].dataType))
 
@@ -258,21 +265,29 @@ class BoostedTreeModel:
     def fit(train: DataFrame, cat_cols: list[str], num_cols: list[str], max_iter: int = 500,
             depth: int = 4, step: float = 0.03, min_leaf: int = 5, bins: int = 166,
             seed: int = 42) -> "BoostedTreeModel":
-        idx = [f"__gi_{i}" for i in range(len(cat_cols))]
-        card = train.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.01) for c in cat_cols]).first() if cat_cols else []
-        max_bins = max([bins] + [int(x * 1.1) + 8 for x in card])  # an estimate, with room for its error
-        stages = [StringIndexer(inputCols=cat_cols, outputCols=idx,
-                                stringOrderType="alphabetAsc", handleInvalid="keep")] if cat_cols else []
-        stages.append(VectorAssembler(inputCols=idx + num_cols, outputCol="features"))
-        stages.append(GBTClassifier(featuresCol="features", labelCol=TARGET, weightCol="__w",
-                                    maxIter=max_iter, maxDepth=depth, stepSize=step,
-                                    minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed,
-                                    # shallow trees: node-id caching costs more than it saves
-                                    cacheNodeIds=False, checkpointInterval=10))
         from orderlens.session import shared_dir
         shared_dir(train.sparkSession)  # boosting checkpoints (every 10 rounds) go to the shared folder
-        d = train.withColumn("__w", class_weights(train))
-        return BoostedTreeModel(Pipeline(stages=stages).fit(d), cat_cols, num_cols)
+        idx = [f"__gi_{i}" for i in range(len(cat_cols))]
+        counts = class_counts(train)
+        # every round reads all rows once a level, in as many tasks as there are partitions
+        d = (train.select(*[F.col(f"`{c}`") for c in [*cat_cols, *num_cols, TARGET]])
+                  .withColumn("__w", class_weights(train, counts=counts))
+                  .repartition(even_parts(train.sparkSession, counts[0])).persist())
+        stages, max_bins = [], bins
+        try:
+            if cat_cols:
+                stages.append(StringIndexer(inputCols=cat_cols, outputCols=idx,
+                                            stringOrderType="alphabetAsc", handleInvalid="keep").fit(d))
+                max_bins = max([bins] + [int(len(labels) * 1.1) + 8 for labels in stages[0].labelsArray])
+            stages.append(VectorAssembler(inputCols=idx + num_cols, outputCol="features"))
+            trees = GBTClassifier(featuresCol="features", labelCol=TARGET, weightCol="__w",
+                                  maxIter=max_iter, maxDepth=depth, stepSize=step,
+                                  minInstancesPerNode=min_leaf, maxBins=max_bins, seed=seed,
+                                  # shallow trees: node-id caching costs more than it saves
+                                  cacheNodeIds=False, checkpointInterval=10).fit(PipelineModel(stages).transform(d))
+        finally:
+            d.unpersist()
+        return BoostedTreeModel(PipelineModel([*stages, trees]), cat_cols, num_cols)
 
     def predict_proba(self, df: DataFrame) -> DataFrame:
         out = self.pipeline.transform(df)
