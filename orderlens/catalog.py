@@ -30,7 +30,7 @@ from orderlens.plans import rolling as roll
 from orderlens.plans.features import build_features, derive_feature_columns
 from orderlens.plans.spec import load_feature_config
 from orderlens.schema import DEAL_COUNT_COL, DEFAULT_CATEGORY_ORDERS, ROW_ID, TARGET
-from orderlens.session import staging_path
+from orderlens.session import stage_table, staging_path
 from orderlens.sources.leads import LEADS_SQL, city_table, leads_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1300,7 +1300,10 @@ def _full_fit(spark, sf_dir):
     def build():
         tr, te = bt.split_by_month(_new_feats_dated(spark, sf_dir), TRAIN_THROUGH, TEST_MONTH)
         n, p = mdl.class_counts(tr)
+        tr = tr.select(*[F.col(f"`{c}`") for c in [ROW_ID, TARGET, *FC.all_feature_cols]])
         folds = enc.stratified_folds(tr, TARGET, enc.n_folds(p, n - p), "__fold")
+        # the encoder, its encodings and the fit read the folds several times: ranked once, dealt evenly
+        folds = stage_table(folds.repartition(mdl.even_parts(spark, n)), "folds")
         return mdl.FullFeatureModel.fit(folds, FC, fold_col="__fold"), te
     return _once(spark, "full_fit", sf_dir, build)
 

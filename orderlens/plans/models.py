@@ -107,8 +107,9 @@ class OrderEncoderModel:
         out = self._base(df)
         te_out = []
         for i, c in enumerate(self.fc.te_cols):
-            out = enc.oof_target_encode(out, c, target, fold_col, self.fc.te_alpha[c],
-                                        self.global_mean, f"__te_{i}")
+            # a stored map has a known size, so that the rows need not be dealt to meet it
+            table = stage_table(enc.oof_map(df, c, target, fold_col, self.fc.te_alpha[c], self.global_mean), "oof_map")
+            out = enc.apply_oof(out, c, fold_col, table, self.global_mean, f"__te_{i}")
             te_out.append(f"__te_{i}")
         return self._assemble(out, te_out)
 
